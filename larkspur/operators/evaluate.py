@@ -89,14 +89,14 @@ def cutoff_bucket(prob: Column) -> Column:
 
 
 def cutoff_counts(df: DataFrame, label: str, probs: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, model, cutoff, tp, fp, p, n) for all 101 cutoffs of each score column.
+    """(keys, score, cutoff, tp, fp, p, n) for all 101 cutoffs of each score column.
 
     Rows are counted per highest cutoff they reach; a reverse running sum over the
     101 counts then gives every cutoff at once, instead of one count per cutoff or
     a cross join of rows and cutoffs.
     """
-    cells = F.array(*[F.struct(F.lit(m).alias("model"), F.col(m).alias("prob")) for m in probs])
-    group = [*keys, "model"]
+    cells = F.array(*[F.struct(F.lit(m).alias("score"), F.col(m).alias("prob")) for m in probs])
+    group = [*keys, "score"]
     per_bucket = (
         df.select(*keys, F.col(label).alias("y"), F.explode(cells).alias("c"))
         .select(*keys, "y", "c.*")
@@ -160,6 +160,12 @@ def trapezoid_areas(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def whole_sum(prob: Column) -> Column:
+    """Sum cut to a whole number. Float noise is rounded off first: without that
+    a sum of exactly 18 could come out as 17, depending on the order of addition."""
+    return F.round(F.sum(prob), 9).cast("int")
+
+
 def recency_aggregation(df: DataFrame, label: str, prob: str, recency: str, key: str) -> DataFrame:
     """Eleven measures per days until deactivation."""
     y, p, r = F.col(label), F.col(prob), F.col(recency)
@@ -169,7 +175,7 @@ def recency_aggregation(df: DataFrame, label: str, prob: str, recency: str, key:
         .agg(
             F.count(key).alias("count_users"),
             F.sum(y).cast("long").alias("deacts_actual"),
-            F.sum(p).cast("int").alias("deacts_pred"),
+            whole_sum(p).alias("deacts_pred"),
             F.avg(log_loss(y, p)).alias("avg_log_loss"),
             F.avg(p).alias("avg_prob_deact"),
             F.avg((y == hard_class(p)).cast("int")).alias("accuracy"),
@@ -186,8 +192,8 @@ def total_deacts(df: DataFrame, prob: str, recency: str, asof: str) -> DataFrame
     r = F.col(recency)
     return (
         df.where((r >= 0) & (r <= YEAR))
-        .groupBy(F.date_add(F.lit(asof).cast("date"), F.lit(YEAR) - r).alias("deact_date"))
-        .agg(F.sum(prob).cast("int").alias("total_deacts"))
+        .groupBy(F.date_add(F.lit(asof).cast("date"), (F.lit(YEAR) - r).cast("int")).alias("deact_date"))
+        .agg(whole_sum(F.col(prob)).alias("total_deacts"))
     )
 
 
@@ -245,7 +251,7 @@ def accuracy(df: DataFrame, label: str, probs: Sequence[str], keys: Sequence[str
 def roc_two_models(df: DataFrame, label: str, first: str, second: str) -> DataFrame:
     """True and false positive rates of two models at each of the 101 cutoffs."""
     c = cutoff_counts(df, label, [first, second])
-    pick = lambda m, x: F.max(F.when(F.col("model") == m, F.try_divide(F.col(x[0]), F.col(x[1]))))
+    pick = lambda m, x: F.max(F.when(F.col("score") == m, F.try_divide(F.col(x[0]), F.col(x[1]))))
     return c.groupBy((F.col("cutoff") / F.lit(float(CUTOFFS))).alias("cutoff")).agg(
         pick(first, ("tp", "p")).alias(f"tpr_{first}"),
         pick(second, ("tp", "p")).alias(f"tpr_{second}"),

@@ -23,7 +23,8 @@ MIN_ROWS = 500
 
 
 def model_frame(transformed: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """Scoring table under the suffix contract: *_x numbers, *_cat_x text."""
+    """Scoring table under the suffix contract: *_x numbers, *_cat_x text. Tree
+    learners take no missing numbers; what the transforms left empty becomes 0."""
     text = (
         "recency_9block",
         "frequency_9block",
@@ -37,7 +38,7 @@ def model_frame(transformed: DataFrame, labels: DataFrame | None = None) -> Data
     numbers = [c for c in numbers if not c.endswith("order_id")]
     out = transformed.select(
         "consumer_id",
-        *[F.col(c).cast("double").alias(f"{c}_x") for c in numbers],
+        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"{c}_x") for c in numbers],
         *[F.coalesce(c, F.lit("none")).alias(f"{c}_cat_x") for c in text],
     )
     return out.join(labels.select("consumer_id", LABEL), "consumer_id") if labels is not None else out

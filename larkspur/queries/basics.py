@@ -483,7 +483,7 @@ def title_ladder_documents(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-SELECT event_id, abs(value - 50) AS dist, round(value, 0) AS whole, round(value, 1) AS tenth, round(ln(value), 6) AS ln_v,
+SELECT event_id, abs(value - 50) AS dist, round(value, 0) AS whole, round(value, 1) AS tenth, CASE WHEN value > 0 THEN round(ln(value), 6) END AS ln_v,
   round(exp(-value / 100), 6) AS decay, round(sqrt(value), 6) AS root, round(value * value, 4) AS square,
   CASE WHEN value - 0.01 > 0 THEN round(ln(value - 0.01), 6) END AS ln_shift
 FROM events

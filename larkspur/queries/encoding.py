@@ -118,7 +118,7 @@ def minmax_scale(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-SELECT event_id, round(ln(value), 6) AS value, shifted FROM (SELECT event_id, value, round(value - 20, 2) AS shifted FROM events)
+SELECT event_id, CASE WHEN lo > 0 THEN round(ln(nullif(value, 0)), 6) ELSE round(value, 6) END AS value, shifted FROM (SELECT event_id, value, round(value - 20, 2) AS shifted, (SELECT min(value) FROM events) AS lo FROM events)
 """
 )
 def log_transform(spark: SparkSession, sf: str) -> DataFrame:

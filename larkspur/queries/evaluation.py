@@ -121,7 +121,7 @@ SELECT days_until_deact, count_users, deacts_actual, deacts_pred, round(avg_log_
   round(deacts_pred / count_users, 6) AS pct_deact_pred, round(deacts_pred / nullif(deacts_actual, 0), 6) AS pred_over_actual_deacts,
   round(deacts_pred / count_users - deacts_actual / count_users, 6) AS diff_pct_deact
 FROM (SELECT CAST(365 - recency AS INTEGER) AS days_until_deact, count(*) AS count_users, CAST(sum(deactivated) AS BIGINT) AS deacts_actual,
-    CAST(trunc(sum(prob_v3)) AS INTEGER) AS deacts_pred, avg({_loss('deactivated', 'prob_v3')}) AS avg_log_loss, avg(prob_v3) AS avg_prob_deact,
+    CAST(trunc(round(sum(prob_v3), 9)) AS INTEGER) AS deacts_pred, avg({_loss('deactivated', 'prob_v3')}) AS avg_log_loss, avg(prob_v3) AS avg_prob_deact,
     avg(CASE WHEN deactivated = round(prob_v3, 0) THEN 1 ELSE 0 END) AS accuracy
   FROM scores WHERE recency >= 0 AND recency <= 365 GROUP BY recency)
 """,
@@ -135,7 +135,7 @@ def recency_aggregation(spark: SparkSession, sf: str) -> DataFrame:
     with_parts(
         ["scores"],
         f"""
-SELECT CAST({ASOF} + CAST(365 - recency AS INTEGER) AS VARCHAR) AS deact_date, CAST(trunc(sum(prob_v3)) AS INTEGER) AS total_deacts
+SELECT CAST({ASOF} + CAST(365 - recency AS INTEGER) AS VARCHAR) AS deact_date, CAST(trunc(round(sum(prob_v3), 9)) AS INTEGER) AS total_deacts
 FROM scores GROUP BY recency
 """,
     )

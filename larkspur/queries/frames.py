@@ -13,7 +13,13 @@ from larkspur.plans import customer as cust
 from larkspur.sources import star
 from larkspur.sources.star import ORDERS_ASOF, ORDERS_TODAY, TRAFFIC_ASOF
 
-NEXT_DAY = str(dt.date.fromisoformat(ORDERS_ASOF) + dt.timedelta(days=1))
+
+
+def day_after(day: str, days: int = 1) -> str:
+    return str(dt.date.fromisoformat(day) + dt.timedelta(days=days))
+
+
+NEXT_DAY = day_after(ORDERS_ASOF)
 
 
 def text_dates(df: DataFrame) -> DataFrame:
@@ -29,8 +35,8 @@ def round_all(df: DataFrame, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, places) for c, t in df.dtypes if t == "double"})
 
 
-def pop(spark: SparkSession, sf: str) -> DataFrame:
-    return cust.population(star.user_segments(spark, sf))
+def pop(spark: SparkSession, sf: str, asof: str = ORDERS_ASOF) -> DataFrame:
+    return cust.population(star.user_segments(spark, sf, asof))
 
 
 def active(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,22 +114,20 @@ def accuracy(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    people = pop(spark, sf)
+def features(spark: SparkSession, sf: str, asof: str = ORDERS_ASOF, traffic_asof: str = TRAFFIC_ASOF) -> DataFrame:
+    """All-feature table as of a day; the outcome year starts the day after."""
+    people = pop(spark, sf, asof)
     fact = star.orders_fact(spark, sf)
     heads = star.order_headers(spark, sf)
     visits = star.visits(spark, sf)
     cookies = cust.cookie_map(
-        [
-            cust.cookie_map_visits(people, visits, TRAFFIC_ASOF),
-            cust.cookie_map_orders(people, heads, ORDERS_ASOF),
-        ]
+        [cust.cookie_map_visits(people, visits, traffic_asof), cust.cookie_map_orders(people, heads, asof)]
     )
     return cust.all_features(
         people,
-        cust.order_features(fact, ORDERS_ASOF),
-        cust.engagement_by_consumer(cookies, cust.engagement_by_cookie(visits, TRAFFIC_ASOF), TRAFFIC_ASOF),
-        cust.lifetime_orders(heads, ORDERS_ASOF),
-        cust.email_metrics(people, star.email_log(spark, sf), TRAFFIC_ASOF),
-        cust.response(heads, NEXT_DAY, ORDERS_TODAY),
+        cust.order_features(fact, asof),
+        cust.engagement_by_consumer(cookies, cust.engagement_by_cookie(visits, traffic_asof), traffic_asof),
+        cust.lifetime_orders(heads, asof),
+        cust.email_metrics(people, star.email_log(spark, sf), traffic_asof),
+        cust.response(heads, day_after(asof), ORDERS_TODAY),
     )

@@ -17,18 +17,21 @@ from larkspur.plans import funnel, models, passengers, publish
 from larkspur.queries import frames
 from larkspur.queries.encoding import _houses, fit_houses
 from larkspur.queries.registry import query
+from larkspur.queries.sqlparts import with_parts
 from larkspur.session import materialise, work_path
 from larkspur.sources import star
-from larkspur.sources.star import ORDERS_ASOF, load
+from larkspur.sources.catalog import clustered
+from larkspur.sources.star import ORDERS_ASOF, TRAFFIC_ASOF, load
 
 SPLIT = (("train", 40), ("calibrate", 20), ("validate", 40))
 
 
 def _frame(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled model rows, written once: several models read them."""
+    """Labelled model rows, written once: several models read them. Rows are laid
+    out by consumer, so that the learners' row sampling repeats from run to run."""
     table = cust.transformed(frames.features(spark, sf))
     labelled = models.model_frame(table, frames.target(spark, sf))
-    return materialise(models.split_frame(labelled, SPLIT))
+    return materialise(clustered(models.split_frame(labelled, SPLIT), "consumer_id"))
 
 
 def _part(df: DataFrame, name: str) -> DataFrame:
@@ -199,21 +202,43 @@ def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.confusion_matrix(scored, "survived", "p")
 
 
-@query()
+@query(
+    with_parts(
+        ["shoppers"],
+        """
+, w AS (SELECT sum(marketing_cost) / 1e6 AS x, sum(revenue) / 1e6 AS y FROM shoppers GROUP BY week_number),
+c AS (SELECT x, x * x AS z, y, avg(x) OVER () AS mx, avg(x * x) OVER () AS mz, avg(y) OVER () AS my FROM w),
+s AS (SELECT count(*) AS n, any_value(mx) AS mx, any_value(mz) AS mz, any_value(my) AS my, sum((x - mx) * (x - mx)) AS xx, sum((z - mz) * (z - mz)) AS zz,
+  sum((x - mx) * (z - mz)) AS xz, sum((x - mx) * (y - my)) AS xy, sum((z - mz) * (y - my)) AS zy, sum((y - my) * (y - my)) AS yy FROM c),
+b AS (SELECT *, xx * zz - xz * xz AS d, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS b1, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS b2 FROM s),
+e AS (SELECT *, (yy - b1 * xy - b2 * zy) / (n - 3) AS s2, 1 - (yy - b1 * xy - b2 * zy) / yy AS r2, my - b1 * mx - b2 * mz AS b0 FROM b)
+SELECT 'x' AS term, round(b1, 4) AS coef, round(sqrt(s2 * zz / d), 4) AS std_err, round(b1 / sqrt(s2 * zz / d), 4) AS t, round(r2, 6) AS r2 FROM e
+UNION ALL SELECT 'x2', round(b2, 4), round(sqrt(s2 * xx / d), 4), round(b2 / sqrt(s2 * xx / d), 4), round(r2, 6) FROM e
+UNION ALL SELECT 'intercept', round(b0, 4), round(sqrt(s2 * (1.0 / n + (mx * mx * zz - 2 * mx * mz * xz + mz * mz * xx) / d)), 4),
+  round(b0 / sqrt(s2 * (1.0 / n + (mx * mx * zz - 2 * mx * mz * xz + mz * mz * xx) / d)), 4), round(r2, 6) FROM e
+""",
+    )
+)
 def poly_regression(spark: SparkSession, sf: str) -> DataFrame:
-    """Weekly revenue on marketing cost and its square, with the inference table."""
+    """Weekly revenue on marketing cost and its square, in millions."""
     weeks = funnel.weekly(star.funnel(spark, sf))
-    return models.quadratic_fit(weeks, "marketing_cost", "revenue")
+    rows = weeks.select((F.col("marketing_cost") / 1e6).alias("cost"), (F.col("revenue") / 1e6).alias("revenue"))
+    out = models.quadratic_fit(rows, "cost", "revenue").drop("p")
+    return out.select("term", *[F.round(c, 4).alias(c) for c in ("coef", "std_err", "t")], F.round("r2", 6).alias("r2"))
 
 
 @query()
 def daily_publish(spark: SparkSession, sf: str) -> DataFrame:
-    """Two days published in turn; the gate compares the second with the first."""
-    df = _frame(spark, sf)
-    scored = materialise(_gbt(_part(df, "train")).score(df.drop("part")))
+    """One model scores two days in turn; the gate compares the second with the
+    first."""
+    fitted = _gbt(_part(_frame(spark, sf), "train"))
     path, totals = work_path(spark, "predictions"), work_path(spark, "totals")
-    yesterday = "2000-07-27"
-    masked = evaluate.mask_probability(scored, "prob_deact", "recency_x", 3)
-    publish.publish_predictions(masked, path, yesterday, "masked_prob")
-    publish.publish_totals(scored, totals, yesterday, "prob_deact")
-    return publish.daily_publish(scored, path, totals, ORDERS_ASOF)
+    gate = None
+    for back in (1, 0):
+        day, traffic_day = frames.day_after(ORDERS_ASOF, -back), frames.day_after(TRAFFIC_ASOF, -back)
+        rows = models.model_frame(cust.transformed(frames.features(spark, sf, day, traffic_day)))
+        gate = publish.daily_publish(materialise(fitted.score(rows)), path, totals, day)
+    published = spark.read.orc(path).groupBy(F.col("record_date").cast("string").alias("record_date"))
+    counts = published.agg(F.count("*").alias("consumers"), F.avg("prob_deact").alias("mean_prob"))
+    current = gate.select(F.lit(ORDERS_ASOF).alias("record_date"), "rate", "prev_rate", "change", "stable")
+    return counts.join(current, "record_date", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.functions import hashing
 from larkspur.plans import dispatch as plan
 from larkspur.plans import knapsack
 from larkspur.queries.registry import query
@@ -47,20 +48,45 @@ def knapsack_greedy(spark: SparkSession, sf: str) -> DataFrame:
     return knapsack.greedy(_items(spark, sf))
 
 
-@query()
+LINES_PER_FILE = 20_000
+_KEY = "l_orderkey::VARCHAR || '-' || l_linenumber::VARCHAR || '-' || l_partkey::VARCHAR || '-' || l_suppkey::VARCHAR"
+
+
+@query(
+    f"""
+SELECT CAST(('0x' || substr(md5({_KEY}), 1, 8))::BIGINT % (SELECT count(*) // {LINES_PER_FILE} + 1 FROM lineitem) AS INTEGER) AS instance,
+  count(*) AS items, CAST(sum(round(l_extendedprice, 0)) AS BIGINT) AS value, CAST(sum(l_quantity) AS BIGINT) AS weight, 5000::BIGINT AS capacity,
+  count(*) - 1 AS last_item
+FROM lineitem GROUP BY 1
+"""
+)
 def knapsack_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Instances written as files, one per supplier, and read back with totals."""
+    """Instance files written from the order lines and read back with totals. The
+    lines are dealt evenly over as many files as their number calls for."""
     path = work_path(spark, "instances")
     li = load(spark, sf, "lineitem")
-    line = F.concat_ws(" ", F.round("l_extendedprice").cast("long").cast("string"), F.col("l_quantity").cast("long").cast("string"))
-    body = li.select(F.col("l_suppkey").alias("instance"), F.lit(1).alias("place"), line.alias("line"))
-    head = li.groupBy(F.col("l_suppkey").alias("instance")).agg(F.count("*").alias("n"))
-    head = head.select("instance", F.lit(0).alias("place"), F.concat_ws(" ", F.col("n").cast("string"), F.lit("5000")).alias("line"))
+    files_needed = li.count() // LINES_PER_FILE + 1
+    key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    number = lambda c: c.cast("long").cast("string")
+    body = li.select(
+        hashing.bucket(key, files_needed).alias("instance"),
+        F.lit(1).alias("place"),
+        F.concat_ws(" ", number(F.round("l_extendedprice")), number(F.col("l_quantity"))).alias("line"),
+    )
+    head = body.groupBy("instance").agg(F.count("*").alias("n"))
+    head = head.select("instance", F.lit(0).alias("place"), F.concat_ws(" ", number(F.col("n")), F.lit("5000")).alias("line"))
     rows = head.unionByName(body).repartition("instance").sortWithinPartitions("instance", "place")
     rows.select("instance", "line").write.partitionBy("instance").text(path)
     items = files.read_instances(spark, path)
-    return items.groupBy("instance").agg(
-        F.count("*").alias("items"), F.sum("value").alias("value"), F.sum("weight").alias("weight"), F.max("capacity").alias("capacity")
+    return (
+        items.groupBy(F.regexp_extract("instance", r"instance=(\d+)", 1).cast("int").alias("instance"))
+        .agg(
+            F.count("*").alias("items"),
+            F.sum("value").alias("value"),
+            F.sum("weight").alias("weight"),
+            F.max("capacity").alias("capacity"),
+            F.max("item").alias("last_item"),
+        )
     )
 
 

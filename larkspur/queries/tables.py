@@ -120,7 +120,7 @@ def sink_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
         ["scores"],
         f"""
 SELECT deact_date, total_deacts, '2000-09-01' AS ds FROM (
-  SELECT CAST({ASOF} + CAST(365 - recency AS INTEGER) AS VARCHAR) AS deact_date, CAST(trunc(sum(prob_v3)) AS INTEGER) AS total_deacts
+  SELECT CAST({ASOF} + CAST(365 - recency AS INTEGER) AS VARCHAR) AS deact_date, CAST(trunc(round(sum(prob_v3), 9)) AS INTEGER) AS total_deacts
   FROM scores GROUP BY recency) WHERE deact_date >= '2000-08-31'
 """,
     )

@@ -45,7 +45,8 @@ def region_codes(codes: DataFrame) -> DataFrame:
 def read_instances(spark: SparkSession, path: str) -> DataFrame:
     """Instance files: first line ``n capacity``, then one ``value weight`` per line.
 
-    One row per item with its place in the file. Line numbers come from the size
+    One row per item with its place in the file; the path names the instance. Line
+    numbers come from the size
     of the file splits: a task numbers the lines of one split only, and the
     offsets of the splits are summed in a small table, so a huge file is never
     held by one task.
@@ -77,7 +78,7 @@ def read_instances(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("item", F.col("offset") + F.col("nr") - 2)
         .where(F.col("item") >= 0)
         .select(
-            F.element_at(F.split("instance", "/"), -1).alias("instance"),
+            "instance",
             "item",
             F.element_at(parts, 1).cast("long").alias("value"),
             F.element_at(parts, 2).cast("long").alias("weight"),
