@@ -26,6 +26,14 @@ def quarter_year(col: Column) -> Column:
     return F.concat(F.lit("Q"), F.quarter(col).cast("string"), F.year(col).cast("string"))
 
 
+def quarter_bit(col: Column, asof: str | dt.date) -> Column:
+    """A bit per calendar quarter counted back from the as-of day (up to 62 back).
+    Or-ing the bits and counting them gives the distinct quarters in one
+    aggregate buffer, without a shuffle per distinct value."""
+    number = lambda d: F.year(d) * 4 + F.quarter(d)
+    return F.call_function("shiftleft", F.lit(1).cast("long"), number(as_date(asof)) - number(col))
+
+
 def is_weekend(col: Column) -> Column:
     return F.when(F.weekday(col) >= 5, 1.0).otherwise(0.0)
 

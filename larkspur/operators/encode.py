@@ -6,6 +6,7 @@ whose size has a proven bound; nothing that grows with the data is collected.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -178,8 +179,6 @@ def feature_names(model: PipelineModel, numeric: Sequence[str]) -> list[str]:
 
 
 def _slug_text(text: str) -> str:
-    import re
-
     return re.sub(r"\W+", "_", text.strip())
 
 

@@ -12,7 +12,7 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = 1e-3) -> DataFrame
     """Keys holding at least ``share`` of the rows, with the number of slices
     their rows need. There are at most 1/share of them."""
     counts = df.groupBy(*on).agg(F.count("*").alias("__n"))
-    total = df.agg(F.count("*").alias("__t")).scalar()
+    total = counts.agg(F.sum("__n")).scalar()
     limit = F.greatest(F.ceil(total * share), F.lit(2))
     return counts.where(F.col("__n") >= limit).select(*on, F.ceil(F.col("__n") / limit).cast("int").alias("__slices"))
 

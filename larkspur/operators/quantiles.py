@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
@@ -14,8 +16,9 @@ BINS = 1024
 
 def _split_points(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
     """Equal-depth split points per column: at most ``bins`` numbers each."""
-    probs = [i / bins for i in range(1, bins)]
-    row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), probs, 10 * bins).alias(c) for c in columns]).first()
+    probs = ", ".join(f"{i / bins!r}D" for i in range(1, bins))
+    picks = [F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({probs}), {10 * bins})").alias(c) for c in columns]
+    row = df.agg(*picks).first()
     out = {}
     for c in columns:
         inner = sorted({v for v in (row[c] or []) if not math.isnan(v)})
@@ -23,12 +26,10 @@ def _split_points(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str,
     return out
 
 
-def long_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), bins: int = BINS) -> DataFrame:
-    """Columns as rows (keys, column, value, bin, n): one row per distinct value.
-
-    The bins are ordered and equally deep, so none holds much more than 1/bins of
-    the rows unless those share one value, and then they are a single row here.
-    """
+def _binned(df: DataFrame, columns: Sequence[str], keys: Sequence[str], bins: int) -> DataFrame:
+    """Columns as rows (keys, column, value, bin). The bins are ordered and equally
+    deep, so none holds much more than 1/bins of the rows unless these share one
+    value, and then they are a single row once counted per value."""
     splits = _split_points(df, columns, bins)
     nan = F.lit(float("nan"))
     flat = df.select(*keys, *[F.coalesce(F.col(c).cast("double"), nan).alias(c) for c in columns])
@@ -39,18 +40,28 @@ def long_values(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (),
         splitsArray=[splits[c] for c in columns],
         handleInvalid="keep",
     ).transform(flat)
-    cells = F.array(
-        *[
-            F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(names[c]).alias("bin"))
-            for c in columns
-        ]
-    )
+    if len(columns) == 1:
+        (c,) = columns
+        rows = binned.select(*keys, F.lit(c).alias("column"), F.col(c).alias("value"), F.col(names[c]).alias("bin"))
+    else:
+        cell = lambda c: F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(names[c]).alias("bin"))
+        rows = binned.select(*keys, F.explode(F.array(*[cell(c) for c in columns])).alias("c")).select(*keys, "c.*")
+    return rows.where(~F.isnan("value"))
+
+
+def _ranks(per_bin: DataFrame, group: list[str], probs: Sequence[float]) -> DataFrame:
+    """Bins that hold a wanted rank, with the rows before the bin and the ranks."""
+    ordered = Window.partitionBy(*group).orderBy("bin")
+    upto, total = F.sum("n").over(ordered), F.sum("n").over(Window.partitionBy(*group))
+    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
     return (
-        binned.select(*keys, F.explode(cells).alias("c"))
-        .select(*keys, "c.*")
-        .where(~F.isnan("value"))
-        .groupBy(*keys, "column", "bin", "value")
-        .agg(F.count("*").alias("n"))
+        per_bin.select(*group, "bin", upto.alias("upto"), (upto - F.col("n")).alias("before"), total.alias("total"))
+        .select("*", wanted.alias("prob"))
+        .withColumn("place", (F.col("total") - 1) * F.col("prob"))
+        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
+        .groupBy(*group, "bin", "before")
+        .agg(F.collect_list(F.struct("prob", "place", "rank")).alias("targets"))
     )
 
 
@@ -60,39 +71,27 @@ def exact_quantiles(
     """(keys, column, prob, value) with linear interpolation between neighbours.
 
     Counts per bin place each wanted rank in a bin; only the distinct values of
-    those bins are then ordered, one small window per bin.
+    those bins are then ordered, one small window per bin. Without keys the wanted
+    bins are at most two per column and probability: that list is broadcast and
+    all other rows drop out before anything is shuffled.
     """
-    values = long_values(df, columns, keys, bins)
+    rows = _binned(df, columns, keys, bins)
     group = [*keys, "column"]
-    per_bin = values.groupBy(*group, "bin").agg(F.sum("n").alias("n"))
-    ordered = Window.partitionBy(*group).orderBy("bin")
-    whole = Window.partitionBy(*group)
-    per_bin = per_bin.select(
-        *group,
-        "bin",
-        F.sum("n").over(ordered).alias("upto"),
-        (F.sum("n").over(ordered) - F.col("n")).alias("before"),
-        F.sum("n").over(whole).alias("total"),
-    )
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob")
-    place = (F.col("total") - 1) * F.col("prob")
-    ranks = (
-        per_bin.select("*", wanted)
-        .withColumn("place", place)
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
-        .groupBy(*group, "bin", "before")
-        .agg(F.collect_list(F.struct("prob", "place", "rank")).alias("targets"))
-    )
+    cell = [*group, "bin"]
+    count = F.count("*").alias("n")
+    if keys:
+        values = rows.groupBy(*cell, "value").agg(count)
+        ranks = _ranks(values.groupBy(*cell).agg(F.sum("n").alias("n")), group, probs)
+    else:
+        ranks = _ranks(rows.groupBy(*cell).agg(count), group, probs)
+        wanted = F.broadcast(ranks.select(*cell))
+        values = rows.join(wanted, cell, "left_semi").groupBy(*cell, "value").agg(count)
     v, r = values.alias("v"), ranks.alias("r")
-    same = [F.col(f"v.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, "bin"]]
-    cond = same[0]
-    for c in same[1:]:
-        cond = cond & c
-    inside = Window.partitionBy(*[F.col(c) for c in [*group, "bin"]]).orderBy("value")
+    same = reduce(and_, [F.col(f"v.{c}").eqNullSafe(F.col(f"r.{c}")) for c in cell])
+    inside = Window.partitionBy(*cell).orderBy("value")
     hits = (
-        v.join(r, cond)
-        .select(*[F.col(f"v.{c}").alias(c) for c in [*group, "bin"]], "v.value", "v.n", "r.before", "r.targets")
+        v.join(r, same)
+        .select(*[F.col(f"v.{c}").alias(c) for c in cell], "v.value", "v.n", "r.before", "r.targets")
         .withColumn("upto", F.col("before") + F.sum("n").over(inside))
         .withColumn("t", F.explode("targets"))
         .where((F.col("t.rank") < F.col("upto")) & (F.col("t.rank") >= F.col("upto") - F.col("n")))
@@ -114,6 +113,7 @@ def median_by(df: DataFrame, column: str, keys: Sequence[str], bins: int = BINS)
 
 
 QUARTILES = (0.25, 0.5, 0.75)
+MOMENTS = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
 
 
 def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -124,19 +124,21 @@ def describe(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) ->
         .groupBy(*group)
         .agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(f"p{int(p * 100)}") for p in QUARTILES])
     )
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    moments = (
-        df.select(*keys, F.explode(cells).alias("c"))
-        .select(*keys, "c.*")
-        .groupBy(*group)
-        .agg(
-            F.count("value").alias("count"),
-            F.avg("value").alias("mean"),
-            F.stddev_samp("value").alias("std"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-        )
+    one = df.groupBy(*keys).agg(
+        *[
+            f(F.col(c).cast("double")).alias(f"{name}_{i}")
+            for i, c in enumerate(columns)
+            for name, f in MOMENTS.items()
+        ]
+    )
+    rows = [
+        F.struct(F.lit(c).alias("column"), *[F.col(f"{name}_{i}").alias(name) for name in MOMENTS])
+        for i, c in enumerate(columns)
+    ]
+    moments = one.select(*keys, F.explode(F.array(*rows)).alias("c")).select(*keys, "c.*")
+    joined = moments.alias("m").join(
+        quart.alias("q"), reduce(and_, [F.col(f"m.{c}").eqNullSafe(F.col(f"q.{c}")) for c in group]), "left"
     )
-    return moments.join(quart, group, "left").select(
-        *group, "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    return joined.select(
+        *[F.col(f"m.{c}").alias(c) for c in group], "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )

@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.dates import as_date, days_before, months_before, quarter_year
+from larkspur.functions.dates import as_date, days_before, months_before, quarter_bit
 from larkspur.functions.hashing import split_label
 from larkspur.functions.numeric import cap, presence_flag
 from larkspur.operators.joins import sliced_join, union_latest
+from larkspur.session import materialise
 from larkspur.sources.star import EVERYWHERE, RegionConfig
 
 # The recency classes of a consumer who is still active.
@@ -95,8 +96,9 @@ def order_features(orders: DataFrame, asof: str, region: RegionConfig = EVERYWHE
             count_if(F.col("traffic_type") == name.title()).alias(f"{name}_orders_t24m")
             for name in ("paid", "free", "managed")
         ],
-        F.count_distinct(quarter_year(F.col("order_date"))).alias("unique_purchase_quarters"),
+        F.bit_or(quarter_bit(F.col("order_date"), asof)).alias("quarters"),
     )
+    out = out.withColumn("unique_purchase_quarters", F.bit_count("quarters").cast("long")).drop("quarters")
     return (
         out.select("*", *[F.col(f"newest.{c}").alias(c if c.startswith("is_") else f"most_recent_{c}") for c in LATEST])
         .drop("newest")
@@ -130,17 +132,25 @@ def lifetime_orders(orders: DataFrame, asof: str, region: RegionConfig = EVERYWH
     )
 
 
-def cookie_map_visits(pop: DataFrame, visits: DataFrame, asof: str) -> DataFrame:
+def _of_population(rows: DataFrame, pop: DataFrame | None) -> DataFrame:
+    """Keep the population's consumers. Steps that end in a left join from the
+    population pass None: the join would only repeat that work."""
+    return rows if pop is None else rows.join(pop.select("consumer_id").distinct(), "consumer_id")
+
+
+def cookie_map_visits(pop: DataFrame | None, visits: DataFrame, asof: str) -> DataFrame:
     """Cookies seen in three months of visits, reduced per pair before the join."""
     pairs = (
         visits.where(F.col("event_date").between(months_before(asof, 3), as_date(asof)))
         .groupBy(F.col("user_uuid").alias("consumer_id"), "cookie")
         .agg(F.max("event_date").alias("last_cookie_date"))
     )
-    return pairs.join(pop.select("consumer_id").distinct(), "consumer_id")
+    return _of_population(pairs, pop)
 
 
-def cookie_map_orders(pop: DataFrame, orders: DataFrame, asof: str, region: RegionConfig = EVERYWHERE) -> DataFrame:
+def cookie_map_orders(
+    pop: DataFrame | None, orders: DataFrame, asof: str, region: RegionConfig = EVERYWHERE
+) -> DataFrame:
     """Cookies seen in 24 months of orders."""
     scoped = orders if region.actions is None else orders.where(F.col("action").isin(*region.actions))
     pairs = (
@@ -148,7 +158,7 @@ def cookie_map_orders(pop: DataFrame, orders: DataFrame, asof: str, region: Regi
         .groupBy("consumer_id", "cookie")
         .agg(F.max("order_date").alias("last_cookie_date"))
     )
-    return pairs.join(pop.select("consumer_id").distinct(), "consumer_id")
+    return _of_population(pairs, pop)
 
 
 def cookie_map(maps: Sequence[DataFrame]) -> DataFrame:
@@ -197,20 +207,22 @@ ENGAGEMENT_SUMS = (
 
 def engagement_by_consumer(cookies: DataFrame, engagement: DataFrame, asof: str) -> DataFrame:
     """Cookie engagement summed per consumer. A cookie shared by very many
-    consumers makes its join key hot, so the map side is cut into slices."""
-    joined = sliced_join(cookies, engagement, ["cookie"], F.col("consumer_id"))
+    consumers makes its join key hot, so the map side is cut into slices. Finding
+    the hot keys reads the map twice, hence it is written first. The map is unique
+    per pair, so counting its rows counts distinct cookies."""
+    joined = sliced_join(materialise(cookies), engagement, ["cookie"], F.col("consumer_id"))
     return (
         joined.groupBy("consumer_id")
         .agg(
             F.max("event_date").alias("last_visit_date"),
             *[F.sum(c).alias(c) for c in ENGAGEMENT_SUMS],
-            F.count_distinct("cookie").alias("cookies"),
+            F.count("*").alias("cookies"),
         )
         .withColumn("visit_recency", F.datediff(as_date(asof), "last_visit_date"))
     )
 
 
-def email_metrics(pop: DataFrame, log: DataFrame, asof: str) -> DataFrame:
+def email_metrics(pop: DataFrame | None, log: DataFrame, asof: str) -> DataFrame:
     """Sends, opens and clicks over 7 and 30 days. The log is reduced per consumer
     and send, then per consumer, before it meets the population."""
     scoped = log.where(
@@ -244,7 +256,7 @@ def email_metrics(pop: DataFrame, log: DataFrame, asof: str) -> DataFrame:
         F.sum("unsubs").alias("unsubscription_30d"),
         F.max("last_send").alias("last_send_date"),
     )
-    return per_consumer.join(pop.select("consumer_id").distinct(), "consumer_id")
+    return _of_population(per_consumer, pop)
 
 
 ZERO_FILLED = (

@@ -11,7 +11,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, LinearRegression
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.hashing import split_label
@@ -145,14 +145,24 @@ def train_per_segment(train: DataFrame, test: DataFrame, segment: str, values: S
     return out
 
 
+def _counted(scored: DataFrame, prob: str, *more: Column) -> DataFrame:
+    """Score rows reduced to distinct scores with their row count as weight."""
+    rows = scored.groupBy(prob, *more).agg(F.avg(LABEL).alias("y"), F.count("*").cast("double").alias("w"))
+    return VectorAssembler(inputCols=[prob], outputCol="prob_feature", handleInvalid="keep").transform(rows)
+
+
 def fit_isotonic(scored: DataFrame, prob: str = "prob_deact"):
-    rows = VectorAssembler(inputCols=[prob], outputCol="prob_feature", handleInvalid="keep").transform(scored)
-    return IsotonicRegression(labelCol=LABEL, predictionCol="prob_deact_cal", featuresCol="prob_feature").fit(rows)
+    """Isotonic steps. Equal scores are pooled to their mean in any case, so the fit
+    on weighted distinct scores is the same as on all rows."""
+    return IsotonicRegression(
+        labelCol="y", weightCol="w", predictionCol="prob_deact_cal", featuresCol="prob_feature"
+    ).fit(_counted(scored, prob))
 
 
 def fit_platt(scored: DataFrame, prob: str = "prob_deact"):
-    rows = VectorAssembler(inputCols=[prob], outputCol="prob_feature", handleInvalid="keep").transform(scored)
-    return LogisticRegression(labelCol=LABEL, featuresCol="prob_feature").fit(rows)
+    """Logistic curve on the score, from weighted distinct (score, label) pairs."""
+    rows = _counted(scored, prob, F.col(LABEL))
+    return LogisticRegression(labelCol="y", weightCol="w", featuresCol="prob_feature").fit(rows)
 
 
 def calibrate(model, scored: DataFrame, prob: str = "prob_deact", out: str = "prob_deact_cal") -> DataFrame:

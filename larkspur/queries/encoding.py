@@ -83,22 +83,26 @@ def rare_group(spark: SparkSession, sf: str) -> DataFrame:
     return encode.RareGrouper.fit(_train(df), ["neighborhood"], 0.04).transform(out).select("id", "style", "neighborhood")
 
 
+_GROUPED = ("neighborhood", "style")
+
+
 @query(
     with_parts(
         ["houses"],
-        """
-SELECT h.id, n.rk AS neighborhood, s.rk AS garage_type FROM houses h
-LEFT JOIN (SELECT neighborhood, CAST(row_number() OVER (ORDER BY round(avg(sale_price), 9), neighborhood) - 1 AS INTEGER) AS rk FROM houses WHERE part = 'train' GROUP BY 1) n
-  ON h.neighborhood = n.neighborhood
-LEFT JOIN (SELECT garage_type, CAST(row_number() OVER (ORDER BY round(avg(sale_price), 9), garage_type) - 1 AS INTEGER) AS rk FROM houses WHERE part = 'train' AND garage_type IS NOT NULL GROUP BY 1) s
-  ON h.garage_type = s.garage_type
+        f"""
+, g AS (SELECT id, part, sale_price, {', '.join(f'{_RARE.format(c=c, s=0.01)} AS {c}' for c in _GROUPED)} FROM houses),
+{', '.join(f"r_{c} AS (SELECT {c} AS k, CAST(row_number() OVER (ORDER BY round(avg(sale_price), 9), {c}) - 1 AS INTEGER) AS rk FROM g WHERE part = 'train' GROUP BY 1)" for c in _GROUPED)}
+SELECT g.id, r_neighborhood.rk AS neighborhood, r_style.rk AS style FROM g
+LEFT JOIN r_neighborhood ON g.neighborhood = r_neighborhood.k LEFT JOIN r_style ON g.style = r_style.k
 """,
     )
 )
 def target_ordinal(spark: SparkSession, sf: str) -> DataFrame:
+    """Rare labels are grouped first, which bounds the number of ranks."""
     df = _houses(spark, sf)
-    fitted = encode.TargetOrder.fit(_train(df), ["neighborhood", "garage_type"], "sale_price")
-    return fitted.transform(df).select("id", "neighborhood", "garage_type")
+    df = encode.RareGrouper.fit(_train(df), _GROUPED, 0.01).transform(df)
+    fitted = encode.TargetOrder.fit(_train(df), _GROUPED, "sale_price")
+    return fitted.transform(df).select("id", *_GROUPED)
 
 
 @query(

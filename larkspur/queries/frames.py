@@ -121,13 +121,13 @@ def features(spark: SparkSession, sf: str, asof: str = ORDERS_ASOF, traffic_asof
     heads = star.order_headers(spark, sf)
     visits = star.visits(spark, sf)
     cookies = cust.cookie_map(
-        [cust.cookie_map_visits(people, visits, traffic_asof), cust.cookie_map_orders(people, heads, asof)]
+        [cust.cookie_map_visits(None, visits, traffic_asof), cust.cookie_map_orders(None, heads, asof)]
     )
     return cust.all_features(
         people,
         cust.order_features(fact, asof),
         cust.engagement_by_consumer(cookies, cust.engagement_by_cookie(visits, traffic_asof), traffic_asof),
         cust.lifetime_orders(heads, asof),
-        cust.email_metrics(people, star.email_log(spark, sf), traffic_asof),
+        cust.email_metrics(None, star.email_log(spark, sf), traffic_asof),
         cust.response(heads, day_after(asof), ORDERS_TODAY),
     )

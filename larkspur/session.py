@@ -21,6 +21,7 @@ def local_session(app: str = "larkspur", cores: int | str = "*", shuffle_partiti
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("LARKSPUR_DRIVER_MEMORY", "12g"))
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

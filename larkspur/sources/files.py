@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -51,8 +51,6 @@ def read_instances(spark: SparkSession, path: str) -> DataFrame:
     offsets of the splits are summed in a small table, so a huge file is never
     held by one task.
     """
-    from pyspark.sql import Window
-
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("instance"),
         F.col("_metadata.file_block_start").alias("split"),

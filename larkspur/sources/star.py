@@ -9,16 +9,25 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 ORDERS_ASOF = "2000-07-28"
 ORDERS_TODAY = "2001-07-29"
 TRAFFIC_ASOF = "2024-01-28"
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the star schema. Its schema is looked up once per path, so that
+    plans reading a table several times do not open its footers each time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -37,11 +46,17 @@ def _flag(col: Column, value: str) -> Column:
     return F.when(col == value, 1).otherwise(0)
 
 
+# Category labels by line flag and line status.
+L1_OF_FLAG = {"A": "L1 - Local", "N": "L1 - Shopping", "R": "L1 - Travel"}
+L2_OF_STATUS = {"F": "L2 - Charity", "O": "L2 - Home"}
+
+
 def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order: money, units, category and incentive of its lines."""
+    """One row per order: money, units, category and incentive of its lines. The
+    categories are kept as counts per flag: unlike text minima, counts stay in the
+    hash aggregate."""
     li = load(spark, sf_dir, "lineitem")
     price, disc, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
-    top_disc = F.max("l_discount")
     return (
         li.groupBy(F.col("l_orderkey").alias("order_id"))
         .agg(
@@ -52,18 +67,16 @@ def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(price * disc).alias("discount_amount"),
             F.sum(F.when(disc >= 0.05, price * disc).otherwise(0.0)).alias("ils_discount"),
             F.sum(F.when(disc >= 0.08, price * disc).otherwise(0.0)).alias("wow_discount"),
-            F.min("l_returnflag").alias("min_flag"),
-            F.max("l_returnflag").alias("max_flag"),
-            F.min("l_linestatus").alias("min_status"),
-            F.max("l_linestatus").alias("max_status"),
-            top_disc.alias("top_discount"),
+            *[F.sum(_flag(F.col("l_returnflag"), f)).alias(f"flag_{f}") for f in L1_OF_FLAG],
+            *[F.sum(_flag(F.col("l_linestatus"), f)).alias(f"status_{f}") for f in L2_OF_STATUS],
+            F.max("l_discount").alias("top_discount"),
         )
         .select(
             "order_id",
             "units",
             *[F.round(c, 4).alias(c) for c in ("nob", "nor", "gp", "discount_amount", "ils_discount", "wow_discount")],
-            category_l1("min_flag", "max_flag").alias("l1"),
-            category_l2("min_status", "max_status").alias("l2"),
+            only_label({f"flag_{f}": label for f, label in L1_OF_FLAG.items()}).alias("l1"),
+            only_label({f"status_{f}": label for f, label in L2_OF_STATUS.items()}).alias("l2"),
             F.when(F.col("top_discount") >= 0.08, "OD & WOW")
             .when(F.col("top_discount") >= 0.05, "ILS+OD")
             .when(F.col("top_discount") > 0, "OD")
@@ -72,23 +85,13 @@ def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def category_l1(low: str, high: str) -> Column:
-    return (
-        F.when(F.col(low) != F.col(high), "multi")
-        .when(F.col(low) == "A", "L1 - Local")
-        .when(F.col(low) == "N", "L1 - Shopping")
-        .when(F.col(low) == "R", "L1 - Travel")
-        .otherwise("unknown")
-    )
-
-
-def category_l2(low: str, high: str) -> Column:
-    return (
-        F.when(F.col(low) != F.col(high), "multi")
-        .when(F.col(low) == "F", "L2 - Charity")
-        .when(F.col(low) == "O", "L2 - Home")
-        .otherwise("unknown")
-    )
+def only_label(labels: dict[str, str]) -> Column:
+    """Label of the one counter above zero, ``multi`` when there are several."""
+    kinds = sum((F.when(F.col(c) > 0, 1).otherwise(0) for c in labels), F.lit(0))
+    out = F.lit("unknown")
+    for counter, label in labels.items():
+        out = F.when(F.col(counter) > 0, label).otherwise(out)
+    return F.when(kinds > 1, "multi").otherwise(out)
 
 
 def platform_of(priority: Column) -> Column:
@@ -264,30 +267,29 @@ def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cumulative_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cumulative daily counts per nation with gaps and repeated entries.
 
-    Rows per nation are bounded by the calendar, so its windows are too. Reports
-    are missing on the first days and on every day of the month d with d % 7 = 3;
-    the first day of a month is entered twice.
+    Days without orders repeat the sum of the day before: each row is carried up to
+    the next one, so no calendar is joined. Rows per nation are bounded by the
+    calendar, and so is their window. Reports are missing on the first days and on
+    every day of the month d with d % 7 = 3; the first day of a month is entered
+    twice.
     """
-    from pyspark.sql import Window
-
-    daily = daily_counts(spark, sf_dir)
     names = ("cases", "deaths", "hospitalized", "tested")
-    spine = (
-        daily.groupBy("geo")
-        .agg(F.min("date").alias("first"), F.max("date").alias("last"))
-        .select("geo", "first", F.explode(F.sequence("first", "last")).alias("date"))
-    )
     w = Window.partitionBy("geo").orderBy("date")
-    missing = (F.dayofmonth("date") % 7 == 3) | (F.datediff("date", "first") < PANEL_LEAD_DAYS)
-    run = spine.join(daily, ["geo", "date"], "left").select(
-        "geo", "first", "date", *[F.sum(F.coalesce(c, F.lit(0))).over(w).alias(c) for c in names]
+    until = F.coalesce(F.date_sub(F.lead("date").over(w), 1), F.col("date"))
+    run = daily_counts(spark, sf_dir).select(
+        "geo",
+        F.first("date").over(w).alias("first"),
+        F.col("date").alias("from"),
+        until.alias("until"),
+        *[F.sum(c).over(w).alias(c) for c in names],
     )
-    base = run.select(
+    days = run.select("geo", "first", F.explode(F.sequence("from", "until")).alias("date"), *names)
+    missing = (F.dayofmonth("date") % 7 == 3) | (F.datediff("date", "first") < PANEL_LEAD_DAYS)
+    twice = F.when(F.dayofmonth("date") == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    base = days.select(
         F.lpad(F.col("geo").cast("string"), 5, "0").alias("geo_id"),
         "date",
-        F.explode(F.when(F.dayofmonth("date") == 1, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias(
-            "entry"
-        ),
+        F.explode(twice).alias("entry"),
         *[F.when(~missing, F.col(c)).alias(c) for c in names],
     )
     again = F.col("entry") - 1
