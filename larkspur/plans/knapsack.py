@@ -47,7 +47,8 @@ def _packed(items: DataFrame, keys: list[str]) -> DataFrame:
 
 def oversized(items: DataFrame, block: int) -> DataFrame:
     """Instances with more items than one array may hold; at most rows/block."""
-    return items.groupBy("instance").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    sizes = items.groupBy("instance").agg(F.count("*").alias("n"), F.max("capacity").alias("capacity"))
+    return sizes.where(F.col("n") > block)
 
 
 def _greedy_small(items: DataFrame) -> DataFrame:
@@ -75,20 +76,25 @@ def greedy(items: DataFrame, block: int = BLOCK) -> DataFrame:
     big = oversized(items, block)
     if big.isEmpty():
         return _greedy_small(items)
-    slices = big.select("instance", F.ceil(F.col("n") / block).cast("int").alias("__slices"), F.lit(1).alias("is_big"))
-    slices = materialise(slices)
+    big = materialise(big.withColumn("__slices", F.ceil(F.col("n") / block).cast("int")))
     marked = sliced_join(
-        items, slices.drop("__slices"), ["instance"], F.col("item"), how="left", hot=slices.select("instance", "__slices")
+        items,
+        big.select("instance", F.lit(1).alias("is_big")),
+        ["instance"],
+        F.col("item"),
+        how="left",
+        hot=big.select("instance", "__slices"),
     )
     small = _greedy_small(marked.where(F.col("is_big").isNull()).drop("is_big"))
     flags = greedy_large(marked.where(F.col("is_big") == 1).drop("is_big"), block)
     won = F.col("chosen")
-    large = flags.groupBy("instance").agg(
-        F.max("capacity").alias("capacity"),
+    sums = flags.groupBy("instance").agg(
         F.sum(F.when(won, F.col("value")).otherwise(0)).alias("value"),
         F.sum(F.when(won, F.col("weight")).otherwise(0)).alias("weight"),
         F.sum(won.cast("long")).alias("taken"),
     )
+    # An instance in which nothing fits has no settled item, but is a result.
+    large = big.select("instance", "capacity").join(sums, "instance", "left").na.fill(0)
     return small.unionByName(large)
 
 
