@@ -166,6 +166,26 @@ def whole_sum(prob: Column) -> Column:
     return F.round(F.sum(prob), 9).cast("int")
 
 
+def hard_label_areas(df: DataFrame, label: str, prob: str, keys: Sequence[str] = ()) -> DataFrame:
+    """Accuracy, ROC area and average precision of the 0/1 decision itself. A hard
+    label has one cutoff between its two values, so both areas follow from the
+    four counts."""
+    y, d = F.col(label), hard_class(F.col(prob))
+    n = lambda a, b: F.sum(F.when((y == a) & (d == b), 1).otherwise(0))
+    tp, fp, fn, tn = F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")
+    tpr, fpr = ratio(tp, tp + fn), ratio(fp, fp + tn)
+    return (
+        df.groupBy(*keys)
+        .agg(n(1, 1).alias("tp"), n(0, 1).alias("fp"), n(1, 0).alias("fn"), n(0, 0).alias("tn"))
+        .select(
+            *keys,
+            ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
+            ((tpr + 1 - fpr) / 2).alias("hard_roc_area"),
+            (tpr * ratio_or(tp, tp + fp, 1) + (1 - tpr) * ratio(tp + fn, tp + fp + fn + tn)).alias("hard_avg_precision"),
+        )
+    )
+
+
 def recency_aggregation(df: DataFrame, label: str, prob: str, recency: str, key: str) -> DataFrame:
     """Eleven measures per days until deactivation."""
     y, p, r = F.col(label), F.col(prob), F.col(recency)

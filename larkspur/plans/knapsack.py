@@ -9,6 +9,7 @@ from larkspur.operators.joins import sliced_join
 from larkspur.session import materialise
 
 BLOCK = 50_000
+HOT_SHARE = 1e-3
 
 
 def _fold(items: Column, room: Column) -> Column:
@@ -76,14 +77,17 @@ def greedy(items: DataFrame, block: int = BLOCK) -> DataFrame:
     big = oversized(items, block)
     if big.isEmpty():
         return _greedy_small(items)
-    big = materialise(big.withColumn("__slices", F.ceil(F.col("n") / block).cast("int")))
+    big = materialise(big)
+    # At most 1/HOT_SHARE instances are that large, whatever the number of items.
+    limit = F.greatest(F.ceil(items.agg(F.count("*")).scalar() * HOT_SHARE), F.lit(2))
+    hot = big.where(F.col("n") >= limit).select("instance", F.ceil(F.col("n") / limit).cast("int").alias("__slices"))
     marked = sliced_join(
         items,
         big.select("instance", F.lit(1).alias("is_big")),
         ["instance"],
         F.col("item"),
         how="left",
-        hot=big.select("instance", "__slices"),
+        hot=hot,
     )
     small = _greedy_small(marked.where(F.col("is_big").isNull()).drop("is_big"))
     flags = greedy_large(marked.where(F.col("is_big") == 1).drop("is_big"), block)

@@ -186,16 +186,9 @@ def compare_models(test: DataFrame, fitted: dict[str, Fitted]) -> DataFrame:
 
 
 def holdout_report(scored: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
-    """Accuracy, and areas under the curves of the probability."""
+    """Accuracy and areas of the hard labels, and areas of the probability."""
     areas = evaluate.trapezoid_areas(evaluate.cutoff_curve(scored, LABEL, "prob_deact", keys), keys)
-    return evaluate.accuracy(scored, LABEL, ["prob_deact"], keys).join(areas, list(keys))
-
-
-def hard_label_areas(scored: DataFrame) -> tuple[float, float]:
-    """Areas under ROC and PR of the 0/1 decision itself."""
-    hard = scored.select(F.col(LABEL).cast("double").alias(LABEL), F.round("prob_deact", 0).alias("hard"))
-    ev = BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="hard")
-    return ev.setMetricName("areaUnderROC").evaluate(hard), ev.setMetricName("areaUnderPR").evaluate(hard)
+    return evaluate.hard_label_areas(scored, LABEL, "prob_deact", keys).join(areas, list(keys))
 
 
 def backward_elimination(

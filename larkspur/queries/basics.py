@@ -364,7 +364,15 @@ def topk_values(spark: SparkSession, sf: str) -> DataFrame:
     return profile.top_values(load(spark, sf, "lineitem"), "l_partkey", 40)
 
 
-@query()
+@query(
+    with_parts(
+        ["target"],
+        """
+SELECT consumer_id, recency, last_train_order_date::VARCHAR AS last_train_order_date,
+  first_target_order_date::VARCHAR AS first_target_order_date, deactivated FROM target
+""",
+    )
+)
 def distribute_sort(spark: SparkSession, sf: str) -> DataFrame:
     return frames.text_dates(clustered(frames.target(spark, sf), "consumer_id"))
 

@@ -290,6 +290,23 @@ def accuracy_pair(spark: SparkSession, sf: str) -> DataFrame:
     return round_all(evaluate.accuracy(frames.scores(spark, sf), "deactivated", ["prob_v3", "masked_prob"]))
 
 
+@query(
+    with_parts(
+        ["scores"],
+        """
+, c AS (SELECT count(*) FILTER (deactivated = 1 AND d = 1) AS tp, count(*) FILTER (deactivated = 0 AND d = 1) AS fp,
+  count(*) FILTER (deactivated = 1 AND d = 0) AS fn, count(*) FILTER (deactivated = 0 AND d = 0) AS tn
+  FROM (SELECT deactivated, round(prob_v3, 0) AS d FROM scores))
+SELECT round((tp + tn) / (tp + fp + fn + tn), 6) AS accuracy, round((tp / (tp + fn) + 1 - fp / (fp + tn)) / 2, 6) AS hard_roc_area,
+  round(tp / (tp + fn) * coalesce(tp / nullif(tp + fp, 0), 1) + (1 - tp / (tp + fn)) * (tp + fn) / (tp + fp + fn + tn), 6) AS hard_avg_precision
+FROM c
+""",
+    )
+)
+def hard_label_areas(spark: SparkSession, sf: str) -> DataFrame:
+    return round_all(evaluate.hard_label_areas(frames.scores(spark, sf), "deactivated", "prob_v3"))
+
+
 @query(
     with_parts(
         ["v2", "v3"],

@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def local_session(app: str = "larkspur", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     return (
@@ -37,9 +40,10 @@ def shared_dir(spark: SparkSession) -> str:
     if base:
         return base.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        base = tempfile.mkdtemp(prefix="larkspur-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        return base
+        app = spark.sparkContext.applicationId
+        if app not in _LOCAL_DIRS:
+            _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="larkspur-")
+        return _LOCAL_DIRS[app]
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 

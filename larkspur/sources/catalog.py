@@ -47,6 +47,11 @@ def insert_snapshot(df: DataFrame, table: str) -> None:
         spark.conf.set(key, before)
 
 
+def replace_contents(df: DataFrame, table: str) -> None:
+    """Replace all rows of a catalog table (columns by name)."""
+    df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table, overwrite=True)
+
+
 def scan_partition(df: DataFrame, value: str, partition: str = "record_date", drop: Sequence[str] = ()) -> DataFrame:
     """One as-of partition; the filter on the partition column prunes the scan."""
     return df.where(F.col(partition) == F.lit(value)).drop(partition, *drop)
