@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from larkspur.operators.joins import sliced_join
 from larkspur.session import materialise
 
-BLOCK = 50_000
+# Items of an instance that one array may hold, and items per block of a larger one.
+ARRAY_ITEMS = 50_000
+BLOCK = 2_000
 HOT_SHARE = 1e-3
 
 
@@ -46,10 +48,10 @@ def _packed(items: DataFrame, keys: list[str]) -> DataFrame:
     return items.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("items"))
 
 
-def oversized(items: DataFrame, block: int) -> DataFrame:
-    """Instances with more items than one array may hold; at most rows/block."""
+def oversized(items: DataFrame, array_items: int) -> DataFrame:
+    """Instances with more items than one array may hold; at most rows/array_items."""
     sizes = items.groupBy("instance").agg(F.count("*").alias("n"), F.max("capacity").alias("capacity"))
-    return sizes.where(F.col("n") > block)
+    return sizes.where(F.col("n") > array_items)
 
 
 def _greedy_small(items: DataFrame) -> DataFrame:
@@ -66,15 +68,15 @@ def _greedy_small(items: DataFrame) -> DataFrame:
     )
 
 
-def greedy(items: DataFrame, block: int = BLOCK) -> DataFrame:
+def greedy(items: DataFrame, array_items: int = ARRAY_ITEMS, block: int = BLOCK) -> DataFrame:
     """(instance, capacity, value, weight, taken) of the greedy choice.
 
     ``items`` has instance, item (unique order within the instance), value, weight
-    (positive whole numbers) and capacity. Instances of at most ``block`` items are
-    folded as one array. Larger ones are solved exactly in blocks, see
+    (positive whole numbers) and capacity. Instances of at most ``array_items``
+    items are folded as one array. Larger ones are solved exactly in blocks, see
     ``greedy_large``.
     """
-    big = oversized(items, block)
+    big = oversized(items, array_items)
     if big.isEmpty():
         return _greedy_small(items)
     big = materialise(big)
@@ -175,15 +177,9 @@ def greedy_large(items: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def _with_blocks(items: DataFrame, block: int) -> DataFrame:
     """Number blocks of consecutive items. Range partitions hold consecutive items
-    of an instance; the block is the place of the partition, cut further by size."""
-    n = items.count()
-    parts = max(1, -(-n // block))
-    spread = items.repartitionByRange(parts, "instance", "item").withColumn(
-        "part", F.spark_partition_id()
-    )
-    spread = materialise(spread)
-    nr = F.row_number().over(Window.partitionBy("instance", "part").orderBy("item")) - 1
-    cut = spread.withColumn("cut", F.floor(nr / block))
-    return cut.withColumn("block", (F.col("part").cast("long") * F.lit(1_000_000) + F.col("cut")).cast("long")).drop(
-        "part", "cut"
-    )
+    of an instance; within one, every ``block`` items make a block."""
+    parts = max(1, -(-items.count() // ARRAY_ITEMS))
+    spread = items.repartitionByRange(parts, "instance", "item").withColumn("part", F.spark_partition_id().cast("long"))
+    place = F.row_number().over(Window.partitionBy("instance", "part").orderBy("item")) - 1
+    numbered = materialise(spread).withColumn("block", F.col("part") * 1_000_000 + F.floor(place / block))
+    return numbered.drop("part")

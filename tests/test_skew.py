@@ -78,8 +78,9 @@ def test_greedy_in_blocks_equals_greedy(spark):
     some["nothing fits"] = ([(5, 50)] * 30, 10)
     df = knapsack_frame(spark, some)
     want = {k: plain_greedy(items, cap) for k, (items, cap) in some.items()}
-    for block in (7, 1000):
-        got = {r["instance"]: (r["value"], r["weight"], r["taken"]) for r in knapsack.greedy(df, block=block).collect()}
+    for array_items, block in ((20, 7), (20, 1000), (1000, 7)):
+        out = knapsack.greedy(df, array_items, block).collect()
+        got = {r["instance"]: (r["value"], r["weight"], r["taken"]) for r in out}
         assert got == want
 
 
