@@ -16,7 +16,6 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.functions.text import slug
 from larkspur.operators.profile import label_shares, mode_smallest
 from larkspur.operators.quantiles import exact_quantiles
 
@@ -202,9 +201,5 @@ def one_hot_columns(df: DataFrame, column: str, labels: Sequence[str], drop_firs
     return df.withColumns({f"{column}_{_slug_text(v)}": (F.col(column) == v).cast("int") for v in kept})
 
 
-def label_slugs(df: DataFrame, column: str) -> DataFrame:
-    return df.select(F.col(column).alias("label"), F.concat(F.lit(f"{column}_"), slug(F.col(column))).alias("slot")).distinct()
-
-
 def probability_of_one(column: str = "probability"):
     return vector_to_array(F.col(column))[1]

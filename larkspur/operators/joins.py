@@ -50,12 +50,16 @@ def left_flagged(left: DataFrame, right: DataFrame, on: str, fill: dict[str, obj
 
 
 def full_compare(a: DataFrame, b: DataFrame, on: Sequence[str], a_suffix: str, b_suffix: str) -> DataFrame:
-    """Full outer join on the keys with both versions of every column, distinct."""
+    """Full outer join on the keys with both versions of every column, distinct.
+
+    Repeated rows go out before the join: all columns are kept, so that gives the
+    same rows, and a side already laid out by the key needs no further shuffle.
+    """
     on = list(on)
     mark = [F.col(k).alias(f"__{k}") for k in on]
-    left = a.select(*mark, *[F.col(c).alias(f"{c}{a_suffix}") for c in a.columns])
-    right = b.select(*mark, *[F.col(c).alias(f"{c}{b_suffix}") for c in b.columns])
-    return left.join(right, [f"__{k}" for k in on], "full").drop(*[f"__{k}" for k in on]).distinct()
+    left = a.distinct().select(*mark, *[F.col(c).alias(f"{c}{a_suffix}") for c in a.columns])
+    right = b.distinct().select(*mark, *[F.col(c).alias(f"{c}{b_suffix}") for c in b.columns])
+    return left.join(right, [f"__{k}" for k in on], "full").drop(*[f"__{k}" for k in on])
 
 
 def align_schema(df: DataFrame, expected: Sequence[tuple[str, str]]) -> DataFrame:

@@ -374,8 +374,9 @@ def transformed(features: DataFrame) -> DataFrame:
     return relabel(out, "most_recent_promo_type", PROMO_MERGE, PROMO_MISSING)
 
 
-def extract(features: DataFrame, data_set: str) -> DataFrame:
-    return features.where(F.col("data_set") == data_set)
+def extract(features: DataFrame, *data_sets: str) -> DataFrame:
+    """Rows of the named data sets."""
+    return features.where(F.col("data_set").isin(*data_sets))
 
 
 # Replacements for missing recencies in the second model's features.

@@ -28,7 +28,7 @@ def passengers(customers: DataFrame) -> DataFrame:
         F.concat_ws(" ", "c_name", salutation).alias("name"),
         F.when(nation % 2 == 0, "male").otherwise("female").alias("sex"),
         F.when(bal < 0, "?").otherwise((F.floor(bal / 150)).cast("string")).alias("age"),
-        F.when(bal < -900, "?").otherwise(F.round(bal / 10, 2).cast("string")).alias("fare"),
+        F.when(bal < -900, "?").otherwise(F.round(bal / 10, 3).cast("string")).alias("fare"),
         F.when(nation < 12, "?")
         .otherwise(F.concat(first_letter(seg), nation.cast("string"), F.lit(" B"), nation.cast("string")))
         .alias("cabin"),

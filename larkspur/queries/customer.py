@@ -154,8 +154,7 @@ SELECT data_set, count(*) AS n, CAST(sum(deact_flag) AS BIGINT) AS deactivated,
     )
 )
 def extract_split(spark: SparkSession, sf: str) -> DataFrame:
-    table = frames.features(spark, sf)
-    both = cust.extract(table, "training").unionByName(cust.extract(table, "validation"))
+    both = cust.extract(frames.features(spark, sf), "training", "validation")
     return both.groupBy("data_set").agg(
         F.count("*").alias("n"),
         F.sum("deact_flag").cast("long").alias("deactivated"),

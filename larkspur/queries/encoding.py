@@ -179,12 +179,35 @@ def fit_houses(train: DataFrame) -> housing.PriceFeatures:
     )
 
 
-@query()
+_DUMMIES = {
+    "sex": ("male",),
+    "cabin": ("B", "F", "H", "M", "Missing"),
+    "embarked": ("E", "G", "Missing", "Y"),
+    "title": ("Miss", "Mr", "Mrs", "Other"),
+}
+
+
+@query(
+    f"""
+WITH raw AS (SELECT c_custkey AS id, CAST(c_acctbal > 5000 AS INTEGER) AS survived, CASE WHEN c_nationkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex,
+  CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 150) END AS age, CASE WHEN c_acctbal >= -900 THEN round(c_acctbal / 10, 3) END AS fare,
+  CASE WHEN c_nationkey < 12 THEN 'Missing' ELSE substr(c_mktsegment, 1, 1) END AS cabin,
+  CASE WHEN c_nationkey % 7 = 0 THEN 'Missing' ELSE right(c_mktsegment, 1) END AS embarked,
+  CASE c_mktsegment WHEN 'BUILDING' THEN 'Mr' WHEN 'FURNITURE' THEN 'Mrs' WHEN 'HOUSEHOLD' THEN 'Miss' WHEN 'MACHINERY' THEN 'Master' ELSE 'Other' END AS title,
+  CASE WHEN ('0x' || substr(md5(c_custkey::VARCHAR), 1, 8))::BIGINT % 100 < 80 THEN 'train' ELSE 'test' END AS part FROM customer),
+filled AS (SELECT * REPLACE (coalesce(age, (SELECT median(age) FROM raw WHERE part = 'train')) AS age,
+    coalesce(fare, (SELECT median(fare) FROM raw WHERE part = 'train')) AS fare), CASE WHEN age IS NULL THEN 1.0::DOUBLE ELSE 0.0 END AS age_na FROM raw),
+b AS (SELECT min(age) AS alo, max(age) - min(age) AS aw, min(fare) AS flo, max(fare) - min(fare) AS fw FROM filled WHERE part = 'train')
+SELECT id, survived, part, round((age - alo) / aw, 6) AS age, round((fare - flo) / fw, 6) AS fare, age_na,
+  {', '.join(f"CASE WHEN {c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0 END AS {c}_{v}" for c, vs in _DUMMIES.items() for v in vs)}
+FROM filled, b
+"""
+)
 def survival_features(spark: SparkSession, sf: str) -> DataFrame:
     df = passengers.cleaned(passengers.passengers(load(spark, sf, "customer")))
     df = df.withColumn("part", split_label(F.col("id"), (("train", 80), ("test", 20))))
     apply = passengers.fit_survival(df.where(F.col("part") == "train").drop("part"))
-    return apply(df)
+    return frames.round_all(apply(df))
 
 
 @query()

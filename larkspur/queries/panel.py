@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from larkspur.operators import series
 from larkspur.plans import panel
@@ -13,7 +12,6 @@ from larkspur.queries.sqlparts import SPAN, with_parts
 from larkspur.sources import star
 
 M = panel.MEASURES
-FULL = "{c} - lag({c}) OVER w"
 
 
 def _out(df: DataFrame) -> DataFrame:

@@ -43,20 +43,22 @@ def src_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     """
-SELECT lpad(r_regionkey::VARCHAR, 2, '0') || lpad(n_nationkey::VARCHAR, 3, '0') AS geo_id, r_name AS state, n_name AS county
-FROM nation JOIN region ON n_regionkey = r_regionkey
+SELECT lpad(n_nationkey::VARCHAR, 3, '0') || lpad(s_suppkey::VARCHAR, 9, '0') AS geo_id, n_name AS state, s_name AS county
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
 """
 )
 def geo_codes(spark: SparkSession, sf: str) -> DataFrame:
-    """Code list with a preamble, as text, read back into the region dimension."""
+    """Code list with a preamble, as text, read back into the region dimension:
+    nations as states, suppliers as counties."""
     path = work_path(spark, "codes")
-    two, three = (lambda c: F.lpad(F.col(c).cast("string"), 2, "0")), (lambda c: F.lpad(F.col(c).cast("string"), 3, "0"))
-    row = lambda *c: F.concat_ws(",", *c)
+    pad = lambda c, n: F.lpad(F.col(c).cast("string"), n, "0")
+    row = lambda *c: F.concat_ws(",", *c).alias("v")
     blank = [F.lit("0")] * 3
-    nation = load(spark, sf, "nation").select(row(F.lit("050"), two("n_regionkey"), three("n_nationkey"), *blank, F.col("n_name")).alias("v"))
-    region = load(spark, sf, "region").select(row(F.lit("040"), two("r_regionkey"), F.lit("000"), *blank, F.col("r_name")).alias("v"))
+    supplier, nation = load(spark, sf, "supplier"), load(spark, sf, "nation")
+    county = supplier.select(row(F.lit("050"), pad("s_nationkey", 3), pad("s_suppkey", 9), *blank, F.col("s_name")))
+    state = nation.select(row(F.lit("040"), pad("n_nationkey", 3), F.lit("000"), *blank, F.col("n_name")))
     preamble = load(spark, sf, "region").select(F.concat(F.lit("Codes of "), "r_name").alias("v"))
-    preamble.unionByName(region).unionByName(nation).write.text(path)
+    preamble.unionByName(state).unionByName(county).write.text(path)
     return files.region_codes(files.read_codes(spark, path))
 
 

@@ -29,6 +29,17 @@ def test_insert_replaces_one_day(spark, table):
     assert got == {"2020-01-01": 1, "2020-01-02": 4}
 
 
+def test_loaded_file_replaces_the_table(spark, tmp_path):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    path = str(tmp_path / "t")
+    catalog.create_as(spark.createDataFrame([(1, "old"), (2, "old")], "id long, v string"), name, path, fmt="parquet")
+    (tmp_path / "new.csv").write_text("v,id\nfresh,7\n")
+    schema = T.StructType([T.StructField("v", T.StringType()), T.StructField("id", T.LongType())])
+    catalog.replace_contents(files.read_csv(spark, str(tmp_path / "new.csv"), schema), name)
+    assert [(r["id"], r["v"]) for r in spark.table(name).collect()] == [(7, "fresh")]
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_retention_gate_and_statistics(spark, table):
     for d in range(1, 10):
         catalog.insert_snapshot(day(spark, f"2020-01-0{d}", d), table)

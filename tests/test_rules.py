@@ -229,3 +229,12 @@ def test_latest_attributes_equal_the_rank_form(spark):
     assert {(r[0], r[1], r[2]) for r in got.collect()} == {
         (r["consumer_id"], r["order_id"], r["l1"]) for r in want.collect()
     }
+
+
+def test_scoring_schema_is_completed(spark):
+    from larkspur.operators import joins
+
+    df = spark.createDataFrame([(1, 2)], "b int, extra int")
+    assert joins.missing_columns(df, ["a", "b"]) == ["a"]
+    out = joins.align_schema(df, [("a", "double"), ("b", "bigint")])
+    assert out.dtypes == [("a", "double"), ("b", "bigint")] and out.first() == (None, 1)
