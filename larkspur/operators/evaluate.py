@@ -127,11 +127,18 @@ def cutoff_counts(df: DataFrame, label: str, probs: Sequence[str], keys: Sequenc
 
 def cutoff_curve(df: DataFrame, label: str, prob: str, keys: Sequence[str] = ()) -> DataFrame:
     """Points of the precision-recall and ROC curves; of cutoffs with equal
-    counts the lowest stays. Precision is 1 when nothing is predicted."""
+    counts the lowest stays. Precision is 1 when nothing is predicted.
+
+    Counts never rise with the cutoff, so equal ones are neighbours: a row stays
+    when the next lower cutoff has other counts. That uses the window the counts
+    were summed in.
+    """
     c = cutoff_counts(df, label, [prob], keys)
+    lower = Window.partitionBy(*keys, "score").orderBy(F.desc("cutoff"))
+    same = (F.lead("tp").over(lower) == F.col("tp")) & (F.lead("fp").over(lower) == F.col("fp"))
     return (
-        c.groupBy(*keys, "tp", "fp", "p", "n")
-        .agg(F.min("cutoff").alias("cutoff"))
+        c.withColumn("same", F.coalesce(same, F.lit(False)))
+        .where(~F.col("same"))
         .select(
             *keys,
             (F.col("cutoff") / F.lit(float(CUTOFFS))).alias("cutoff"),
