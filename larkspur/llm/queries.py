@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import chat, mixing, urlrules
+from larkspur.llm import bpe, chat, mixing, packing, tokencount, toxicity, urlrules
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -48,3 +48,28 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.digest(chat.format_chats(rows.unionByName(probe)))
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), bpe.vocabulary_path("byte_bpe_50k.json"))
+
+
+@query()
+def op1_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path("byte_bpe_50k.json"))
+
+
+@query()
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "lang", "text"), model)
+    return scored.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "threshold",
+        "toxic",
+    )
