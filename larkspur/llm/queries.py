@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, chat, mixing, packing, tokencount, toxicity, urlrules
+from larkspur.llm import bpe, chat, mixing, packing, pivots, tokencount, toxicity, urlrules
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -73,3 +73,13 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "threshold",
         "toxic",
     )
+
+
+@query()
+def op2_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
