@@ -23,6 +23,17 @@ def text_key() -> list:
     return [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.col("text")).alias("h2")]
 
 
+def set_aside(docs: DataFrame, *core: str) -> DataFrame:
+    """Only the ``core`` columns, and all others as one struct that no operator's names can clash with."""
+    others = [F.col(c) for c in docs.columns if c not in core]
+    return docs.select(*[c for c in docs.columns if c in core], F.struct(*others, F.lit(0).alias("__")).alias("__others"))
+
+
+def brought_back(df: DataFrame, columns: list[str], *core: str) -> DataFrame:
+    """The ``columns`` again, after ``set_aside``."""
+    return df.select(*[F.col(c) if c in core else F.col("__others")[c].alias(c) for c in columns])
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
     """Groups of rows from batches that are sorted by ``keys``; holds one group at a time."""
     held: list[pa.RecordBatch] = []

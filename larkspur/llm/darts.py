@@ -282,7 +282,8 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     One document of each class is kept, the one with the smallest doc_id; of rows that
     repeat a doc_id all are. Rows with a null doc_id have no class and are kept; null and
     empty texts and texts without a word are classes of their own. An empty table gives
-    no rows; columns of the new names are replaced.
+    no rows; columns of the new names are replaced, and columns named h1 or h2 are not
+    returned.
     """
     docs = docs.drop("class_id", "kept", "h1", "h2")
     classes = near_duplicate_classes(docs, **options).select("h1", "h2", "class_id")

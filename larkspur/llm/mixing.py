@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.llm.common import brought_back, set_aside
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -82,7 +84,8 @@ def systematic_copies(
     """
     bits = F.bin("size")
     mark = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = docs.drop("size", "source_size", "target", "copies", "taken").withColumn("size", word_count(F.col("text")))
+    new = ["size", "source_size", "target", "copies", "taken"]
+    rows = docs.drop(*new).withColumn("size", word_count(F.col("text")))
     rows = rows.withColumns(
         {
             "__key": source_key(F.col("source")),
@@ -109,13 +112,14 @@ def systematic_copies(
     crossed = lambda k: F.floor(k * F.col("__rate") + F.col("__offset"))
     out = out.withColumn("copies", crossed(F.col("__rank")) - crossed(F.col("__rank") - 1))
     out = out.withColumn("taken", F.col("copies") * F.col("size"))
-    return out.drop(*[c for c in out.columns if c.startswith("__")])
+    return out.select(*[c for c in docs.columns if c not in new], *new)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, in the columns of ``docs``."""
-    out = systematic_copies(docs, **options).where(F.col("copies") > 0)
-    return out.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    core = ("doc_id", "text", "source")
+    out = systematic_copies(set_aside(docs, *core), **options).where(F.col("copies") > 0)
+    return brought_back(out.withColumn("__i", F.explode(F.sequence(F.lit(1), F.col("copies")))), docs.columns, *core)
 
 
 SQL = r"""

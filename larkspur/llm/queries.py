@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, chat, darts, mixing, packing, pivots, tokencount, toxicity, urlrules
+from larkspur.llm import bpe, chat, darts, mixing, packing, pivots, repeats, tokencount, toxicity, urlrules
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -89,3 +89,8 @@ def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return darts.near_duplicates(docs).select("doc_id", "class_id", "kept")
+
+
+@query()
+def op8_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(table(spark, sf_dir, "documents"))
