@@ -96,7 +96,7 @@ def _stretches(need: int, gram: int, chunk: int = 4 << 20):
     return run
 
 
-def _cut(need: int, most: int = 32 << 20):
+def _cut(need: int, most: int = 16 << 20):
     """Texts with their stretches to the bytes of the stretches, equal ones of a task put together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +262,7 @@ def _removed(need: int, texts: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, need: int = 200, gram: int = 16, memory: int = 256 << 20, text_each: int = 16 << 20, spans: bool = False, texts: bool = True
+    docs: DataFrame, need: int = 200, gram: int = 16, memory: int = 128 << 20, text_each: int = 2 << 20, spans: bool = False, texts: bool = True
 ) -> DataFrame:
     """All rows of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` (of the bytes
     left), on request ``spans`` (start, length in bytes). With ``texts``, ``text`` is what is left;
