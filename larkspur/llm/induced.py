@@ -119,6 +119,42 @@ def _types(t: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(up, lens), np.repeat(ends, lens)
 
 
+def _whole_range(t, target, position, source, seeds, high, rank):
+    """Order of all suffixes of a range of symbols, those included that the range itself induces.
+
+    A suffix sorts by its symbol and the place of the one it was induced from. Where
+    that one is of the range too, its place is not known yet: places are taken from the
+    last order and sorted again until they stay, once per link of the longest chain.
+    Returns the positions in order, which of them induce beyond the range, and all symbols induced."""
+    layers, parents, n = [position, seeds], [], 0
+    new = np.concatenate([position, seeds])
+    while len(new):
+        left = new - 1
+        near = np.flatnonzero((left >= 0) & target[left] & (t[left] < high))
+        parents.append(n + near)
+        n += len(new)
+        new = left[near]
+        layers.append(new)
+    position = np.concatenate(layers)
+    parent = np.concatenate(parents) if parents else np.zeros(0, np.int64)
+    first = len(source) + len(seeds)
+    key = t[position].astype(np.int64) << 1
+    key[len(source) : first] |= 1
+    by = np.concatenate([source, np.arange(len(seeds)), np.full(len(position) - first, rank)]).astype(np.int64)
+    while True:
+        order = np.lexsort((by, key))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        now = rank + place[parent]
+        if np.array_equal(now, by[first:]):
+            break
+        by[first:] = now
+    position = position[order]
+    left = position - 1
+    to = t[left].astype(np.int64)
+    return position, np.flatnonzero((left >= 0) & target[left] & (to >= high)), to
+
+
 def induce(t, target, seeds, ends, scratch: Scratch, seed_common=None, cap: int = 0, room: int = 1 << 12):
     """Order of the ``target`` suffixes and the ``seeds`` (which come in order, and last among
     the suffixes with their first symbol). With ``cap``, also the common prefix of each with
@@ -163,6 +199,13 @@ def induce(t, target, seeds, ends, scratch: Scratch, seed_common=None, cap: int
         position, source = queue.take(k)
         high = edges[k]
         seed_end = seed_at + int(np.searchsorted(seed_symbol[seed_at:], high, side="left"))
+        if not cap:
+            found = _whole_range(t, target, position, source, seeds[seed_at:seed_end], high, rank)
+            position, far, to = found
+            out[rank : rank + len(position)] = position
+            queue.put(to[far], position[far] - 1, rank + far)
+            rank, seed_at = rank + len(position), seed_end
+            continue
         order = np.argsort(t[position], kind="stable")
         position, source = position[order], source[order]
         key = np.concatenate([t[position].astype(np.int64) << 1, seed_symbol[seed_at:seed_end] << 1 | 1])
@@ -277,7 +320,7 @@ def suffixes(t: np.ndarray, scratch: Scratch, cap: int = 0, room: int = 1 << 12)
     if len(star) == len(np.unique(name)):
         star = star[np.argsort(name)]
     else:
-        inner, _ = suffixes(name, scratch, room=room)
+        inner, _ = suffixes(name, scratch, room=4 * room)
         star = np.append(star[-1], star[inner[::-1]])
     common = None
     if cap:

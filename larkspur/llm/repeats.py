@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import text_key
+from larkspur.llm.common import give_back, text_key
 from larkspur.llm.darts import mix
 from larkspur.llm.induced import Scratch, suffixes
 
@@ -63,6 +63,22 @@ def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int):
     return grams[a[first]], whole, at, span
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, the form in which they are shuffled."""
+    import zstandard
+
+    press = zstandard.ZstdCompressor(level=3).compress
+    for b in batches:
+        body = pa.array([press((t.as_py() or "").encode()) for t in b.column("text")], pa.binary())
+        yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), body], names=["h1", "h2", "body"])
+
+
+def _reader():
+    import zstandard
+
+    return zstandard.ZstdDecompressor().decompress
+
+
 def _stretches(need: int, gram: int, chunk: int = 4 << 20):
     """Texts to rows (anchor, whole, text key, start, span)."""
 
@@ -78,11 +94,11 @@ def _stretches(need: int, gram: int, chunk: int = 4 << 20):
             cols = [anchor.view(np.int64), whole.view(np.int64), key[:, 0], key[:, 1], at - begin[of] + offset[of], span]
             return pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols], names=["anchor", "whole", "h1", "h2", "start", "span"])
 
-        parts, n = [], 0
+        parts, n, read = [], 0, _reader()
         for b in batches:
             keys = zip(b.column("h1").to_pylist(), b.column("h2").to_pylist())
-            for key, text in zip(keys, b.column("text")):
-                x = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+            for key, body in zip(keys, b.column("body")):
+                x = np.frombuffer(read(body.as_py()), np.uint8)
                 # a long text goes in parts that overlap by what one string needs beyond its start
                 for o in range(0, max(1, len(x) - need + 1), chunk):
                     parts.append((x[o : o + chunk + need - 1], key, o))
@@ -96,23 +112,28 @@ def _stretches(need: int, gram: int, chunk: int = 4 << 20):
     return run
 
 
-def _cut(need: int, most: int = 16 << 20):
-    """Texts with their stretches to the bytes of the stretches, equal ones of a task put together."""
+def _cut(need: int, shards: int, most: int = 16 << 20):
+    """Texts with their stretches to the bytes of the stretches: per shard of anchors one
+    compressed lot, in which equal stretches of a task are one with a number of copies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        press, read = zstandard.ZstdCompressor(level=3).compress, _reader()
         held: dict[tuple, list] = {}
         n = 0
 
         def flush():
-            rows = [(a, w, s, c, x) for (a, w), (s, c, x) in held.items()]
+            lots: dict[int, list] = {}
+            for (a, w), v in held.items():
+                lots.setdefault(a % shards, []).append((a, w, v))
             held.clear()
-            cols = list(zip(*rows))
-            kinds = [pa.int64()] * 4 + [pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["anchor", "whole", "span", "copies", "bytes"])
+            lots_of = [press(pickle.dumps(rows, 5)) for rows in lots.values()]
+            return pa.RecordBatch.from_arrays([pa.array(list(lots), pa.int32()), pa.array(lots_of, pa.binary())], names=["shard", "lot"])
 
         for b in batches:
             for i in range(b.num_rows):
-                text = b.column("text")[i].as_py().encode()
+                text = read(b.column("body")[i].as_py())
                 copies = b.column("copies")[i].as_py()
                 for p in b.column("parts")[i].as_py():
                     key = (p["anchor"], p["whole"])
@@ -121,7 +142,7 @@ def _cut(need: int, most: int = 16 << 20):
                     else:
                         x = text[p["start"] : p["start"] + p["span"] + need - 1]
                         held[key] = [p["span"], copies, x]
-                        n += len(x) + 200
+                        n += len(x)
                 if n >= most:
                     yield flush()
                     n = 0
@@ -161,6 +182,7 @@ def _sorted(need: int, memory: int, text_each: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files: list = [None] * files_n
+        read = _reader()
         sizes = [0] * files_n
         held: dict[tuple, list] = {}
         n = 0
@@ -169,7 +191,7 @@ def _sorted(need: int, memory: int, text_each: int):
             nonlocal n
             by_file: dict[int, list] = {}
             for (a, w), v in held.items():
-                by_file.setdefault(a % files_n, []).append((a, w, v))
+                by_file.setdefault((a >> 20) % files_n, []).append((a, w, v))
             for k, rows in by_file.items():
                 files[k] = files[k] or tempfile.TemporaryFile()
                 pickle.dump(rows, files[k])
@@ -189,6 +211,7 @@ def _sorted(need: int, memory: int, text_each: int):
             rows = list(held.items())
             held.clear()
             found = repeated_starts([tuple(v) for _, v in rows], need, Scratch(memory))
+            give_back()
             out = []
             for ((a, w), _), again in zip(rows, found):
                 if again.any():
@@ -198,8 +221,9 @@ def _sorted(need: int, memory: int, text_each: int):
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], names=["anchor", "whole", "runs"])
 
         for b in batches:
-            for a, w, s, c, x in zip(*[b.column(i).to_pylist() for i in range(5)]):
-                put(a, w, [s, c, x])
+            for lot in b.column("lot"):
+                for a, w, v in pickle.loads(read(lot.as_py())):
+                    put(a, w, v)
                 if n >= text_each:
                     spill()
         if not any(sizes):
@@ -233,9 +257,9 @@ def _removed(need: int, texts: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
+            rows, read = [], _reader()
             for i in range(b.num_rows):
-                text = (b.column("text")[i].as_py() or "").encode()
+                text = read(b.column("body")[i].as_py())
                 found = []
                 for p in b.column("found")[i].as_py() or []:
                     edge = np.frombuffer(p["runs"], np.int32).reshape(-1, 2).astype(np.int64) + p["start"]
@@ -262,7 +286,7 @@ def _removed(need: int, texts: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, need: int = 200, gram: int = 16, memory: int = 128 << 20, text_each: int = 2 << 20, spans: bool = False, texts: bool = True
+    docs: DataFrame, need: int = 200, gram: int = 16, memory: int = 128 << 20, text_each: int = 2 << 20, shards: int = 1024, spans: bool = False, texts: bool = True
 ) -> DataFrame:
     """All rows of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` (of the bytes
     left), on request ``spans`` (start, length in bytes). With ``texts``, ``text`` is what is left;
@@ -278,7 +302,7 @@ def remove_repeats(
     Stretches whose anchor occurs once in the table cannot repeat and stay behind. Equal
     stretches and equal texts are put together before they move, so very many copies
     are a number. A shard sorts its suffixes by external induced sorting and reads
-    repeats off the common prefixes. Shards larger than ``memory`` work in unnamed files
+    repeats off the common prefixes. ``shards`` should grow with the table; those larger than ``memory`` work in unnamed files
     that belong to the task; a lost task starts again from its shuffled input.
 
     Null texts are empty, and texts shorter than ``need`` keep everything; repeated rows
@@ -289,18 +313,19 @@ def remove_repeats(
     docs = docs.drop(*new)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = ["h1", "h2"]
-    one = docs.select(text.alias("text")).select(*text_key(), "text").groupBy(*key).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
+    one = docs.select(text.alias("text")).select(*text_key(), "text").mapInArrow(_squeeze, "h1 long, h2 long, body binary")
+    one = one.groupBy(*key).agg(F.first("body").alias("body"), F.count("*").alias("copies"))
     parts = one.mapInArrow(_stretches(need, gram), "anchor long, whole long, h1 long, h2 long, start long, span long")
     # equal texts count as copies: a text that stands for several repeats all its stretches
     weight = one.mapInArrow(_anchor_counts(need, gram), "anchor long, n long")
     twice = weight.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
     parts = parts.join(twice, "anchor", "left_semi")
     by_text = parts.groupBy(*key).agg(F.collect_list(F.struct("anchor", "whole", "start", "span")).alias("parts"))
-    cut = one.join(by_text, key, "left").where("parts IS NOT NULL").select("text", "copies", "parts")
-    cut = cut.mapInArrow(_cut(need), "anchor long, whole long, span long, copies long, bytes binary")
-    runs = cut.repartition("anchor").mapInArrow(_sorted(need, memory, text_each), "anchor long, whole long, runs binary")
+    cut = one.join(by_text, key, "left").where("parts IS NOT NULL").select("body", "copies", "parts")
+    cut = cut.mapInArrow(_cut(need, shards), "shard int, lot binary")
+    runs = cut.repartition("shard").mapInArrow(_sorted(need, memory, text_each), "anchor long, whole long, runs binary")
     found = parts.join(runs, ["anchor", "whole"]).groupBy(*key).agg(F.collect_list(F.struct("start", "runs")).alias("found"))
-    left = one.join(found, key, "left").select(*key, "text", "copies", "found").mapInArrow(
+    left = one.join(found, key, "left").select(*key, "body", "copies", "found").mapInArrow(
         _removed(need, texts), "h1 long, h2 long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, __kept string, kept_sha256 string"
     )
     told = ["n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", *["spans"] * spans, *["__kept"] * texts]
