@@ -23,6 +23,16 @@ def text_key() -> list:
     return [F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), F.col("text")).alias("h2")]
 
 
+def give_back() -> None:
+    """Returns freed memory of a Python worker, which serves many tasks, to the system."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def set_aside(docs: DataFrame, *core: str) -> DataFrame:
     """Only the ``core`` columns, and all others as one struct that no operator's names can clash with."""
     others = [F.col(c) for c in docs.columns if c not in core]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm import bpe
+from larkspur.llm.common import give_back
 
 _PARTS = "shard int, block long, ids array<bigint>, sizes array<bigint>, data binary"
 _SUMS = "block long, ids array<bigint>, sizes array<bigint>, data binary"
@@ -50,7 +52,7 @@ def _unpacked(data: bytes, n: int) -> tuple[bytes, list[np.ndarray]]:
     return words, out
 
 
-def _frequencies(path: str, shards: int, block_chars: int):
+def _frequencies(special_strings: str | None, shards: int, block_chars: int):
     """Documents to blocks: per block and shard, which pre-tokens its documents hold how often."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,8 +61,7 @@ def _frequencies(path: str, shards: int, block_chars: int):
         from pyspark import TaskContext
 
         find = regex.compile(public_tokenizers.PATTERN).findall
-        tok = bpe.load(path)
-        special = bpe.special_split(tok)
+        special = re.compile(special_strings) if special_strings else None
         block = TaskContext.get().partitionId() << 32
         ids, sizes, docs, chars = [], [], [], 0
         number: dict[str, int] = {}
@@ -71,7 +72,7 @@ def _frequencies(path: str, shards: int, block_chars: int):
             shard_of = np.fromiter((zlib.crc32(w) % shards for w in raw), np.int64, len(raw))
             doc = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
             word = np.concatenate(docs) if docs else np.empty(0, np.int64)
-            entry, freq = np.unique(word << 32 | doc, return_counts=True)
+            entry, freq = np.unique(word.astype(np.int64) << 32 | doc, return_counts=True)
             word, doc = entry >> 32, entry & 0xFFFFFFFF
             per_word = np.bincount(word, minlength=len(words))
             order = np.argsort(shard_of[word], kind="stable")
@@ -95,7 +96,7 @@ def _frequencies(path: str, shards: int, block_chars: int):
                 for k, part in enumerate(special.split(text) if special else [text]):
                     for s in [part] if k % 2 else bpe.segments(part):
                         found = [part] if k % 2 else find(s)
-                        mine.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.int64, len(found)))
+                        mine.append(np.fromiter((number.setdefault(w, len(number)) for w in found), np.int32, len(found)))
                 ids.append(i)
                 sizes.append(len(text.encode()))
                 docs.append(np.concatenate(mine))
@@ -105,20 +106,22 @@ def _frequencies(path: str, shards: int, block_chars: int):
                     block += 1
                     ids, sizes, docs, chars = [], [], [], 0
                     number.clear()
+                give_back()
         if ids:
             yield close()
+        give_back()
 
     return run
 
 
-def _counted(path: str, keep: int = 1_000_000):
+def _counted(path: str, keep: int = 200_000):
     """A shard's pre-tokens, each counted once by the library, joined to the blocks that hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok, known = bpe.load(path), {}
         for batch in batches:
             rows = []
-            for r in batch.to_pylist():
+            for r in (x for i in range(batch.num_rows) for x in batch.slice(i, 1).to_pylist()):
                 if r["data"] is None:
                     rows.append((r["block"], r["ids"], r["sizes"], None))
                     continue
@@ -127,12 +130,15 @@ def _counted(path: str, keep: int = 1_000_000):
                 if len(known) > keep:
                     known.clear()
                 new = [w for w in words if w not in known]
-                for w, e in zip(new, tok.encode_batch([w.decode() for w in new], add_special_tokens=False)):
-                    known[w] = len(e.ids)
+                for at in range(0, len(new), 1000):
+                    some = new[at : at + 1000]
+                    for w, e in zip(some, tok.encode_batch_fast([w.decode() for w in some], add_special_tokens=False)):
+                        known[w] = len(e)
                 pieces = np.fromiter((known[w] for w in words), np.int64, len(words))
                 sums = np.bincount(doc, weights=np.repeat(pieces, per_word) * freq)
                 rows.append((r["block"], None, None, _packed(sums)))
             yield _table(_SUMS, rows)
+        give_back()
 
     return run
 
@@ -140,7 +146,7 @@ def _counted(path: str, keep: int = 1_000_000):
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     heads, sums = {}, {}
     for batch in batches:
-        for r in batch.to_pylist():
+        for r in (x for i in range(batch.num_rows) for x in batch.slice(i, 1).to_pylist()):
             if r["data"] is None:
                 heads[r["block"]] = (r["ids"], r["sizes"])
             else:
@@ -160,7 +166,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def count_tokens(
-    docs: DataFrame, path: str, limit: int = 1024, shards: int = 128, block_chars: int = 8_000_000
+    docs: DataFrame, path: str, limit: int = 1024, shards: int = 128, block_chars: int = 2_000_000
 ) -> DataFrame:
     """``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit`` of every whole text.
 
@@ -176,7 +182,8 @@ def count_tokens(
     empty table gives no rows; columns besides doc_id and text are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    parts = rows.mapInArrow(_frequencies(path, shards, block_chars), _PARTS)
+    special = bpe.special_split(bpe.load(path))
+    parts = rows.mapInArrow(_frequencies(special and special.pattern, shards, block_chars), _PARTS)
     sums = parts.repartition("shard").mapInArrow(_counted(path), _SUMS)
     out = sums.repartition("block").mapInArrow(_summed, "doc_id long, n_bytes long, n_tokens long")
     return out.withColumn("over_limit", F.col("n_tokens") > limit)
