@@ -86,8 +86,9 @@ def test_token_counts_odd_rows(odd_docs, no_docs):
     assert tokencount.count_tokens(no_docs, PATH).count() == 0
 
 
-def test_cut_and_cached_encoding_is_the_librarys():
-    e = bpe.Encoder(PATH, keep=5)
+def test_fast_encoding_is_the_librarys(docs):
+    e = bpe.Encoder(PATH)
+    assert [e.encode(t).tolist() for t in docs.text] == ids_of(docs.text)
     for text in ("a  b\n\nc d", " x", "x ", "", "\u3000a \u00a0b \x1c c", "don't <|endoftext|> <|endoftext|>x", "ab " * 50, "日本 語 \n 1st 2nd"):
         assert e.encode(text).tolist() == e.tok.encode(text, add_special_tokens=False).ids
         assert "".join(bpe.segments(text, 2)) == text
