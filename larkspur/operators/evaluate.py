@@ -78,10 +78,14 @@ def calibration_table(df: DataFrame, label: str, prob: str, keys: Sequence[str]
 
 def cutoff_bucket(prob: Column) -> Column:
     """Highest cutoff c of 0..100 with prob >= c / 100. The product may miss a
-    step by one float, so it is checked against the cutoffs beside it."""
+    step by one float, so it is checked against the cutoffs beside it. A score above 1
+    reaches all cutoffs; a null, NaN or negative one reaches none."""
     b = F.floor(prob * CUTOFFS)
+    none = prob.isNull() | F.isnan(prob) | (prob < 0)
     return (
-        F.when(prob >= (b + 1) / F.lit(float(CUTOFFS)), b + 1)
+        F.when(none, F.lit(None))
+        .when(prob >= 1, CUTOFFS)
+        .when(prob >= (b + 1) / F.lit(float(CUTOFFS)), b + 1)
         .when(prob < b / F.lit(float(CUTOFFS)), b - 1)
         .otherwise(b)
         .cast("int")

@@ -18,7 +18,7 @@ from larkspur.functions.hashing import split_label
 from larkspur.operators import encode, evaluate
 
 LABEL = "deactivated"
-SEED = 28372
+SEED = 7
 MIN_ROWS = 500
 
 
@@ -131,17 +131,21 @@ def forest(rows_per_node: int, trees: int = 1000, depth: int = 6, columns: str =
 
 
 def train_per_segment(train: DataFrame, test: DataFrame, segment: str, values: Sequence, make) -> DataFrame:
-    """One model per segment value, scored on that segment's test rows."""
+    """One model per segment value, scored on that segment's test rows. Where a
+    segment's train rows are of one class, that class is the score of its test rows
+    (null without train rows)."""
     out = None
     for value in values:
-        part = train.where(F.col(segment) == value)
-        if part.select(LABEL).distinct().count() < 2:
-            continue
-        scored = fit(part, make(min_rows(part))).score(test.where(F.col(segment) == value))
+        part, rows = train.where(F.col(segment) == value), test.where(F.col(segment) == value)
+        classes = part.agg(F.min(LABEL).alias("lo"), F.max(LABEL).alias("hi")).first()
+        if classes["lo"] == classes["hi"]:
+            scored = rows.withColumn("prob_deact", F.lit(classes["lo"]).cast("double"))
+        else:
+            scored = fit(part, make(min_rows(part))).score(rows)
         scored = scored.select("consumer_id", "recency_x", LABEL, "prob_deact").withColumn("segment", F.lit(value))
         out = scored if out is None else out.unionByName(scored)
     if out is None:
-        raise ValueError("no segment holds both classes")
+        raise ValueError("no segment values given")
     return out
 
 
@@ -220,7 +224,7 @@ def grid_forest(train: DataFrame, depths: Sequence[int], trees: int, rows_per_no
         estimatorParamMaps=ParamGridBuilder().addGrid(rf.maxDepth, list(depths)).build(),
         evaluator=BinaryClassificationEvaluator(labelCol=LABEL),
         trainRatio=0.5,
-        seed=3923,
+        seed=SEED,
         parallelism=2,
     )
     try:

@@ -35,21 +35,26 @@ def write_snapshot(
     writer.format(fmt).save(path)
 
 
-def insert_snapshot(df: DataFrame, table: str) -> None:
-    """Replace the frame's partitions of a catalog table (columns by name)."""
+def _insert(df: DataFrame, table: str, mode: str) -> None:
+    """Overwriting insert (columns by name) under a stated partition overwrite mode."""
     spark = df.sparkSession
     key = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(key, "static")
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, mode)
     try:
         df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(key, before)
 
 
+def insert_snapshot(df: DataFrame, table: str) -> None:
+    """Replace the frame's partitions of a catalog table; other partitions stay."""
+    _insert(df, table, "dynamic")
+
+
 def replace_contents(df: DataFrame, table: str) -> None:
-    """Replace all rows of a catalog table (columns by name)."""
-    df.select(*df.sparkSession.table(table).columns).write.mode("overwrite").insertInto(table, overwrite=True)
+    """Replace all rows of a catalog table, partitions that the frame lacks included."""
+    _insert(df, table, "static")
 
 
 def scan_partition(df: DataFrame, value: str, partition: str = "record_date", drop: Sequence[str] = ()) -> DataFrame:

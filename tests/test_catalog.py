@@ -91,3 +91,10 @@ def test_shared_folder_comes_from_the_session(spark, monkeypatch):
     base = session.shared_dir(spark)
     assert session.work_path(spark, "x").startswith(base)
     assert session.work_path(spark, "x") != session.work_path(spark, "x")
+
+
+def test_replacing_a_partitioned_table_leaves_no_old_partition(spark, table):
+    catalog.insert_snapshot(day(spark, "2020-01-01", 3), table)
+    catalog.insert_snapshot(day(spark, "2020-01-02", 4), table)
+    catalog.replace_contents(day(spark, "2020-01-01", 2), table)
+    assert {r["record_date"]: r["count"] for r in spark.table(table).groupBy("record_date").count().collect()} == {"2020-01-01": 2}

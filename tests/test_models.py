@@ -93,6 +93,14 @@ def test_per_segment_covers_every_row(spark, rows):
     assert out.count() == rows.count() and out.select("consumer_id").distinct().count() == rows.count()
 
 
+def test_a_segment_of_one_class_keeps_its_rows(spark, rows):
+    seg = rows.withColumn("seg_x", (F.col("consumer_id") % 2).cast("double"))
+    seg = seg.withColumn(models.LABEL, F.when(F.col("seg_x") == 1, F.lit(1)).otherwise(F.col(models.LABEL)))
+    out = models.train_per_segment(seg, seg, "seg_x", (0.0, 1.0), lambda n: models.gbt(n, iterations=2, depth=2))
+    assert out.count() == seg.count()
+    assert {r["prob_deact"] for r in out.where("segment = 1.0").collect()} == {1.0}
+
+
 def test_quadratic_fit(spark):
     df = spark.range(40).select(F.col("id").cast("double").alias("x"))
     wave = F.sin(F.col("x") * 12.9)

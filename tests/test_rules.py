@@ -238,3 +238,12 @@ def test_scoring_schema_is_completed(spark):
     assert joins.missing_columns(df, ["a", "b"]) == ["a"]
     out = joins.align_schema(df, [("a", "double"), ("b", "bigint")])
     assert out.dtypes == [("a", "double"), ("b", "bigint")] and out.first() == (None, 1)
+
+
+def test_scores_beyond_the_unit_interval(spark):
+    probs = (1.5, 1.0, 0.0, -0.2, float("nan"), None)
+    got = spark.createDataFrame([(p,) for p in probs], "p double").select(evaluate.cutoff_bucket(F.col("p")).alias("c")).collect()
+    assert [r["c"] for r in got] == [100, 100, 0, None, None, None]
+    df = spark.createDataFrame([(1, p) for p in probs], "y int, p double")
+    curve = {r["cutoff"]: r["tp"] for r in evaluate.cutoff_counts(df, "y", ["p"]).collect()}
+    assert (curve[0], curve[1], curve[100]) == (3, 2, 2)
