@@ -189,21 +189,12 @@ def _files(prefix: np.ndarray, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
     return list(zip(np.split(row, ends), np.split(place.astype(np.int32), ends)))
 
 
-def _search(pivots: np.ndarray, k: int, top: int, share: float, scale: float):
-    """One block of rows against one block of queries: inverted files over the block's
-    permutations, footrule ranks, then exact products."""
-
-    def run(key, rows: pa.Table, asked: pa.Table) -> pa.Table:
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not rows.num_rows or not asked.num_rows:
-            return empty
-        x, q = matrix(rows.column("embedding")), matrix(asked.column("embedding"))
-        ids, own = (np.asarray(t.column("vec_id").combine_chunks()) for t in (rows, asked))
-        # one more dimension makes all rows equally long, so that the nearest direction is the largest product
-        lift = np.sqrt(np.maximum(scale**2 - (x * x).sum(1), 0))
-        held = _files(_prefix(np.column_stack([x, lift]) / scale, pivots, k), len(pivots))
-        probes = _files(_prefix(np.column_stack([q / np.linalg.norm(q, axis=1)[:, None], np.zeros(len(q))]), pivots, k), len(pivots))
-        depth = min(k, len(pivots))
+def _search(pivots: np.ndarray, k: int, top: int, share: float, scale: float, at_once: int = 512):
+    """Blocks of rows streamed past one chunk of queries, which keeps the best ``top`` so far:
+    inverted files over the block's permutations, footrule ranks, then exact products."""
+    depth = min(k, len(pivots))
+
+    def ranked(q: np.ndarray, own: np.ndarray, probes: list, x: np.ndarray, ids: np.ndarray, held: list) -> Iterator[tuple]:
         # the footrule counts a pivot outside a prefix at place ``depth``; what both prefixes hold brings it down
         near = np.zeros((len(q), len(x)), np.int32)
         for (i, r), (j, place) in zip(probes, held):
@@ -212,33 +203,59 @@ def _search(pivots: np.ndarray, k: int, top: int, share: float, scale: float):
         near[own[:, None] == ids[None, :]] = -1
         keep = min(len(x), max(4 * top, int(np.ceil(share * len(x)))))
         best = np.argpartition(-near, keep - 1, axis=1)[:, :keep] if keep < len(x) else np.tile(np.arange(len(x)), (len(q), 1))
-        out_q, out_v, out_s = [], [], []
         for at in range(0, len(q), 64):
-            rows_of = best[at : at + 64]
-            score = np.einsum("qd,qrd->qr", q[at : at + 64], x[rows_of])
-            score[np.take_along_axis(near[at : at + 64], rows_of, 1) < 0] = -np.inf
-            order = np.lexsort((ids[rows_of], -score), axis=1)[:, :top]
-            score, found = np.take_along_axis(score, order, 1), np.take_along_axis(ids[rows_of], order, 1)
-            fine = score > -np.inf
-            out_q.append(np.repeat(own[at : at + 64], fine.sum(1)))
-            out_v.append(found[fine])
-            out_s.append(score[fine])
-        return pa.table({"query_id": np.concatenate(out_q), "vec_id": np.concatenate(out_v), "score": np.concatenate(out_s)})
+            part = slice(at, at + 64)
+            score = np.einsum("qd,qrd->qr", q[part], x[best[part]])
+            score[np.take_along_axis(near[part], best[part], 1) < 0] = -np.inf
+            yield part, score, ids[best[part]]
+
+    def told(own: np.ndarray, score: np.ndarray, found: np.ndarray) -> pa.RecordBatch:
+        fine = score > -np.inf
+        return pa.RecordBatch.from_pydict({"query_id": np.repeat(own, fine.sum(1)), "vec_id": found[fine], "score": score[fine]})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts = None, []
+        for (*task, block), t in groups(batches, ["chunk", "stripe", "block"]):
+            if now != task:
+                yield from (told(own, score, found) for _, own, _, score, found in parts)
+                now, parts = task, []
+            v, ids = matrix(t.column("embedding")), np.asarray(t.column("vec_id").combine_chunks())
+            if block < 0:
+                for at in range(0, len(v), at_once):
+                    q = v[at : at + at_once]
+                    flat = np.column_stack([q / np.linalg.norm(q, axis=1)[:, None], np.zeros(len(q))])
+                    score, found = np.full((len(q), top), -np.inf), np.zeros((len(q), top), np.int64)
+                    parts.append((q, ids[at : at + at_once], _files(_prefix(flat, pivots, k), len(pivots)), score, found))
+                continue
+            if not parts:
+                continue
+            # one more dimension makes all rows equally long, so that the nearest direction is the largest product
+            lift = np.sqrt(np.maximum(scale**2 - (v * v).sum(1), 0))
+            held = _files(_prefix(np.column_stack([v, lift]) / scale, pivots, k), len(pivots))
+            for q, own, probes, score, found in parts:
+                for part, new, who in ranked(q, own, probes, v, ids, held):
+                    new, who = np.concatenate([score[part], new], axis=1), np.concatenate([found[part], who], axis=1)
+                    order = np.lexsort((who, -new), axis=1)[:, :top]
+                    score[part], found[part] = np.take_along_axis(new, order, 1), np.take_along_axis(who, order, 1)
+        yield from (told(own, score, found) for _, own, _, score, found in parts)
 
     return run
 
 
 def nearest(
-    vectors: DataFrame, is_query: Column, top: int = 20, pivots: int = 256, k: int = 64, share: float = 0.25, rows_each: int = 1024, queries_each: int = 512
+    vectors: DataFrame, is_query: Column, top: int = 20, pivots: int = 256, k: int = 64, share: float = 0.25, rows_each: int = 1024, queries_each: int = 4096, stripes: int = 32
 ) -> DataFrame:
     """``query_id``, ``rank``, ``vec_id``, ``score``: the ``top`` largest inner products of each query.
 
-    Rows are dealt over blocks by a hash of their id, the queries over blocks of their
-    own, and each pair of blocks is a task. There a row is represented by its ``k``
+    Rows are dealt over ``stripes`` by a hash of their id, the queries over chunks of about
+    ``queries_each``, and each pair of them is a group. It holds its queries and streams the
+    stripe past them in blocks of about ``rows_each``. There a row is represented by its ``k``
     nearest pivots in order and posted in their inverted files; a query adds up the
     footrule distance to the rows on the files of its own nearest pivots, the ``share`` of the
-    block nearest by that is reranked by exact products, and the best ``top`` of the block
-    leave the task. Every row is indexed; only the pivots come from a bounded sample.
+    block nearest by that is reranked by exact products, and the best ``top`` of the stripe
+    leave the group: ``stripes`` times ``top`` rows a query, however many rows there are.
+    Groups grow in number with the queries and in length with the rows, memory with neither.
+    Every row is indexed; only the pivots come from a bounded sample.
     Shorter vectors are lifted by one dimension, so that the direction nearest to the
     query is the largest product.
 
@@ -253,14 +270,15 @@ def nearest(
     rows = rows.where(F.size("embedding") == chosen.shape[1])
     square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
     about = rows.agg(F.count("*").alias("n"), F.sum(F.when(is_query, 1).otherwise(0)).alias("q"), F.max(square).alias("m")).first()
-    blocks, chunks = max(1, -(-about["n"] // rows_each)), max(1, -(-(about["q"] or 0) // queries_each))
+    blocks, chunks = max(1, -(-about["n"] // (rows_each * stripes))), max(1, -(-(about["q"] or 0) // queries_each))
     scale = float(np.sqrt(about["m"] or 1.0))
     lifted = np.column_stack([chosen, np.zeros(len(chosen))])
     of = lambda n, seed: F.pmod(F.xxhash64(F.lit(seed), "vec_id"), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    held = rows.withColumn("block", of(blocks, 1)).withColumn("chunk", every(chunks))
-    asked = rows.where(is_query).withColumn("chunk", of(chunks, 2)).withColumn("block", every(blocks))
-    key = ["block", "chunk"]
-    found = held.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(_search(lifted, k, top, share, scale), "query_id long, vec_id long, score double")
+    held = rows.withColumns({"stripe": of(stripes, 1), "block": of(blocks, 3)}).withColumn("chunk", every(chunks))
+    asked = rows.where(is_query).withColumns({"chunk": of(chunks, 2), "block": F.lit(-1)}).withColumn("stripe", every(stripes))
+    key = ["chunk", "stripe"]
+    dealt = held.unionByName(asked).repartition(*key).sortWithinPartitions(*key, "block")
+    found = dealt.mapInArrow(_search(lifted, k, top, share, scale), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
