@@ -257,7 +257,8 @@ def near_duplicate_classes(
         close = saved(close.select("a", "b"), "pairs")
         if close.isEmpty():
             break
-        wanted = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        # written first, so that its size is known before the texts are planned: they move only if these ids are many
+        wanted = saved(close.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
         texts = rows_in.join(wanted, F.col("doc_id") == F.col("node")).select("node", "text").dropDuplicates(["node"])
         bags = saved(texts.mapInArrow(_bags(words), "node long, bag binary"), "bags")
         judged = close.join(bags.toDF("a", "bag_a"), "a").join(bags.toDF("b", "bag_b"), "b").select("a", "b", "bag_a", "bag_b")
