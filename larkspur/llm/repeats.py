@@ -133,9 +133,12 @@ def _cut(need: int, shards: int, most: int = 16 << 20):
 
         for b in batches:
             for i in range(b.num_rows):
+                parts = b.column("parts")[i].as_py()
+                if not parts:
+                    continue
                 text = read(b.column("body")[i].as_py())
                 copies = b.column("copies")[i].as_py()
-                for p in b.column("parts")[i].as_py():
+                for p in parts:
                     key = (p["anchor"], p["whole"])
                     if key in held:
                         held[key][1] += copies
@@ -262,7 +265,8 @@ def _removed(need: int, texts: bool):
                 text = read(b.column("body")[i].as_py())
                 found = []
                 for p in b.column("found")[i].as_py() or []:
-                    edge = np.frombuffer(p["runs"], np.int32).reshape(-1, 2).astype(np.int64) + p["start"]
+                    runs = np.array([0, p["span"]]) if p["runs"] is None else np.frombuffer(p["runs"], np.int32)
+                    edge = runs.reshape(-1, 2).astype(np.int64) + p["start"]
                     found.append(edge + np.array([0, need - 1]))
                 spans = []
                 if found:
@@ -301,7 +305,8 @@ def remove_repeats(
     anchor travel as one stretch, so a byte is sorted as the start of one suffix only.
     Stretches whose anchor occurs once in the table cannot repeat and stay behind. Equal
     stretches and equal texts are put together before they move, so very many copies
-    are a number. A shard sorts its suffixes by external induced sorting and reads
+    are a number; where all stretches of an anchor are equal, nothing is left to be told
+    apart, and all their strings repeat. A shard sorts its suffixes by external induced sorting and reads
     repeats off the common prefixes. ``shards`` should grow with the table; those larger than ``memory`` work in unnamed files
     that belong to the task; a lost task starts again from its shuffled input.
 
@@ -313,18 +318,21 @@ def remove_repeats(
     docs = docs.drop(*new)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = ["h1", "h2"]
-    one = docs.select(text.alias("text")).select(*text_key(), "text").mapInArrow(_squeeze, "h1 long, h2 long, body binary")
+    # columns are declared not null: inferred null filters would set equal exchanges apart, and each would run by itself
+    one = docs.select(text.alias("text")).select(*text_key(), "text").mapInArrow(_squeeze, "h1 long NOT NULL, h2 long NOT NULL, body binary NOT NULL")
     one = one.groupBy(*key).agg(F.first("body").alias("body"), F.count("*").alias("copies"))
-    parts = one.mapInArrow(_stretches(need, gram), "anchor long, whole long, h1 long, h2 long, start long, span long")
+    fields = [f"{c} long NOT NULL" for c in ("anchor", "whole", "h1", "h2", "start", "span")]
+    parts = one.mapInArrow(_stretches(need, gram), ", ".join(fields))
     # equal texts count as copies: a text that stands for several repeats all its stretches
-    weight = one.mapInArrow(_anchor_counts(need, gram), "anchor long, n long")
-    twice = weight.groupBy("anchor").agg(F.sum("n").alias("n")).where("n > 1").select("anchor")
-    parts = parts.join(twice, "anchor", "left_semi")
-    by_text = parts.groupBy(*key).agg(F.collect_list(F.struct("anchor", "whole", "start", "span")).alias("parts"))
-    cut = one.join(by_text, key, "left").where("parts IS NOT NULL").select("body", "copies", "parts")
-    cut = cut.mapInArrow(_cut(need, shards), "shard int, lot binary")
+    weight = one.mapInArrow(_anchor_counts(need, gram), "anchor long NOT NULL, n long NOT NULL, low long NOT NULL, high long NOT NULL")
+    anchors = weight.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+    twice = anchors.where("n > 1").select("anchor", F.expr("low != high").alias("differ"))
+    parts = parts.join(twice, "anchor")
+    by_text = parts.where("differ").groupBy(*key).agg(F.collect_list(F.struct("anchor", "whole", "start", "span")).alias("parts"))
+    cut = one.join(by_text, key, "left").select("body", "copies", "parts").mapInArrow(_cut(need, shards), "shard int, lot binary")
     runs = cut.repartition("shard").mapInArrow(_sorted(need, memory, text_each), "anchor long, whole long, runs binary")
-    found = parts.join(runs, ["anchor", "whole"]).groupBy(*key).agg(F.collect_list(F.struct("start", "runs")).alias("found"))
+    found = parts.join(runs, ["anchor", "whole"], "left").where("runs IS NOT NULL OR NOT differ")
+    found = found.groupBy(*key).agg(F.collect_list(F.struct("start", "span", "runs")).alias("found"))
     left = one.join(found, key, "left").select(*key, "body", "copies", "found").mapInArrow(
         _removed(need, texts), "h1 long, h2 long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, __kept string, kept_sha256 string"
     )
@@ -338,7 +346,7 @@ def remove_repeats(
 
 
 def _anchor_counts(need: int, gram: int):
-    """Texts to (anchor, stretches with it), summed within a batch; copies of a text count."""
+    """Texts to (anchor, stretches with it, least and greatest hash of their bytes) per batch; copies of a text count."""
     stretches = _stretches(need, gram)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,12 +354,17 @@ def _anchor_counts(need: int, gram: int):
             copies = np.asarray(b.column("copies"))
             many = {k for k, c in zip(zip(b.column("h1").to_pylist(), b.column("h2").to_pylist()), copies.tolist()) if c > 1}
             for out in stretches(iter([b])):
-                anchor = np.asarray(out.column("anchor"))
+                anchor, whole = np.asarray(out.column("anchor")), np.asarray(out.column("whole"))
+                if not len(anchor):
+                    continue
                 weight = np.ones(len(anchor), np.int64)
                 if many:
                     weight += np.fromiter((k in many for k in zip(out.column("h1").to_pylist(), out.column("h2").to_pylist())), bool, len(anchor))
-                found, inverse = np.unique(anchor, return_inverse=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(np.bincount(inverse, weights=weight, minlength=len(found)).astype(np.int64))], names=["anchor", "n"])
+                order = np.argsort(anchor, kind="stable")
+                anchor, whole = anchor[order], whole[order]
+                at = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+                cols = [anchor[at], np.add.reduceat(weight[order], at), np.minimum.reduceat(whole, at), np.maximum.reduceat(whole, at)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", "n", "low", "high"])
 
     return run
 
