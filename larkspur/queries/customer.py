@@ -163,20 +163,28 @@ def extract_split(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _between(c: str, high: float, low: float | None = None) -> str:
+    """``c`` within bounds; a null stays null."""
+    inside = f"least({c}, {high})" if low is None else f"greatest(least({c}, {high}), {low})"
+    return f"if({c} IS NULL, NULL, {inside})"
+
+
+def _merged(c: str, to: str, *names: str) -> str:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return f"if(list_contains([{listed}], {c}), '{to}', {c})"
+
+
 _CAPPED = {
-    **{c: f"CASE WHEN {c} > {v} THEN {v} ELSE {c} END" for c, v in cust.UPPER_CAPS.items()},
-    "tenure_days": "CASE WHEN round(tenure_days / 30, 0) > 26 THEN 26.0::DOUBLE WHEN tenure_days IS NULL THEN 26 ELSE round(tenure_days / 30, 0) END",
-    "gp_t24m": "CASE WHEN gp_t24m < -10.0 THEN -10.0 WHEN gp_t24m > 400 THEN 400 ELSE gp_t24m END",
-    "gp_t12m": "CASE WHEN gp_t12m < -10.0 THEN -10.0 WHEN gp_t12m > 400 THEN 400 ELSE gp_t12m END",
-    "most_recent_l1": "CASE WHEN most_recent_l1 IN ('unknown', 'multi') THEN 'Local' ELSE most_recent_l1 END",
-    "most_recent_l2": "CASE WHEN most_recent_l2 IN ('L2 - Charity', 'multi', 'unknown') THEN 'other' ELSE most_recent_l2 END",
-    "most_recent_promo_type": "CASE WHEN most_recent_promo_type IN ('OD & WOW', 'ILS+OD') THEN 'OD' WHEN most_recent_promo_type IS NULL THEN 'organic' ELSE most_recent_promo_type END",
-    "visit_recency": "CASE WHEN visit_recency > 92 THEN 92 ELSE coalesce(visit_recency, 100) END",
-    "cookies": "CASE WHEN cookies > 15 THEN 15 ELSE coalesce(cookies, 0) END",
-    **{
-        c: f"CASE WHEN coalesce({c}, 0) > 0 THEN 1 ELSE 0 END"
-        for c in ("send_recency", "open_recency", "click_recency", "unsubscription_30d")
-    },
+    **{c: _between(c, high) for c, high in cust.UPPER_CAPS.items()},
+    **{c: _between(c, 400, -10.0) for c in ("gp_t12m", "gp_t24m")},
+    **{f"{c}_recency": f"CAST({c}_recency > 0 IS TRUE AS INTEGER)" for c in ("click", "open", "send")},
+    "unsubscription_30d": "CAST(unsubscription_30d > 0 IS TRUE AS INTEGER)",
+    "cookies": "least(coalesce(cookies, 0), 15)",
+    "visit_recency": f"coalesce({_between('visit_recency', 92)}, 100)",
+    "tenure_days": "least(coalesce(round(tenure_days / 30, 0), 26), 26)",
+    "most_recent_l1": _merged("most_recent_l1", "Local", "multi", "unknown"),
+    "most_recent_l2": _merged("most_recent_l2", "other", "multi", "unknown", "L2 - Charity"),
+    "most_recent_promo_type": f"coalesce({_merged('most_recent_promo_type', 'OD', 'ILS+OD', 'OD & WOW')}, 'organic')",
 }
 
 
