@@ -67,20 +67,23 @@ class RareGrouper:
 @dataclass(frozen=True)
 class TargetOrder:
     """Labels replaced by their rank by mean target in train, from 0; a label not
-    seen in train becomes null. Group rare labels first: that bounds the ranks."""
+    seen in train becomes null. Group rare labels first; more than ``most`` labels in all
+    are an error, as every rank is part of the fitted encoder."""
 
     ranks: dict[str, dict[str, int]]
 
     @classmethod
-    def fit(cls, train: DataFrame, columns: Sequence[str], target: str) -> TargetOrder:
-        rows = label_ranks(train, columns, target).collect()
+    def fit(cls, train: DataFrame, columns: Sequence[str], target: str, most: int = 10_000) -> TargetOrder:
+        rows = label_ranks(train, columns, target).limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"more than {most} labels to rank; group rare ones first")
         return cls({c: {r["label"]: r["rank"] for r in rows if r["column"] == c} for c in columns})
 
     def transform(self, df: DataFrame) -> DataFrame:
         out = {}
         for c, ranks in self.ranks.items():
-            pairs = F.create_map(*[F.lit(x) for kv in ranks.items() for x in kv])
-            out[c] = pairs[F.col(c)]
+            pairs = [F.lit(x) for kv in ranks.items() for x in kv]
+            out[c] = F.create_map(*pairs)[F.col(c)] if pairs else F.lit(None).cast("int")
         return df.withColumns(out)
 
 
