@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import components, saved, text_key
+from larkspur.llm.common import components, groups, saved, text_key
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -132,7 +132,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], k: int) -> np.ndarray:
 
 
 def _signed(bands: int, rows: int, words: int):
-    """Documents to band hashes and a byte per coordinate."""
+    """Documents to a byte per coordinate, hashes of the bytes of each band, and the size of the bag."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, k = Shingles(words), bands * rows
@@ -140,26 +140,28 @@ def _signed(bands: int, rows: int, words: int):
             texts = b.column("text")
             at = 0
             while at < b.num_rows:
-                keep, bags, n = [], [], 0
+                keep, bags, sizes, n = [], [], [], 0
                 while at < b.num_rows and n < 300_000:
                     s, c = np.unique(shingles(texts[at].as_py()), return_counts=True)
                     if len(s):
                         keep.append(at)
                         bags.append((s, c.astype(np.float64)))
+                        sizes.append(int(c.sum()))
                         n += max(len(s), 8 * k)
                     at += 1
                 if not keep:
                     continue
-                sig = signatures(bags, k)
+                low = (signatures(bags, k) & _U(0xFF)).astype(np.uint8)
                 band = np.zeros((len(keep), bands), _U)
                 for j in range(rows):
-                    band = mix(band * _U(0x9E3779B97F4A7C15) + sig[:, j::rows])
+                    band = mix(band * _U(0x9E3779B97F4A7C15) + low[:, j::rows])
                 rows_of = b.take(pa.array(keep))
                 flat = band.view(np.int64).ravel()
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, bands), pa.int32()), pa.array(flat))
-                sketch = pa.array([x.tobytes() for x in (sig & _U(0xFF)).astype(np.uint8)], pa.binary())
+                sketch = pa.array([x.tobytes() for x in low], pa.binary())
                 cols = [rows_of.column(c) for c in ("h1", "h2", "doc_id")]
-                yield pa.RecordBatch.from_arrays([*cols, lists, sketch], names=["h1", "h2", "doc_id", "bands", "sketch"])
+                names = ["h1", "h2", "doc_id", "bands", "sketch", "size"]
+                yield pa.RecordBatch.from_arrays([*cols, lists, sketch, pa.array(sizes, pa.int64())], names=names)
 
     return run
 
@@ -209,8 +211,60 @@ def _agreement():
     return run
 
 
+def _met(least: float, bands: int, rows: int, every: bool):
+    """Pairs of different classes in one bucket (or of two of its blocks) whose sketches are near enough.
+
+    ``every`` gives all of them, each in the lowest band that the two share; else a member
+    names the nearest one on the other side and the one that is nearest to all.
+    """
+    alike = _alike(least, bands * rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (band, _, i, j), t in groups(batches, ["band", "bucket", "i", "j"]):
+            node, c, size, block = (np.asarray(t.column(k).combine_chunks()) for k in ("node", "c", "size", "block"))
+            if (c == c[0]).all():
+                continue
+            x = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+            own, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+            share = np.zeros((len(own), len(other)))
+            for at in range(0, len(own), 32):
+                share[at : at + 32] = (x[own[at : at + 32], None] == x[None, other]).mean(axis=2)
+            small, large = np.minimum(size[own][:, None], size[other]), np.maximum(size[own][:, None], size[other])
+            share[(share < alike) | (c[own][:, None] == c[other]) | (small < least * large - 1e-6)] = 0
+            if every:
+                a, b = np.nonzero(share)
+                a, b, near = own[a], other[b], share[a, b]
+                mine = (x[a] == x[b]).reshape(len(a), bands, rows).all(axis=2).argmax(axis=1) == band
+                if i == j:
+                    mine &= a < b
+                a, b, near = a[mine], b[mine], near[mine]
+            else:
+                found = []
+                for s, here, there in ((share, own, other), (share.T, other, own)):
+                    if s.size:
+                        for to in (s.argmax(axis=1), np.full(len(s), s.sum(axis=0).argmax())):
+                            found.append((here, there[to], s[np.arange(len(s)), to]))
+                a, b, near = (np.concatenate(v) for v in zip(*found)) if found else (own[:0], own[:0], np.zeros(0))
+                a, b, near = a[near > 0], b[near > 0], near[near > 0]
+            for at in range(0, len(a), 10_000):
+                part = slice(at, at + 10_000)
+                yield pa.RecordBatch.from_pydict({"a": pa.array(node[a[part]]), "b": pa.array(node[b[part]]), "share": pa.array(near[part])})
+
+    return run
+
+
+def _verified(close: DataFrame, rows_in: DataFrame, least: float, words: int) -> DataFrame:
+    """The pairs (a, b) of ``close`` that are similar as whole bags."""
+    # written first, so that its size is known before the texts are planned: they move only if these ids are many
+    wanted = saved(close.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
+    texts = rows_in.join(wanted, F.col("doc_id") == F.col("node")).select("node", "text").dropDuplicates(["node"])
+    bags = saved(texts.mapInArrow(_bags(words), "node long, bag binary"), "bags")
+    judged = close.join(bags.toDF("a", "bag_a"), "a").join(bags.toDF("b", "bag_b"), "b").select("a", "b", "bag_a", "bag_b")
+    return judged.mapInArrow(_similar(least), "a long, b long, same boolean").where("same").select("a", "b")
+
+
 def near_duplicate_classes(
-    docs: DataFrame, least: float = 0.8, words: int = 5, bands: int = 24, rows: int = 5, rounds: int = 3
+    docs: DataFrame, least: float = 0.8, words: int = 5, bands: int = 24, rows: int = 5, block: int = 512
 ) -> DataFrame:
     """(h1, h2, node, class_id): for every distinct text, its smallest doc_id and the smallest doc_id of its class.
 
@@ -218,58 +272,61 @@ def near_duplicate_classes(
     characters; a shorter text is one shingle), weighted by how often each occurs. Texts
     in a chain of weighted Jaccard similarities of ``least`` or more are a class.
 
-    Equal texts are one entry before anything is joined. Documents that agree on all
-    ``rows`` coordinates of a band share a bucket. Each bucket compares its members with
-    one centre (the member of smallest hash), never all pairs; pairs whose sketches are
-    too far apart go out, the rest are verified on the whole bags. Members that are not
-    of the centre's class meet a centre of their own in the next round, up to
-    ``rounds`` or until no bucket has members left. A pair at 0.8 shares no
-    bucket with probability below 1e-4, and eight buckets on average, each with other
-    members, so it does not depend on one centre.
+    Equal texts are one entry before anything is joined. Documents whose sketches agree on
+    all ``rows`` bytes of a band share a bucket. Pairs whose sketches or sizes are too far
+    apart go out, the rest are verified on the whole bags. First each bucket compares its
+    members with one centre (the member of smallest hash), then each member with the
+    nearest ones of other classes; that joins large families at few pairs. At last every
+    pair that shares a bucket and is of two classes still is compared; a bucket of more
+    than ``block`` members is cut in blocks, which meet pair by pair. So no pair that
+    shares a bucket is left out unless its class is known already. A pair at 0.8 shares
+    no bucket with probability below 1e-4.
 
     Texts without a word are classes of their own.
     """
     rows_in = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = rows_in.select(*text_key(), "doc_id", "text")
-    signed = keyed.mapInArrow(_signed(bands, rows, words), "h1 long, h2 long, doc_id long, bands array<bigint>, sketch binary")
+    signed = keyed.mapInArrow(_signed(bands, rows, words), "h1 long, h2 long, doc_id long, bands array<bigint>, sketch binary, size long")
     one = saved(
-        signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")),
+        signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size")),
         "signatures",
     )
     posted = one.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = posted.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     posted = saved(posted.join(shared, ["band", "bucket"], "left_semi"), "buckets")
     sketches = one.select("node", "sketch")
-    reach, links, tried = None, None, None
-    for _ in range(rounds):
+    reach, links = None, None
+    for step in ("centre", "nearest", "every"):
         if reach is None:
             members = posted.withColumn("c", F.col("node"))
         else:
             members = posted.join(reach.select(F.col("id").alias("node"), "component"), "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-            members = members.join(tried, ["band", "bucket", "node"], "left_anti")
-        first = F.min(F.struct(F.xxhash64("node"), F.col("node"), F.col("c")))
-        centres = members.groupBy("band", "bucket").agg(first.alias("m"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-        centres = centres.select("band", "bucket", F.col("m.node").alias("centre"), F.col("m.c").alias("cc"))
-        met = saved(members.join(centres, ["band", "bucket"]), "met")
-        pairs = met.where("c != cc").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-        pairs = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-        close = pairs.mapInArrow(_agreement(), "a long, b long, share double").where(F.col("share") >= _alike(least, bands * rows))
+        first = F.min(F.struct(F.xxhash64("node"), F.col("node"))).alias("m")
+        mixed = members.groupBy("band", "bucket").agg(first, F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+        if step == "centre":
+            pairs = members.join(mixed.select("band", "bucket", F.col("m.node").alias("centre")), ["band", "bucket"]).where("node != centre")
+            pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+            pairs = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
+            close = pairs.mapInArrow(_agreement(), "a long, b long, share double").where(F.col("share") >= _alike(least, bands * rows))
+        else:
+            blocks = mixed.select("band", "bucket", F.ceil(F.col("n") / block).cast("int").alias("n"))
+            dealt = members.join(blocks, ["band", "bucket"]).join(one.select("node", "sketch", "size"), "node")
+            dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+            dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+            dealt = dealt.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o", "n")
+            key = ["band", "bucket", "i", "j"]
+            dealt = dealt.repartition(*key).sortWithinPartitions(*key)
+            close = dealt.mapInArrow(_met(least, bands, rows, step == "every"), "a long, b long, share double")
+            if step == "nearest":
+                best = F.slice(F.sort_array(F.collect_set(F.struct("share", "b")), False), 1, 3)
+                close = close.groupBy("a").agg(F.explode(best).alias("m")).select("a", F.col("m.b").alias("b"))
+                close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         close = saved(close.select("a", "b"), "pairs")
         if close.isEmpty():
-            break
-        # written first, so that its size is known before the texts are planned: they move only if these ids are many
-        wanted = saved(close.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-        texts = rows_in.join(wanted, F.col("doc_id") == F.col("node")).select("node", "text").dropDuplicates(["node"])
-        bags = saved(texts.mapInArrow(_bags(words), "node long, bag binary"), "bags")
-        judged = close.join(bags.toDF("a", "bag_a"), "a").join(bags.toDF("b", "bag_b"), "b").select("a", "b", "bag_a", "bag_b")
-        judged = judged.mapInArrow(_similar(least), "a long, b long, same boolean").where("same").select("a", "b")
+            continue
+        judged = _verified(close, rows_in, least, words)
         links = saved(judged if links is None else links.unionByName(judged), "links")
         reach = components(links)
-        # the centre's own class is settled in this bucket; the others stay for the next round
-        done = met.join(reach.select(F.col("id").alias("node"), F.col("component").alias("k")), "node", "left")
-        done = done.join(reach.select(F.col("id").alias("centre"), F.col("component").alias("kc")), "centre", "left")
-        done = done.where(F.coalesce("k", "node") == F.coalesce("kc", "centre")).select("band", "bucket", "node")
-        tried = saved(done if tried is None else tried.unionByName(done), "settled")
     if reach is None:
         return one.select("h1", "h2", "node", F.col("node").alias("class_id"))
     return one.join(reach.select(F.col("id").alias("node"), "component"), "node", "left").select(

@@ -199,6 +199,29 @@ def test_near_duplicates_of_a_large_group(spark):
         assert r.class_id == want
 
 
+def star(seed, first, copies, words=500, edits=8):
+    """An original, about 0.85 like each of its copies, which are about 0.73 like one another."""
+    rng = np.random.default_rng(seed)
+    base = [f"s{seed}w{w}" for w in rng.integers(0, 5000, words)]
+    rows = [(first, " ".join(base))]
+    for i in range(1, copies + 1):
+        text = list(base)
+        for at in rng.choice(words, edits, replace=False):
+            text[at] = f"edit{seed}x{i}x{at}"
+        rows.append((first + i, " ".join(text)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [512, 7])
+def test_near_duplicates_of_star_families(spark, block):
+    """Copies that are like their original only are found, in buckets of one block and of many."""
+    rows = star(1, 0, 30) + star(2, 1000, 300 if block > 7 else 40) + star(3, 2000, 30, edits=9)
+    rows = [(d if d % 1000 else d + 900, t) for d, t in rows]  # the original does not have the smallest doc_id
+    got = {r.doc_id: r.class_id for r in darts.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()}
+    want = dict(zip([d for d, _ in rows], brute_classes([t for _, t in rows], [d for d, _ in rows])))
+    assert got == want and len(set(want.values())) < 10
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = darts.near_duplicates(odd_docs)
     rows = got.collect()
