@@ -6,9 +6,10 @@ are induced from them: a priority queue holds tuples (first symbol, rank of the
 one further right, position). Tuples come out smallest first, and each one that comes
 out puts the suffix one further left into the queue if it is of the type being induced.
 The queue takes out as many tuples at once as cannot be overtaken by what they put in.
-Tuples wait in files by range of symbols, and arrays beyond ``memory`` live in files,
-so a text may be far larger than memory. The files have no name: they belong to the
-task and vanish with it.
+Tuples wait in files by range of symbols, and orders and range minima beyond ``memory``
+live in files. The text, its types, names and measured prefixes are in memory, some tens
+of bytes per symbol, so callers bound the text. The files have no name: they belong to
+the task and vanish with it.
 """
 
 from __future__ import annotations

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import give_back, text_key
+from larkspur.llm.common import give_back, saved, text_key
 from larkspur.llm.darts import mix
 from larkspur.llm.induced import Scratch, suffixes
 
@@ -22,20 +22,32 @@ _BACK = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _BYTES = mix(np.arange(1, 257).astype(_U) * _U(0xD1342543DE82EF95))
 
 
-def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int):
+def _among(x: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Which of ``x`` are in the sorted ``held``."""
+    if not len(held):
+        return np.zeros(len(x), bool)
+    return held[np.minimum(np.searchsorted(held, x), len(held) - 1)] == x
+
+
+def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int, hot: np.ndarray = np.zeros(0, _U)):
     """Cuts the string starts of some documents into stretches with one anchor each.
 
     ``buffer`` holds the bytes of documents one after another, ``doc`` which one each byte
     is of. The anchor of a string of ``need`` bytes is its ``gram`` bytes of least hash, the
     first of equal ones. That depends on the string alone, so equal strings have equal
     anchors at equal places. Returns for each stretch of neighbouring starts with the
-    same anchor: hash of the anchor, hash of all bytes the strings cover, first start
-    and number of starts.
+    same anchor: hash of the anchor, hash of all bytes the strings cover, first start,
+    number of starts and the hash that it was cut from (0 for none).
+
+    A stretch whose hash is in ``hot`` (sorted) is cut in two by how far its strings start
+    before the anchor, and each half goes under the hash of the bytes that all strings of
+    that half have, around the anchor; again and again while that is hot. The last halves
+    are single strings under the hash of all their bytes.
     """
     n = len(buffer)
     if n < need:
         none = np.zeros(0, np.int64)
-        return none.astype(_U), none.astype(_U), none, none
+        return none.astype(_U), none.astype(_U), none, none, none.astype(_U)
     power = np.empty(n + 1, _U)
     power[0], power[1:] = 1, _ODD
     np.multiply.accumulate(power, out=power)
@@ -58,9 +70,27 @@ def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int):
     a = anchor[starts]
     first = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (starts[1:] != starts[:-1] + 1)))
     span = np.diff(np.append(first, len(starts)))
-    at = starts[first]
+    at, place = starts[first], a[first]
+    key, parent, level = grams[place], np.zeros(len(at), _U), 0
+    many = _among(key, hot)
+    while many.any() and level < (need - gram).bit_length():
+        level += 1
+        step = 1 << ((need - gram).bit_length() - level)
+        i, rest = np.flatnonzero(many), ~many
+        most, least_ = place[i] - at[i], place[i] - at[i] - span[i] + 1  # how far the anchor is from the first and last start
+        pieces = most // step - least_ // step + 1
+        of = np.repeat(np.arange(len(i)), pieces)
+        cell = (most // step)[of] - (np.arange(len(of)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+        here = place[i][of]
+        far, near = np.minimum(cell * step + step - 1, most[of]), np.maximum(cell * step, least_[of])
+        x, y = here - cell * step, here - np.minimum(cell * step + step - 1, need - gram) + need
+        core = mix(mix((sums[y] - sums[x]) * back[x] + _U(level)) + cell.astype(_U) * _ODD)
+        many = np.append(np.zeros(int(rest.sum()), bool), _among(core, hot))
+        parent = np.append(parent[rest], key[i][of])
+        key, place = np.append(key[rest], core), np.append(place[rest], here)
+        at, span = np.append(at[rest], here - far), np.append(span[rest], far - near + 1)
     whole = mix((sums[at + span + need - 1] - sums[at]) * back[at] + span.astype(_U))
-    return grams[a[first]], whole, at, span
+    return key, whole, at, span, parent
 
 
 def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -79,15 +109,18 @@ def _reader():
     return zstandard.ZstdDecompressor().decompress
 
 
-def _stretches(need: int, gram: int, chunk: int = 4 << 20):
-    """Texts to rows (anchor, whole, text key, start, span)."""
+def _stretches(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray | None = None, chunk: int = 4 << 20):
+    """Texts to rows (anchor, whole, text key, start, span); with ``cut_from`` only those cut from one of these."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(parts):
             buffer = np.concatenate([x for x, _, _ in parts])
             number = np.repeat(np.arange(len(parts)), [len(x) for x, _, _ in parts])
             begin = np.cumsum([0] + [len(x) for x, _, _ in parts])[:-1]
-            anchor, whole, at, span = anchored(buffer, number, need, gram)
+            anchor, whole, at, span, parent = anchored(buffer, number, need, gram, hot)
+            if cut_from is not None:
+                mine = _among(parent, cut_from)
+                anchor, whole, at, span = anchor[mine], whole[mine], at[mine], span[mine]
             of = number[at]
             key = np.array([k for _, k, _ in parts], np.int64).reshape(-1, 2)[of]
             offset = np.array([o for _, _, o in parts], np.int64)
@@ -98,7 +131,8 @@ def _stretches(need: int, gram: int, chunk: int = 4 << 20):
         for b in batches:
             keys = zip(b.column("h1").to_pylist(), b.column("h2").to_pylist())
             for key, body in zip(keys, b.column("body")):
-                x = np.frombuffer(read(body.as_py()), np.uint8)
+                body = body.as_py()
+                x = np.frombuffer(body.encode() if isinstance(body, str) else read(body), np.uint8)
                 # a long text goes in parts that overlap by what one string needs beyond its start
                 for o in range(0, max(1, len(x) - need + 1), chunk):
                     parts.append((x[o : o + chunk + need - 1], key, o))
@@ -303,12 +337,15 @@ def remove_repeats(
     Strings that may be equal are brought to one shard by content: every string of
     ``need`` bytes has an anchor that depends on it alone, and neighbouring starts with one
     anchor travel as one stretch, so a byte is sorted as the start of one suffix only.
-    Stretches whose anchor occurs once in the table cannot repeat and stay behind. Equal
+    Stretches whose anchor occurs once in the table cannot repeat and stay behind. Those of an
+    anchor with more than ``text_each`` bytes (a line that many documents have) are cut by more of
+    their content until no group of different ones is larger. Equal
     stretches and equal texts are put together before they move, so very many copies
     are a number; where all stretches of an anchor are equal, nothing is left to be told
     apart, and all their strings repeat. A shard sorts its suffixes by external induced sorting and reads
-    repeats off the common prefixes. ``shards`` should grow with the table; those larger than ``memory`` work in unnamed files
-    that belong to the task; a lost task starts again from its shuffled input.
+    repeats off the common prefixes. ``shards`` should grow with the table; a shard of more than ``text_each`` bytes is sorted in
+    lots, with orders and tuples beyond ``memory`` in unnamed files that belong to the task; a lost
+    task starts again from its shuffled input.
 
     Null texts are empty, and texts shorter than ``need`` keep everything; repeated rows
     repeat each other's strings like other documents; an empty table gives no rows; a column of a new name is
@@ -322,11 +359,9 @@ def remove_repeats(
     one = docs.select(text.alias("text")).select(*text_key(), "text").mapInArrow(_squeeze, "h1 long NOT NULL, h2 long NOT NULL, body binary NOT NULL")
     one = one.groupBy(*key).agg(F.first("body").alias("body"), F.count("*").alias("copies"))
     fields = [f"{c} long NOT NULL" for c in ("anchor", "whole", "h1", "h2", "start", "span")]
-    parts = one.mapInArrow(_stretches(need, gram), ", ".join(fields))
-    # equal texts count as copies: a text that stands for several repeats all its stretches
-    weight = one.mapInArrow(_anchor_counts(need, gram), "anchor long NOT NULL, n long NOT NULL, low long NOT NULL, high long NOT NULL")
-    anchors = weight.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
-    twice = anchors.where("n > 1").select("anchor", F.expr("low != high").alias("differ"))
+    anchors, hot = split_anchors(docs.select(text.alias("text")), need, gram, text_each)
+    parts = one.mapInArrow(_stretches(need, gram, hot), ", ".join(fields))
+    twice = anchors.select("anchor", F.expr("low != high").alias("differ"))
     parts = parts.join(twice, "anchor")
     by_text = parts.where("differ").groupBy(*key).agg(F.collect_list(F.struct("anchor", "whole", "start", "span")).alias("parts"))
     cut = one.join(by_text, key, "left").select("body", "copies", "parts").mapInArrow(_cut(need, shards), "shard int, lot binary")
@@ -345,29 +380,47 @@ def remove_repeats(
     return out.select(*[c for c in docs.columns if texts or c != "text"], *new[:4], *["spans"] * spans)
 
 
-def _anchor_counts(need: int, gram: int):
-    """Texts to (anchor, stretches with it, least and greatest hash of their bytes) per batch; copies of a text count."""
-    stretches = _stretches(need, gram)
+def _anchor_counts(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray | None):
+    """Texts to (anchor, stretches with it, least and greatest hash of their bytes) per batch."""
+    stretches = _stretches(need, gram, hot, cut_from)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            copies = np.asarray(b.column("copies"))
-            many = {k for k, c in zip(zip(b.column("h1").to_pylist(), b.column("h2").to_pylist()), copies.tolist()) if c > 1}
-            for out in stretches(iter([b])):
-                anchor, whole = np.asarray(out.column("anchor")), np.asarray(out.column("whole"))
-                if not len(anchor):
-                    continue
-                weight = np.ones(len(anchor), np.int64)
-                if many:
-                    weight += np.fromiter((k in many for k in zip(out.column("h1").to_pylist(), out.column("h2").to_pylist())), bool, len(anchor))
-                order = np.argsort(anchor, kind="stable")
-                anchor, whole = anchor[order], whole[order]
-                at = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-                cols = [anchor[at], np.add.reduceat(weight[order], at), np.minimum.reduceat(whole, at), np.maximum.reduceat(whole, at)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", "n", "low", "high"])
+        for out in stretches(batches):
+            anchor, whole = np.asarray(out.column("anchor")), np.asarray(out.column("whole"))
+            if not len(anchor):
+                continue
+            order = np.argsort(anchor, kind="stable")
+            anchor, whole = anchor[order], whole[order]
+            at = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+            n = np.diff(np.append(at, len(anchor)))
+            cols = [anchor[at], n, np.minimum.reduceat(whole, at), np.maximum.reduceat(whole, at)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", "n", "low", "high"])
 
     return run
 
 
+def split_anchors(texts: DataFrame, need: int, gram: int, most_bytes: int) -> tuple[DataFrame, np.ndarray]:
+    """Anchors that occur more than once (anchor, n, low, high), and the sorted ones that are cut further.
+
+    An anchor is cut if its stretches differ and their bytes may be more than ``most_bytes``,
+    so the list that reaches the driver is at most as long as the bytes of all stretches
+    hold ``most_bytes``. Each round looks only at what the last one cut; single strings
+    under one hash do not differ, so it ends after as many rounds as halvings.
+    """
+    hot, newest, found = np.zeros(0, _U), None, None
+    rows = texts.select(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), F.col("text").alias("body"))
+    while True:
+        counts = rows.mapInArrow(_anchor_counts(need, gram, hot, newest), "anchor long NOT NULL, n long NOT NULL, low long NOT NULL, high long NOT NULL")
+        table = counts.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        table = saved(table.where("n > 1"), "anchors")
+        many = table.where((F.col("low") != F.col("high")) & (F.col("n") * (2 * need) > most_bytes))
+        newest = np.sort(np.array([r["anchor"] for r in many.select("anchor").collect()], np.int64).view(_U))
+        if found is not None:
+            table = found.unionByName(table)
+        if not len(newest):
+            return table, hot
+        found, hot = table, np.union1d(hot, newest)  # no stretch has a cut anchor any more, so its row meets nothing
+
+
 def digest(docs: DataFrame) -> DataFrame:
     return remove_repeats(docs.select("doc_id", "text"), texts=False).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

@@ -155,6 +155,25 @@ def test_repeats_odd_rows_and_spilled_shards(spark, odd_docs, no_docs):
     assert null[3] is None and null[4] == "" and null[21] == "z" * 199
 
 
+def test_repeats_around_a_common_line(spark):
+    """A line in all documents, with other text around it, does not bring them all into one sort."""
+    rng = np.random.default_rng(7)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz "))
+    some = lambda n: "".join(rng.choice(letters, n))
+    line, sides = "Licensed under the terms that come with it: " + some(90), [some(120) for _ in range(12)]
+    texts = [some(int(rng.integers(0, 400))) + line + some(int(rng.integers(0, 400))) for _ in range(150)]
+    texts += [some(i) + sides[i % 12] + line + some(90 - i) for i in range(60)]  # left sides that meet again
+    texts += [some(i) + line + sides[i % 12][: 50 + i] + some(200) for i in range(60)]  # and right sides, some too short
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    want = brute_repeats([t.encode() for t in texts])
+    for bound in (400, 4000):
+        anchors, hot = repeats.split_anchors(rows.select("text"), 200, 16, bound)
+        cut = {int(x) for x in hot.view(np.int64)}
+        assert cut and all(r.n * 400 <= bound for r in anchors.collect() if r.low != r.high and r.anchor not in cut)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(rows, text_each=4000).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+
+
 def brute_classes(texts, ids, least=0.8):
     sets = []
     shingles = darts.Shingles()
