@@ -253,11 +253,12 @@ def _met(least: float, bands: int, rows: int, every: bool):
     return run
 
 
-def _verified(close: DataFrame, rows_in: DataFrame, least: float, words: int) -> DataFrame:
+def _verified(close: DataFrame, keyed: DataFrame, one: DataFrame, least: float, words: int) -> DataFrame:
     """The pairs (a, b) of ``close`` that are similar as whole bags."""
-    # written first, so that its size is known before the texts are planned: they move only if these ids are many
-    wanted = saved(close.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "wanted")
-    texts = rows_in.join(wanted, F.col("doc_id") == F.col("node")).select("node", "text").dropDuplicates(["node"])
+    # written first, so that its size is known before the texts are planned: they move only if these are many
+    wanted = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = saved(wanted.join(one.select("node", "h1", "h2", F.col("doc").alias("doc_id")), "node"), "wanted")
+    texts = keyed.join(wanted, ["h1", "h2", "doc_id"]).select("node", "text").dropDuplicates(["node"])
     bags = saved(texts.mapInArrow(_bags(words), "node long, bag binary"), "bags")
     judged = close.join(bags.toDF("a", "bag_a"), "a").join(bags.toDF("b", "bag_b"), "b").select("a", "b", "bag_a", "bag_b")
     return judged.mapInArrow(_similar(least), "a long, b long, same boolean").where("same").select("a", "b")
@@ -287,8 +288,9 @@ def near_duplicate_classes(
     rows_in = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = rows_in.select(*text_key(), "doc_id", "text")
     signed = keyed.mapInArrow(_signed(bands, rows, words), "h1 long, h2 long, doc_id long, bands array<bigint>, sketch binary, size long")
+    # a text is named by a number of its own, fixed by the writing, as a doc_id may be that of several texts
     one = saved(
-        signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("node"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size")),
+        signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id()),
         "signatures",
     )
     posted = one.select("node", F.posexplode("bands").alias("band", "bucket"))
@@ -324,14 +326,14 @@ def near_duplicate_classes(
         close = saved(close.select("a", "b"), "pairs")
         if close.isEmpty():
             continue
-        judged = _verified(close, rows_in, least, words)
+        judged = _verified(close, keyed, one, least, words)
         links = saved(judged if links is None else links.unionByName(judged), "links")
         reach = components(links)
     if reach is None:
-        return one.select("h1", "h2", "node", F.col("node").alias("class_id"))
-    return one.join(reach.select(F.col("id").alias("node"), "component"), "node", "left").select(
-        "h1", "h2", "node", F.coalesce("component", "node").alias("class_id")
-    )
+        return one.select("h1", "h2", F.col("doc").alias("node"), F.col("doc").alias("class_id"))
+    reach = reach.withColumnRenamed("id", "node").join(one.select("node", "doc"), "node")
+    classes = reach.join(reach.groupBy("component").agg(F.min("doc").alias("class_id")), "component").select("node", "class_id")
+    return one.join(classes, "node", "left").select("h1", "h2", F.col("doc").alias("node"), F.coalesce("class_id", "doc").alias("class_id"))
 
 
 def near_duplicates(docs: DataFrame, **options) -> DataFrame:

@@ -241,6 +241,16 @@ def test_near_duplicates_of_star_families(spark, block):
     assert got == want and len(set(want.values())) < 10
 
 
+def test_near_duplicates_of_texts_with_one_doc_id(spark):
+    """Texts that share a doc_id are judged each by itself."""
+    from tests.llm.conftest import prose
+
+    rows = [(1, prose(1, 200)), (2, prose(1, 200) + " end"), (2, "clean " + " ".join(f"c{i}" for i in range(200))), (3, prose(1, 200) + " end")]
+    got = darts.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    judged = sorted((r.doc_id, r.text.startswith("clean"), r.class_id, r.kept) for r in got)
+    assert judged == [(1, False, 1, True), (2, False, 1, False), (2, True, 2, True), (3, False, 1, False)]
+
+
 def test_near_duplicates_odd_rows(odd_docs, no_docs):
     got = darts.near_duplicates(odd_docs)
     rows = got.collect()
