@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, chat, darts, mixing, packing, pivots, repeats, tokencount, toxicity, urlrules
+from larkspur.llm import bpe, chat, darts, mixing, negatives, packing, pivots, repeats, tokencount, toxicity, urlrules, warc, whitening
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -94,3 +94,19 @@ def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_induced_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.digest(table(spark, sf_dir, "documents"))
+
+
+@query(warc.SQL)
+def op11_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(table(spark, sf_dir, "pages"))
+
+
+@query()
+def op12_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@query(negatives.SQL)
+def op13_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label=moved)
