@@ -77,3 +77,21 @@ def hard_class(prob: Column) -> Column:
 
 def rounded(col: Column, places: int = 6) -> Column:
     return F.round(col.cast("double"), places)
+
+
+def sortable(value: Column) -> Column:
+    """A finite or infinite double as a whole number that sorts like it: the bits of its
+    magnitude, negated below zero. Computed exactly from exponent and mantissa; null
+    stays null, and NaN has no place."""
+    a = F.abs(value)
+    about = F.greatest(F.floor(F.log2(a)), F.lit(-1022))  # may miss by one next to a power of two
+    over = a / F.pow(F.lit(2.0), about.cast("double"))
+    exponent = F.when((over < 1) & (about > -1022), about - 1).when(over >= 2, about + 1).otherwise(about)
+    normal = (a / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * F.lit(2.0**52)
+    bits = (
+        F.when(a == 0, F.lit(0).cast("long"))
+        .when(a == float("inf"), F.lit(2047 << 52))
+        .when(a < 2.0**-1022, (a * F.lit(2.0**537) * F.lit(2.0**537)).cast("long"))
+        .otherwise((exponent + 1023) * F.lit(1 << 52) + normal.cast("long"))
+    )
+    return F.when(value < 0, -bits).otherwise(bits)

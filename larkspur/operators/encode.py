@@ -13,11 +13,13 @@ from dataclasses import dataclass
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.operators.profile import label_shares, mode_smallest
 from larkspur.operators.quantiles import exact_quantiles
+from larkspur.operators.ranks import global_rank
+from larkspur.session import saved
 
 MISSING = "Missing"
 RARE = "Rare"
@@ -67,28 +69,35 @@ class RareGrouper:
 @dataclass(frozen=True)
 class TargetOrder:
     """Labels replaced by their rank by mean target in train, from 0; a label not
-    seen in train becomes null. Group rare labels first; more than ``most`` labels in all
-    are an error, as every rank is part of the fitted encoder."""
+    seen in train becomes null. The ranks are a table (column, label, rank). Up to ``most`` of them
+    are looked up in the plan; a longer table is joined per column."""
 
-    ranks: dict[str, dict[str, int]]
+    columns: tuple[str, ...]
+    table: DataFrame
+    most: int = 10_000
 
     @classmethod
     def fit(cls, train: DataFrame, columns: Sequence[str], target: str, most: int = 10_000) -> TargetOrder:
-        rows = label_ranks(train, columns, target).limit(most + 1).collect()
-        if len(rows) > most:
-            raise ValueError(f"more than {most} labels to rank; group rare ones first")
-        return cls({c: {r["label"]: r["rank"] for r in rows if r["column"] == c} for c in columns})
+        return cls(tuple(columns), saved(label_ranks(train, columns, target).select("column", "label", "rank"), "ranks"), most)
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = {}
-        for c, ranks in self.ranks.items():
-            pairs = [F.lit(x) for kv in ranks.items() for x in kv]
-            out[c] = F.create_map(*pairs)[F.col(c)] if pairs else F.lit(None).cast("int")
-        return df.withColumns(out)
+        few = self.table.limit(self.most + 1).collect()
+        if len(few) <= self.most:
+            out = {}
+            for c in self.columns:
+                pairs = [F.lit(x) for r in few if r["column"] == c for x in (r["label"], r["rank"])]
+                out[c] = F.create_map(*pairs)[F.col(c)] if pairs else F.lit(None).cast("int")
+            return df.withColumns(out)
+        names = df.columns
+        for c in self.columns:
+            ranks = self.table.where(F.col("column") == c).select(F.col("label").alias(c), F.col("rank").alias("__rank"))
+            df = df.join(ranks, c, "left").drop(c).withColumnRenamed("__rank", c)
+        return df.select(*names)
 
 
 def label_ranks(train: DataFrame, columns: Sequence[str], target: str) -> DataFrame:
-    """(column, label, mean, rank) with ties by label."""
+    """(column, label, mean, rank) with ties by label. Ranks come from ranges of labels, so
+    no task orders the labels of a column."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("label")) for c in columns])
     means = (
         train.select(F.col(target).alias("t"), F.explode(cells).alias("c"))
@@ -97,8 +106,7 @@ def label_ranks(train: DataFrame, columns: Sequence[str], target: str) -> DataFr
         .groupBy("column", "label")
         .agg(F.avg("t").alias("mean"))
     )
-    w = Window.partitionBy("column").orderBy(F.round("mean", 9), "label")
-    return means.withColumn("rank", F.row_number().over(w) - 1)
+    return global_rank(means, [F.round("mean", 9), F.col("label")], ["column"])
 
 
 @dataclass(frozen=True)
@@ -193,9 +201,9 @@ def assemble(df: DataFrame, model: PipelineModel, numeric: Sequence[str], out: s
 
 
 def string_index(df: DataFrame, column: str) -> DataFrame:
-    """(label, index): most frequent first, ties by label, as the fitted indexer has it."""
-    model = StringIndexer(inputCol=column, outputCol="idx", handleInvalid="skip").fit(df)
-    return model.transform(df).groupBy(F.col(column).alias("label")).agg(F.max(F.col("idx").cast("int")).alias("idx"))
+    """(label, index): most frequent first, ties by label. The labels stay a table."""
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).agg(F.count("*").alias("n"))
+    return global_rank(counts, [F.desc("n"), F.col("label")], name="idx").select("label", "idx")
 
 
 def one_hot_columns(df: DataFrame, column: str, labels: Sequence[str], drop_first: bool = False) -> DataFrame:

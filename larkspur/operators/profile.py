@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.functions.numeric import sortable
+
 
 def _rows(df: DataFrame, cells: Sequence[Column]) -> DataFrame:
     return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
@@ -69,8 +72,9 @@ def top_values(df: DataFrame, column: str, k: int) -> DataFrame:
 
 
 def mode_smallest(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """Most frequent value per column, the smallest on a tie. Values are counted
-    across all tasks first; the pick among them is a map-side reducible max."""
+    """Most frequent value per column, the smallest on a tie. Values are counted across all
+    tasks first; the pick is by one number of fixed width, the count before the sortable
+    image of the value, so it stays in the hash aggregate."""
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
     counts = (
         df.select(*keys, F.explode(cells).alias("c"))
@@ -79,10 +83,9 @@ def mode_smallest(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
         .groupBy(*keys, "column", "value")
         .agg(F.count("*").alias("n"))
     )
-    best = F.max(F.struct(F.col("n"), (-F.col("value")).alias("neg")))
-    return counts.groupBy(*keys, "column").agg(best.alias("b")).select(
-        *keys, "column", (-F.col("b.neg")).alias("mode"), F.col("b.n").alias("n")
-    )
+    finite = F.when(F.isnan("value"), F.lit((1 << 63) - 1)).otherwise(sortable(F.col("value")))  # NaN last
+    order = F.col("n").cast("decimal(18,0)") * F.lit(Decimal(1 << 64)) - finite.cast("decimal(20,0)")
+    return counts.groupBy(*keys, "column").agg(F.max_by("value", order).alias("mode"), F.max("n").alias("n"))
 
 
 def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:

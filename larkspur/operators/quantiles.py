@@ -1,4 +1,4 @@
-"""Exact quantiles without gathering a column or a group in one task."""
+"""Exact quantiles by radix selection, without gathering a column or a group in one task."""
 
 from __future__ import annotations
 
@@ -7,109 +7,151 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 1024
-
-
-def _split_points(df: DataFrame, columns: Sequence[str], bins: int) -> dict[str, list[float]]:
-    """Equal-depth split points per column: at most ``bins`` numbers each."""
-    probs = ", ".join(f"{i / bins!r}D" for i in range(1, bins))
-    picks = [F.expr(f"percentile_approx(CAST(`{c}` AS DOUBLE), array({probs}), {10 * bins})").alias(c) for c in columns]
-    row = df.agg(*picks).first()
-    out = {}
-    for c in columns:
-        inner = sorted({v for v in (row[c] or []) if not math.isnan(v)})
-        out[c] = [-math.inf, *(inner or [0.0]), math.inf]
-    return out
-
-
-def _binned(df: DataFrame, columns: Sequence[str], keys: Sequence[str], bins: int) -> DataFrame:
-    """Columns as rows (keys, column, value, bin). The bins are ordered and equally
-    deep, so none holds much more than 1/bins of the rows unless these share one
-    value, and then they are a single row once counted per value."""
-    splits = _split_points(df, columns, bins)
-    nan = F.lit(float("nan"))
-    flat = df.select(*keys, *[F.coalesce(F.col(c).cast("double"), nan).alias(c) for c in columns])
-    names = {c: f"__bin_{i}" for i, c in enumerate(columns)}
-    binned = Bucketizer(
-        inputCols=list(columns),
-        outputCols=[names[c] for c in columns],
-        splitsArray=[splits[c] for c in columns],
-        handleInvalid="keep",
-    ).transform(flat)
-    if len(columns) == 1:
-        (c,) = columns
-        rows = binned.select(*keys, F.lit(c).alias("column"), F.col(c).alias("value"), F.col(names[c]).alias("bin"))
-    else:
-        cell = lambda c: F.struct(F.lit(c).alias("column"), F.col(c).alias("value"), F.col(names[c]).alias("bin"))
-        rows = binned.select(*keys, F.explode(F.array(*[cell(c) for c in columns])).alias("c")).select(*keys, "c.*")
-    return rows.where(~F.isnan("value"))
-
-
-def _ranks(per_bin: DataFrame, group: list[str], probs: Sequence[float]) -> DataFrame:
-    """Bins that hold a wanted rank, with the rows before the bin and the ranks."""
-    ordered = Window.partitionBy(*group).orderBy("bin")
-    upto, total = F.sum("n").over(ordered), F.sum("n").over(Window.partitionBy(*group))
-    wanted = F.explode(F.array(*[F.lit(float(p)) for p in probs]))
-    return (
-        per_bin.select(*group, "bin", upto.alias("upto"), (upto - F.col("n")).alias("before"), total.alias("total"))
-        .select("*", wanted.alias("prob"))
-        .withColumn("place", (F.col("total") - 1) * F.col("prob"))
-        .withColumn("rank", F.explode(F.array_distinct(F.array(F.floor("place"), F.ceil("place")))))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("upto")))
-        .groupBy(*group, "bin", "before")
-        .agg(F.collect_list(F.struct("prob", "place", "rank")).alias("targets"))
-    )
+from larkspur.functions.numeric import sortable
+from larkspur.session import saved
+
+CELLS = 1 << 16  # cells that a round cuts a wanted cell into
+MOST = 1_000_000  # distinct values that one task orders at most
+
+
+def _rows(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Columns as rows: the group ``g`` (keys and column number), value, and the value as a
+    sortable number. Null and NaN go out."""
+    cell = lambda i, c: F.struct(F.lit(i).alias("column"), F.col(c).cast("double").alias("value"))
+    rows = df.select(*keys, F.explode(F.array(*[cell(i, c) for i, c in enumerate(columns)])).alias("c"))
+    rows = rows.where(F.col("c.value").isNotNull() & ~F.isnan("c.value"))
+    g = F.struct(*keys, F.col("c.column").alias("__column")).alias("g")
+    return rows.select(g, F.col("c.value").alias("value"), sortable(F.col("c.value")).alias("image"))
+
+
+def _prefix(shift: int) -> Column:
+    return F.shiftright("image", shift)
+
+
+TARGETS = "array<struct<prob: double, place: double, rank: long>>"
+
+
+def _wanted(total: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Per group the ranks that its quantiles need; nothing is known to lie before its only cell."""
+    place = lambda p: (F.col("n") - 1) * F.lit(float(p))
+    rank = lambda p, f: F.struct(F.lit(float(p)).alias("prob"), place(p).alias("place"), f(place(p)).alias("rank"))
+    targets = F.array_distinct(F.array(*[rank(p, f) for p in probs for f in (F.floor, F.ceil)]))
+    return total.select("g", F.lit(0).cast("long").alias("before"), targets.alias("targets"))
+
+
+def _closer(counts: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    """Cells of the wanted cells that hold a wanted rank, with the rows before them."""
+    inside = Window.partitionBy(*on).orderBy("cell")
+    upto = F.col("before") + F.sum("n").over(inside)
+    held = lambda t: (t["rank"] >= F.col("upto") - F.col("n")) & (t["rank"] < F.col("upto"))
+    out = counts.join(wanted, on).withColumn("upto", upto)
+    out = out.withColumn("targets", F.filter("targets", held)).where(F.size("targets") > 0)
+    return out.select("g", "cell", (F.col("upto") - F.col("n")).alias("before"), "targets", "m")
+
+
+def _cells_by_key(rows: DataFrame, probs: Sequence[float], digits: int, most: int) -> list[tuple[int, DataFrame]]:
+    """The cells to order, as (shift, cells), for rows that are unique per group and value."""
+    shift, ready, open_ = 64, [], rows
+    wanted, on = None, ["g"]
+    while True:
+        shift = max(0, shift - digits)
+        counts = open_.groupBy(*on, _prefix(shift).alias("cell")).agg(F.sum("n").alias("n"), F.count("*").alias("m"))
+        if wanted is None:
+            counts = saved(counts, "cells")
+            wanted = _wanted(counts.groupBy("g").agg(F.sum("n").alias("n")), probs)
+        found = saved(_closer(counts, wanted, on), "wanted")
+        small = F.col("m") <= most if shift else F.lit(True)
+        ready.append((shift, found.where(small)))
+        rest = found.where(~small)
+        if rest.isEmpty():
+            return ready
+        wanted, on = rest.withColumnRenamed("cell", "parent").drop("m"), ["g", "parent"]
+        open_ = rows.withColumn("parent", _prefix(shift)).join(wanted.select(*on), on, "left_semi")
+
+
+def _cells(rows: DataFrame, probs: Sequence[float], digits: int, most: int) -> list[tuple[int, DataFrame]]:
+    """The same without keys: counts of at most 2^digits cells per column, and later per wanted
+    cell, of which there are two per column and probability, are placed on the driver."""
+    spark, shift, ready, open_, wanted = rows.sparkSession, 64, [], rows, {}
+    while True:
+        shift = max(0, shift - digits)
+        parent = F.col("parent") if wanted else F.lit(0).cast("long")
+        counts: dict[tuple, list] = {}
+        for g, p, cell, n in open_.groupBy("g", parent.alias("p"), _prefix(shift).alias("cell")).agg(F.sum("n")).collect():
+            counts.setdefault((g["__column"], p), []).append((cell, n))
+        if not wanted:
+            for key, cells in counts.items():
+                last = sum(n for _, n in cells) - 1
+                ranks = {(float(p), last * float(p), f(last * float(p))) for p in probs for f in (math.floor, math.ceil)}
+                wanted[key] = (0, sorted(ranks))
+        small, rest = [], {}
+        for key, cells in counts.items():
+            before, targets = wanted[key]
+            for cell, n in sorted(cells):
+                held = [t for t in targets if before <= t[2] < before + n]
+                if held and shift and n > most:
+                    rest[key[0], cell] = (before, held)
+                elif held:
+                    small.append(((key[0],), cell, before, held))
+                before += n
+        ready.append((shift, spark.createDataFrame(small, f"g struct<__column: int>, cell long, before long, targets {TARGETS}")))
+        if not rest:
+            return ready
+        wanted = rest
+        again = spark.createDataFrame([((c,), cell) for c, cell in rest], "g struct<__column: int>, parent long")
+        open_ = rows.withColumn("parent", _prefix(shift)).join(F.broadcast(again), ["g", "parent"], "left_semi")
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (), bins: int = BINS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], keys: Sequence[str] = (), bins: int = CELLS, most: int = MOST
 ) -> DataFrame:
     """(keys, column, prob, value) with linear interpolation between neighbours.
 
-    Counts per bin place each wanted rank in a bin; only the distinct values of
-    those bins are then ordered, one small window per bin. Without keys the wanted
-    bins are at most two per column and probability: that list is broadcast and
-    all other rows drop out before anything is shuffled.
+    A double is seen as a sortable 64-bit number. A round counts rows per leading digits (``bins`` values,
+    a power of two), which places each wanted rank in a cell, and only the wanted cells are looked at again,
+    by their next digits, until they hold at most ``most`` distinct values (without keys: rows) or one. Those
+    values are then ordered, a cell per task at most. Rows outside wanted cells are never shuffled when there are no
+    keys: the list of wanted cells, two per column and probability, goes to them. With keys, rows are first
+    reduced to the values of each group, spread over all tasks.
     """
-    rows = _binned(df, columns, keys, bins)
-    group = [*keys, "column"]
-    cell = [*group, "bin"]
-    count = F.count("*").alias("n")
+    digits = bins.bit_length() - 1
+    if bins != 1 << digits or not digits:
+        raise ValueError("the number of cells must be a power of two")
+    rows = _rows(df, columns, keys)
     if keys:
-        values = rows.groupBy(*cell, "value").agg(count)
-        ranks = _ranks(values.groupBy(*cell).agg(F.sum("n").alias("n")), group, probs)
+        rows = saved(rows.groupBy("g", "value", "image").agg(F.count("*").alias("n")), "values")
+        ready, near = _cells_by_key(rows, probs, digits, most), lambda t: t
     else:
-        ranks = _ranks(rows.groupBy(*cell).agg(count), group, probs)
-        wanted = F.broadcast(ranks.select(*cell))
-        values = rows.join(wanted, cell, "left_semi").groupBy(*cell, "value").agg(count)
-    v, r = values.alias("v"), ranks.alias("r")
-    same = reduce(and_, [F.col(f"v.{c}").eqNullSafe(F.col(f"r.{c}")) for c in cell])
-    inside = Window.partitionBy(*cell).orderBy("value")
-    hits = (
-        v.join(r, same)
-        .select(*[F.col(f"v.{c}").alias(c) for c in cell], "v.value", "v.n", "r.before", "r.targets")
-        .withColumn("upto", F.col("before") + F.sum("n").over(inside))
-        .withColumn("t", F.explode("targets"))
-        .where((F.col("t.rank") < F.col("upto")) & (F.col("t.rank") >= F.col("upto") - F.col("n")))
+        rows = rows.withColumn("n", F.lit(1).cast("long"))
+        ready, near = _cells(rows, probs, digits, most), F.broadcast
+    hits = reduce(DataFrame.unionByName, [_hits(rows, shift, cells, near) for shift, cells in ready])
+    ends = hits.groupBy("g", F.col("t.prob").alias("prob"), F.col("t.place").alias("place")).agg(
+        F.min("value").alias("low"), F.max("value").alias("high")
     )
-    return (
-        hits.groupBy(*group, F.col("t.prob").alias("prob"), F.col("t.place").alias("place"))
-        .agg(F.min("value").alias("low"), F.max("value").alias("high"))
-        .select(
-            *group,
-            "prob",
-            (F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))).alias("value"),
-        )
+    # two equal infinities have no difference
+    value = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(
+        F.col("low") + (F.col("high") - F.col("low")) * (F.col("place") - F.floor("place"))
     )
+    names = F.array(*[F.lit(c) for c in columns])
+    return ends.select(*[F.col("g")[k].alias(k) for k in keys], names[F.col("g")["__column"]].alias("column"), "prob", value.alias("value"))
+
+
+def _hits(rows: DataFrame, shift: int, cells: DataFrame, near) -> DataFrame:
+    """(g, t, value) for every wanted rank of the cells, from their ordered distinct values."""
+    values = rows.withColumn("cell", _prefix(shift)).join(near(cells.select("g", "cell")), ["g", "cell"], "left_semi")
+    values = values.groupBy("g", "cell", "value").agg(F.sum("n").alias("n"))
+    inside = Window.partitionBy("g", "cell").orderBy("value")
+    upto = F.col("before") + F.sum("n").over(inside)
+    out = values.join(near(cells), ["g", "cell"]).withColumn("upto", upto).withColumn("t", F.explode("targets"))
+    return out.where((F.col("t.rank") < F.col("upto")) & (F.col("t.rank") >= F.col("upto") - F.col("n"))).select("g", "t", "value")
 
 
-def median_by(df: DataFrame, column: str, keys: Sequence[str], bins: int = BINS) -> DataFrame:
+def median_by(df: DataFrame, column: str, keys: Sequence[str]) -> DataFrame:
     """(keys, median)."""
-    return exact_quantiles(df, [column], [0.5], keys, bins).select(*keys, F.col("value").alias("median"))
+    return exact_quantiles(df, [column], [0.5], keys).select(*keys, F.col("value").alias("median"))
 
 
 QUARTILES = (0.25, 0.5, 0.75)

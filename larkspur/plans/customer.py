@@ -9,8 +9,9 @@ unique on the same key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.functions.dates import as_date, days_before, months_before, quarter_bit
@@ -20,8 +21,14 @@ from larkspur.operators.joins import sliced_join, union_latest
 from larkspur.session import materialise
 from larkspur.sources.star import EVERYWHERE, RegionConfig
 
-# The recency classes of a consumer who is still active.
+# The segment labels, and among them the recency classes of a consumer who is still active.
 ACTIVE_CLASSES = ("1-High Rec (0-30 Days)", "2-Med Rec (31-120 Days)", "3-Low Rec (121-365 Days)")
+SEGMENT_LABELS = {
+    "recency_segment": ("active", "inactive", "lapsing"),
+    "frequency_segment": ("repeat", "single"),
+    "recency_9block": (*ACTIVE_CLASSES, "4-Inactive (366+ Days)"),
+    "frequency_9block": ("1-Low Freq (1 Order)", "2-Med Freq (2-4 Orders)", "3-High Freq (5+ Orders)"),
+}
 SPLIT = (("training", 66), ("validation", 34))
 
 
@@ -30,12 +37,20 @@ def population(segments: DataFrame, region: RegionConfig = EVERYWHERE) -> DataFr
     pop = segments.where(F.col("recency_9block").isin(*ACTIVE_CLASSES))
     if region.countries is not None:
         pop = pop.where(F.col("country_id").isin(*region.countries))
-    return pop.groupBy("brand", "consumer_id", "user_key").agg(
-        *[
-            F.min(c).alias(c)
-            for c in ("recency_segment", "frequency_segment", "recency_9block", "frequency_9block")
-        ]
-    )
+    keys = ("brand", "consumer_id", "user_key")
+    low = pop.groupBy(*keys).agg(*[F.min(label_place(c, v)).alias(c) for c, v in SEGMENT_LABELS.items()])
+    return low.select(*keys, *[F.array(*map(F.lit, sorted(v)))[F.col(c)].alias(c) for c, v in SEGMENT_LABELS.items()])
+
+
+def label_place(column: str, labels: Sequence[str]) -> Column:
+    """Place of a label among its sorted kind: a number keeps a minimum in the hash
+    aggregate, where text would be sorted. Null stays null; an unknown label raises."""
+    known = {v: i for i, v in enumerate(sorted(labels))}
+    place = F.lit(None).cast("int")
+    for v, i in known.items():
+        place = F.when(F.col(column) == v, i).otherwise(place)
+    strange = F.raise_error(F.concat(F.lit(f"unknown {column}: "), F.col(column))).cast("int")
+    return F.when(F.col(column).isNull() | F.col(column).isin(*known), place).otherwise(strange)
 
 
 def in_scope(orders: DataFrame, region: RegionConfig = EVERYWHERE) -> DataFrame:
@@ -59,50 +74,77 @@ def target_label(recency: DataFrame, orders: DataFrame, asof: str, today: str) -
 LATEST = ("is_activation", "is_reactivation", "order_id", "nob", "l1", "l2", "traffic_type", "traffic_source", "platform", "promo_type")
 
 
-def latest_attributes(orders: DataFrame, key: str, columns: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Attributes of the newest row per key: the maximum of (time, id, columns),
-    which needs neither a sort nor all rows of a key in one task."""
-    newest = F.max_by(F.struct(*columns), F.struct(*order)).alias("n")
-    return orders.groupBy(key).agg(newest).select(key, *[F.col(f"n.{c}").alias(f"most_recent_{c}") for c in columns])
+NEWEST = "__newest"
+
+
+def arrival(orders: DataFrame, time: str, id: str) -> Column:
+    """(time, id) as one number of fixed width that sorts like the pair: microseconds
+    since 1970, then the id in 64 bits. Its maximum stays in the hash aggregate, while a
+    maximum of pairs or of text sorts its input. Missing times and ids come first."""
+    at = F.col(time).cast("timestamp_ntz")
+    if orders.schema[time].dataType.typeName() == "timestamp":
+        micros = F.unix_micros(time)
+    else:  # without a time zone, so that no zone can fold two hours into one
+        seconds = F.hour(at) * 3600 + F.minute(at) * 60 + F.extract(F.lit("SECOND"), at)
+        micros = F.unix_date(at.cast("date")) * F.lit(86_400_000_000) + (seconds * 1_000_000).cast("long")
+    micros = F.coalesce(micros, F.lit(-(10**17))).cast("decimal(18,0)")
+    place = F.coalesce(F.col(id).cast("long"), F.lit(-(1 << 63))).cast("decimal(20,0)") + F.lit(Decimal(1 << 63))
+    return (micros * F.lit(Decimal(1 << 64)) + place).cast("decimal(38,0)")
+
+
+def latest_attributes(orders: DataFrame, key: str, columns: Sequence[str], order: tuple[str, str], details: DataFrame | None = None) -> DataFrame:
+    """Attributes of the newest row per key, by (time, id): the maximum of one number
+    per key in a hash aggregate, then a join back to the one row that has it. A key with a
+    large share of the rows is reduced before the shuffle, and the join's key is unique.
+
+    ``details`` may hold the columns apart from the rows that are ranked, under the same key, time and id; then
+    ``orders`` can be a slim table. (time, id) should name one row of a key; equal rows are one.
+    """
+    stamped = orders.select(key, arrival(orders, *order).alias(NEWEST))
+    newest = stamped.groupBy(key).agg(F.max(NEWEST).alias(NEWEST))
+    details = orders if details is None else details
+    rows = details.select(key, arrival(details, *order).alias(NEWEST), *[F.col(c).alias(f"most_recent_{c}") for c in columns])
+    return newest.join(rows, [key, NEWEST]).drop(NEWEST).distinct()
 
 
 def order_features(orders: DataFrame, asof: str, region: RegionConfig = EVERYWHERE, incentives: DataFrame | None = None) -> DataFrame:
-    """Counts, money and the newest order over the last 24 and 12 months."""
+    """Counts, money and the newest order over the last 24 and 12 months. ``orders`` is
+    read twice, for the sums and for the newest rows; a joined table is best written first."""
     scoped = in_scope(orders, region).where(
         (F.col("order_date") >= months_before(asof, 24)) & (F.col("order_date") <= as_date(asof))
     )
     if incentives is not None:
         scoped = scoped.drop("promo_type", "wow_discount").join(incentives, "order_id", "left")
+    scoped = scoped.withColumn(NEWEST, arrival(scoped, "order_timestamp", "order_id"))
     year = F.when(F.col("order_date") >= months_before(asof, 12), 1).otherwise(0)
     count_if = lambda cond: F.sum(F.when(cond, 1).otherwise(0))
     money = ("nob", "nor", "gp", "discount_amount", "ils_discount", "wow_discount")
     signed = {"discount_amount": -F.coalesce("discount_amount", F.lit(0.0)), "wow_discount": F.coalesce("wow_discount", F.lit(0.0))}
     value = lambda c: signed.get(c, F.col(c))
+    counted = {
+        "l1": {f"L1 - {name.title()}": name for name in ("local", "shopping", "travel")},
+        "platform": {name: name for name in ("app", "touch", "web")},
+        "traffic_type": {name.title(): name for name in ("paid", "free", "managed")},
+    }
     out = scoped.groupBy("consumer_id").agg(
         F.max("order_date").alias("most_recent_order_date"),
-        F.max_by(F.struct(*LATEST), F.struct("order_timestamp", "order_id")).alias("newest"),
+        F.max(NEWEST).alias(NEWEST),
         F.count("*").alias("frequency_t24m"),
         F.sum("units").alias("units_t24m"),
         *[F.round(F.sum(value(c)), 4).alias(f"{c}_t24m") for c in money],
         F.sum(year).alias("frequency_t12m"),
         F.coalesce(F.sum(year * F.col("units")), F.lit(0)).alias("units_t12m"),
         *[F.round(F.coalesce(F.sum(year * value(c)), F.lit(0.0)), 4).alias(f"{c}_t12m") for c in money],
-        *[
-            count_if(F.col("l1") == f"L1 - {name.title()}").alias(f"{name}_orders_t24m")
-            for name in ("local", "shopping", "travel")
-        ],
-        *[count_if(F.col("platform") == name).alias(f"{name}_orders_t24m") for name in ("app", "touch", "web")],
-        *[
-            count_if(F.col("traffic_type") == name.title()).alias(f"{name}_orders_t24m")
-            for name in ("paid", "free", "managed")
-        ],
+        *[count_if(F.col(c) == v).alias(f"{name}_orders_t24m") for c, names in counted.items() for v, name in names.items()],
         F.bit_or(quarter_bit(F.col("order_date"), asof)).alias("quarters"),
     )
     out = out.withColumn("unique_purchase_quarters", F.bit_count("quarters").cast("long")).drop("quarters")
+    named = lambda c: c if c.startswith("is_") else "most_recent_order_price" if c == "nob" else f"most_recent_{c}"
+    newest = scoped.select("consumer_id", NEWEST, *[F.col(c).alias(named(c)) for c in LATEST])
     return (
-        out.select("*", *[F.col(f"newest.{c}").alias(c if c.startswith("is_") else f"most_recent_{c}") for c in LATEST])
-        .drop("newest")
-        .withColumnRenamed("most_recent_nob", "most_recent_order_price")
+        out.join(newest, ["consumer_id", NEWEST])
+        .drop(NEWEST)
+        .distinct()
         .withColumn("recency", F.datediff(as_date(asof), "most_recent_order_date"))
         .withColumn("deact_date", F.date_add("most_recent_order_date", 365))
     )
@@ -283,28 +325,17 @@ ZERO_FILLED = (
 )
 
 
-def all_features(
-    pop: DataFrame,
-    orders: DataFrame,
-    engagement: DataFrame,
-    lifetime: DataFrame,
-    email: DataFrame,
-    next_orders: DataFrame | None = None,
-) -> DataFrame:
+STEPS = ("orders", "engagement", "lifetime", "email", "next_orders")
+
+
+def all_features(joined: DataFrame, labelled: bool = True) -> DataFrame:
     """Population with every feature table; sums that miss become 0, dates and
-    recencies that miss stay null. With ``next_orders`` the label is added."""
-    out = (
-        pop.join(orders, "consumer_id", "left")
-        .join(engagement, "consumer_id", "left")
-        .join(lifetime, "consumer_id", "left")
-        .join(email, "consumer_id", "left")
-    )
-    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILLED})
+    recencies that miss stay null. ``labelled`` adds the label from the outcome period."""
+    out = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILLED})
     out = out.withColumn("data_set", split_label(F.col("consumer_id"), SPLIT))
-    if next_orders is not None:
-        out = out.join(
-            next_orders.select("consumer_id", F.col("min_order_date").alias("next_order_date")), "consumer_id", "left"
-        ).withColumn("deact_flag", 1 - F.when(F.col("next_order_date") <= F.col("deact_date"), 1).otherwise(0))
+    if labelled:
+        out = out.withColumnRenamed("min_order_date", "next_order_date").drop("retained")
+        out = out.withColumn("deact_flag", 1 - F.when(F.col("next_order_date") <= F.col("deact_date"), 1).otherwise(0))
     return out
 
 

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.functions.dates import as_date, months_before
 from larkspur.plans import customer as cust
 from larkspur.queries import frames
 from larkspur.queries.frames import text_dates
 from larkspur.queries.registry import query
 from larkspur.queries.sqlparts import ASOF, KEPT, ZERO, with_parts
+from larkspur.session import saved
 from larkspur.sources import star
 from larkspur.sources.star import ORDERS_ASOF, ORDERS_TODAY, TRAFFIC_ASOF, RegionConfig, load
 
@@ -37,7 +39,8 @@ _DATES = ("most_recent_order_date", "deact_date")
 
 @query(with_parts(["order_feats"], f"SELECT * REPLACE ({', '.join(f'{c}::VARCHAR AS {c}' for c in _DATES)}) FROM order_feats"))
 def order_features(spark: SparkSession, sf: str) -> DataFrame:
-    return text_dates(cust.order_features(star.orders_fact(spark, sf), ORDERS_ASOF))
+    fact = star.orders_fact(spark, sf, (months_before(ORDERS_ASOF, 24), as_date(ORDERS_ASOF)))
+    return text_dates(cust.order_features(saved(fact, "orders-fact"), ORDERS_ASOF))
 
 
 @query(
@@ -52,7 +55,8 @@ FROM fact WHERE txn_amount <> 0 AND action IN ('F', 'O') AND order_date >= CAST(
 )
 def order_features_region(spark: SparkSession, sf: str) -> DataFrame:
     region = RegionConfig("abroad", actions=("F", "O"))
-    out = cust.order_features(star.orders_fact(spark, sf), ORDERS_ASOF, region)
+    fact = star.orders_fact(spark, sf, (months_before(ORDERS_ASOF, 24), as_date(ORDERS_ASOF)))
+    out = cust.order_features(saved(fact, "orders-fact"), ORDERS_ASOF, region)
     return out.select("consumer_id", "frequency_t24m", "units_t24m", "nor_t24m")
 
 
@@ -67,11 +71,17 @@ FROM (SELECT *, row_number() OVER (PARTITION BY consumer_id ORDER BY order_times
     )
 )
 def order_latest_attrs(spark: SparkSession, sf: str) -> DataFrame:
-    return cust.latest_attributes(
-        star.orders_fact(spark, sf),
+    """Only headers are ranked; lines are summed for the newest orders alone."""
+    heads = star.order_headers(spark, sf)
+    newest = cust.latest_attributes(heads, "consumer_id", ("order_id", "platform"), ("order_timestamp", "order_id"))
+    lines = star.line_totals(spark, sf, newest.select(F.col("most_recent_order_id").alias("order_id")))
+    lines = lines.select(F.col("order_id").alias("most_recent_order_id"), "l1", F.col("promo_type").alias("most_recent_promo_type"))
+    return newest.join(lines, "most_recent_order_id", "left").select(
         "consumer_id",
-        ("order_id", "platform", "l1", "promo_type"),
-        ("order_timestamp", "order_id"),
+        "most_recent_order_id",
+        "most_recent_platform",
+        F.coalesce("l1", F.lit("unknown")).alias("most_recent_l1"),
+        "most_recent_promo_type",
     )
 
 
@@ -130,7 +140,7 @@ def email_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return text_dates(cust.email_metrics(frames.pop(spark, sf), star.email_log(spark, sf), TRAFFIC_ASOF))
 
 
-_IDS = "brand consumer_id recency_segment frequency_segment recency_9block frequency_9block data_set".split()
+_IDS = ("brand", "consumer_id", *cust.SEGMENT_LABELS, "data_set")
 _ALL = [*_IDS, *ZERO, *KEPT, "next_order_date", "deact_flag"]
 _DATED = [c for c in _ALL if c.endswith("_date")]
 

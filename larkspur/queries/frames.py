@@ -7,14 +7,16 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.functions.dates import as_date, months_before
 from larkspur.operators.evaluate import mask_probability
 from larkspur.operators.joins import full_compare
 from larkspur.plans import customer as cust
+from larkspur.plans.feature_store import FeatureStore
+from larkspur.session import saved
 from larkspur.sources import star
 from larkspur.sources.star import ORDERS_ASOF, ORDERS_TODAY, TRAFFIC_ASOF
 
 
-
 def day_after(day: str, days: int = 1) -> str:
     return str(dt.date.fromisoformat(day) + dt.timedelta(days=days))
 
@@ -114,20 +116,45 @@ def accuracy(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_STORES: dict[tuple[str, str], FeatureStore] = {}
+
+
+def store(spark: SparkSession, sf: str) -> FeatureStore:
+    """The feature tables made from a folder by this application."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORES:
+        _STORES[key] = FeatureStore(spark)
+    return _STORES[key]
+
+
+def forget_features() -> None:
+    """Features are made anew after this."""
+    _STORES.clear()
+
+
 def features(spark: SparkSession, sf: str, asof: str = ORDERS_ASOF, traffic_asof: str = TRAFFIC_ASOF) -> DataFrame:
-    """All-feature table as of a day; the outcome year starts the day after."""
-    people = pop(spark, sf, asof)
-    fact = star.orders_fact(spark, sf)
-    heads = star.order_headers(spark, sf)
-    visits = star.visits(spark, sf)
-    cookies = cust.cookie_map(
-        [cust.cookie_map_visits(None, visits, traffic_asof), cust.cookie_map_orders(None, heads, asof)]
-    )
-    return cust.all_features(
-        people,
-        cust.order_features(fact, asof),
-        cust.engagement_by_consumer(cookies, cust.engagement_by_cookie(visits, traffic_asof), traffic_asof),
-        cust.lifetime_orders(heads, asof),
-        cust.email_metrics(None, star.email_log(spark, sf), traffic_asof),
-        cust.response(heads, day_after(asof), ORDERS_TODAY),
-    )
+    """All-feature table as of a day, made and written when a day is asked for the first time; the
+    outcome year starts the day after."""
+    tables = store(spark, sf)
+    if not tables.has("features", asof):
+        heads, visits = star.order_headers(spark, sf), star.visits(spark, sf)
+
+        def orders() -> DataFrame:
+            fact = star.orders_fact(spark, sf, (months_before(asof, 24), as_date(asof)))
+            return cust.order_features(saved(fact, "orders-fact"), asof)
+
+        def engagement() -> DataFrame:
+            maps = [cust.cookie_map_visits(None, visits, traffic_asof), cust.cookie_map_orders(None, heads, asof)]
+            return cust.engagement_by_consumer(cust.cookie_map(maps), cust.engagement_by_cookie(visits, traffic_asof), traffic_asof)
+
+        steps = {
+            "orders": orders,
+            "engagement": engagement,
+            "population": lambda: pop(spark, sf, asof),
+            "email": lambda: cust.email_metrics(None, star.email_log(spark, sf), traffic_asof),
+            "lifetime": lambda: cust.lifetime_orders(heads, asof),
+            "next_orders": lambda: cust.response(heads, day_after(asof), ORDERS_TODAY),
+        }
+        tables.write_all(steps, asof)
+        tables.write("features", cust.all_features(tables.star("population", list(cust.STEPS), asof)), asof)
+    return tables.read("features", asof)

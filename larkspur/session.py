@@ -52,6 +52,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/larkspur/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """The frame written as Parquet to the shared folder and read back."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors and cuts lineage."""
     spark = df.sparkSession

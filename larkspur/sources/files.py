@@ -7,6 +7,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path on it: the driver's view of any store that Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def state(spark: SparkSession, path: str) -> tuple:
+    """Names, lengths and times of a folder's files: changes when they do."""
+    disk, where = file_system(spark, path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in disk.listStatus(where)))
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, date_columns: tuple[str, ...] = (), sep: str = ","
 ) -> DataFrame:

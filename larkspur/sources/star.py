@@ -11,15 +11,27 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from larkspur.sources import files
 
 ORDERS_ASOF = "2000-07-28"
 ORDERS_TODAY = "2001-07-29"
 TRAFFIC_ASOF = "2024-01-28"
 
 
+_SCHEMAS: dict[str, tuple[tuple, StructType]] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the star schema, with the schema its files have now."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the star schema, with the schema its files have now. Looking into a file takes a
+    job, so the schema is remembered for as long as the folder's files stay the same."""
+    path = f"{sf_dir}/{name}.parquet"
+    state = files.state(spark, path)
+    held = _SCHEMAS.get(path)
+    if held is None or held[0] != state:
+        held = _SCHEMAS[path] = (state, spark.read.parquet(path).schema)
+    return spark.read.schema(held[1]).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -43,11 +55,13 @@ L1_OF_FLAG = {"A": "L1 - Local", "N": "L1 - Shopping", "R": "L1 - Travel"}
 L2_OF_STATUS = {"F": "L2 - Charity", "O": "L2 - Home"}
 
 
-def line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_totals(spark: SparkSession, sf_dir: str, of: DataFrame | None = None) -> DataFrame:
     """One row per order: money, units, category and incentive of its lines. The
     categories are kept as counts per flag: unlike text minima, counts stay in the
-    hash aggregate."""
+    hash aggregate. Lines of orders that are not in ``of`` go out before."""
     li = load(spark, sf_dir, "lineitem")
+    if of is not None:
+        li = li.join(of.select(F.col("order_id").alias("l_orderkey")), "l_orderkey", "left_semi")
     price, disc, tax = F.col("l_extendedprice"), F.col("l_discount"), F.col("l_tax")
     return (
         li.groupBy(F.col("l_orderkey").alias("order_id"))
@@ -110,10 +124,14 @@ def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def orders_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with its money; both sides are unique on the order id."""
-    lines = line_totals(spark, sf_dir)
-    out = order_headers(spark, sf_dir).join(lines, "order_id", "left")
+def orders_fact(spark: SparkSession, sf_dir: str, days: tuple[Column, Column] | None = None) -> DataFrame:
+    """One row per order with its money; both sides are unique on the order id. ``days``
+    keeps the orders from the first to the last day, and only their lines are summed."""
+    heads = order_headers(spark, sf_dir)
+    if days is not None:
+        heads = heads.where(F.col("order_date").between(*days))
+    lines = line_totals(spark, sf_dir, None if days is None else heads)
+    out = heads.join(lines, "order_id", "left")
     return out.withColumn("l1", F.coalesce("l1", F.lit("unknown"))).withColumn("l2", F.coalesce("l2", F.lit("unknown")))
 
 

@@ -43,6 +43,43 @@ def test_quantiles_with_hot_value_and_hot_group(spark):
         assert whole == {p: pytest.approx(float(np.quantile(data, p)), rel=1e-12, abs=1e-9) for p in probs}
 
 
+def test_quantiles_split_cells_until_one_task_can_order_them(spark):
+    """A million and more distinct values that share their leading 16 bits are cut again; so is a hot value."""
+    near = spark.range(1_200_000).select((1.0 + F.col("id") * 2.0**-40).alias("v"))
+    df = near.union(spark.range(300_000).select(F.lit(1.0 + 2.0**-41).alias("v")))
+    data = np.concatenate([1.0 + np.arange(1_200_000) * 2.0**-40, np.full(300_000, 1.0 + 2.0**-41)])
+    probs = [0.0, 0.1, 0.25, 0.5, 0.999, 1.0]
+    got = {r["prob"]: r["value"] for r in quantiles.exact_quantiles(df, ["v"], probs).collect()}
+    assert got == {p: float(np.quantile(data, p)) for p in probs}
+    keyed = df.withColumn("g", F.lit(None).cast("string"))
+    for most in (1_000_000, 5_000):
+        got = {r["prob"]: r["value"] for r in quantiles.exact_quantiles(keyed, ["v"], probs, ["g"], most=most).collect()}
+        assert got == {p: float(np.quantile(data, p)) for p in probs}
+
+
+def test_sortable_numbers_are_the_bits(spark):
+    from larkspur.functions.numeric import sortable
+
+    rng = random.Random(3)
+    bits = [rng.getrandbits(63) for _ in range(20_000)] + [e << 52 | m for e in range(2047) for m in (0, 1, (1 << 52) - 1)]
+    data = np.array(bits, np.int64).view(np.float64)
+    data = data[np.isfinite(data)]
+    data = np.concatenate([data, -data, [0.0, -0.0, np.inf, -np.inf]])
+    df = spark.createDataFrame([(float(v),) for v in data], "v double").select("v", sortable(F.col("v")).alias("s"))
+    for v, s in df.collect():
+        image = int(np.float64(abs(v)).view(np.int64))
+        assert s == (-image if v < 0 else image)
+
+
+def test_mode_in_a_hash_aggregate(spark):
+    from larkspur.operators.profile import mode_smallest
+
+    rows = [(2.0,), (2.0,), (-1.5,), (-1.5,), (9.0,), (None,), (float("nan"),), (float("nan"),)]
+    out = mode_smallest(spark.createDataFrame(rows, "v double"), ["v"])
+    assert out.collect()[0][:3] == ("v", -1.5, 2)
+    assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_quantiles_keep_null_groups(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 5.0)], "g string, v double")
     out = {r["g"]: r["median"] for r in quantiles.median_by(df, "v", ["g"]).collect()}
