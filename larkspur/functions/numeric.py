@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -79,19 +80,27 @@ def rounded(col: Column, places: int = 6) -> Column:
     return F.round(col.cast("double"), places)
 
 
-def sortable(value: Column) -> Column:
-    """A finite or infinite double as a whole number that sorts like it: the bits of its
-    magnitude, negated below zero. Computed exactly from exponent and mantissa; null
-    stays null, and NaN has no place."""
-    a = F.abs(value)
-    about = F.greatest(F.floor(F.log2(a)), F.lit(-1022))  # may miss by one next to a power of two
-    over = a / F.pow(F.lit(2.0), about.cast("double"))
-    exponent = F.when((over < 1) & (about > -1022), about - 1).when(over >= 2, about + 1).otherwise(about)
-    normal = (a / F.pow(F.lit(2.0), exponent.cast("double")) - 1) * F.lit(2.0**52)
+def with_sortable(df: DataFrame, value: str, out: str) -> DataFrame:
+    """Adds a finite or infinite double as a whole number that sorts like it: the bits of its
+    magnitude, negated below zero. Computed exactly from exponent and mantissa, in steps, so that
+    every logarithm and power is taken once; null stays null, and NaN becomes null."""
+    a, e, p, r = (F.col(f"__{c}") for c in "aepr")
+    df = df.withColumn("__a", F.when(~F.isnan(value), F.abs(value))).withColumn("__e", F.least(F.greatest(F.floor(F.log2(a)), F.lit(-1022)), F.lit(1023)))
+    df = df.withColumn("__p", F.pow(F.lit(2.0), e.cast("double"))).withColumn("__r", a / p)
+    # the logarithm may miss by one next to a power of two, and then the ratio leaves [1, 2)
+    exponent = F.when((r < 1) & (e > -1022), e - 1).when(r >= 2, e + 1).otherwise(e)
+    mantissa = F.when((r < 1) & (e > -1022), r * 2).when(r >= 2, r / 2).otherwise(r) - 1
     bits = (
         F.when(a == 0, F.lit(0).cast("long"))
         .when(a == float("inf"), F.lit(2047 << 52))
         .when(a < 2.0**-1022, (a * F.lit(2.0**537) * F.lit(2.0**537)).cast("long"))
-        .otherwise((exponent + 1023) * F.lit(1 << 52) + normal.cast("long"))
+        .otherwise((exponent + 1023) * F.lit(1 << 52) + (mantissa * F.lit(2.0**52)).cast("long"))
     )
-    return F.when(value < 0, -bits).otherwise(bits)
+    df = df.withColumn("__b", bits).withColumn(out, F.when(F.col(value) < 0, -F.col("__b")).otherwise(F.col("__b")))
+    return df.drop("__a", "__e", "__p", "__r", "__b")
+
+
+def from_sortable(image: int) -> float:
+    """The double of a sortable number; beyond the largest ones infinity."""
+    size = struct.unpack(">d", struct.pack(">q", min(abs(image), 2047 << 52)))[0]
+    return -size if image < 0 else size

@@ -8,7 +8,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.functions.numeric import sortable
+from larkspur.functions.numeric import with_sortable
 
 
 def _rows(df: DataFrame, cells: Sequence[Column]) -> DataFrame:
@@ -83,8 +83,9 @@ def mode_smallest(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = (
         .groupBy(*keys, "column", "value")
         .agg(F.count("*").alias("n"))
     )
-    finite = F.when(F.isnan("value"), F.lit((1 << 63) - 1)).otherwise(sortable(F.col("value")))  # NaN last
-    order = F.col("n").cast("decimal(18,0)") * F.lit(Decimal(1 << 64)) - finite.cast("decimal(20,0)")
+    last = F.when(F.isnan("value"), F.lit((1 << 63) - 1)).otherwise(F.col("__image"))  # NaN after all numbers
+    order = F.col("n").cast("decimal(18,0)") * F.lit(Decimal(1 << 64)) - last.cast("decimal(20,0)")
+    counts = with_sortable(counts, "value", "__image")
     return counts.groupBy(*keys, "column").agg(F.max_by("value", order).alias("mode"), F.max("n").alias("n"))
 
 

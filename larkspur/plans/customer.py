@@ -18,7 +18,7 @@ from larkspur.functions.dates import as_date, days_before, months_before, quarte
 from larkspur.functions.hashing import split_label
 from larkspur.functions.numeric import cap, presence_flag
 from larkspur.operators.joins import sliced_join, union_latest
-from larkspur.session import materialise
+from larkspur.session import saved
 from larkspur.sources.star import EVERYWHERE, RegionConfig
 
 # The segment labels, and among them the recency classes of a consumer who is still active.
@@ -32,14 +32,28 @@ SEGMENT_LABELS = {
 SPLIT = (("training", 66), ("validation", 34))
 
 
-def population(segments: DataFrame, region: RegionConfig = EVERYWHERE) -> DataFrame:
-    """Active consumers, one row per brand, consumer and user key."""
+def population(segments: DataFrame, region: RegionConfig = EVERYWHERE, carried: Sequence[str] = ()) -> DataFrame:
+    """Active consumers, one row per brand, consumer and user key. ``carried`` columns are
+    numbers or dates that are the same on all rows of a consumer."""
     pop = segments.where(F.col("recency_9block").isin(*ACTIVE_CLASSES))
     if region.countries is not None:
         pop = pop.where(F.col("country_id").isin(*region.countries))
     keys = ("brand", "consumer_id", "user_key")
-    low = pop.groupBy(*keys).agg(*[F.min(label_place(c, v)).alias(c) for c, v in SEGMENT_LABELS.items()])
-    return low.select(*keys, *[F.array(*map(F.lit, sorted(v)))[F.col(c)].alias(c) for c, v in SEGMENT_LABELS.items()])
+    low = pop.groupBy(*keys).agg(
+        *[F.min(label_place(c, v)).alias(c) for c, v in SEGMENT_LABELS.items()], *[F.max(c).alias(c) for c in carried]
+    )
+    names = {c: F.array(*map(F.lit, sorted(v)))[F.col(c)] for c, v in SEGMENT_LABELS.items()}
+    return low.select(*keys, *[v.alias(c) for c, v in names.items()], *carried)
+
+
+HISTORY = ("first_purchase_date", "last_purchase_date", "lt_orders", "min_order_date")
+
+
+def people(segments: DataFrame, asof: str) -> DataFrame:
+    """Population with the lifetime orders and the first order of the outcome period that ``order_history`` found."""
+    out = population(segments, carried=HISTORY)
+    out = out.withColumn("tenure_days", F.datediff(as_date(asof), "first_purchase_date"))
+    return out.withColumn("lt_orders", F.when(F.col("lt_orders") > 0, F.col("lt_orders")))
 
 
 def label_place(column: str, labels: Sequence[str]) -> Column:
@@ -174,6 +188,31 @@ def lifetime_orders(orders: DataFrame, asof: str, region: RegionConfig = EVERYWH
     )
 
 
+def order_history(orders: DataFrame, asof: str, today: str, region: RegionConfig = EVERYWHERE) -> DataFrame:
+    """What segments, lifetime orders and the outcome need, from one pass over the orders: they are
+    reduced per order, which counts repeated rows once, and then per consumer."""
+    day, past = F.col("order_date"), F.col("order_date") <= as_date(asof)
+    scoped = F.col("txn_amount") != 0
+    if region.actions is not None:
+        scoped &= F.col("action").isin(*region.actions)
+    future = (day > as_date(asof)) & (day < as_date(today))
+    per_order = orders.where(day < as_date(today)).groupBy("consumer_id", "order_id").agg(
+        F.max(F.when(past, day)).alias("last_order"),
+        F.sum(F.when(past & (day > days_before(asof, 365)), 1).otherwise(0)).alias("orders_365d"),
+        F.min(F.when(past & scoped, day)).alias("first_purchase_date"),
+        F.max(F.when(past & scoped, day)).alias("last_purchase_date"),
+        F.min(F.when(future & scoped, day)).alias("min_order_date"),
+    )
+    return per_order.groupBy("consumer_id").agg(
+        F.max("last_order").alias("last_order"),
+        F.sum("orders_365d").alias("orders_365d"),
+        F.min("first_purchase_date").alias("first_purchase_date"),
+        F.max("last_purchase_date").alias("last_purchase_date"),
+        F.count("first_purchase_date").alias("lt_orders"),
+        F.min("min_order_date").alias("min_order_date"),
+    )
+
+
 def _of_population(rows: DataFrame, pop: DataFrame | None) -> DataFrame:
     """Keep the population's consumers. Steps that end in a left join from the
     population pass None: the join would only repeat that work."""
@@ -252,7 +291,7 @@ def engagement_by_consumer(cookies: DataFrame, engagement: DataFrame, asof: str)
     consumers makes its join key hot, so the map side is cut into slices. Finding
     the hot keys reads the map twice, hence it is written first. The map is unique
     per pair, so counting its rows counts distinct cookies."""
-    joined = sliced_join(materialise(cookies), engagement, ["cookie"], F.col("consumer_id"))
+    joined = sliced_join(saved(cookies, "cookies"), engagement, ["cookie"], F.col("consumer_id"))
     return (
         joined.groupBy("consumer_id")
         .agg(
@@ -325,7 +364,7 @@ ZERO_FILLED = (
 )
 
 
-STEPS = ("orders", "engagement", "lifetime", "email", "next_orders")
+STEPS = ("orders", "engagement", "email")
 
 
 def all_features(joined: DataFrame, labelled: bool = True) -> DataFrame:
@@ -334,7 +373,7 @@ def all_features(joined: DataFrame, labelled: bool = True) -> DataFrame:
     out = joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ZERO_FILLED})
     out = out.withColumn("data_set", split_label(F.col("consumer_id"), SPLIT))
     if labelled:
-        out = out.withColumnRenamed("min_order_date", "next_order_date").drop("retained")
+        out = out.withColumnRenamed("min_order_date", "next_order_date")
         out = out.withColumn("deact_flag", 1 - F.when(F.col("next_order_date") <= F.col("deact_date"), 1).otherwise(0))
     return out
 

@@ -47,7 +47,11 @@ class FeatureStore:
         writer.partitionBy(DAY).bucketBy(self.buckets, KEY).sortBy(KEY).saveAsTable(table)
 
     def read(self, step: str, day: str) -> DataFrame:
+        """A day of a step; raises if it has not been written."""
         catalog.require_partition(self.spark, self._table(step), day, DAY)
+        return self._rows(step, day)
+
+    def _rows(self, step: str, day: str) -> DataFrame:
         return catalog.scan_partition(self.spark.table(self._table(step)), day, DAY)
 
     def write_all(self, steps: dict[str, Callable[[], DataFrame]], day: str, at_once: int = 4) -> None:
@@ -61,7 +65,10 @@ class FeatureStore:
         """Left join of the steps to the base. All are bucketed alike and unique per consumer (the base per
         consumer and its own keys), so the join takes no exchange: a merge join is asked for, as broadcasting would
         be one."""
-        out = self.read(base, day)
+        missing = [s for s in (base, *others) if not self.has(s, day)]
+        if missing:
+            raise catalog.MissingPartition(f"no rows of {day} in {', '.join(missing)}")
+        out = self._rows(base, day)
         for step in others:
-            out = out.join(self.read(step, day).hint("merge"), KEY, "left")
+            out = out.join(self._rows(step, day).hint("merge"), KEY, "left")
         return out

@@ -71,11 +71,10 @@ FROM (SELECT *, row_number() OVER (PARTITION BY consumer_id ORDER BY order_times
     )
 )
 def order_latest_attrs(spark: SparkSession, sf: str) -> DataFrame:
-    """Only headers are ranked; lines are summed for the newest orders alone."""
+    """Only headers are ranked; lines, summed per order where they lie, join the newest orders alone."""
     heads = star.order_headers(spark, sf)
     newest = cust.latest_attributes(heads, "consumer_id", ("order_id", "platform"), ("order_timestamp", "order_id"))
-    lines = star.line_totals(spark, sf, newest.select(F.col("most_recent_order_id").alias("order_id")))
-    lines = lines.select(F.col("order_id").alias("most_recent_order_id"), "l1", F.col("promo_type").alias("most_recent_promo_type"))
+    lines = star.line_totals(spark, sf).select(F.col("order_id").alias("most_recent_order_id"), "l1", F.col("promo_type").alias("most_recent_promo_type"))
     return newest.join(lines, "most_recent_order_id", "left").select(
         "consumer_id",
         "most_recent_order_id",

@@ -71,9 +71,9 @@ def scores(spark: SparkSession, sf: str) -> DataFrame:
     return mask_probability(out, "prob_v3", "recency", 3)
 
 
-def predictions(spark: SparkSession, sf: str, actions: tuple[str, ...], prob) -> DataFrame:
+def predictions(spark: SparkSession, sf: str, actions: tuple[str, ...], prob, asof: str = ORDERS_ASOF) -> DataFrame:
     """A model's prediction table; the models see different order scopes."""
-    day = F.lit(ORDERS_ASOF).cast("date")
+    day = F.lit(asof).cast("date")
     last = (
         star.order_headers(spark, sf)
         .where((F.col("order_date") <= day) & F.col("action").isin(*actions))
@@ -147,13 +147,15 @@ def features(spark: SparkSession, sf: str, asof: str = ORDERS_ASOF, traffic_asof
             maps = [cust.cookie_map_visits(None, visits, traffic_asof), cust.cookie_map_orders(None, heads, asof)]
             return cust.engagement_by_consumer(cust.cookie_map(maps), cust.engagement_by_cookie(visits, traffic_asof), traffic_asof)
 
+        def people() -> DataFrame:
+            history = cust.order_history(heads, asof, ORDERS_TODAY)
+            return cust.people(star.user_segments(spark, sf, asof, history.where("last_order IS NOT NULL")), asof)
+
         steps = {
             "orders": orders,
             "engagement": engagement,
-            "population": lambda: pop(spark, sf, asof),
+            "population": people,
             "email": lambda: cust.email_metrics(None, star.email_log(spark, sf), traffic_asof),
-            "lifetime": lambda: cust.lifetime_orders(heads, asof),
-            "next_orders": lambda: cust.response(heads, day_after(asof), ORDERS_TODAY),
         }
         tables.write_all(steps, asof)
         tables.write("features", cust.all_features(tables.star("population", list(cust.STEPS), asof)), asof)

@@ -5,6 +5,9 @@ Fitted models have no SQL twin; these results are checked by invariants.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +21,7 @@ from larkspur.queries import frames
 from larkspur.queries.encoding import _houses, fit_houses
 from larkspur.queries.registry import query
 from larkspur.queries.sqlparts import with_parts
-from larkspur.session import materialise, work_path
+from larkspur.session import materialise, saved, work_path
 from larkspur.sources import star
 from larkspur.sources.catalog import clustered
 from larkspur.sources.star import ORDERS_ASOF, TRAFFIC_ASOF, load
@@ -227,18 +230,58 @@ def poly_regression(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("term", *[F.round(c, 4).alias(c) for c in ("coef", "std_err", "t")], F.round("r2", 6).alias("r2"))
 
 
+def _day_rows(day: str) -> str:
+    """Scores of a day by SQL: masked near a year without order."""
+    rec = f"date_diff('day', max(order_date), DATE '{day}')"
+    return f"""SELECT consumer_id, {rec} AS recency, ({rec} + 1) / ({rec} + 121.0) AS p, if({rec} >= 362, 1.0::DOUBLE, ({rec} + 1) / ({rec} + 121.0)) AS masked
+  FROM ords WHERE order_date <= DATE '{day}' AND action IN ('F', 'P') GROUP BY consumer_id HAVING {rec} <= 365"""
+
+
+_DAYS = (frames.day_after(ORDERS_ASOF, -1), ORDERS_ASOF)
+
+
+@query(
+    with_parts(
+        ["ords"],
+        f"""
+, a AS ({_day_rows(_DAYS[0])}), b AS ({_day_rows(_DAYS[1])}),
+d AS (SELECT '{_DAYS[0]}' AS record_date, * FROM a UNION ALL SELECT '{_DAYS[1]}', * FROM b),
+t AS (SELECT record_date, sum(CAST(trunc(round(s, 9)) AS BIGINT)) AS expected FROM (SELECT record_date, recency, sum(p) AS s FROM d GROUP BY ALL) GROUP BY 1),
+m AS (SELECT record_date, count(*) AS consumers, avg(masked) AS rate FROM d GROUP BY 1)
+SELECT record_date, consumers, CAST(expected AS BIGINT) AS expected, round(rate, 9) AS rate,
+  round(lag(rate) OVER (ORDER BY record_date), 9) AS prev_rate, round(abs(rate / lag(rate) OVER (ORDER BY record_date) - 1), 9) AS change
+FROM m JOIN t USING (record_date)
+""",
+    )
+)
+def daily_fixed_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The daily job with a score that SQL can state: two days written, audited, and published."""
+    name = f"fixed_{uuid.uuid4().hex[:8]}"
+    job, gates = publish.DailyJob(spark, f"{name}_predictions", f"{name}_totals"), []
+    for day in _DAYS:
+        rows = frames.predictions(spark, sf, ("F", "P"), frames.prob_v3, day).withColumnRenamed("recency", "recency_x")
+        gates.append(job.run(rows, day, first=day == _DAYS[0]).withColumn("record_date", F.lit(day)))
+    live = spark.table(job.predictions).groupBy("record_date").agg(F.count("*").alias("consumers"))
+    expected = spark.table(job.totals).groupBy("record_date").agg(F.sum("total_deacts").alias("expected"))
+    gate = frames.round_all(gates[0].unionByName(gates[1]), 9).select("record_date", "rate", "prev_rate", "change")
+    return live.join(expected, "record_date").join(gate, "record_date")
+
+
 @query()
 def daily_publish(spark: SparkSession, sf: str) -> DataFrame:
-    """One model scores two days in turn; the gate compares the second with the
-    first."""
-    fitted = _gbt(_part(_frame(spark, sf), "train"))
-    path, totals = work_path(spark, "predictions"), work_path(spark, "totals")
+    """One model is fitted and calibrated and scores two days in turn. Each is published
+    if it passes the audit and has not drifted from the day before; else the job raises."""
+    df = _frame(spark, sf)
+    gbt = _gbt(_part(df, "train"))
+    calibration = models.fit_isotonic(gbt.score(_part(df, "calibrate")))
+    name = f"daily_{uuid.uuid4().hex[:8]}"
+    job = publish.DailyJob(spark, f"{name}_predictions", f"{name}_totals")
     gate = None
-    for back in (1, 0):
-        day, traffic_day = frames.day_after(ORDERS_ASOF, -back), frames.day_after(TRAFFIC_ASOF, -back)
-        rows = models.model_frame(cust.transformed(frames.features(spark, sf, day, traffic_day)))
-        gate = publish.daily_publish(materialise(fitted.score(rows)), path, totals, day)
-    published = spark.read.orc(path).groupBy(F.col("record_date").cast("string").alias("record_date"))
-    counts = published.agg(F.count("*").alias("consumers"), F.avg("prob_deact").alias("mean_prob"))
+    for day in _DAYS:
+        back = (dt.date.fromisoformat(ORDERS_ASOF) - dt.date.fromisoformat(day)).days
+        rows = models.model_frame(cust.transformed(frames.features(spark, sf, day, frames.day_after(TRAFFIC_ASOF, -back))))
+        scored = saved(models.calibrate(calibration, gbt.score(rows)).select("consumer_id", "recency_x", "prob_deact_cal"), "scored")
+        gate = job.run(scored, day, prob="prob_deact_cal", first=day == _DAYS[0])
+    counts = spark.table(job.predictions).groupBy("record_date").agg(F.count("*").alias("consumers"), F.avg("prob_deact").alias("mean_prob"))
     current = gate.select(F.lit(ORDERS_ASOF).alias("record_date"), "rate", "prev_rate", "change", "stable")
     return counts.join(current, "record_date", "left")

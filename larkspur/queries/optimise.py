@@ -144,7 +144,7 @@ def stream_daily_engagement(spark: SparkSession, sf: str) -> DataFrame:
     partition per day; the result must equal the batch counts."""
     landing, log, days = (work_path(spark, n) for n in ("events-in", "events-log", "events-days"))
     load(spark, sf, "events").write.parquet(landing)
-    daily.run_daily(daily.event_stream(spark, landing, files_per_batch=1000), log, work_path(spark, "events-state"), late="40 days")
+    daily.run_daily(daily.event_stream(spark, landing, files_per_batch=1000), log, work_path(spark, "events-state"))
     daily.publish_days(spark, log, days)
     out = spark.read.parquet(days)
     return out.select(

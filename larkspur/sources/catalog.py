@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.sources import files
+
 
 class MissingPartition(RuntimeError):
     """An upstream partition has not arrived."""
@@ -78,12 +80,37 @@ def partitions(spark: SparkSession, table: str, partition: str = "record_date")
     return sorted(values)
 
 
-def retain(spark: SparkSession, table: str, today: str, keep_days: int, partition: str = "record_date") -> list[str]:
-    """Drop partitions dated at or before today - keep_days; returns what went."""
+def location(spark: SparkSession, table: str, value: str, partition: str = "record_date") -> str:
+    """Where a partition's files lie."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({partition}='{value}')")
+    told = [r["data_type"] for r in rows.collect() if r["col_name"] == "Location"]  # a row per column and property
+    return told[0]
+
+
+def swap_partition(spark: SparkSession, table: str, value: str, where: str, partition: str = "record_date") -> str | None:
+    """Readers see the files below ``where`` as the partition from now on: one change in the
+    catalog, no file moves. Returns the location that the partition had before."""
+    before = None
+    if value in partitions(spark, table, partition):
+        before = location(spark, table, value, partition)
+        spark.sql(f"ALTER TABLE {table} PARTITION ({partition}='{value}') SET LOCATION '{where}'")
+    else:
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({partition}='{value}') LOCATION '{where}'")
+    spark.sql(f"REFRESH TABLE {table}")
+    return before
+
+
+def retain(spark: SparkSession, table: str, today: str, keep_days: int, partition: str = "record_date", purge: bool = True) -> list[str]:
+    """Drop partitions dated at or before today - keep_days; returns what went. Their files go
+    too, also those of an external table, which the catalog alone would leave: else a repair of
+    the table brought the days back. ``purge=False`` keeps the files."""
     cutoff = str(dt.date.fromisoformat(today) - dt.timedelta(days=keep_days))
     old = [v for v in partitions(spark, table, partition) if v <= cutoff]
     for value in old:
+        where = location(spark, table, value, partition)
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition}='{value}')")
+        if purge:
+            files.remove(spark, where)
     return old
 
 

@@ -13,6 +13,12 @@ def file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
 
 
+def remove(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder with all its files, on whatever store it lies."""
+    disk, where = file_system(spark, path)
+    return disk.delete(where, True)
+
+
 def state(spark: SparkSession, path: str) -> tuple:
     """Names, lengths and times of a folder's files: changes when they do."""
     disk, where = file_system(spark, path)

@@ -178,18 +178,19 @@ def email_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def user_segments(spark: SparkSession, sf_dir: str, asof: str = ORDERS_ASOF) -> DataFrame:
-    """Recency and frequency segments of every customer with an order so far."""
+def order_activity(spark: SparkSession, sf_dir: str, asof: str = ORDERS_ASOF) -> DataFrame:
+    """Last order and orders of a year per customer."""
     day = F.lit(asof).cast("date")
-    activity = (
-        order_headers(spark, sf_dir)
-        .where(F.col("order_date") <= day)
-        .groupBy("consumer_id")
-        .agg(
-            F.max("order_date").alias("last_order"),
-            F.sum(F.when(F.col("order_date") > F.date_sub(day, 365), 1).otherwise(0)).alias("orders_365d"),
-        )
-    )
+    recent = F.sum(F.when(F.col("order_date") > F.date_sub(day, 365), 1).otherwise(0))
+    heads = order_headers(spark, sf_dir).where(F.col("order_date") <= day)
+    return heads.groupBy("consumer_id").agg(F.max("order_date").alias("last_order"), recent.alias("orders_365d"))
+
+
+def user_segments(spark: SparkSession, sf_dir: str, asof: str = ORDERS_ASOF, activity: DataFrame | None = None) -> DataFrame:
+    """Recency and frequency segments of every customer with an order so far; further columns of ``activity`` stay."""
+    day = F.lit(asof).cast("date")
+    activity = order_activity(spark, sf_dir, asof) if activity is None else activity
+    more = [c for c in activity.columns if c not in ("consumer_id", "last_order", "orders_365d")]
     rec = F.datediff(day, F.col("last_order"))
     freq = F.col("orders_365d")
     return customers(spark, sf_dir).join(activity, "consumer_id").select(
@@ -209,6 +210,7 @@ def user_segments(spark: SparkSession, sf_dir: str, asof: str = ORDERS_ASOF) ->
         .alias("frequency_9block"),
         F.when(rec <= 30, "active").when(rec <= 365, "lapsing").otherwise("inactive").alias("recency_segment"),
         F.when(freq <= 1, "single").otherwise("repeat").alias("frequency_segment"),
+        *more,
     )
 
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from larkspur.session import saved
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -39,46 +42,88 @@ def event_stream(spark: SparkSession, folder: str, pattern: str = "*.parquet", f
     return reader.parquet(folder)
 
 
+LEDGER = "-ledger"
+
+
+def _ledger(spark: SparkSession, path: str) -> DataFrame:
+    """What each batch brought: its last event day, rows, late rows and the days it changed."""
+    columns = "max_day date, events long, late_events long, days array<date>, batch int"
+    try:
+        return spark.read.schema(columns).parquet(path)
+    except AnalysisException:  # nothing has been written yet
+        return spark.createDataFrame([], columns)
+
+
+def _replace(rows: DataFrame, path: str, *by: str) -> None:
+    """Overwrites the partitions that the rows are in, so a replayed batch is not counted twice."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def run_daily(events: DataFrame, log_path: str, checkpoint: str, late: str = "2 days") -> None:
     """Process what has arrived and stop.
 
-    A micro-batch emits the user-days it changed. They go to the folder of their
-    batch number, which a replay of the batch overwrites, so nothing is counted
-    twice. State is dropped once the watermark passes a day.
+    A micro-batch is reduced to counts per user and day and added to a log of such counts, in
+    folders of its event day and batch number. Counts add up, so no state is kept between batches and no event
+    is too late to be counted: one that lies more than ``late`` before the last day that earlier batches saw goes to
+    the part ``late=true`` of the log, and the ledger beside the log tells how many there were. A replay finds the
+    same earlier batches in the ledger and overwrites the same folders.
     """
-    stamped = events.withColumn("at", F.col("ts").cast("timestamp"))
-    counts = (
-        stamped.withWatermark("at", late)
-        .groupBy(F.window("at", "1 day").alias("w"), "user_id")
-        .agg(*_counts())
-        .select(F.col("w.start").cast("date").alias("day"), "user_id", "events", "deal_views", "last_seen")
-    )
+    ledger = f"{log_path}{LEDGER}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch").parquet(log_path)
-
-    query = (
-        counts.writeStream.outputMode("update")
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+        spark = batch.sparkSession
+        seen = _ledger(spark, ledger).where(F.col("batch") < batch_id).agg(F.max("max_day")).first()[0]
+        closed = F.lit(False) if seen is None else F.col("day") < F.lit(seen) - F.expr(f"INTERVAL {late}")
+        counts = saved(daily_counts(batch).select("*", closed.alias("late"), F.lit(batch_id).alias("batch")), "batch")
+        told = counts.groupBy("batch").agg(
+            F.max("day").alias("max_day"),
+            F.sum("events").alias("events"),
+            F.sum(F.when(F.col("late"), F.col("events")).otherwise(0)).alias("late_events"),
+            F.sort_array(F.collect_set("day")).alias("days"),  # calendar days
+        )
+        _replace(counts, log_path, "late", "day", "batch")
+        _replace(told, ledger, "batch")
+
+    query = events.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def current_counts(spark: SparkSession, log_path: str) -> DataFrame:
-    """Latest emitted state per user and day."""
-    log = spark.read.parquet(log_path)
-    state = F.struct("events", "deal_views", "last_seen")
-    return (
-        log.groupBy("day", "user_id").agg(F.max_by(state, F.col("batch")).alias("s")).select("day", "user_id", "s.*")
+def _merged(log: DataFrame) -> DataFrame:
+    return log.groupBy("day", "user_id").agg(
+        F.sum("events").alias("events"), F.sum("deal_views").alias("deal_views"), F.max("last_seen").alias("last_seen")
     )
 
 
-def publish_days(spark: SparkSession, log_path: str, path: str) -> None:
-    """One partition per day; running it again rewrites the same partitions."""
-    days = current_counts(spark, log_path).withColumn("record_date", F.col("day").cast("string")).drop("day")
-    days.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("record_date").parquet(path)
+def current_counts(spark: SparkSession, log_path: str) -> DataFrame:
+    """Counts per user and day over all batches, late events included."""
+    return _merged(spark.read.parquet(log_path))
+
+
+def late_events(spark: SparkSession, log_path: str) -> DataFrame:
+    """(batch, events, late_events) of every batch."""
+    return _ledger(spark, f"{log_path}{LEDGER}").select("batch", "events", "late_events")
+
+
+def publish_days(spark: SparkSession, log_path: str, path: str) -> list[str]:
+    """One partition per day, with the last batch in it as ``version``; returns the days written.
+
+    Only days that a batch changed since the last publication are merged again, each from all its
+    counts in the log, so a run that died can be repeated. Which batches are in is kept in a ledger
+    below ``path``, written last. A second run finds nothing to do.
+    """
+    applied = f"{path}/_ledger"
+    batches = _ledger(spark, f"{log_path}{LEDGER}")
+    try:
+        batches = batches.join(spark.read.schema("batch int").parquet(applied), "batch", "left_anti")
+    except AnalysisException:  # first publication
+        pass
+    fresh = batches.select("batch", "days").collect()  # a row per new batch
+    days = sorted({d for r in fresh for d in r["days"]})
+    if not days:
+        return []
+    log = spark.read.parquet(log_path).where(F.col("day").isin(days))
+    version = log.groupBy("day").agg(F.max("batch").alias("version"))
+    rows = _merged(log).join(F.broadcast(version), "day").withColumn("record_date", F.col("day").cast("string"))  # a row per day
+    _replace(rows.drop("day"), path, "record_date")
+    spark.createDataFrame([(r["batch"],) for r in fresh], "batch int").write.mode("append").parquet(applied)
+    return [str(d) for d in days]

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from larkspur import session
+from larkspur.operators import evaluate
 from larkspur.plans import publish
 from larkspur.sources import catalog, files
 
@@ -98,3 +99,58 @@ def test_replacing_a_partitioned_table_leaves_no_old_partition(spark, table):
     catalog.insert_snapshot(day(spark, "2020-01-02", 4), table)
     catalog.replace_contents(day(spark, "2020-01-01", 2), table)
     assert {r["record_date"]: r["count"] for r in spark.table(table).groupBy("record_date").count().collect()} == {"2020-01-01": 2}
+
+
+def scores(spark, prob, n=50):
+    recency = (F.col("id") * 7 % 366).cast("double")
+    return spark.range(n).select(F.col("id").alias("consumer_id"), recency.alias("recency_x"), F.lit(prob).cast("double").alias("prob_deact"))
+
+
+@pytest.fixture
+def job(spark):
+    name = f"job_{uuid.uuid4().hex[:8]}"
+    yield publish.DailyJob(spark, f"{name}_p", f"{name}_t")
+    for t in ("p", "t"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}_{t}")
+
+
+def live(spark, job):
+    return {r["record_date"]: (r["n"], round(r["p"], 6)) for r in spark.table(job.predictions).groupBy("record_date").agg(F.count("*").alias("n"), F.min("prob_deact").alias("p")).collect()}
+
+
+def test_a_failed_gate_leaves_the_old_day(spark, job):
+    with pytest.raises(catalog.MissingPartition):
+        job.run(scores(spark, 0.4), "2020-01-01")
+    assert live(spark, job) == {}
+    gate = job.run(scores(spark, 0.4), "2020-01-01", first=True).first()
+    assert gate["prev_rate"] is None
+    job.run(scores(spark, 0.405), "2020-01-02")
+    seen = live(spark, job)
+    totals = sorted(map(str, spark.table(job.totals).collect()))
+    for again in ("2020-01-02", "2020-01-03"):  # a shifted day, as a rerun and as a new one
+        with pytest.raises(evaluate.DriftError):
+            job.run(scores(spark, 0.9), again)
+        assert live(spark, job) == seen and sorted(map(str, spark.table(job.totals).collect())) == totals
+    job.run(scores(spark, 0.41, 60), "2020-01-02")  # a rerun that holds replaces the day
+    assert live(spark, job) == {"2020-01-01": (50, 0.4), "2020-01-02": (60, 0.41)}
+    with pytest.raises(catalog.MissingPartition):
+        job.run(scores(spark, 0.4), "2020-01-09")
+
+
+def test_audit_refuses_bad_rows(spark, job):
+    twice = scores(spark, 0.4).union(scores(spark, 0.4, 1))
+    for bad in (scores(spark, 0.4, 0), scores(spark, 1.2), scores(spark, None), scores(spark, float("nan")), twice):
+        with pytest.raises(publish.AuditError):
+            job.run(bad, "2020-01-01", mask_days=0, first=True)
+    assert live(spark, job) == {}
+
+
+def test_dropped_days_stay_away(spark, table):
+    for d in range(1, 6):
+        catalog.insert_snapshot(day(spark, f"2020-01-0{d}", d), table)
+    assert catalog.retain(spark, table, "2020-01-05", 3) == ["2020-01-01", "2020-01-02"]
+    catalog.recover_partitions(spark, table)
+    assert catalog.partitions(spark, table) == ["2020-01-03", "2020-01-04", "2020-01-05"]
+    catalog.retain(spark, table, "2020-01-06", 3, purge=False)
+    catalog.recover_partitions(spark, table)
+    assert "2020-01-03" in catalog.partitions(spark, table)

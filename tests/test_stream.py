@@ -37,3 +37,43 @@ def test_replayed_batch_is_not_counted_twice(spark, sf_dir, tmp_path):
             "partitionOverwriteMode", "dynamic"
         ).partitionBy("batch").parquet(log)
     assert rows(daily.current_counts(spark, log)) == rows(counts)
+
+
+def test_events_forty_days_late_are_counted(spark, sf_dir, tmp_path):
+    """The newest events come first and the oldest last, under an allowance of two days; nothing is lost, only
+    touched days are published again, and a run from the same checkpoint changes nothing."""
+    events = load(spark, sf_dir, "events")
+    landing, log, state, days = (str(tmp_path / n) for n in ("in", "log", "state", "days"))
+    run = lambda: daily.run_daily(daily.event_stream(spark, landing), log, state, late="2 days")
+    last = F.lit(events.agg(F.max("ts")).first()[0])
+    age = F.datediff(last, "ts")
+    events.where(age < 5).coalesce(1).write.parquet(landing)
+    run()
+    first = set(daily.publish_days(spark, log, days))
+    middle = events.where((age >= 5) & (age < 20)).withColumn("ts", F.col("ts") - F.expr("INTERVAL 40 DAYS"))
+    for late in (middle, events.where(age >= 20)):
+        late.coalesce(1).write.mode("append").parquet(landing)
+        run()
+        run()
+    arrived = spark.read.parquet(landing)
+    assert arrived.select(F.datediff(last, F.min("ts"))).first()[0] >= 40
+    want = rows(daily.daily_counts(arrived))
+    assert rows(daily.current_counts(spark, log)) == want
+    told = {r["batch"]: (r["events"], r["late_events"]) for r in daily.late_events(spark, log).collect()}
+    assert [told[b][0] == told[b][1] for b in sorted(told)] == [False, True, True] and told[0][1] == 0
+    again = daily.publish_days(spark, log, days)
+    assert not set(again) & first and again
+    published = spark.read.parquet(days)
+    assert rows(published.withColumnRenamed("record_date", "day")) == want
+    assert daily.publish_days(spark, log, days) == []
+    assert {r["version"] for r in published.where(F.col("record_date").isin(*first)).collect()} == {0}
+
+
+def test_a_batch_that_died_after_its_log_is_replayed(spark, sf_dir, tmp_path):
+    """The same batch is handed over again by a new query, as after a failure before the commit."""
+    events = load(spark, sf_dir, "events")
+    landing, log = str(tmp_path / "in"), str(tmp_path / "log")
+    events.repartition(2).write.parquet(landing)
+    for attempt in ("a", "b"):  # a new checkpoint starts at batch 0 again
+        daily.run_daily(daily.event_stream(spark, landing), log, str(tmp_path / attempt))
+    assert rows(daily.current_counts(spark, log)) == rows(daily.daily_counts(events))
