@@ -88,6 +88,12 @@ def target_label(recency: DataFrame, orders: DataFrame, asof: str, today: str) -
 LATEST = ("is_activation", "is_reactivation", "order_id", "nob", "l1", "l2", "traffic_type", "traffic_source", "platform", "promo_type")
 
 
+#: Orders counted per value of an attribute, with the name of the count.
+ORDER_KINDS = {
+    "l1": {f"L1 - {name.title()}": name for name in ("local", "shopping", "travel")},
+    "platform": {name: name for name in ("app", "touch", "web")},
+    "traffic_type": {name.title(): name for name in ("paid", "free", "managed")},
+}
 NEWEST = "__newest"
 
 
@@ -135,11 +141,6 @@ def order_features(orders: DataFrame, asof: str, region: RegionConfig = EVERYWHE
     money = ("nob", "nor", "gp", "discount_amount", "ils_discount", "wow_discount")
     signed = {"discount_amount": -F.coalesce("discount_amount", F.lit(0.0)), "wow_discount": F.coalesce("wow_discount", F.lit(0.0))}
     value = lambda c: signed.get(c, F.col(c))
-    counted = {
-        "l1": {f"L1 - {name.title()}": name for name in ("local", "shopping", "travel")},
-        "platform": {name: name for name in ("app", "touch", "web")},
-        "traffic_type": {name.title(): name for name in ("paid", "free", "managed")},
-    }
     out = scoped.groupBy("consumer_id").agg(
         F.max("order_date").alias("most_recent_order_date"),
         F.max(NEWEST).alias(NEWEST),
@@ -149,7 +150,7 @@ def order_features(orders: DataFrame, asof: str, region: RegionConfig = EVERYWHE
         F.sum(year).alias("frequency_t12m"),
         F.coalesce(F.sum(year * F.col("units")), F.lit(0)).alias("units_t12m"),
         *[F.round(F.coalesce(F.sum(year * value(c)), F.lit(0.0)), 4).alias(f"{c}_t12m") for c in money],
-        *[count_if(F.col(c) == v).alias(f"{name}_orders_t24m") for c, names in counted.items() for v, name in names.items()],
+        *[count_if(F.col(c) == v).alias(f"{name}_orders_t24m") for c, names in ORDER_KINDS.items() for v, name in names.items()],
         F.bit_or(quarter_bit(F.col("order_date"), asof)).alias("quarters"),
     )
     out = out.withColumn("unique_purchase_quarters", F.bit_count("quarters").cast("long")).drop("quarters")
@@ -275,14 +276,9 @@ def engagement_by_cookie(visits: DataFrame, asof: str) -> DataFrame:
 
 
 ENGAGEMENT_SUMS = (
-    "visit_freq_90d",
-    "visit_freq_7d",
-    "visit_freq_14d",
-    "visit_freq_28d",
     "deal_views_90d",
-    "app_frequency",
-    "web_frequency",
-    "touch_frequency",
+    *(f"{p.lower()}_frequency" for p in PLATFORMS),
+    *(f"visit_freq_{n}d" for n in (*WINDOWS, 90)),
 )
 
 
@@ -340,26 +336,12 @@ def email_metrics(pop: DataFrame | None, log: DataFrame, asof: str) -> DataFrame
     return _of_population(per_consumer, pop)
 
 
+#: Sums that are 0 for a consumer without a row in their step: measures by their windows and kinds.
 ZERO_FILLED = (
-    "frequency_t24m",
-    "nob_t24m",
-    "gp_t24m",
-    "frequency_t12m",
-    "nob_t12m",
-    "gp_t12m",
-    "local_orders_t24m",
-    "shopping_orders_t24m",
-    "travel_orders_t24m",
-    "app_orders_t24m",
-    "touch_orders_t24m",
-    "web_orders_t24m",
+    *(f"{measure}_t{months}m" for months in (12, 24) for measure in ("frequency", "gp", "nob")),
+    *(f"{kind}_orders_t24m" for column in ("l1", "platform") for kind in ORDER_KINDS[column].values()),
     *ENGAGEMENT_SUMS,
-    "sends_7d",
-    "sends_30d",
-    "uniq_opens_7d",
-    "uniq_opens_30d",
-    "uniq_clicks_7d",
-    "uniq_clicks_30d",
+    *(f"{mail}_{days}d" for days in (7, 30) for mail in ("sends", "uniq_clicks", "uniq_opens")),
     "unsubscription_30d",
 )
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from larkspur.plans import funnel
@@ -10,8 +12,16 @@ from larkspur.queries.registry import query
 from larkspur.queries.sqlparts import with_parts
 from larkspur.sources import star
 
+#: Measures of a shopper by subject; those of money are rounded.
+_MEASURES = {
+    "policy": ("policies", "policy_conversion", "policy_value"),
+    "partner": ("partner_conversion", "partner_revenue"),
+    "call": ("has_call", "long_calls", "calls"),
+    "all": ("revenue", "marketing_cost"),
+}
+_MONEY = re.compile("value|revenue|cost")
 _SUMS = ", ".join(
-    f"round(sum({c}), 4) AS {c}" if c in funnel.MONEY else f"CAST(sum({c}) AS BIGINT) AS {c}" for c in funnel.SUMS
+    f"round(sum({c}), 4) AS {c}" if _MONEY.search(c) else f"CAST(sum({c}) AS BIGINT) AS {c}" for names in _MEASURES.values() for c in names
 )
 
 
