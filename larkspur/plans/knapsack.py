@@ -14,40 +14,59 @@ BLOCK = 2_000
 HOT_SHARE = 1e-3
 
 
-def _fold(items: Column, room: Column) -> Column:
+def _fold(items: Column, room: Column, weight: str) -> Column:
     """Run the items through the remaining room, keeping a flag per item."""
-    start = F.struct(room.cast("long").alias("room"), F.array().cast("array<boolean>").alias("taken"))
+    start = F.struct(room.cast(weight).alias("room"), F.array().cast("array<boolean>").alias("taken"))
     return F.aggregate(
         items,
         start,
         lambda s, i: F.struct(
-            F.when(i["weight"] <= s["room"], s["room"] - i["weight"]).otherwise(s["room"]).alias("room"),
+            F.when(i["weight"] <= s["room"], (s["room"] - i["weight"]).cast(weight)).otherwise(s["room"]).alias("room"),
             F.concat(s["taken"], F.array(i["weight"] <= s["room"])).alias("taken"),
         ),
     )
 
 
-def _fold_totals(items: Column, room: Column) -> Column:
-    zero = F.lit(0).cast("long")
-    start = F.struct(room.cast("long").alias("room"), zero.alias("value"), zero.alias("n"))
+def _fold_totals(items: Column, room: Column, value: str, weight: str) -> Column:
+    zero = F.lit(0)
+    start = F.struct(room.cast(weight).alias("room"), zero.cast(value).alias("value"), zero.cast("long").alias("n"))
     return F.aggregate(
         items,
         start,
         lambda s, i: F.when(
             i["weight"] <= s["room"],
             F.struct(
-                (s["room"] - i["weight"]).alias("room"), (s["value"] + i["value"]).alias("value"), (s["n"] + 1).alias("n")
+                (s["room"] - i["weight"]).cast(weight).alias("room"),
+                (s["value"] + i["value"]).cast(value).alias("value"),
+                (s["n"] + 1).alias("n"),
             ),
         ).otherwise(s),
     )
 
 
+EXACT = "decimal(38,12)"
+
+
+def _exact(items: DataFrame) -> DataFrame:
+    """Whole numbers as long; fractions, in which a capacity may be met exactly, as decimals: their sums do
+    not depend on the order of adding, so an instance gives the same in one array and in blocks."""
+    kinds = {c: items.schema[c].dataType.typeName() for c in ("value", "weight", "capacity")}
+    whole = lambda c: kinds[c] in ("byte", "short", "integer", "long")
+    size = "long" if whole("weight") and whole("capacity") else EXACT
+    to = {"value": "long" if whole("value") else EXACT, "weight": size, "capacity": size}
+    return items.withColumns({c: F.col(c).cast(t) for c, t in to.items()})
+
+
 def _packed(items: DataFrame, keys: list[str]) -> DataFrame:
     """Ordered item array per key; callers see to it that a key has few items."""
-    entry = F.struct("item", F.col("value").cast("long").alias("value"), F.col("weight").cast("long").alias("weight"))
+    entry = F.struct("item", "value", "weight")
     return items.groupBy(*keys).agg(F.array_sort(F.collect_list(entry)).alias("items"))
 
 
+def _type(items: DataFrame, column: str) -> str:
+    return items.schema[column].dataType.simpleString()
+
+
 def oversized(items: DataFrame, array_items: int) -> DataFrame:
     """Instances with more items than one array may hold; at most rows/array_items."""
     sizes = items.groupBy("instance").agg(F.count("*").alias("n"), F.max("capacity").alias("capacity"))
@@ -57,7 +76,7 @@ def oversized(items: DataFrame, array_items: int) -> DataFrame:
 def _greedy_small(items: DataFrame) -> DataFrame:
     return (
         _packed(items, ["instance", "capacity"])
-        .withColumn("s", _fold_totals(F.col("items"), F.col("capacity")))
+        .withColumn("s", _fold_totals(F.col("items"), F.col("capacity"), _type(items, "value"), _type(items, "weight")))
         .select(
             "instance",
             "capacity",
@@ -72,10 +91,20 @@ def greedy(items: DataFrame, array_items: int = ARRAY_ITEMS, block: int = BLOCK)
     """(instance, capacity, value, weight, taken) of the greedy choice.
 
     ``items`` has instance, item (unique order within the instance), value, weight
-    (positive whole numbers) and capacity. Instances of at most ``array_items``
-    items are folded as one array. Larger ones are solved exactly in blocks, see
-    ``greedy_large``.
+    (positive) and capacity, whole numbers or fractions; sums come back in the types of the columns. Instances of at most
+    ``array_items`` items are folded as one array. Larger ones are solved exactly in blocks, see
+    ``greedy_large``, with the same result.
     """
+    types = {"capacity": _type(items, "capacity"), "value": _sum_type(items, "value"), "weight": _sum_type(items, "weight")}
+    out = _greedy(_exact(items), array_items, block)
+    return out.withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+
+
+def _sum_type(items: DataFrame, column: str) -> str:
+    return {"tinyint": "bigint", "smallint": "bigint", "int": "bigint", "float": "double"}.get(_type(items, column), _type(items, column))
+
+
+def _greedy(items: DataFrame, array_items: int, block: int) -> DataFrame:
     big = oversized(items, array_items)
     if big.isEmpty():
         return _greedy_small(items)
@@ -115,6 +144,8 @@ def greedy_large(items: DataFrame, block: int = BLOCK) -> DataFrame:
     block and usually nearly all of them. A round is a few distributed passes; every
     join is on (instance, block), so no task holds more than a block of an instance.
     """
+    items = _exact(items)
+    size = _type(items, "weight")
     rows = materialise(_with_blocks(items, block))
     blocks = materialise(rows.groupBy("instance", "block").agg(F.max("capacity").alias("capacity")))
     room = blocks.groupBy("instance").agg(F.max("capacity").alias("room"), F.lit(-1).cast("long").alias("done"))
@@ -122,8 +153,8 @@ def greedy_large(items: DataFrame, block: int = BLOCK) -> DataFrame:
     while True:
         ahead = blocks.drop("capacity").join(room, "instance").where(F.col("block") > F.col("done"))
         fitting = rows.join(ahead, ["instance", "block"]).where(F.col("weight") <= F.col("room"))
-        sums = fitting.groupBy("instance", "block", "room").agg(F.sum("weight").alias("w"))
-        upto = F.sum("w").over(Window.partitionBy("instance").orderBy("block"))
+        sums = fitting.groupBy("instance", "block", "room").agg(F.sum("weight").cast(size).alias("w"))
+        upto = F.sum("w").over(Window.partitionBy("instance").orderBy("block")).cast(size)
         over = F.col("upto") > F.col("room")
         of_instance = Window.partitionBy("instance")
         edge = F.min(F.when(over, F.col("block"))).over(of_instance)
@@ -134,7 +165,7 @@ def greedy_large(items: DataFrame, block: int = BLOCK) -> DataFrame:
                 "block",
                 "room",
                 edge.alias("edge"),
-                (F.col("room") - F.coalesce(used, F.lit(0))).alias("before"),
+                (F.col("room") - F.coalesce(used, F.lit(0))).cast(size).alias("before"),
                 F.max("block").over(of_instance).alias("last"),
             )
         )
@@ -148,7 +179,7 @@ def greedy_large(items: DataFrame, block: int = BLOCK) -> DataFrame:
         )
         folded = materialise(
             _packed(current.where(F.col("block") == F.col("edge")), ["instance", "before", "edge", "capacity"]).withColumn(
-                "s", _fold(F.col("items"), F.col("before"))
+                "s", _fold(F.col("items"), F.col("before"), size)
             )
         )
         pairs = F.explode(F.zip_with("items", "s.taken", lambda i, t: F.struct(i.alias("i"), t.alias("chosen"))))

@@ -58,17 +58,17 @@ def test_quantiles_split_cells_until_one_task_can_order_them(spark):
 
 
 def test_sortable_numbers_are_the_bits(spark):
-    from larkspur.functions.numeric import sortable
+    from larkspur.functions.numeric import from_sortable, with_sortable
 
     rng = random.Random(3)
     bits = [rng.getrandbits(63) for _ in range(20_000)] + [e << 52 | m for e in range(2047) for m in (0, 1, (1 << 52) - 1)]
     data = np.array(bits, np.int64).view(np.float64)
     data = data[np.isfinite(data)]
     data = np.concatenate([data, -data, [0.0, -0.0, np.inf, -np.inf]])
-    df = spark.createDataFrame([(float(v),) for v in data], "v double").select("v", sortable(F.col("v")).alias("s"))
+    df = with_sortable(spark.createDataFrame([(float(v),) for v in data], "v double"), "v", "s")
     for v, s in df.collect():
         image = int(np.float64(abs(v)).view(np.int64))
-        assert s == (-image if v < 0 else image)
+        assert s == (-image if v < 0 else image) and from_sortable(s) == v
 
 
 def test_mode_in_a_hash_aggregate(spark):
@@ -138,3 +138,13 @@ def test_instances_keep_line_order_over_file_splits(spark, tmp_path):
     assert [(r["item"], r["value"], r["weight"], r["capacity"]) for r in one] == [(i, i * 3, i + 1, 77) for i in range(3000)]
     two = [r for r in rows if r["instance"].endswith("two.txt")]
     assert [(r["item"], r["value"], r["weight"], r["capacity"]) for r in two] == [(0, 5, 4, 9), (1, 6, 3, 9)]
+
+
+def test_greedy_keeps_fractions(spark):
+    """Fractional weights are not cut, and both ways through give what fits."""
+    rows = [("a", i, v, w, 5.0) for i, (v, w) in enumerate([(1.9, 2.9), (3.9, 2.9), (0.5, 2.1), (9.0, 0.01)])]
+    rows += [("b", i, 1.25, 0.1, 0.3) for i in range(5)]
+    frame = spark.createDataFrame(rows, "instance string, item int, value double, weight double, capacity double")
+    for array_items in (50, 1):
+        got = {r["instance"]: tuple(r)[1:] for r in knapsack.greedy(frame, array_items=array_items, block=2).collect()}
+        assert got == {"a": (5.0, 2.4, 5.0, 2), "b": (0.3, 3.75, 0.3, 3)}
