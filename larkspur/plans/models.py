@@ -10,16 +10,18 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, LinearRegression
-from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from larkspur.functions.hashing import split_label
 from larkspur.operators import encode, evaluate
+from larkspur.session import prepare_checkpoints
 
 LABEL = "deactivated"
 SEED = 7
-MIN_ROWS = 500
+MIN_ROWS = 500  # of a tree node, as in production; an argument everywhere, the same at every table size
+GRID_MIN_ROWS = 1000
+FIRST_ROUNDS, LAST_ROUNDS = 1000, 5000
 
 
 def model_frame(transformed: DataFrame, labels: DataFrame | None = None) -> DataFrame:
@@ -48,11 +50,6 @@ def split_frame(df: DataFrame, shares: Sequence[tuple[str, int]], key: str = "co
     return df.withColumn("part", split_label(F.col(key), shares))
 
 
-def min_rows(df: DataFrame) -> int:
-    """The production minimum per tree node, less on small tables."""
-    return max(1, min(MIN_ROWS, df.count() // 100))
-
-
 @dataclass
 class Fitted:
     """Encoders and model fitted on the same train rows."""
@@ -83,7 +80,7 @@ def fit(train: DataFrame, estimator, numeric: Sequence[str] | None = None, text:
     if not text:
         return _fit_numeric(train, estimator, numeric)
     encoders = encode.fit_one_hot(train, text)
-    rows = encode.assemble(train, encoders, numeric).select(LABEL, "features").persist()
+    rows = encode.assemble(train, encoders, numeric).select(LABEL, "features", *_marks(train)).persist()
     try:
         model = estimator.fit(rows)
     finally:
@@ -91,6 +88,10 @@ def fit(train: DataFrame, estimator, numeric: Sequence[str] | None = None, text:
     return Fitted(encoders, numeric, model, encode.feature_names(encoders, numeric))
 
 
+def _marks(train: DataFrame) -> list[str]:
+    return [HELD_OUT] if HELD_OUT in train.columns else []
+
+
 class _NumericOnly(Fitted):
     def score(self, df: DataFrame, out: str = "prob_deact") -> DataFrame:
         v = VectorAssembler(inputCols=self.numeric, outputCol="features", handleInvalid="keep")
@@ -102,22 +103,36 @@ class _NumericOnly(Fitted):
 
 def _fit_numeric(train: DataFrame, estimator, numeric: list[str]) -> Fitted:
     v = VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="keep")
-    return _NumericOnly(None, numeric, estimator.fit(v.transform(train).select(LABEL, "features")), list(numeric))
+    return _NumericOnly(None, numeric, estimator.fit(v.transform(train).select(LABEL, "features", *_marks(train))), list(numeric))
 
 
-def gbt(rows_per_node: int, iterations: int = 20, depth: int = 6) -> GBTClassifier:
+def gbt(rows_per_node: int = MIN_ROWS, iterations: int = 20, depth: int = 6, sample: float = 0.5, **more) -> GBTClassifier:
     return GBTClassifier(
         labelCol=LABEL,
         featuresCol="features",
         maxDepth=depth,
         minInstancesPerNode=rows_per_node,
-        subsamplingRate=0.5,
+        subsamplingRate=sample,
         maxIter=iterations,
         seed=SEED,
+        **more,
     )
 
 
-def forest(rows_per_node: int, trees: int = 1000, depth: int = 6, columns: str = "auto") -> RandomForestClassifier:
+HELD_OUT = "held_out"
+
+
+def long_gbt(rows_per_node: int = 5, iterations: int = FIRST_ROUNDS, depth: int = 6, rate: float = 0.1, share: float = 0.8, least: float = 1e-4) -> GBTClassifier:
+    """Boosting of up to ``iterations`` rounds, which ends when the loss of the rows marked
+    ``held_out`` falls by less than ``least`` of itself. Every tenth round is checkpointed, so the
+    lineage of a long run stays short."""
+    return gbt(
+        rows_per_node, iterations, depth, share, stepSize=rate, featureSubsetStrategy=str(share),
+        validationIndicatorCol=HELD_OUT, validationTol=least, checkpointInterval=10,
+    )
+
+
+def forest(rows_per_node: int = MIN_ROWS, trees: int = 1000, depth: int = 6, columns: str = "auto") -> RandomForestClassifier:
     return RandomForestClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -130,7 +145,7 @@ def forest(rows_per_node: int, trees: int = 1000, depth: int = 6, columns: str =
     )
 
 
-def train_per_segment(train: DataFrame, test: DataFrame, segment: str, values: Sequence, make) -> DataFrame:
+def train_per_segment(train: DataFrame, test: DataFrame, segment: str, values: Sequence, make, rows_per_node: int = MIN_ROWS) -> DataFrame:
     """One model per segment value, scored on that segment's test rows. Where a
     segment's train rows are of one class, that class is the score of its test rows
     (null without train rows)."""
@@ -141,7 +156,7 @@ def train_per_segment(train: DataFrame, test: DataFrame, segment: str, values: S
         if classes["lo"] == classes["hi"]:
             scored = rows.withColumn("prob_deact", F.lit(classes["lo"]).cast("double"))
         else:
-            scored = fit(part, make(min_rows(part))).score(rows)
+            scored = fit(part, make(rows_per_node)).score(rows)
         scored = scored.select("consumer_id", "recency_x", LABEL, "prob_deact").withColumn("segment", F.lit(value))
         out = scored if out is None else out.unionByName(scored)
     if out is None:
@@ -169,6 +184,12 @@ def fit_platt(scored: DataFrame, prob: str = "prob_deact"):
     return LogisticRegression(labelCol="y", weightCol="w", featuresCol="prob_feature").fit(rows)
 
 
+def platt_coefficients(model) -> DataFrame:
+    """(slope, intercept) of a fitted logistic curve."""
+    row = (float(model.coefficients[0]), float(model.intercept))
+    return SparkSession.active().createDataFrame([row], "slope double, intercept double")
+
+
 def calibrate(model, scored: DataFrame, prob: str = "prob_deact", out: str = "prob_deact_cal") -> DataFrame:
     """Apply either calibration; the result is in column ``out``."""
     rows = VectorAssembler(inputCols=[prob], outputCol="prob_feature", handleInvalid="keep").transform(scored)
@@ -196,14 +217,20 @@ def holdout_report(scored: DataFrame, keys: Sequence[str] = ("model",)) -> DataF
 
 
 def backward_elimination(
-    train: DataFrame, features: Sequence[str], drops: Sequence[int], make, final
+    train: DataFrame, features: Sequence[str], drops: Sequence[int], make=None, final=None, rows_per_node: int | None = None
 ) -> tuple[Fitted, DataFrame]:
     """Fit, drop the least important features, refit, and so on; then the final
-    fit. Returns the model and (round, feature, importance) of every round."""
+    fit. Returns the model and (round, feature, importance) of every round.
+
+    By default a thousand rounds of depth 6 each and at last five thousand of depth 10, ended early on the
+    rows that ``train`` marks in ``held_out``."""
     spark = train.sparkSession
+    prepare_checkpoints(spark)
+    make = make or (lambda n: long_gbt(n))
+    final = final or (lambda n: long_gbt(n - 1, LAST_ROUNDS, depth=10, rate=0.01, share=1.0))
     kept, logs = list(features), None
     for i, n in enumerate([*drops, 0]):
-        fitted = fit(train, (make if i < len(drops) else final)(min_rows(train)), numeric=kept, text=[])
+        fitted = fit(train, (make if i < len(drops) else final)(rows_per_node or 5), numeric=kept, text=[])
         imp = fitted.importances(spark).withColumn("round", F.lit(i + 1))
         logs = imp if logs is None else logs.unionByName(imp)
         if n:
@@ -213,26 +240,32 @@ def backward_elimination(
     return fitted, logs
 
 
-def grid_forest(train: DataFrame, depths: Sequence[int], trees: int, rows_per_node: int) -> tuple[object, DataFrame]:
-    """Forest depth chosen by area under ROC on held-out rows."""
+def important(importances: DataFrame, least: float = 0.001) -> DataFrame:
+    """Ranked features, without those below the least importance."""
+    return importances.where(F.col("importance") >= least).orderBy(F.desc("importance"), "feature")
+
+
+def grid_forest(
+    train: DataFrame, validate: DataFrame, depths: Sequence[int] = (6, 10, 20, 30), trees: int = 300, rows_per_node: int = GRID_MIN_ROWS
+) -> tuple[object, DataFrame]:
+    """Forest depth chosen by area under ROC on the validation rows; all other rows are fitted on."""
     encoders = encode.fit_one_hot(train)
     numeric = encode.numeric_columns(train)
-    rows = encode.assemble(train, encoders, numeric).select(F.col(LABEL).cast("double").alias(LABEL), "features").persist()
-    rf = forest(rows_per_node, trees=trees, columns="0.66")
-    search = TrainValidationSplit(
-        estimator=rf,
-        estimatorParamMaps=ParamGridBuilder().addGrid(rf.maxDepth, list(depths)).build(),
-        evaluator=BinaryClassificationEvaluator(labelCol=LABEL),
-        trainRatio=0.5,
-        seed=SEED,
-        parallelism=2,
-    )
+    ready = lambda df: encode.assemble(df, encoders, numeric).select(F.col(LABEL).cast("double").alias(LABEL), "features")
+    rows, held = ready(train).persist(), ready(validate).persist()
+    measure = BinaryClassificationEvaluator(labelCol=LABEL)
+    result, best = [], None
     try:
-        best = search.fit(rows)
+        for depth in depths:
+            model = forest(rows_per_node, trees=trees, depth=depth, columns="0.66").fit(rows)
+            area = float(measure.evaluate(model.transform(held)))
+            if best is None or area > best[0]:
+                best = (area, model)
+            result.append((int(depth), area))
     finally:
         rows.unpersist()
-    result = [(int(d), float(m)) for d, m in zip(depths, best.validationMetrics)]
-    return best.bestModel, train.sparkSession.createDataFrame(result, "max_depth int, auc double")
+        held.unpersist()
+    return best[1], train.sparkSession.createDataFrame(result, "max_depth int, auc double")
 
 
 def lasso(train: DataFrame, features: Sequence[str], target: str, alpha: float = 0.005) -> tuple[object, DataFrame]:

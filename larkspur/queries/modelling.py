@@ -42,7 +42,7 @@ def _part(df: DataFrame, name: str) -> DataFrame:
 
 
 def _gbt(train: DataFrame) -> models.Fitted:
-    return models.fit(train, models.gbt(models.min_rows(train)))
+    return models.fit(train, models.gbt())
 
 
 def _report(scored: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,7 +67,7 @@ def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
 def train_rf(spark: SparkSession, sf: str) -> DataFrame:
     df = _frame(spark, sf)
     train = _part(df, "train")
-    fitted = models.fit(train, models.forest(models.min_rows(train)))
+    fitted = models.fit(train, models.forest())
     return _report(_named(fitted.score(_part(df, "validate")), "random_forest"), ["model"])
 
 
@@ -75,7 +75,7 @@ def train_rf(spark: SparkSession, sf: str) -> DataFrame:
 def train_baseline(spark: SparkSession, sf: str) -> DataFrame:
     df = _frame(spark, sf)
     train = _part(df, "train")
-    fitted = models.fit(train, models.gbt(models.min_rows(train)), numeric=["recency_x"], text=[])
+    fitted = models.fit(train, models.gbt(), numeric=["recency_x"], text=[])
     return _report(_named(fitted.score(_part(df, "validate")), "gbt_1_feature"), ["model"])
 
 
@@ -92,11 +92,10 @@ def train_per_segment(spark: SparkSession, sf: str) -> DataFrame:
 def model_compare(spark: SparkSession, sf: str) -> DataFrame:
     df = _frame(spark, sf)
     train, test = _part(df, "train"), _part(df, "validate")
-    rows = models.min_rows(train)
     fitted = {
-        "gradient_boosted_trees": models.fit(train, models.gbt(rows)),
-        "random_forest": models.fit(train, models.forest(rows, trees=300)),
-        "gbt_1_feature": models.fit(train, models.gbt(rows), numeric=["recency_x"], text=[]),
+        "gradient_boosted_trees": models.fit(train, models.gbt()),
+        "random_forest": models.fit(train, models.forest()),
+        "gbt_1_feature": models.fit(train, models.gbt(), numeric=["recency_x"], text=[]),
     }
     return models.holdout_report(models.compare_models(test, fitted))
 
@@ -116,8 +115,13 @@ def calibrate_isotonic(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def calibrate_platt(spark: SparkSession, sf: str) -> DataFrame:
-    out = _calibrated(spark, sf, models.fit_platt)
-    return out.select("consumer_id", models.LABEL, "prob_deact", "prob_deact_cal")
+    """Calibrated scores with the curve's slope and intercept."""
+    df = _frame(spark, sf)
+    gbt = _gbt(_part(df, "train"))
+    curve = models.fit_platt(gbt.score(_part(df, "calibrate")))
+    slope, intercept = models.platt_coefficients(curve).first()
+    out = models.calibrate(curve, gbt.score(_part(df, "validate"))).select("consumer_id", models.LABEL, "prob_deact", "prob_deact_cal")
+    return out.withColumns({"slope": F.lit(slope), "intercept": F.lit(intercept)})
 
 
 @query()
@@ -159,25 +163,23 @@ def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def feature_importance(spark: SparkSession, sf: str) -> DataFrame:
-    fitted = _gbt(_part(_frame(spark, sf), "train"))
-    return fitted.importances(spark).orderBy(F.desc("importance"), "feature")
+    """Features of a model of all labelled rows, from the least importance up that counts."""
+    fitted = models.fit(_frame(spark, sf).drop("part"), models.gbt(rows_per_node=20))
+    return models.important(fitted.importances(spark))
 
 
 @query()
 def backward_elimination(spark: SparkSession, sf: str) -> DataFrame:
-    train = _part(_frame(spark, sf), "train")
+    """All labelled rows: two parts are fitted on, the third ends the boosting."""
+    train = _frame(spark, sf).withColumn(models.HELD_OUT, F.col("part") == "validate").drop("part")
     features = [c for c in train.columns if c.endswith("_x") and not c.endswith("_cat_x")]
-    _, log = models.backward_elimination(
-        train, features, (20, 10), lambda rows: models.gbt(rows), lambda rows: models.gbt(rows, iterations=40, depth=7)
-    )
-    return log
+    return models.backward_elimination(train, features, (20, 10))[1]
 
 
 @query()
 def grid_forest(spark: SparkSession, sf: str) -> DataFrame:
-    train = _part(_frame(spark, sf), "train")
-    _, grid = models.grid_forest(train, (6, 10, 20, 30), trees=300, rows_per_node=models.min_rows(train))
-    return grid
+    df = _frame(spark, sf)
+    return models.grid_forest(df.where("part <> 'validate'").drop("part"), _part(df, "validate"))[1]
 
 
 @query()
@@ -191,7 +193,7 @@ def lasso_select(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
-    """Survival model: confusion matrix of the held-out rows."""
+    """Survival model: confusion matrix of the held-out rows, with the accuracy."""
     df = passengers.cleaned(passengers.passengers(load(spark, sf, "customer")))
     df = df.withColumn("part", split_label(F.col("id"), (("train", 80), ("test", 20))))
     train, test = (df.where(F.col("part") == p).drop("part") for p in ("train", "test"))
@@ -202,7 +204,8 @@ def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
     v = VectorAssembler(inputCols=columns, outputCol="features")
     model = LogisticRegression(labelCol="survived", tol=0.0005).fit(v.transform(ready))
     scored = model.transform(v.transform(apply(test))).withColumn("p", F.col("prediction"))
-    return evaluate.confusion_matrix(scored, "survived", "p")
+    right = scored.agg(F.avg(F.when(F.col("survived") == F.col("p"), 1.0).otherwise(0.0))).first()[0]
+    return evaluate.confusion_matrix(scored, "survived", "p").withColumn("accuracy", F.lit(right).cast("double"))
 
 
 @query(

@@ -97,6 +97,20 @@ def wow_change_param(spark: SparkSession, sf: str) -> DataFrame:
     return _out(out.select("geo_id", "date", "change", "change_class"))
 
 
+@query(
+    with_parts(
+        ["weekly"],
+        """
+SELECT geo_id, date::VARCHAR AS date, round(if(p IS NULL OR (p = 0 AND new_cases = 0), 0, if(p = 0, 100, (new_cases - p) / p)), 6)::DOUBLE AS change
+FROM (SELECT *, lag(new_cases) OVER (PARTITION BY geo_id ORDER BY date) AS p FROM weekly)
+""",
+    )
+)
+def wow_change_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rule for cases, where a rise from zero counts as 100."""
+    return _out(panel.simple_change(_weekly(spark, sf), "new_cases", "geo_id", "date", 100.0, "change").select("geo_id", "date", "change"))
+
+
 _ROLL = "PARTITION BY geo_id ORDER BY date ROWS BETWEEN 3 PRECEDING AND CURRENT ROW"
 
 

@@ -207,3 +207,32 @@ def partition_gate(spark: SparkSession, sf: str) -> DataFrame:
     catalog.recover_partitions(spark, table)
     day = catalog.require_partition(spark, table, "2000-07-29")
     return catalog.scan_partition(spark.table(table), day).agg(F.lit(day).alias("record_date"), F.count("*").alias("consumers"))
+
+
+@query(
+    """
+SELECT o_custkey AS consumer_id, count(*) AS orders, CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS last_order,
+  CASE o_orderstatus WHEN 'F' THEN '2000-07-27' WHEN 'O' THEN '2000-07-28' ELSE '2000-07-29' END AS record_date
+FROM orders WHERE o_orderstatus <> 'O' OR o_custkey % 2 = 0 GROUP BY o_custkey, o_orderstatus
+"""
+)
+def insert_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """Days inserted into a catalog table, then one of them again with fewer rows: it is replaced, the others stay."""
+    table = _name("inserted")
+    catalog.create_partitioned(spark, table, "consumer_id BIGINT, orders BIGINT, last_order STRING", work_path(spark, "inserted"))
+    days = _snapshots(spark, sf)
+    catalog.insert_snapshot(days, table)
+    catalog.insert_snapshot(days.where("record_date = '2000-07-28' AND consumer_id % 2 = 0"), table)
+    return spark.table(table)
+
+
+@query("SELECT c_custkey, c_name, c_acctbal, CAST(DATE '1995-01-01' + CAST(c_custkey % 2000 AS INTEGER) AS VARCHAR) AS joined FROM customer WHERE c_acctbal >= 0")
+def load_replacing(spark: SparkSession, sf: str) -> DataFrame:
+    """A headered file loaded into a table in place of what it held."""
+    path, table = work_path(spark, "customers-csv"), _name("loaded")
+    joined = F.date_add(F.lit("1995-01-01").cast("date"), (F.col("c_custkey") % 2000).cast("int")).alias("joined")
+    rows = load(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", joined)
+    held = catalog.create_as(rows, table, work_path(spark, "loaded"), fmt="parquet")
+    files.write_report(held.where("c_acctbal >= 0"), path)
+    catalog.replace_contents(files.read_csv(spark, path, _CUSTOMER, ("joined",)), table)
+    return frames.text_dates(spark.table(table))

@@ -59,9 +59,13 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of executors and cuts lineage."""
-    spark = df.sparkSession
+def prepare_checkpoints(spark: SparkSession) -> None:
+    """Checkpoints go to the shared folder, unless the session names another."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: survives the loss of executors and cuts lineage."""
+    prepare_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)
