@@ -18,29 +18,19 @@ def _rows(df: DataFrame, cells: Sequence[Column]) -> DataFrame:
 def profile_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, non-null and distinct counts and a unique-key flag per column.
 
-    Columns are profiled as (column, value) pairs that are first reduced to
-    distinct values, so no task holds the value set of a column.
+    Each column is reduced to its distinct values, in its own type, and these are counted, so no
+    task holds the value set of a column and a columnar file is read once in all, a column at
+    a time. A frame that is dear to compute is best written first.
     """
-    columns = list(columns or df.columns)
     types = dict(df.dtypes)
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])
-    pairs = (
-        df.select(F.explode(cells).alias("c")).select("c.*").groupBy("column", "value").agg(F.count("*").alias("n"))
-    )
-    out = pairs.groupBy("column").agg(
-        F.sum("n").alias("rows"),
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("non_null"),
-        F.count("value").alias("distinct_values"),
-    )
-    dtype = F.create_map(*[x for c in columns for x in (F.lit(c), F.lit(types[c]))])
-    return out.select(
-        "column",
-        dtype[F.col("column")].alias("dtype"),
-        "rows",
-        "non_null",
-        "distinct_values",
-        (F.col("distinct_values") == F.col("rows")).cast("int").alias("is_key"),
-    )
+    out = None
+    for c in columns or df.columns:
+        values = df.groupBy(F.col(c).alias("value")).agg(F.count("*").alias("n"))
+        there = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+        one = values.agg(F.sum("n").alias("rows"), F.sum(there).alias("non_null"), F.count("value").alias("distinct_values"))
+        one = one.na.fill(0).select(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), "*")
+        out = one if out is None else out.unionByName(one)
+    return out.withColumn("is_key", (F.col("distinct_values") == F.col("rows")).cast("int"))
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

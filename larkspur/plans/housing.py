@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.operators import encode
+from larkspur.operators import encode, stages
 
 
 @dataclass(frozen=True)
@@ -48,6 +48,11 @@ class PriceFeatures:
         scale = encode.MinMax.fit(df, (*text, *numeric, *years))
         return cls(target, text, numeric, years, sold, imputer, logs, rare, order, scale)
 
+    def stages(self) -> list[stages.FittedStage]:
+        """The same steps as stages of a pipeline that can be saved with a model."""
+        years = stages.ElapsedYearsStage({"columns": list(self.years), "reference": self.sold})
+        return [stages.stage(self.imputer), years, *(stages.stage(e) for e in (self.logs, self.rare, self.order, self.scale))]
+
     def transform(self, df: DataFrame) -> DataFrame:
         df = encode.elapsed_years(self.imputer.transform(df), self.years, self.sold)
         for step in (self.logs, self.rare, self.order, self.scale):

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -191,6 +192,27 @@ def lasso_select(spark: SparkSession, sf: str) -> DataFrame:
     return models.lasso(train, features, "sale_price")[1]
 
 
+@query("SELECT p_partkey AS id, 0.0::DOUBLE AS difference FROM part")
+def pipeline_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Encoders and price model saved as one pipeline and loaded in a new session, where the raw rows
+    get the same prices."""
+    df = _houses(spark, sf)
+    train = df.where("part = 'train'")
+    fitted = fit_houses(train)
+    features = [*fitted.text, *fitted.numeric, *fitted.years, "lot_frontage_na"]
+    model, _ = models.lasso(fitted.transform(train), features, "sale_price")
+    vector = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    made = PipelineModel([*fitted.stages(), vector, model])
+    path, scores = work_path(spark, "pipeline"), work_path(spark, "prices")
+    made.write().overwrite().save(path)
+    other = spark.newSession()
+    PipelineModel.load(path).transform(_houses(other, sf)).select("id", F.col("prediction").alias("loaded")).write.parquet(scores)
+    both = made.transform(df).select("id", "prediction").join(spark.read.parquet(scores), "id")
+    # a label that train never had has no rank, and its rows have no price either way
+    alike = F.isnan("loaded") & F.isnan("prediction")
+    return both.select("id", F.when(alike, 0.0).otherwise(F.col("loaded") - F.col("prediction")).alias("difference"))
+
+
 @query()
 def train_logistic(spark: SparkSession, sf: str) -> DataFrame:
     """Survival model: confusion matrix of the held-out rows, with the accuracy."""

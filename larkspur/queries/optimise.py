@@ -133,6 +133,20 @@ def dispatch_min_cost(spark: SparkSession, sf: str) -> DataFrame:
     return plan.dispatch(*_plants(spark, sf))
 
 
+@query(
+    """
+SELECT strftime(l_shipdate, '%Y-%m') AS period, CASE WHEN month(any_value(l_shipdate)) % 3 = 0 THEN 'infeasible' ELSE 'optimal' END AS status
+FROM lineitem GROUP BY 1
+"""
+)
+def dispatch_status(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third month asks for half a unit more than all plants can give."""
+    plants, _ = _plants(spark, sf)
+    much, some = F.sum("max_output") + 0.5, F.floor(F.sum("max_output") * 3 / 5)
+    demand = plants.groupBy("period").agg(F.when(F.substring("period", 6, 2).cast("int") % 3 == 0, much).otherwise(some).cast("double").alias("demand"))
+    return plan.status(plants, demand).select("period", "status")
+
+
 @query(
     """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS record_date, user_id, count(*) AS events, CAST(sum(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS BIGINT) AS deal_views,

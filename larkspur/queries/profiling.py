@@ -191,15 +191,22 @@ def null_profile(spark: SparkSession, sf: str) -> DataFrame:
     return frames.round_all(profile.null_profile(_gappy(spark, sf)), 9)
 
 
+def _dtype(c: str) -> str:
+    """Spark's name of a column's type."""
+    kinds = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in kinds.items())
+    return f"CASE typeof(any_value({c})) {cases} END AS dtype"
+
+
 @query(
     "\nUNION ALL ".join(
-        f"SELECT '{c}' AS \"column\", count(*) AS \"rows\", count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values, "
+        f"SELECT '{c}' AS \"column\", {_dtype(c)}, count(*) AS \"rows\", count({c}) AS non_null, count(DISTINCT {c}) AS distinct_values, "
         f"CAST(count(DISTINCT {c}) = count(*) AS INTEGER) AS is_key FROM ({_GAPPY})"
         for c in _GAP_COLUMNS
     )
 )
 def profile_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return profile.profile_columns(_gappy(spark, sf)).drop("dtype")
+    return profile.profile_columns(_gappy(spark, sf))
 
 
 def _histogram_sql(body: str, bins: int) -> str:
@@ -304,14 +311,20 @@ def impute_point(spark: SparkSession, sf: str) -> DataFrame:
     return shoppers.select("shopper_id", F.col("create_date").cast("string").alias("create_date"), fixed.alias("calls"))
 
 
+_FEW = "if(count(DISTINCT {c}) < 20, 'discrete', 'continuous')"
+_ROLES = {
+    "p_partkey": ("p_partkey", "'continuous'"),
+    "p_size": ("p_size", _FEW.format(c="p_size")),
+    "p_half": ("(p_size // 10)", _FEW.format(c="p_size // 10")),
+    "p_type": ("p_type", "'categorical'"),
+    "YearSold": ("(p_partkey % 5)", "'temporal'"),
+}
+
+
 @query(
-    """
-SELECT 'p_partkey' AS "column", 'continuous' AS role, count(DISTINCT p_partkey) AS distinct_values FROM part
-UNION ALL SELECT 'p_size', CASE WHEN count(DISTINCT p_size) < 20 THEN 'discrete' ELSE 'continuous' END, count(DISTINCT p_size) FROM part
-UNION ALL SELECT 'p_half', CASE WHEN count(DISTINCT p_size // 10) < 20 THEN 'discrete' ELSE 'continuous' END, count(DISTINCT p_size // 10) FROM part
-UNION ALL SELECT 'p_type', 'categorical', count(DISTINCT p_type) FROM part
-UNION ALL SELECT 'YearSold', 'temporal', count(DISTINCT p_partkey % 5) FROM part
-"""
+    "\nUNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", {_dtype(c)}, {role} AS role, count(DISTINCT {c}) AS distinct_values FROM part" for name, (c, role) in _ROLES.items()
+    )
 )
 def variable_types(spark: SparkSession, sf: str) -> DataFrame:
     df = load(spark, sf, "part").select(
@@ -321,4 +334,4 @@ def variable_types(spark: SparkSession, sf: str) -> DataFrame:
         "p_type",
         (F.col("p_partkey") % 5).alias("YearSold"),
     )
-    return profile.variable_types(df).drop("dtype")
+    return profile.variable_types(df)
