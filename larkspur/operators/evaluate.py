@@ -92,12 +92,11 @@ def cutoff_bucket(prob: Column) -> Column:
     )
 
 
-def cutoff_counts(df: DataFrame, label: str, probs: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
-    """(keys, score, cutoff, tp, fp, p, n) for all 101 cutoffs of each score column.
+def _points(df: DataFrame, label: str, probs: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """(keys, score, p, n, points): the (cutoff, tp, fp) of all 101 cutoffs in one row per score column.
 
-    Rows are counted per highest cutoff they reach; a reverse running sum over the
-    101 counts then gives every cutoff at once, instead of one count per cutoff or
-    a cross join of rows and cutoffs.
+    Rows are counted per highest cutoff they reach. That leaves at most 102 counts, from which every
+    cutoff's sum is taken at once, instead of one count per cutoff, a cross join of rows and cutoffs, or a window.
     """
     cells = F.array(*[F.struct(F.lit(m).alias("score"), F.col(m).alias("prob")) for m in probs])
     group = [*keys, "score"]
@@ -111,47 +110,39 @@ def cutoff_counts(df: DataFrame, label: str, probs: Sequence[str], keys: Sequenc
         )
     )
     # A null score reaches no cutoff but still counts in the class totals.
-    counts = F.map_from_entries(F.collect_list(F.struct(F.coalesce("cutoff", F.lit(-1)), F.struct("pos", "neg"))))
+    counts = F.collect_list(F.struct(F.coalesce("cutoff", F.lit(-1)).alias("c"), "pos", "neg"))
     total = per_bucket.groupBy(*group).agg(counts.alias("m"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
-    cell = F.col("m")[F.col("cutoff")]
-    grid = total.select(*group, "p", "n", "m", F.explode(F.sequence(F.lit(0), F.lit(CUTOFFS))).alias("cutoff"))
-    grid = grid.select(
-        *group,
-        "cutoff",
-        "p",
-        "n",
-        F.coalesce(cell["pos"], F.lit(0)).alias("pos"),
-        F.coalesce(cell["neg"], F.lit(0)).alias("neg"),
-    )
-    above = Window.partitionBy(*group).orderBy(F.desc("cutoff")).rowsBetween(Window.unboundedPreceding, 0)
-    return grid.select(
-        *group, "cutoff", F.sum("pos").over(above).alias("tp"), F.sum("neg").over(above).alias("fp"), "p", "n"
-    )
+    zero = F.lit(0).cast("long")
+    reached = lambda c, of: F.aggregate("m", zero, lambda s, e: s + F.when(e["c"] >= c, e[of]).otherwise(zero))
+    point = lambda c: F.struct(c.alias("cutoff"), reached(c, "pos").alias("tp"), reached(c, "neg").alias("fp"))
+    return total.select(*group, "p", "n", F.transform(F.sequence(F.lit(0), F.lit(CUTOFFS)), point).alias("points"))
+
+
+def cutoff_counts(df: DataFrame, label: str, probs: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, score, cutoff, tp, fp, p, n) for all 101 cutoffs of each score column."""
+    out = _points(df, label, probs, keys).withColumn("c", F.explode("points"))
+    return out.select(*keys, "score", "c.cutoff", "c.tp", "c.fp", "p", "n")
 
 
 def cutoff_curve(df: DataFrame, label: str, prob: str, keys: Sequence[str] = ()) -> DataFrame:
     """Points of the precision-recall and ROC curves; of cutoffs with equal
     counts the lowest stays. Precision is 1 when nothing is predicted.
 
-    Counts never rise with the cutoff, so equal ones are neighbours: a row stays
-    when the next lower cutoff has other counts. That uses the window the counts
-    were summed in.
+    Counts never rise with the cutoff, so equal ones are neighbours: a point stays
+    when the next lower cutoff has other counts.
     """
-    c = cutoff_counts(df, label, [prob], keys)
-    lower = Window.partitionBy(*keys, "score").orderBy(F.desc("cutoff"))
-    same = (F.lead("tp").over(lower) == F.col("tp")) & (F.lead("fp").over(lower) == F.col("fp"))
-    return (
-        c.withColumn("same", F.coalesce(same, F.lit(False)))
-        .where(~F.col("same"))
-        .select(
-            *keys,
-            (F.col("cutoff") / F.lit(float(CUTOFFS))).alias("cutoff"),
-            "tp",
-            "fp",
-            ratio(F.col("tp"), F.col("p")).alias("tpr"),
-            ratio(F.col("fp"), F.col("n")).alias("fpr"),
-            ratio_or(F.col("tp"), F.col("tp") + F.col("fp"), 1).alias("precision"),
-        )
+    lower = lambda i: F.get(F.col("points"), i - 1)
+    new = lambda x, i: (i == 0) | (lower(i)["tp"] != x["tp"]) | (lower(i)["fp"] != x["fp"])
+    out = _points(df, label, [prob], keys).withColumn("c", F.explode(F.filter("points", new)))
+    tp, fp = F.col("c.tp"), F.col("c.fp")
+    return out.select(
+        *keys,
+        (F.col("c.cutoff") / F.lit(float(CUTOFFS))).alias("cutoff"),
+        tp.alias("tp"),
+        fp.alias("fp"),
+        ratio(tp, F.col("p")).alias("tpr"),
+        ratio(fp, F.col("n")).alias("fpr"),
+        ratio_or(tp, tp + fp, 1).alias("precision"),
     )
 
 

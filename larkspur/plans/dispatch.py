@@ -100,13 +100,16 @@ def _solved(plants: DataFrame, demand: DataFrame, at_once: int = AT_ONCE) -> Dat
     amount, _ = _types(plants, demand)
     per = saved(_periods(plants, demand), "dispatch-periods")
     n = F.size("plants")
-    # first guesses: the plants of the lowest spread prices, as many as it takes and more
+    left = -(-(per.agg(F.max(n)).first()[0] or 0) // at_once) or 1  # rounds to go
+    best = F.min(F.struct("cost", "number")).alias("b")
+    # first guesses: the plants of the lowest spread prices, as many as it takes and more; a single round needs none
     order = F.transform(F.filter("steps", lambda p: p["open"]), lambda p: p["i"])
     first = lambda m: F.transform("plants", lambda p, i: F.array_contains(F.slice(order, 1, m), i))
-    guesses = per.select("*", F.explode(F.transform(F.sequence(F.lit(0), n), first)).alias("on"))
-    best = F.min(F.struct("cost", "number")).alias("b")
+    guesses = per.select("*", F.explode(F.transform(F.sequence(F.lit(0), n if left > 1 else F.lit(0)), first)).alias("on"))
     known = _valued(guesses, amount).where("cost IS NOT NULL").select("period", "cost", _number(F.col("on"), n).alias("number"))
-    known = saved(known.groupBy("period").agg(best).select("period", "b.*"), "dispatch-best")
+    known = known.groupBy("period").agg(best).select("period", "b.*")
+    if left > 1:
+        known = saved(known, "dispatch-best")
     open_ = per.select("period", F.array().cast("array<boolean>").alias("on"))
     while True:
         rows = open_.join(per, "period")
@@ -118,12 +121,13 @@ def _solved(plants: DataFrame, demand: DataFrame, at_once: int = AT_ONCE) -> Dat
         rows = saved(rows.select("period", "on", "cost", "bound", n.alias("n"), _number(F.col("on"), n).alias("number")), "dispatch-sets")
         found = rows.where("cost IS NOT NULL").select("period", "cost", "number").unionByName(known)
         known = saved(found.groupBy("period").agg(best).select("period", "b.*"), "dispatch-best")
+        left -= 1
+        if not left:
+            return per.select("period", "demand", "plants").join(known, "period", "left").withColumn("on", F.reverse("number"))
         # a set that is as cheap may still have a lower number; the margin is that of rounding
         worth = F.col("least").isNull() | (F.col("bound") <= F.col("least") + F.abs("least") * 1e-12)
         kept = rows.where(F.size("on") < F.col("n")).join(known.select("period", F.col("cost").alias("least")), "period", "left")
         open_ = saved(kept.where(worth).select("period", "on"), "dispatch-open")
-        if open_.isEmpty():
-            return per.select("period", "demand", "plants").join(known, "period", "left").withColumn("on", F.reverse("number"))
 
 
 def dispatch(plants: DataFrame, demand: DataFrame) -> DataFrame:
