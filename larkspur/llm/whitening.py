@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.mllib.linalg import DenseMatrix
 from pyspark.mllib.linalg.distributed import BlockMatrix, IndexedRowMatrix
@@ -81,6 +82,7 @@ def whiten(vectors: DataFrame, top: int = 4, scale: int = 256, rows_each: int =
     centred = fit.select("index", array_to_vector(F.zip_with(F.transform("x", lambda x: x.cast("double")), mean, lambda x, m: x - m)).alias("vector"))
     cols = min(d, rows_each)
     a = IndexedRowMatrix(MLUtils.convertVectorColumnsFromML(centred, "vector"), n, d).toBlockMatrix(rows_each, cols)
+    a.persist(StorageLevel.MEMORY_AND_DISK)  # read three times; a lost block is made again
     middle = -(-n // (rows_each * blocks_each))
     scatter = _times(a.transpose(), a, middle).toLocalMatrix().toArray()
     v = (scatter + scatter.T) / (2 * n)
@@ -97,6 +99,7 @@ def whiten(vectors: DataFrame, top: int = 4, scale: int = 256, rows_each: int =
         return [(i * rows_each + k, row) for k, row in enumerate(m.toArray().tolist())]
 
     white = saved(spark.createDataFrame(made.flatMap(lines), "index long, w array<double>"), "whitened")
+    a._java_matrix_wrapper._java_model.blocks().unpersist(False)
     pairs = [(i, j) for i in range(len(order)) for j in range(i + 1)]
     cov = white.agg(*[F.covar_pop(F.col("w")[i], F.col("w")[j]) for i, j in pairs]).first()
     error = max(abs(c - (i == j)) for c, (i, j) in zip(cov, pairs))
