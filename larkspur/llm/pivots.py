@@ -28,10 +28,9 @@ def matrix(column: pa.Array) -> np.ndarray:
 def choose_pivots(vectors: DataFrame, m: int, sample: int = 2000) -> np.ndarray:
     """``m`` unit vectors far apart: from the ``sample`` usable vectors with the smallest hash
     of their id, each next one is the one least similar to those already chosen. The sample
-    is all that reaches the driver. Vectors of another length than the first are left out."""
+    is all that reaches the driver. The vectors are of one length."""
     rows = vectors.select(F.xxhash64("vec_id", "embedding").alias("h"), "embedding").orderBy("h").limit(sample).collect()
     rows = [r["embedding"] for r in rows]
-    rows = [v for v in rows if len(v) == len(rows[0])]
     if not rows:
         return np.zeros((0, 1))
     u = np.unique(np.array(rows, np.float64), axis=0)
@@ -44,6 +43,11 @@ def choose_pivots(vectors: DataFrame, m: int, sample: int = 2000) -> np.ndarray:
     return u[chosen]
 
 
+def lengths(vectors: DataFrame) -> list[int]:
+    """The lengths of the vectors, of which a table has few; each is indexed on its own."""
+    return sorted(r[0] for r in vectors.select(F.size("embedding")).distinct().collect())
+
+
 def _prefix(x: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
     """The ``k`` nearest pivots of each unit vector, nearest first, ties to the lower number."""
     return np.argsort(-(x @ pivots.T), axis=1, kind="stable")[:, :k]
@@ -123,6 +127,20 @@ def _verify(least: float, shared: int):
     return run
 
 
+def _links(one: DataFrame, chosen: np.ndarray, least: float, k: int, shared: int, block: int) -> DataFrame:
+    """(node, links, root) of the linked nodes, per list, for vectors (label, node, copies, embedding) of one length."""
+    shared = min(shared, k, len(chosen))
+    fields = "label string, list long, node long, copies long, mask long, embedding array<double>"
+    posted = one.mapInArrow(_postings(chosen, k, shared), fields)
+    lists = one.mapInArrow(_postings(chosen, k, shared), fields).groupBy("label", "list").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
+    mine = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
+    dealt = posted.join(lists, ["label", "list"]).withColumn("block", mine)
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    dealt = dealt.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o", "n")
+    key = ["label", "list", "i", "j"]
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_verify(least, shared), "node long, links long, root long")
+
+
 def near_duplicates(
     vectors: DataFrame, least: float = 0.93, pivots: int = 64, k: int = 6, shared: int = 2, block: int = 512
 ) -> DataFrame:
@@ -139,34 +157,26 @@ def near_duplicates(
     Vectors that are null, empty, zero or not finite, or have no label, link with
     nothing and are their own component; rows with a null vec_id likewise (component
     null, kept). Repeated rows count as other vectors. A vec_id should name one vector:
-    rows that share one are one node of the link graph. An empty table gives no rows;
-    other columns are ignored.
+    rows that share one are one node of the link graph. Vectors of different lengths do not
+    link; each length has pivots of its own. An empty table gives no rows; other columns are ignored.
     """
     if pivots > 64:
         raise ValueError("a pivot set is a 64-bit mask")
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
     rows = rows.withColumn("ok", usable(F.col("embedding")) & F.col("label").isNotNull() & F.col("vec_id").isNotNull())
     rows = rows.withColumns({"h1": F.xxhash64("label", "embedding"), "h2": F.xxhash64(F.lit(1), "label", "embedding")})
-    good = rows.where("ok")
-    chosen = choose_pivots(good, pivots)
-    if not len(chosen):
-        alone = [F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")]
-        return rows.select("vec_id", *alone)
-    shared = min(shared, k, len(chosen))
-    good = good.where(F.size("embedding") == chosen.shape[1])
     one = saved(
-        good.groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("label").cast("string").alias("label"), F.first("embedding").alias("embedding")),
+        rows.where("ok").groupBy("h1", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"), F.first("label").cast("string").alias("label"), F.first("embedding").alias("embedding")),
         "vectors",
     )
-    fields = "label string, list long, node long, copies long, mask long, embedding array<double>"
-    posted = one.select("label", "node", "copies", "embedding").mapInArrow(_postings(chosen, k, shared), fields)
-    lengths = one.select("label", "node", "copies", "embedding").mapInArrow(_postings(chosen, k, shared), fields).groupBy("label", "list").agg(F.ceil(F.count("*") / block).cast("int").alias("n"))
-    mine = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
-    dealt = posted.join(lengths, ["label", "list"]).withColumn("block", mine)
-    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o", "n")
-    key = ["label", "list", "i", "j"]
-    found = dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(_verify(least, shared), "node long, links long, root long")
+    found = None
+    for d in lengths(one):
+        part = one.where(F.size("embedding") == d).select("label", "node", "copies", "embedding")
+        more = _links(part, choose_pivots(part.withColumnRenamed("node", "vec_id"), pivots), least, k, shared, block)
+        found = more if found is None else found.unionByName(more)
+    if found is None:
+        alone = [F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")]
+        return rows.select("vec_id", *alone)
     found = saved(found, "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     reach = components(found, "node", "root").withColumnRenamed("id", "node")
@@ -259,15 +269,26 @@ def nearest(
     Shorter vectors are lifted by one dimension, so that the direction nearest to the
     query is the largest product.
 
-    Vectors that are null, empty, zero or not finite, rows without vec_id and vectors of
-    another length than the pivots take no part. Rows that repeat id and vector are one
+    Vectors that are null, empty, zero or not finite and rows without vec_id take no part; a query's
+    neighbours have its length, and each length has pivots of its own. Rows that repeat id and vector are one
     row; another vector under the query's id is not its neighbour. Ties go to the
     smaller vec_id; an empty table gives no rows; other columns are ignored.
     """
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull()).distinct()
+    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    found = None
+    for d in lengths(rows):
+        more = _found(rows.where(F.size("embedding") == d), is_query, top, pivots, k, share, rows_each, queries_each, stripes)
+        found = more if found is None else found.unionByName(more)
+    if found is None:
+        found = rows.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(rows: DataFrame, is_query: Column, top: int, pivots: int, k: int, share: float, rows_each: int, queries_each: int, stripes: int) -> DataFrame:
+    """The best of every stripe for vectors of one length."""
     chosen = choose_pivots(rows, pivots)
-    rows = rows.where(F.size("embedding") == chosen.shape[1])
     square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x * x)
     about = rows.agg(F.count("*").alias("n"), F.sum(F.when(is_query, 1).otherwise(0)).alias("q"), F.max(square).alias("m")).first()
     blocks, chunks = max(1, -(-about["n"] // (rows_each * stripes))), max(1, -(-(about["q"] or 0) // queries_each))
@@ -279,6 +300,4 @@ def nearest(
     asked = rows.where(is_query).withColumns({"chunk": of(chunks, 2), "block": F.lit(-1)}).withColumn("stripe", every(stripes))
     key = ["chunk", "stripe"]
     dealt = held.unionByName(asked).repartition(*key).sortWithinPartitions(*key, "block")
-    found = dealt.mapInArrow(_search(lifted, k, top, share, scale), "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")
+    return dealt.mapInArrow(_search(lifted, k, top, share, scale), "query_id long, vec_id long, score double")

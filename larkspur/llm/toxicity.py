@@ -38,10 +38,13 @@ class Words:
         if len(self.known) > self.keep:
             self.known.clear()
             self.rows.clear()
-        parts, text = [], text or ""
-        for at in range(0, len(text), 1 << 20):
-            # a part ends inside a word at worst once in a million characters; both halves then count as words
-            found = _WORD.findall(text[at : at + (1 << 20)].lower())
+        parts, text, at = [], text or "", 0
+        while at < len(text):
+            end = at + (1 << 20)
+            while end < len(text) and not text[end].isspace():  # a part ends between words
+                end += 1
+            found = _WORD.findall(text[at:end].lower())
+            at = end
             for w in set(found):
                 if w not in self.known:
                     self._number(w)
@@ -274,6 +277,9 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 5000, buckets: int =
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("place", "toxic", "lang")] + [pa.array(ids, pa.binary())], names=["place", "toxic", "lang", "ids"])
 
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).join(F.broadcast(chosen), "doc_id")
+    # one row of a repeated doc_id, so that the bound holds for rows too
+    one = F.min(F.struct(F.xxhash64("text", "lang").alias("h"), "toxic", "lang", "text")).alias("r")
+    rows = rows.groupBy("place").agg(one).select("place", "r.*")
     one = rows.select("place", "toxic", "lang", "text").mapInArrow(encode, "place long, toxic int, lang string, ids binary")
     got = sorted(one.collect(), key=lambda r: (r["place"], bytes(r["ids"])))
     ids = [np.frombuffer(bytes(r["ids"]), np.int32).reshape(-1, FEATURES) for r in got]

@@ -240,3 +240,35 @@ def test_pipeline_on_odd_rows(spark, odd_docs, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.count() == 0
+
+
+def test_vectors_of_any_length_take_part(spark):
+    """One vector of another length, first by hash or not, leaves the others as they are, and has partners of its own length."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=8)], 1) for i in range(40)]
+    rows += [(100 + i, [0.5, 2.0 + i % 2], 1) for i in range(60)] + [(200, rows[3][1], 1), (300, [1.0, 1.0, 1.0], 1)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    links = {r.vec_id: r for r in pivots.near_duplicates(table).collect()}
+    assert links[3].n_links == 1 and links[200].component_id == 3 and links[300].n_links == 0
+    assert {links[100 + i].n_links for i in range(60)} == {59} and links[101].component_id == 100
+    got = {}
+    for r in pivots.nearest(table, F.col("vec_id") % 10 == 0, top=3).collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got[200][0] == 3 or got[200][0] in range(40)
+    assert set(got) == {i for i in (*range(0, 40, 10), *range(100, 160, 10), 200)}
+    assert all(v >= 100 and v < 200 for v in got[110]) and got[100] == [101, 103, 105]
+
+
+def test_a_word_on_the_cut_of_a_long_text_is_one_word():
+    words = toxicity.Words(1 << 15)
+    alone = words("idiot")
+    for lead in range((1 << 20) - 6, (1 << 20) + 2):
+        text = "a" * (lead - 1) + " idiot b"
+        assert (words(text)[1] == alone[0]).all()
+
+
+def test_a_repeated_labelled_document_is_learned_once(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    one, two = toxicity.fit(docs, labels), toxicity.fit(docs.union(docs), labels)
+    assert (one.embed == two.embed).all() and one.thresholds == two.thresholds
