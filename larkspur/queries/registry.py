@@ -34,6 +34,7 @@ def load_all() -> None:
         encoding,
         evaluation,
         funnel,
+        invariants,
         modelling,
         optimise,
         panel,
