@@ -178,17 +178,27 @@ def _bags(words: int):
     return run
 
 
+def _same(x: np.ndarray, y: np.ndarray, least: float) -> bool:
+    """Whether two bags have weighted Jaccard similarity ``least`` or more."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= least * (len(x) + len(y) - both) - 1e-9
+
+
 def _similar(least: float):
-    """Pairs whose bags have weighted Jaccard similarity ``least`` or more."""
+    """Members against their centre, whose row comes first in its group; holds one centre at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, centre = None, None
         for b in batches:
-            same = []
-            for x, y in zip(b.column("bag_a"), b.column("bag_b")):
-                x, y = np.frombuffer(x.as_py(), _U), np.frombuffer(y.as_py(), _U)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                same.append(both >= least * (len(x) + len(y) - both) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b"), pa.array(same, pa.bool_())], names=["a", "b", "same"])
+            found = []
+            rows = zip(*[b.column(c).to_pylist() for c in ("centre", "part", "node", "first")], b.column("bag"))
+            for c, part, node, first, x in rows:
+                x = np.frombuffer(x.as_py(), _U)
+                if first == 0:
+                    now, centre = (c, part), x
+                elif now == (c, part) and _same(centre, x, least):
+                    found.append((node, c))
+            yield pa.RecordBatch.from_pydict({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
 
     return run
 
@@ -211,61 +221,77 @@ def _agreement():
     return run
 
 
-def _met(least: float, bands: int, rows: int, every: bool):
-    """Pairs of different classes in one bucket (or of two of its blocks) whose sketches are near enough.
-
-    ``every`` gives all of them, each in the lowest band that the two share; else a member
-    names the nearest one on the other side and the one that is nearest to all.
-    """
+def _met(least: float, bands: int, rows: int):
+    """Links that join the classes of one bucket (or of two of its blocks). Every pair of different classes
+    whose sketches and sizes are near enough is verified on the whole bags, in the lowest band that
+    the two share, unless links found before in this group join them already; so at most as many
+    links leave as the group has members."""
     alike = _alike(least, bands * rows)
 
+    def pairs(x, c, size, block, i, j, band) -> Iterator[tuple[int, int]]:
+        own, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        share = np.zeros((len(own), len(other)))
+        for at in range(0, len(own), 32):
+            share[at : at + 32] = (x[own[at : at + 32], None] == x[None, other]).mean(axis=2)
+        small, large = np.minimum(size[own][:, None], size[other]), np.maximum(size[own][:, None], size[other])
+        share[(share < alike) | (c[own][:, None] == c[other]) | (small < least * large - 1e-6)] = 0
+        a, b = np.nonzero(share)
+        near, a, b = share[a, b], own[a], other[b]
+        mine = np.concatenate([np.zeros(0, bool)] + [
+            (x[a[at : at + 10_000]] == x[b[at : at + 10_000]]).reshape(-1, bands, rows).all(axis=2).argmax(axis=1) == band for at in range(0, len(a), 10_000)
+        ])
+        if i == j:
+            mine &= a < b
+        order = np.argsort(-near[mine], kind="stable")  # the likeliest links first
+        return zip(a[mine][order].tolist(), b[mine][order].tolist())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (band, _, i, j), t in groups(batches, ["band", "bucket", "i", "j"]):
             node, c, size, block = (np.asarray(t.column(k).combine_chunks()) for k in ("node", "c", "size", "block"))
             if (c == c[0]).all():
                 continue
             x = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-            own, other = np.flatnonzero(block == i), np.flatnonzero(block == j)
-            share = np.zeros((len(own), len(other)))
-            for at in range(0, len(own), 32):
-                share[at : at + 32] = (x[own[at : at + 32], None] == x[None, other]).mean(axis=2)
-            small, large = np.minimum(size[own][:, None], size[other]), np.maximum(size[own][:, None], size[other])
-            share[(share < alike) | (c[own][:, None] == c[other]) | (small < least * large - 1e-6)] = 0
-            if every:
-                a, b = np.nonzero(share)
-                a, b, near = own[a], other[b], share[a, b]
-                mine = (x[a] == x[b]).reshape(len(a), bands, rows).all(axis=2).argmax(axis=1) == band
-                if i == j:
-                    mine &= a < b
-                a, b, near = a[mine], b[mine], near[mine]
-            else:
-                found = []
-                for s, here, there in ((share, own, other), (share.T, other, own)):
-                    if s.size:
-                        for to in (s.argmax(axis=1), np.full(len(s), s.sum(axis=0).argmax())):
-                            found.append((here, there[to], s[np.arange(len(s)), to]))
-                a, b, near = (np.concatenate(v) for v in zip(*found)) if found else (own[:0], own[:0], np.zeros(0))
-                a, b, near = a[near > 0], b[near > 0], near[near > 0]
-            for at in range(0, len(a), 10_000):
-                part = slice(at, at + 10_000)
-                yield pa.RecordBatch.from_pydict({"a": pa.array(node[a[part]]), "b": pa.array(node[b[part]]), "share": pa.array(near[part])})
+            bags = [np.frombuffer(v, _U) for v in t.column("bag").to_pylist()]
+            up = np.unique(c, return_inverse=True)[1].tolist()  # forest over the classes
+            root = list(range(len(node)))
+
+            def top(k: int) -> int:
+                while root[k] != k:
+                    root[k] = root[root[k]]
+                    k = root[k]
+                return k
+
+            links = []
+            for a, b in pairs(x, c, size, block, i, j, band):
+                ra, rb = top(up[a]), top(up[b])
+                if ra != rb and _same(bags[a], bags[b], least):
+                    root[max(ra, rb)] = min(ra, rb)
+                    links.append((node[a], node[b]))
+            yield pa.RecordBatch.from_pydict({"a": pa.array([v[0] for v in links], pa.int64()), "b": pa.array([v[1] for v in links], pa.int64())})
 
     return run
 
 
-def _verified(close: DataFrame, keyed: DataFrame, one: DataFrame, least: float, words: int) -> DataFrame:
-    """The pairs (a, b) of ``close`` that are similar as whole bags."""
-    # written first, so that its size is known before the texts are planned: they move only if these are many
-    wanted = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = saved(wanted.join(one.select("node", "h1", "h2", F.col("doc").alias("doc_id")), "node"), "wanted")
-    texts = keyed.join(wanted, ["h1", "h2", "doc_id"]).select("node", "text").dropDuplicates(["node"])
-    bags = saved(texts.mapInArrow(_bags(words), "node long, bag binary"), "bags")
-    judged = close.join(bags.toDF("a", "bag_a"), "a").join(bags.toDF("b", "bag_b"), "b").select("a", "b", "bag_a", "bag_b")
-    return judged.mapInArrow(_similar(least), "a long, b long, same boolean").where("same").select("a", "b")
+def _starred(posted: DataFrame, one: DataFrame, bags: DataFrame, least: float, k: int, each: int = 1024) -> DataFrame:
+    """Links (a, b) of the members of a bucket with its centre, the member of smallest hash."""
+    first = F.min(F.struct(F.xxhash64("node"), F.col("node"))).alias("m")
+    centres = posted.groupBy("band", "bucket").agg(first).select("band", "bucket", F.col("m.node").alias("centre"))
+    pairs = posted.join(centres, ["band", "bucket"]).where("node != centre").select("node", "centre").distinct()
+    sketches = one.select("node", "sketch")
+    pairs = pairs.join(sketches.toDF("node", "sketch_a"), "node").join(sketches.toDF("centre", "sketch_b"), "centre")
+    pairs = pairs.select(F.col("node").alias("a"), F.col("centre").alias("b"), "sketch_a", "sketch_b")
+    close = pairs.mapInArrow(_agreement(), "a long, b long, share double").where(F.col("share") >= _alike(least, k))
+    close = saved(close.select(F.col("a").alias("node"), F.col("b").alias("centre")), "stars")
+    parts = close.groupBy("centre").agg(F.ceil(F.count("*") / each).cast("int").alias("parts"))
+    dealt = close.join(parts, "centre").select("centre", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node")
+    heads = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("centre").alias("node"), F.lit(0).alias("first"))
+    rows = dealt.withColumn("first", F.lit(1)).unionByName(heads).join(bags.select("node", "bag"), "node")
+    rows = rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "first")
+    return rows.mapInArrow(_similar(least), "a long, b long")
 
 
 def near_duplicate_classes(
-    docs: DataFrame, least: float = 0.8, words: int = 5, bands: int = 24, rows: int = 5, block: int = 512
+    docs: DataFrame, least: float = 0.8, words: int = 5, bands: int = 24, rows: int = 5, block: int = 512, block_words: int = 4_000_000
 ) -> DataFrame:
     """(h1, h2, node, class_id): for every distinct text, its smallest doc_id and the smallest doc_id of its class.
 
@@ -275,13 +301,13 @@ def near_duplicate_classes(
 
     Equal texts are one entry before anything is joined. Documents whose sketches agree on
     all ``rows`` bytes of a band share a bucket. Pairs whose sketches or sizes are too far
-    apart go out, the rest are verified on the whole bags. First each bucket compares its
-    members with one centre (the member of smallest hash), then each member with the
-    nearest ones of other classes; that joins large families at few pairs. At last every
-    pair that shares a bucket and is of two classes still is compared; a bucket of more
-    than ``block`` members is cut in blocks, which meet pair by pair. So no pair that
-    shares a bucket is left out unless its class is known already. A pair at 0.8 shares
-    no bucket with probability below 1e-4.
+    apart go out, the rest are verified on the whole bags, which are made once for the texts that share
+    a bucket. First each bucket compares its members with one centre (the member of smallest hash); that joins
+    most of a family at a pair per member. Then buckets that still hold several classes compare every pair of different
+    classes, and only links that join classes leave: their number is linear in a family's size. A bucket of
+    more than ``block`` members or ``block_words`` shingles is cut in blocks, which meet pair by pair. So no pair
+    that shares a bucket is left out unless its class is known already. A pair at 0.8 shares no bucket with
+    probability below 1e-4.
 
     Texts without a word are classes of their own.
     """
@@ -296,41 +322,25 @@ def near_duplicate_classes(
     posted = one.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = posted.groupBy("band", "bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     posted = saved(posted.join(shared, ["band", "bucket"], "left_semi"), "buckets")
-    sketches = one.select("node", "sketch")
-    reach, links = None, None
-    for step in ("centre", "nearest", "every"):
-        if reach is None:
-            members = posted.withColumn("c", F.col("node"))
-        else:
-            members = posted.join(reach.select(F.col("id").alias("node"), "component"), "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-        first = F.min(F.struct(F.xxhash64("node"), F.col("node"))).alias("m")
-        mixed = members.groupBy("band", "bucket").agg(first, F.count("*").alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
-        if step == "centre":
-            pairs = members.join(mixed.select("band", "bucket", F.col("m.node").alias("centre")), ["band", "bucket"]).where("node != centre")
-            pairs = pairs.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-            pairs = pairs.join(sketches.toDF("a", "sketch_a"), "a").join(sketches.toDF("b", "sketch_b"), "b")
-            close = pairs.mapInArrow(_agreement(), "a long, b long, share double").where(F.col("share") >= _alike(least, bands * rows))
-        else:
-            blocks = mixed.select("band", "bucket", F.ceil(F.col("n") / block).cast("int").alias("n"))
-            dealt = members.join(blocks, ["band", "bucket"]).join(one.select("node", "sketch", "size"), "node")
-            dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
-            dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-            dealt = dealt.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o", "n")
-            key = ["band", "bucket", "i", "j"]
-            dealt = dealt.repartition(*key).sortWithinPartitions(*key)
-            close = dealt.mapInArrow(_met(least, bands, rows, step == "every"), "a long, b long, share double")
-            if step == "nearest":
-                best = F.slice(F.sort_array(F.collect_set(F.struct("share", "b")), False), 1, 3)
-                close = close.groupBy("a").agg(F.explode(best).alias("m")).select("a", F.col("m.b").alias("b"))
-                close = close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        close = saved(close.select("a", "b"), "pairs")
-        if close.isEmpty():
-            continue
-        judged = _verified(close, keyed, one, least, words)
-        links = saved(judged if links is None else links.unionByName(judged), "links")
-        reach = components(links)
-    if reach is None:
-        return one.select("h1", "h2", F.col("doc").alias("node"), F.col("doc").alias("class_id"))
+    # the bags of texts that share a bucket, made once
+    wanted = posted.select("node").distinct().join(one.select("node", "h1", "h2", F.col("doc").alias("doc_id")), "node")
+    texts = keyed.join(wanted, ["h1", "h2", "doc_id"]).groupBy("h1", "h2", "doc_id", "node").agg(F.first("text").alias("text"))
+    bags = saved(texts.select("node", "text").mapInArrow(_bags(words), "node long, bag binary"), "bags")
+    links = saved(_starred(posted, one, bags, least, bands * rows), "links")
+    reach = components(links).select(F.col("id").alias("node"), "component")
+    members = posted.join(reach, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
+    about = one.select("node", "sketch", "size").join(bags, "node")
+    mixed = members.join(about.select("node", "size"), "node").groupBy("band", "bucket")
+    mixed = mixed.agg(F.count("*").alias("n"), F.sum("size").alias("held"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
+    count = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("held") / block_words)).cast("int")
+    dealt = members.join(mixed.select("band", "bucket", count.alias("n")), ["band", "bucket"])
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
+    dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    dealt = dealt.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o", "n").join(about, "node")
+    key = ["band", "bucket", "i", "j"]
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
+    more = dealt.mapInArrow(_met(least, bands, rows), "a long, b long")
+    reach = components(saved(links.unionByName(more), "links"))
     reach = reach.withColumnRenamed("id", "node").join(one.select("node", "doc"), "node")
     classes = reach.join(reach.groupBy("component").agg(F.min("doc").alias("class_id")), "component").select("node", "class_id")
     return one.join(classes, "node", "left").select("h1", "h2", F.col("doc").alias("node"), F.coalesce("class_id", "doc").alias("class_id"))
