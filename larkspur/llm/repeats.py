@@ -110,7 +110,8 @@ def _reader():
 
 
 def _stretches(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray | None = None, chunk: int = 4 << 20):
-    """Texts to rows (anchor, whole, text key, start, span); with ``cut_from`` only those cut from one of these."""
+    """Texts to rows (anchor, whole, text key, start, span); with ``cut_from`` only those cut from one of these,
+    and then the texts are plain bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(parts):
@@ -132,7 +133,7 @@ def _stretches(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray | Non
             keys = zip(b.column("h1").to_pylist(), b.column("h2").to_pylist())
             for key, body in zip(keys, b.column("body")):
                 body = body.as_py()
-                x = np.frombuffer(body.encode() if isinstance(body, str) else read(body), np.uint8)
+                x = np.frombuffer(body.encode() if isinstance(body, str) else body if cut_from is not None else read(body), np.uint8)
                 # a long text goes in parts that overlap by what one string needs beyond its start
                 for o in range(0, max(1, len(x) - need + 1), chunk):
                     parts.append((x[o : o + chunk + need - 1], key, o))
@@ -399,22 +400,57 @@ def _anchor_counts(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray |
     return run
 
 
+def _hot_bytes(need: int, gram: int, hot: np.ndarray, chunk: int = 4 << 20):
+    """Texts to the bytes of their stretches under the anchors ``hot``. Such a stretch is a text whose
+    strings have the same anchors as they had, at the same places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def close(parts):
+            buffer = np.concatenate(parts)
+            number = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
+            anchor, _, at, span, _ = anchored(buffer, number, need, gram)
+            mine = _among(anchor, hot)
+            data = buffer.tobytes()
+            body = [data[x : x + n + need - 1] for x, n in zip(at[mine].tolist(), span[mine].tolist())]
+            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(body), np.int64))] * 2 + [pa.array(body, pa.binary())], names=["h1", "h2", "body"])
+
+        parts, n = [], 0
+        for b in batches:
+            for body in b.column("body"):
+                x = np.frombuffer(body.as_py().encode(), np.uint8)
+                for o in range(0, max(1, len(x) - need + 1), chunk):
+                    parts.append(x[o : o + chunk + need - 1])
+                    n += len(parts[-1])
+                    if n >= chunk:
+                        yield close(parts)
+                        parts, n = [], 0
+        if parts:
+            yield close(parts)
+
+    return run
+
+
 def split_anchors(texts: DataFrame, need: int, gram: int, most_bytes: int) -> tuple[DataFrame, np.ndarray]:
     """Anchors that occur more than once (anchor, n, low, high), and the sorted ones that are cut further.
 
     An anchor is cut if its stretches differ and their bytes may be more than ``most_bytes``,
     so the list that reaches the driver is at most as long as the bytes of all stretches
-    hold ``most_bytes``. Each round looks only at what the last one cut; single strings
+    hold ``most_bytes``. The bytes of the stretches that the first round would cut are written, and
+    further rounds read those alone. Each round looks only at what the last one cut; single strings
     under one hash do not differ, so it ends after as many rounds as halvings.
     """
     hot, newest, found = np.zeros(0, _U), None, None
     rows = texts.select(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), F.col("text").alias("body"))
+    fields = "anchor long NOT NULL, n long NOT NULL, low long NOT NULL, high long NOT NULL"
     while True:
-        counts = rows.mapInArrow(_anchor_counts(need, gram, hot, newest), "anchor long NOT NULL, n long NOT NULL, low long NOT NULL, high long NOT NULL")
+        counts = rows.mapInArrow(_anchor_counts(need, gram, hot, newest), fields)
         table = counts.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
         table = saved(table.where("n > 1"), "anchors")
         many = table.where((F.col("low") != F.col("high")) & (F.col("n") * (2 * need) > most_bytes))
-        newest = np.sort(np.array([r["anchor"] for r in many.select("anchor").collect()], np.int64).view(_U))
+        cut = np.sort(np.array([r["anchor"] for r in many.select("anchor").collect()], np.int64).view(_U))
+        if len(cut) and newest is None:
+            rows = saved(rows.mapInArrow(_hot_bytes(need, gram, cut), "h1 long, h2 long, body binary"), "hot-stretches")
+        newest = cut
         if found is not None:
             table = found.unionByName(table)
         if not len(newest):
