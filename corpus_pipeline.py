@@ -43,7 +43,8 @@ def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them. A null source is a source of its own and
-    the last; texts without a word have size 0 and are not taken; ties within a source go by doc_id and text."""
+    the last; null texts and texts without a word add nothing to sizes and come as often as others of their source;
+    ties within a source go by doc_id and text."""
     return mixing.mixed(docs)
 
 
