@@ -2,6 +2,7 @@
 
 import hashlib
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from larkspur.llm import chat, darts, mixing, pivots, queries, toxicity, urlrules
+from larkspur.llm.common import saved
+from tests.llm.test_texts import brute_classes, check_packing, star
 from tests.oracle import connect, differences
 
 
@@ -209,24 +212,49 @@ def test_held_out_rule(spark):
 
 
 def test_pipeline_stages(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """Every stage against brute force or SQL on its own input."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").unionByName(star_documents(spark))
     stages = dict(corpus_pipeline.STAGES)
-    clean = stages["toxicity"](spark, docs, sf_dir)
-    truth = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    lost = docs.join(clean.select("doc_id"), "doc_id", "left_anti").join(truth, "doc_id").agg(F.avg("toxic")).first()[0]
-    assert lost is None or lost > 0.5
-    one = stages["near_duplicates"](spark, clean, sf_dir)
-    kept = {r.doc_id for r in one.collect()}
-    classes = darts.near_duplicates(clean).collect()
-    assert kept == {r.class_id for r in classes}
-    left = stages["repeated_strings"](spark, one, sf_dir)
-    mixed = stages["source_mix"](spark, left, sf_dir)
+    clean = saved(stages["toxicity"](spark, docs, sf_dir), "t")
+    scored = toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in scored.where("score < threshold").collect()}
+    one = saved(stages["near_duplicates"](spark, clean, sf_dir), "n")
+    rows = clean.collect()
+    assert {r.doc_id for r in one.collect()} == set(brute_classes([r.text for r in rows], [r.doc_id for r in rows]))
+    left = saved(stages["repeated_strings"](spark, one, sf_dir), "r")
+    rows = one.collect()
+    want = {r.doc_id: t.decode("utf-8", "ignore") for r, t in zip(rows, brute_left([(r.text or "").encode() for r in rows]))}
+    assert {r.doc_id: r.text or "" for r in left.collect()} == want
+    mixed = saved(stages["source_mix"](spark, left, sf_dir), "m")
+    con = connect(sf_dir)
+    con.register("left_rows", left.toArrow())
+    con.execute("CREATE OR REPLACE VIEW documents AS SELECT * FROM left_rows")
+    taken = {d: n // size for d, n, size in con.execute(f"SELECT doc_id, taken, size FROM ({mixing.SQL})").fetchall() if n}
+    worded = mixed.where(mixing.word_count(F.col("text")) > 0)  # a text without words adds nothing to the sizes
+    assert {r.doc_id: r["count"] for r in worded.groupBy("doc_id").count().collect()} == taken
     for frame in (clean, one, left, mixed):
         assert frame.columns == docs.columns and [t for _, t in frame.dtypes] == [t for _, t in docs.dtypes]
     assert left.count() == one.count() and left.where("n_chars <> length(text)").count() == 0
-    packed = stages["packing"](spark, mixed, sf_dir)
-    assert packed.select("doc_id").distinct().count() == mixed.select("doc_id").distinct().count()
-    assert packed.agg(F.sum("length")).first()[0] == packed.where("start = 0").agg(F.sum("doc_tokens")).first()[0]
+    check_packing(stages["packing"](spark, mixed, sf_dir).collect(), [(r.doc_id, r.text) for r in mixed.collect()])
+
+
+def star_documents(spark):
+    """An original with copies that are each like it, but not like one another, after the other documents."""
+    texts = star(5, 1, 30)
+    texts = [t for _, t in texts] if isinstance(texts[0], tuple) else texts
+    return spark.createDataFrame([(10_000_000 + i, t, "en", "a", len(t)) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+
+
+def brute_left(texts, need=200):
+    seen = Counter(x[i : i + need] for x in texts for i in range(len(x) - need + 1))
+    out = []
+    for x in texts:
+        gone = np.zeros(len(x), bool)
+        for i in range(len(x) - need + 1):
+            if seen[x[i : i + need]] > 1:
+                gone[i : i + need] = True
+        out.append(np.frombuffer(x, np.uint8)[~gone].tobytes())
+    return out
 
 
 def test_pipeline_on_odd_rows(spark, odd_docs, sf_dir):
