@@ -6,9 +6,12 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larkspur.llm.common import saved
+from larkspur.operators.joins import sliced_join
+
 TOKEN = "[a-z0-9-]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A token that every URL carries; rules without a literal token of their own are posted under it.
@@ -92,6 +95,41 @@ def judge(
     )
 
 
+def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:
+    """Rules as rows, the form in which long lists are kept."""
+    rows = [(r.name, r.verdict, r.pattern, list(r.tokens), r.rank) for r in rules]
+    return spark.createDataFrame(rows, "name string, verdict string, pattern string, tokens array<string>, rank int")
+
+
+def judge_by_table(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str = "url", keep: Sequence[str] = ()) -> DataFrame:
+    """``judge`` for rule lists of any length, which stay a table (name, verdict, pattern, tokens, rank).
+
+    The rules' tokens are counted over all URLs, each rule is posted under its rarest one, and
+    distinct (host, path) pairs meet the posted rules in a join on the token; only what meets runs a regular
+    expression. A token that very many URLs hold is dealt over slices, and a URL's best rule is a maximum
+    taken before the shuffle. Nothing is collected; Spark broadcasts a side only if it is small. Results,
+    nulls, ties, repeats and clashing names are those of ``judge``.
+    """
+    host, path = url_parts(F.col(url))
+    parts = pages.select(*keep, host.alias("host"), path.alias("path"))
+    named = F.array_distinct(F.regexp_extract_all(F.lower(F.concat("host", "path")), F.lit(TOKEN), F.lit(0)))
+    where = saved(parts.groupBy("host", "path").agg(F.count("*").alias("n")), "urls")
+    tokens = where.select("host", "path", "n", F.explode(F.concat(named, F.array(F.lit(ANY)))).alias("token"))
+    of = rules.select(F.struct("rank", "pattern", "name", "verdict").alias("rule"), F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens"))
+    own = of.select("rule", F.explode(F.when(F.size("tokens") > 0, F.array_distinct("tokens")).otherwise(F.array(F.lit(ANY)))).alias("token"))
+    wanted = own.select("token").distinct()
+    seen = tokens.join(wanted, "token", "left_semi").groupBy("token").agg(F.sum("n").alias("n"))
+    rarest = F.min_by("token", F.struct(F.coalesce("n", F.lit(0)), F.col("token"))).alias("token")
+    posted = saved(own.join(seen, "token", "left").groupBy("rule").agg(rarest), "posted")
+    asked = tokens.join(posted.select("token").distinct(), "token", "left_semi").drop("n")
+    met = sliced_join(asked, posted, ["token"], F.xxhash64("host", "path"))
+    fits = met.where(F.regexp_like(F.concat("host", "path"), F.col("rule.pattern")))
+    best = fits.groupBy("host", "path").agg(F.max("rule").alias("__best"))
+    judged = saved(where.select("host", "path").join(best, ["host", "path"], "left"), "judged")
+    out = sliced_join(parts.withColumn("__row", F.monotonically_increasing_id()), judged, ["host", "path"], F.col("__row"), "left")
+    return out.select(*keep, "host", "path", F.col("__best.name").alias("rule"), F.coalesce("__best.verdict", F.lit(default)).alias("verdict"))
+
+
 PREFIX_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 
 SQL = r"""
