@@ -166,14 +166,22 @@ def _signed(bands: int, rows: int, words: int):
     return run
 
 
-def _bags(words: int):
+def _bags(words: int, most: int = 1 << 14):
+    """Texts to the bytes of their bags, in rows of at most ``most`` bytes: batches hold a number
+    of rows, and so have a bounded size however long the texts are."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles(words)
         for b in batches:
-            for at in range(0, b.num_rows, 500):
-                part = b.slice(at, 500)
-                sets = [bag(shingles(t.as_py())).tobytes() for t in part.column("text")]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(sets, pa.binary())], names=["node", "bag"])
+            for at in range(0, b.num_rows, 200):
+                part = b.slice(at, 200)
+                rows = []
+                for node, t in zip(part.column("node").to_pylist(), part.column("text")):
+                    held = bag(shingles(t.as_py())).tobytes()
+                    rows += [(node, k, held[x : x + most]) for k, x in enumerate(range(0, len(held), most))]
+                cols = list(zip(*rows)) or [(), (), ()]
+                kinds = (pa.int64(), pa.int32(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["node", "nr", "bag"])
 
     return run
 
@@ -185,20 +193,34 @@ def _same(x: np.ndarray, y: np.ndarray, least: float) -> bool:
 
 
 def _similar(least: float):
-    """Members against their centre, whose row comes first in its group; holds one centre at a time."""
+    """Members against their centre, whose rows come first in its group; holds one centre and one member at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, centre = None, None
+        now, centre, member, held = None, None, None, []
+
+        def settled() -> list[tuple[int, int]]:
+            nonlocal now, centre
+            if member is None:
+                return []
+            x = np.frombuffer(b"".join(held), _U)
+            if member[2] == 0:
+                now, centre = member[:2], x
+            elif now == member[:2] and _same(centre, x, least):
+                return [(member[3], member[0])]
+            return []
+
+        def told(found: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pydict({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
         for b in batches:
             found = []
-            rows = zip(*[b.column(c).to_pylist() for c in ("centre", "part", "node", "first")], b.column("bag"))
-            for c, part, node, first, x in rows:
-                x = np.frombuffer(x.as_py(), _U)
-                if first == 0:
-                    now, centre = (c, part), x
-                elif now == (c, part) and _same(centre, x, least):
-                    found.append((node, c))
-            yield pa.RecordBatch.from_pydict({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+            for row, x in zip(zip(*[b.column(c).to_pylist() for c in ("centre", "part", "first", "node")]), b.column("bag")):
+                if row != member:
+                    found += settled()
+                    member, held = row, []
+                held.append(x.as_py())
+            yield told(found)
+        yield told(settled())
 
     return run
 
@@ -247,11 +269,15 @@ def _met(least: float, bands: int, rows: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (band, _, i, j), t in groups(batches, ["band", "bucket", "i", "j"]):
-            node, c, size, block = (np.asarray(t.column(k).combine_chunks()) for k in ("node", "c", "size", "block"))
+            rows_of = np.asarray(t.column("node").combine_chunks())
+            first = np.flatnonzero(np.append(True, rows_of[1:] != rows_of[:-1]))
+            one = t.select(["node", "c", "size", "block", "sketch"]).take(pa.array(first))
+            node, c, size, block = (np.asarray(one.column(k).combine_chunks()) for k in ("node", "c", "size", "block"))
             if (c == c[0]).all():
                 continue
-            x = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
-            bags = [np.frombuffer(v, _U) for v in t.column("bag").to_pylist()]
+            x = np.frombuffer(b"".join(one.column("sketch").to_pylist()), np.uint8).reshape(len(node), -1)
+            parts, ends = t.column("bag").to_pylist(), [*first[1:].tolist(), len(rows_of)]
+            bags = [np.frombuffer(b"".join(parts[k:e]), _U) for k, e in zip(first.tolist(), ends)]
             up = np.unique(c, return_inverse=True)[1].tolist()  # forest over the classes
             root = list(range(len(node)))
 
@@ -285,8 +311,8 @@ def _starred(posted: DataFrame, one: DataFrame, bags: DataFrame, least: float, k
     parts = close.groupBy("centre").agg(F.ceil(F.count("*") / each).cast("int").alias("parts"))
     dealt = close.join(parts, "centre").select("centre", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node")
     heads = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("centre").alias("node"), F.lit(0).alias("first"))
-    rows = dealt.withColumn("first", F.lit(1)).unionByName(heads).join(bags.select("node", "bag"), "node")
-    rows = rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "first")
+    rows = dealt.withColumn("first", F.lit(1)).unionByName(heads).join(bags, "node")
+    rows = rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "first", "node", "nr")
     return rows.mapInArrow(_similar(least), "a long, b long")
 
 
@@ -325,20 +351,21 @@ def near_duplicate_classes(
     # the bags of texts that share a bucket, made once
     wanted = posted.select("node").distinct().join(one.select("node", "h1", "h2", F.col("doc").alias("doc_id")), "node")
     texts = keyed.join(wanted, ["h1", "h2", "doc_id"]).groupBy("h1", "h2", "doc_id", "node").agg(F.first("text").alias("text"))
-    bags = saved(texts.select("node", "text").mapInArrow(_bags(words), "node long, bag binary"), "bags")
+    bags = saved(texts.select("node", "text").mapInArrow(_bags(words), "node long, nr int, bag binary"), "bags")
     links = saved(_starred(posted, one, bags, least, bands * rows), "links")
     reach = components(links).select(F.col("id").alias("node"), "component")
     members = posted.join(reach, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
-    about = one.select("node", "sketch", "size").join(bags, "node")
-    mixed = members.join(about.select("node", "size"), "node").groupBy("band", "bucket")
+    sizes = one.select("node", "size")
+    mixed = members.join(sizes, "node").groupBy("band", "bucket")
     mixed = mixed.agg(F.count("*").alias("n"), F.sum("size").alias("held"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi")
     count = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("held") / block_words)).cast("int")
     dealt = members.join(mixed.select("band", "bucket", count.alias("n")), ["band", "bucket"])
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node"), F.col("n")).cast("int"))
     dealt = dealt.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    dealt = dealt.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o", "n").join(about, "node")
+    dealt = dealt.withColumns({"i": F.least("block", "o"), "j": F.greatest("block", "o")}).drop("o", "n")
+    dealt = dealt.join(one.select("node", "sketch", "size").join(bags, "node"), "node")
     key = ["band", "bucket", "i", "j"]
-    dealt = dealt.repartition(*key).sortWithinPartitions(*key)
+    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "node", "nr")
     more = dealt.mapInArrow(_met(least, bands, rows), "a long, b long")
     reach = components(saved(links.unionByName(more), "links"))
     reach = reach.withColumnRenamed("id", "node").join(one.select("node", "doc"), "node")
