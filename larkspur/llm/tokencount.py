@@ -106,7 +106,7 @@ def _frequencies(special_strings: str | None, shards: int, block_chars: int):
                     block += 1
                     ids, sizes, docs, chars = [], [], [], 0
                     number.clear()
-                give_back()
+                    give_back()
         if ids:
             yield close()
         give_back()
@@ -173,7 +173,8 @@ def count_tokens(
     Texts are cut into pre-tokens by the tokenizer's pattern; special strings stand as
     one. A block of documents keeps, per pre-token, which documents hold it how often.
     These frequencies go to the shard of the pre-token, where every distinct one is
-    counted by the library once, and come back as sums per document: no ids are made
+    counted by the library once (again only in a shard of more than 200,000, which bounds a
+    task's memory), and come back as sums per document: no ids are made
     and no document is joined row by row. A very common pre-token costs its shard one
     entry per document, a few bits after compression. ``block_chars`` bounds a task's
     memory; ``shards`` should grow with the number of distinct pre-tokens.
