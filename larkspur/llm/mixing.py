@@ -91,6 +91,7 @@ def systematic_copies(
             "__key": source_key(F.col("source")),
             "__class": F.concat(F.lpad(F.length(bits).cast("string"), 2, "0"), F.substring(bits, 1, 3)),
             "__mark": mark,
+            "__tie": F.xxhash64("text"),  # taken here, so that texts move only if the caller keeps them
             "__chunk": (F.conv(F.substring(mark, 1, 4), 16, 10).cast("int") % chunks),
         }
     )
@@ -106,7 +107,7 @@ def systematic_copies(
     )
     before = Window.partitionBy("__key").orderBy("__class", "__chunk").rowsBetween(Window.unboundedPreceding, -1)
     placed = groups.select(*group, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")).join(targets, "__key")
-    inside = Window.partitionBy(*group).orderBy("__mark", "size", F.xxhash64("text"))
+    inside = Window.partitionBy(*group).orderBy("__mark", "size", "__tie")
     rank = F.col("__before") + F.row_number().over(inside)
     out = rows.join(placed, group).withColumn("__rank", rank)
     crossed = lambda k: F.floor(k * F.col("__rate") + F.col("__offset"))
