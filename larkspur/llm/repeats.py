@@ -109,19 +109,15 @@ def _reader():
     return zstandard.ZstdDecompressor().decompress
 
 
-def _stretches(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray | None = None, chunk: int = 4 << 20):
-    """Texts to rows (anchor, whole, text key, start, span); with ``cut_from`` only those cut from one of these,
-    and then the texts are plain bytes."""
+def _stretches(need: int, gram: int, hot: np.ndarray, chunk: int = 4 << 20):
+    """Texts to rows (anchor, whole, text key, start, span)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(parts):
             buffer = np.concatenate([x for x, _, _ in parts])
             number = np.repeat(np.arange(len(parts)), [len(x) for x, _, _ in parts])
             begin = np.cumsum([0] + [len(x) for x, _, _ in parts])[:-1]
-            anchor, whole, at, span, parent = anchored(buffer, number, need, gram, hot)
-            if cut_from is not None:
-                mine = _among(parent, cut_from)
-                anchor, whole, at, span = anchor[mine], whole[mine], at[mine], span[mine]
+            anchor, whole, at, span, _ = anchored(buffer, number, need, gram, hot)
             of = number[at]
             key = np.array([k for _, k, _ in parts], np.int64).reshape(-1, 2)[of]
             offset = np.array([o for _, _, o in parts], np.int64)
@@ -133,7 +129,7 @@ def _stretches(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray | Non
             keys = zip(b.column("h1").to_pylist(), b.column("h2").to_pylist())
             for key, body in zip(keys, b.column("body")):
                 body = body.as_py()
-                x = np.frombuffer(body.encode() if isinstance(body, str) else body if cut_from is not None else read(body), np.uint8)
+                x = np.frombuffer(body.encode() if isinstance(body, str) else read(body), np.uint8)
                 # a long text goes in parts that overlap by what one string needs beyond its start
                 for o in range(0, max(1, len(x) - need + 1), chunk):
                     parts.append((x[o : o + chunk + need - 1], key, o))
@@ -381,28 +377,47 @@ def remove_repeats(
     return out.select(*[c for c in docs.columns if texts or c != "text"], *new[:4], *["spans"] * spans)
 
 
-def _anchor_counts(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray | None):
-    """Texts to (anchor, stretches with it, least and greatest hash of their bytes) per batch."""
-    stretches = _stretches(need, gram, hot, cut_from)
+def _counts(anchor: np.ndarray, whole: np.ndarray) -> pa.RecordBatch:
+    """(anchor, stretches with it, least and greatest hash of their bytes)."""
+    order = np.argsort(anchor, kind="stable")
+    anchor, whole = anchor[order], whole[order]
+    at = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
+    n = np.diff(np.append(at, len(anchor)))
+    cols = [anchor[at], n, np.minimum.reduceat(whole, at), np.maximum.reduceat(whole, at)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", "n", "low", "high"])
+
+
+def _anchor_counts(need: int, gram: int):
+    """Texts to the counts of their anchors, per batch."""
+    stretches = _stretches(need, gram, np.zeros(0, _U))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for out in stretches(batches):
-            anchor, whole = np.asarray(out.column("anchor")), np.asarray(out.column("whole"))
-            if not len(anchor):
-                continue
-            order = np.argsort(anchor, kind="stable")
-            anchor, whole = anchor[order], whole[order]
-            at = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
-            n = np.diff(np.append(at, len(anchor)))
-            cols = [anchor[at], n, np.minimum.reduceat(whole, at), np.maximum.reduceat(whole, at)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["anchor", "n", "low", "high"])
+            if out.num_rows:
+                yield _counts(np.asarray(out.column("anchor")), np.asarray(out.column("whole")))
+
+    return run
+
+
+def _cut_counts(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray):
+    """Lots of hot stretches to the counts of what is cut from the anchors ``cut_from``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for body, sizes in zip(b.column("body"), b.column("sizes").to_pylist()):
+                buffer = np.frombuffer(body.as_py(), np.uint8)
+                anchor, whole, _, _, parent = anchored(buffer, np.repeat(np.arange(len(sizes)), sizes), need, gram, hot)
+                mine = _among(parent, cut_from)
+                if mine.any():
+                    yield _counts(anchor[mine].view(np.int64), whole[mine].view(np.int64))
 
     return run
 
 
 def _hot_bytes(need: int, gram: int, hot: np.ndarray, chunk: int = 4 << 20):
-    """Texts to the bytes of their stretches under the anchors ``hot``. Such a stretch is a text whose
-    strings have the same anchors as they had, at the same places."""
+    """Texts to the bytes of their stretches under the anchors ``hot``, all of a chunk in one row: their bytes
+    one after another, and the length of each. Such a stretch is a text whose strings have the same
+    anchors as they had, at the same places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(parts):
@@ -410,9 +425,18 @@ def _hot_bytes(need: int, gram: int, hot: np.ndarray, chunk: int = 4 << 20):
             number = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
             anchor, _, at, span, _ = anchored(buffer, number, need, gram)
             mine = _among(anchor, hot)
-            data = buffer.tobytes()
-            body = [data[x : x + n + need - 1] for x, n in zip(at[mine].tolist(), span[mine].tolist())]
-            return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(body), np.int64))] * 2 + [pa.array(body, pa.binary())], names=["h1", "h2", "body"])
+            at, size, data = at[mine].tolist(), (span[mine] + need - 1).tolist(), buffer.tobytes()
+            # stretches overlap, so their bytes may be many times the chunk's; rows keep to its size
+            lots, n = [[]], 0
+            for x, k in zip(at, size):
+                if n + k > chunk:
+                    lots.append([])
+                    n = 0
+                lots[-1].append((x, k))
+                n += k
+            lots = [lot for lot in lots if lot]
+            body = pa.array([b"".join(data[x : x + k] for x, k in lot) for lot in lots], pa.binary())
+            return pa.RecordBatch.from_arrays([body, pa.array([[k for _, k in lot] for lot in lots], pa.list_(pa.int32()))], names=["body", "sizes"])
 
         parts, n = [], 0
         for b in batches:
@@ -439,23 +463,23 @@ def split_anchors(texts: DataFrame, need: int, gram: int, most_bytes: int) -> tu
     further rounds read those alone. Each round looks only at what the last one cut; single strings
     under one hash do not differ, so it ends after as many rounds as halvings.
     """
-    hot, newest, found = np.zeros(0, _U), None, None
+    hot, found, lots = np.zeros(0, _U), None, None
     rows = texts.select(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), F.col("text").alias("body"))
     fields = "anchor long NOT NULL, n long NOT NULL, low long NOT NULL, high long NOT NULL"
+    counts = rows.mapInArrow(_anchor_counts(need, gram), fields)
     while True:
-        counts = rows.mapInArrow(_anchor_counts(need, gram, hot, newest), fields)
         table = counts.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
         table = saved(table.where("n > 1"), "anchors")
         many = table.where((F.col("low") != F.col("high")) & (F.col("n") * (2 * need) > most_bytes))
-        cut = np.sort(np.array([r["anchor"] for r in many.select("anchor").collect()], np.int64).view(_U))
-        if len(cut) and newest is None:
-            rows = saved(rows.mapInArrow(_hot_bytes(need, gram, cut), "h1 long, h2 long, body binary"), "hot-stretches")
-        newest = cut
+        newest = np.sort(np.array([r["anchor"] for r in many.select("anchor").collect()], np.int64).view(_U))
         if found is not None:
             table = found.unionByName(table)
         if not len(newest):
             return table, hot
+        if lots is None:
+            lots = saved(rows.mapInArrow(_hot_bytes(need, gram, newest), "body binary, sizes array<int>"), "hot-stretches")
         found, hot = table, np.union1d(hot, newest)  # no stretch has a cut anchor any more, so its row meets nothing
+        counts = lots.mapInArrow(_cut_counts(need, gram, hot, newest), fields)
 
 
 def digest(docs: DataFrame) -> DataFrame:
