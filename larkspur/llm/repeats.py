@@ -321,7 +321,7 @@ def _removed(need: int, texts: bool):
 
 
 def remove_repeats(
-    docs: DataFrame, need: int = 200, gram: int = 16, memory: int = 128 << 20, text_each: int = 2 << 20, shards: int = 1024, spans: bool = False, texts: bool = True
+    docs: DataFrame, need: int = 200, gram: int = 48, memory: int = 128 << 20, text_each: int = 2 << 20, shards: int = 1024, spans: bool = False, texts: bool = True
 ) -> DataFrame:
     """All rows of ``docs`` with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept_sha256`` (of the bytes
     left), on request ``spans`` (start, length in bytes). With ``texts``, ``text`` is what is left;
