@@ -301,3 +301,22 @@ def _found(rows: DataFrame, is_query: Column, top: int, pivots: int, k: int, sha
     key = ["chunk", "stripe"]
     dealt = held.unionByName(asked).repartition(*key).sortWithinPartitions(*key, "block")
     return dealt.mapInArrow(_search(lifted, k, top, share, scale), "query_id long, vec_id long, score double")
+
+
+#: The rows of the query ``op2``: all pairs of one label, and the links followed until nothing new is reached.
+SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: c::DOUBLE) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+), u AS (
+  SELECT *, sqrt(list_sum(list_transform(x, lambda c: c * c))) AS size FROM v WHERE len(list_filter(x, lambda c: c <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_sum(list_transform(list_zip(a.x, b.x), lambda z: z[1] * z[2])) / (a.size * b.size) >= 0.93
+), reach AS (
+  SELECT a AS id, a AS c FROM links UNION SELECT links.a, reach.c FROM links JOIN reach ON links.b = reach.id
+), lowest AS (SELECT id, min(c) AS c FROM reach GROUP BY id),
+degree AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, coalesce(c, vec_id) IS NOT DISTINCT FROM vec_id AS kept
+FROM embeddings LEFT JOIN lowest ON lowest.id = vec_id LEFT JOIN degree ON degree.id = vec_id
+"""

@@ -75,7 +75,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query()
+@query(pivots.SQL)
 def op2_pivot_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
