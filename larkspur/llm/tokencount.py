@@ -106,7 +106,7 @@ def _frequencies(special_strings: str | None, shards: int, block_chars: int):
                     block += 1
                     ids, sizes, docs, chars = [], [], [], 0
                     number.clear()
-                    give_back()
+                give_back()
         if ids:
             yield close()
         give_back()
