@@ -32,10 +32,12 @@ SPLIT = (("train", 40), ("calibrate", 20), ("validate", 40))
 
 def _frame(spark: SparkSession, sf: str) -> DataFrame:
     """Labelled model rows, written once: several models read them. Rows are laid
-    out by consumer, so that the learners' row sampling repeats from run to run."""
-    table = cust.transformed(frames.features(spark, sf))
-    labelled = models.model_frame(table, frames.target(spark, sf))
-    return materialise(clustered(models.split_frame(labelled, SPLIT), "consumer_id"))
+    out by consumer, so that the learners' row sampling repeats from run to run, in as few
+    partitions as keep the cluster busy."""
+    features = frames.features(spark, sf)
+    labelled = models.model_frame(cust.transformed(features), frames.target(spark, sf))
+    parts = models.learner_partitions(spark, features.count())
+    return materialise(clustered(models.split_frame(labelled, SPLIT), "consumer_id", partitions=parts))
 
 
 def _part(df: DataFrame, name: str) -> DataFrame:

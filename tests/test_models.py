@@ -126,3 +126,23 @@ def test_daily_publish(spark, sf_dir):
 def test_model_roundtrip(spark, sf_dir):
     out = Q["model_roundtrip"](spark, sf_dir)
     assert out.count() > 0 and out.where(F.col("fitted") != F.col("loaded")).count() == 0
+
+
+def test_model_rows_have_a_partition_per_task(spark, sf_dir):
+    """However many partitions shuffles have: each costs a table of sums per node and pass."""
+    from larkspur.queries import frames, modelling
+
+    key = "spark.sql.shuffle.partitions"
+    before, tasks = spark.conf.get(key), spark.sparkContext.defaultParallelism
+    frames.forget_features()
+    spark.conf.set(key, str(3 * tasks))
+    try:
+        rows = modelling._frame(spark, sf_dir)
+        assert rows.rdd.getNumPartitions() == tasks
+        laid = rows.rdd.glom().map(lambda part: [r["consumer_id"] for r in part]).collect()
+    finally:
+        spark.conf.set(key, before)
+        frames.forget_features()
+    assert all(ids == sorted(ids) for ids in laid)
+    assert sum(map(len, laid)) == len({i for ids in laid for i in ids}) > 0
+    assert models.learner_partitions(spark, 2 * tasks * models.MOST_ROWS + 1) == 2 * tasks + 1
