@@ -19,6 +19,7 @@ from larkspur.llm.induced import Scratch, suffixes
 _U = np.uint64
 _ODD = _U(0x9E3779B97F4A7C15)
 _BACK = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
+CHUNK = 1 << 19  # bytes that are cut at once: some ten arrays of eight bytes for each, best in a core's cache
 _BYTES = mix(np.arange(1, 257).astype(_U) * _U(0xD1342543DE82EF95))
 
 
@@ -109,7 +110,7 @@ def _reader():
     return zstandard.ZstdDecompressor().decompress
 
 
-def _stretches(need: int, gram: int, hot: np.ndarray, chunk: int = 4 << 20):
+def _stretches(need: int, gram: int, hot: np.ndarray, chunk: int = CHUNK):
     """Texts to rows (anchor, whole, text key, start, span)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -414,7 +415,7 @@ def _cut_counts(need: int, gram: int, hot: np.ndarray, cut_from: np.ndarray):
     return run
 
 
-def _hot_bytes(need: int, gram: int, hot: np.ndarray, chunk: int = 4 << 20):
+def _hot_bytes(need: int, gram: int, hot: np.ndarray, chunk: int = CHUNK):
     """Texts to the bytes of their stretches under the anchors ``hot``, all of a chunk in one row: their bytes
     one after another, and the length of each. Such a stretch is a text whose strings have the same
     anchors as they had, at the same places."""

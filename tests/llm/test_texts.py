@@ -267,3 +267,26 @@ def test_dart_signatures_estimate_weighted_jaccard():
     s = darts.signatures([(a, w), (a, v), (a[:1], w[:1])], 3000)
     assert abs((s[0] == s[1]).mean() - want) < 0.04
     assert (s == darts.signatures([(a, w), (a, v), (a[:1], w[:1])], 3000)).all()
+
+
+def test_cutting_texts_takes_little_memory():
+    """Texts are cut a small part at a time, and every string start lies in one stretch."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng, need = np.random.default_rng(4), 200
+    sizes = [3_000_000, 150, 1_200_000, *[4_000] * 500]
+    texts = [bytes(rng.integers(97, 123, n, np.uint8)) for n in sizes]
+    keys = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, keys, pa.array([t.decode() for t in texts])], names=["h1", "h2", "body"])
+    covered = [np.zeros(max(0, n - need + 1), np.int64) for n in sizes]
+    tracemalloc.start()
+    outs = list(repeats._stretches(need, 48, np.zeros(0, np.uint64))([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for out in outs:
+        for key, start, span in zip(*[out.column(c).to_pylist() for c in ("h1", "start", "span")]):
+            covered[key][start : start + span] += 1
+    assert all((c == 1).all() for c in covered)
+    assert peak < 150 << 20
