@@ -247,3 +247,32 @@ def test_scores_beyond_the_unit_interval(spark):
     df = spark.createDataFrame([(1, p) for p in probs], "y int, p double")
     curve = {r["cutoff"]: r["tp"] for r in evaluate.cutoff_counts(df, "y", ["p"]).collect()}
     assert (curve[0], curve[1], curve[100]) == (3, 2, 2)
+
+
+def test_newest_orders_move_with_their_consumer(spark):
+    """Wide rows take one shuffle, by consumer; ties of (time, id) that differ stay rows of their own."""
+    import datetime as dt
+
+    from larkspur.plans import customer as cust
+    from larkspur.sources import star
+
+    at = dt.datetime(2000, 7, 1, 12)
+    row = lambda c, o, t, platform, nob: (c, o, t, t.date(), 5.0, "F", "1-URGENT", "Free", platform, 1, 0, 2, nob, 1.0, 1.0, 0.5, 0.0, 0.0, "L1 - Local", "L2 - Home", "OD")
+    rows = [row(1, 7, at, "web", 10.0), row(1, 7, at, "web", 10.0), row(1, 6, at, "app", 3.0), row(2, 9, at, "web", 1.0), row(2, 9, at, "app", 1.0), row(None, 5, at, "web", 1.0)]
+    fields = "consumer_id long, order_id long, order_timestamp timestamp, order_date date, txn_amount double, action string, traffic_source string, traffic_type string, platform string, is_activation int, is_reactivation int, units long, nob double, nor double, gp double, discount_amount double, ils_discount double, wow_discount double, l1 string, l2 string, promo_type string"
+    out = cust.order_features(spark.createDataFrame(rows, fields), star.ORDERS_ASOF)
+    got = sorted((r["consumer_id"], r["most_recent_platform"], r["frequency_t24m"], r["nob_t24m"]) for r in out.collect())
+    assert got == [(1, "web", 3, 23.0), (2, "app", 2, 2.0), (2, "web", 2, 2.0)]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.splitlines()[1].strip(" +-").startswith("Join Inner") and "Aggregate" not in plan.splitlines()[0]
+
+
+def test_rows_of_absent_keys_go_out_before_they_move(spark):
+    from larkspur.sources import star
+
+    rows = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("v")).union(spark.sql("SELECT CAST(NULL AS LONG), 1L"))
+    keys = spark.range(0, 5000, 50).select(F.col("id").alias("key"))
+    for bits, most in ((26, 100), (6, 5001)):  # a full set of bits lets rows pass, and loses none
+        out = star.perhaps_among(rows, "k", keys, bits)
+        assert out.columns == ["k", "v"] and 100 <= out.count() <= most
+        assert out.join(keys, F.col("k") == F.col("key"), "left_semi").count() == 100
