@@ -26,10 +26,10 @@ MOST_ROWS = 500_000  # of a partition that a learner reads
 
 
 def learner_partitions(spark: SparkSession, rows: int) -> int:
-    """Partitions for the rows of a tree learner. At each pass every partition sends a table of sums for every open
-    node of every tree, whatever its rows; so there is one partition per task that can run at
-    once, and more only where one would hold over ``MOST_ROWS``."""
-    return max(spark.sparkContext.defaultParallelism, -(-rows // MOST_ROWS))
+    """Most partitions for the rows of a tree learner. At each pass every partition sends a table of sums for every open
+    node of every tree, whatever its rows; so there are no more than two for each task that can run
+    at once, and beyond that only where one would hold over ``MOST_ROWS``. Their number decides what is sampled."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // MOST_ROWS))
 
 
 def model_frame(transformed: DataFrame, labels: DataFrame | None = None) -> DataFrame:

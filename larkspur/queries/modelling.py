@@ -31,13 +31,18 @@ SPLIT = (("train", 40), ("calibrate", 20), ("validate", 40))
 
 
 def _frame(spark: SparkSession, sf: str) -> DataFrame:
-    """Labelled model rows, written once: several models read them. Rows are laid
-    out by consumer, so that the learners' row sampling repeats from run to run, in as few
-    partitions as keep the cluster busy."""
-    features = frames.features(spark, sf)
-    labelled = models.model_frame(cust.transformed(features), frames.target(spark, sf))
-    parts = models.learner_partitions(spark, features.count())
-    return materialise(clustered(models.split_frame(labelled, SPLIT), "consumer_id", partitions=parts))
+    """Labelled model rows, written once: several models read them."""
+    table = cust.transformed(frames.features(spark, sf))
+    labelled = models.model_frame(table, frames.target(spark, sf))
+    return _laid_out(models.split_frame(labelled, SPLIT))
+
+
+def _laid_out(df: DataFrame) -> DataFrame:
+    """Rows written by consumer, so that the learners' row sampling repeats from run to run, and
+    laid anew where they come in more partitions than learners should have."""
+    out = materialise(clustered(df, "consumer_id"))
+    most = models.learner_partitions(df.sparkSession, out.count())
+    return out if out.rdd.getNumPartitions() <= most else materialise(clustered(out, "consumer_id", partitions=most))
 
 
 def _part(df: DataFrame, name: str) -> DataFrame:

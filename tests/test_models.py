@@ -128,21 +128,22 @@ def test_model_roundtrip(spark, sf_dir):
     assert out.count() > 0 and out.where(F.col("fitted") != F.col("loaded")).count() == 0
 
 
-def test_model_rows_have_a_partition_per_task(spark, sf_dir):
-    """However many partitions shuffles have: each costs a table of sums per node and pass."""
-    from larkspur.queries import frames, modelling
-
-    key = "spark.sql.shuffle.partitions"
-    before, tasks = spark.conf.get(key), spark.sparkContext.defaultParallelism
-    frames.forget_features()
-    spark.conf.set(key, str(3 * tasks))
+def test_model_rows_have_at_most_two_partitions_per_task(spark):
+    """However many partitions the features have: each costs a table of sums per node and pass."""
+    from larkspur.queries import modelling
+
+    most = 2 * spark.sparkContext.defaultParallelism
+    shuffles, merged = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {k: spark.conf.get(k) for k in (shuffles, merged)}
+    spark.conf.set(merged, "false")
     try:
-        rows = modelling._frame(spark, sf_dir)
-        assert rows.rdd.getNumPartitions() == tasks
-        laid = rows.rdd.glom().map(lambda part: [r["consumer_id"] for r in part]).collect()
+        for given, want in ((4 * most, most), (2, 2)):
+            spark.conf.set(shuffles, str(given))
+            rows = modelling._laid_out(spark.range(5000).withColumnRenamed("id", "consumer_id"))
+            laid = rows.rdd.glom().map(lambda part: [r["consumer_id"] for r in part]).collect()
+            assert len(laid) == want
+            assert all(ids == sorted(ids) for ids in laid) and sorted(i for ids in laid for i in ids) == list(range(5000))
     finally:
-        spark.conf.set(key, before)
-        frames.forget_features()
-    assert all(ids == sorted(ids) for ids in laid)
-    assert sum(map(len, laid)) == len({i for ids in laid for i in ids}) > 0
-    assert models.learner_partitions(spark, 2 * tasks * models.MOST_ROWS + 1) == 2 * tasks + 1
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert models.learner_partitions(spark, most * models.MOST_ROWS + 1) == most + 1
