@@ -142,14 +142,23 @@ def _whole_range(t, target, position, source, seeds, high, rank):
     key = t[position].astype(np.int64) << 1
     key[len(source) : first] |= 1
     by = np.concatenate([source, np.arange(len(seeds)), np.full(len(position) - first, rank)]).astype(np.int64)
+    order = np.lexsort((by, key))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    # a suffix alone with its symbol keeps its place, and so do those whose sources are all known
+    new = np.append(True, key[order][1:] != key[order][:-1])[: len(order)]
+    group = np.cumsum(new) - 1
+    loose = np.bincount(group, minlength=1)[group] > 1
+    loose &= np.bincount(group, weights=order >= first, minlength=1)[group] > 0
+    slots, some = np.flatnonzero(loose), order[loose]
     while True:
-        order = np.lexsort((by, key))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
         now = rank + place[parent]
         if np.array_equal(now, by[first:]):
             break
         by[first:] = now
+        some = some[np.lexsort((by[some], key[some]))]
+        place[some] = slots
+    order[slots] = some
     position = position[order]
     left = position - 1
     to = t[left].astype(np.int64)
@@ -295,17 +304,19 @@ def _names(t: np.ndarray, s_type: np.ndarray, star: np.ndarray) -> np.ndarray:
 
 
 def _measured(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefixes of the suffixes at a and b, up to ``cap``, four symbols at a time."""
-    wide = np.zeros(len(t) + cap + 8, np.uint64)
+    """Common prefixes of the suffixes at a and b, up to ``cap``, eight bytes at a time: eight symbols below 256, or four."""
+    wide = np.zeros(len(t) + cap + 8, np.uint8 if t.max(initial=0) < 256 else np.uint16)
     wide[: len(t)] = t
-    words = wide[:-3] | wide[1:-2] << np.uint64(16) | wide[2:-1] << np.uint64(32) | wide[3:] << np.uint64(48)
+    per, bits = 8 // wide.itemsize, 8 * wide.itemsize
+    words = np.lib.stride_tricks.sliding_window_view(wide, per).copy().view(np.uint64)[:, 0]
     out, left = np.zeros(len(a), np.int64), np.arange(len(a))
-    for d in range(0, cap, 4):
-        x, y = words[a[left] + d], words[b[left] + d]
-        differ = x != y
-        part = (x ^ y)[differ]
-        out[left[differ]] = d + (part & np.uint64(0xFFFF) == 0).astype(int) + (part & np.uint64(0xFFFFFFFF) == 0) + (part & np.uint64(0xFFFFFFFFFFFF) == 0)
-        left = left[~differ]
+    for d in range(0, cap, per):
+        x = words[a + d] ^ words[b + d]
+        differ = x != 0
+        part = x[differ]
+        part = np.bitwise_count((part & (~part + np.uint64(1))) - np.uint64(1))  # zero bits below the first that differs
+        out[left[differ]] = d + part // bits
+        a, b, left = a[~differ], b[~differ], left[~differ]
     out[left] = cap
     return np.minimum(out, cap)
 

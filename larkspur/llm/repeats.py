@@ -6,6 +6,7 @@ import hashlib
 import pickle
 import tempfile
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,21 @@ def _among(x: np.ndarray, held: np.ndarray) -> np.ndarray:
     return held[np.minimum(np.searchsorted(held, x), len(held) - 1)] == x
 
 
-def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int, hot: np.ndarray = np.zeros(0, _U)):
+@lru_cache(maxsize=1)
+def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = np.empty((2, n + 1), _U)
+    out[:, 0], out[:, 1:] = 1, np.array([[_ODD], [_BACK]])
+    np.multiply.accumulate(out, axis=1, out=out)
+    return out[0], out[1]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the odd number and of its inverse, up to the n-th; those of a chunk are kept."""
+    power, back = _powers_to(max(n, 2 * CHUNK + 4096))
+    return power[: n + 1], back[: n + 1]
+
+
+def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int, hot: np.ndarray = np.zeros(0, _U), cuts: int = 0):
     """Cuts the string starts of some documents into stretches with one anchor each.
 
     ``buffer`` holds the bytes of documents one after another, ``doc`` which one each byte
@@ -43,18 +58,13 @@ def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int, hot: np.
     A stretch whose hash is in ``hot`` (sorted) is cut in two by how far its strings start
     before the anchor, and each half goes under the hash of the bytes that all strings of
     that half have, around the anchor; again and again while that is hot. The last halves
-    are single strings under the hash of all their bytes.
+    are single strings under the hash of all their bytes. All others are cut ``cuts`` times in the same way.
     """
     n = len(buffer)
     if n < need:
         none = np.zeros(0, np.int64)
         return none.astype(_U), none.astype(_U), none, none, none.astype(_U)
-    power = np.empty(n + 1, _U)
-    power[0], power[1:] = 1, _ODD
-    np.multiply.accumulate(power, out=power)
-    back = np.empty(n + 1, _U)
-    back[0], back[1:] = 1, _BACK
-    np.multiply.accumulate(back, out=back)
+    power, back = _powers(n)
     sums = np.append(_U(0), np.cumsum(_BYTES[buffer] * power[:-1], dtype=_U))
     grams = mix((sums[gram:] - sums[:-gram]) * back[: n - gram + 1])
     place = np.arange(len(grams)).astype(_U)
@@ -73,7 +83,7 @@ def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int, hot: np.
     span = np.diff(np.append(first, len(starts)))
     at, place = starts[first], a[first]
     key, parent, level = grams[place], np.zeros(len(at), _U), 0
-    many = _among(key, hot)
+    many = _among(key, hot) | (cuts > 0)
     while many.any() and level < (need - gram).bit_length():
         level += 1
         step = 1 << ((need - gram).bit_length() - level)
@@ -86,7 +96,7 @@ def anchored(buffer: np.ndarray, doc: np.ndarray, need: int, gram: int, hot: np.
         far, near = np.minimum(cell * step + step - 1, most[of]), np.maximum(cell * step, least_[of])
         x, y = here - cell * step, here - np.minimum(cell * step + step - 1, need - gram) + need
         core = mix(mix((sums[y] - sums[x]) * back[x] + _U(level)) + cell.astype(_U) * _ODD)
-        many = np.append(np.zeros(int(rest.sum()), bool), _among(core, hot))
+        many = np.append(np.zeros(int(rest.sum()), bool), _among(core, hot) | (level < cuts))
         parent = np.append(parent[rest], key[i][of])
         key, place = np.append(key[rest], core), np.append(place[rest], here)
         at, span = np.append(at[rest], here - far), np.append(span[rest], far - near + 1)
@@ -164,19 +174,19 @@ def _cut(need: int, shards: int, most: int = 16 << 20):
             return pa.RecordBatch.from_arrays([pa.array(list(lots), pa.int32()), pa.array(lots_of, pa.binary())], names=["shard", "lot"])
 
         for b in batches:
+            parts = b.column("parts")
+            edge, cols = parts.offsets.to_pylist(), [parts.values.field(c) for c in ("anchor", "whole", "start", "span")]
             for i in range(b.num_rows):
-                parts = b.column("parts")[i].as_py()
-                if not parts:
+                if edge[i] == edge[i + 1]:
                     continue
                 text = read(b.column("body")[i].as_py())
                 copies = b.column("copies")[i].as_py()
-                for p in parts:
-                    key = (p["anchor"], p["whole"])
-                    if key in held:
-                        held[key][1] += copies
+                for a, w, start, span in zip(*(c.slice(edge[i], edge[i + 1] - edge[i]).to_pylist() for c in cols)):
+                    if (a, w) in held:
+                        held[a, w][1] += copies
                     else:
-                        x = text[p["start"] : p["start"] + p["span"] + need - 1]
-                        held[key] = [p["span"], copies, x]
+                        x = text[start : start + span + need - 1]
+                        held[a, w] = [span, copies, x]
                         n += len(x)
                 if n >= most:
                     yield flush()
@@ -187,6 +197,46 @@ def _cut(need: int, shards: int, most: int = 16 << 20):
     return run
 
 
+def met(parts: list[tuple], need: int, gram: int, cuts: int = 3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the stretches (span, copies, bytes) of a shard may repeat one another: number of the stretch, first
+    start in it and number of starts, in order.
+
+    Stretches of one anchor, as texts, have that anchor again. They are cut by more of the content around
+    it; pieces whose content is there once cannot repeat and need no sorting, and neighbouring others stay one piece.
+    """
+    size = np.array([len(x) for _, _, x in parts])
+    ends = np.cumsum(size)
+    lots, at = [], 0
+    while at < len(parts):  # a chunk at a time
+        before = ends[at] - size[at]
+        to = max(at + 1, int(np.searchsorted(ends, before + CHUNK, side="right")))
+        buffer = np.frombuffer(b"".join([x for _, _, x in parts[at:to]]), np.uint8)
+        key, _, begin, span, _ = anchored(buffer, np.repeat(np.arange(to - at), size[at:to]), need, gram, cuts=cuts)
+        lots.append((key, begin + before, span))
+        at = to
+    key, at, span = (np.concatenate(x) for x in zip(*lots))
+    _, of, n = np.unique(key, return_inverse=True, return_counts=True)
+    twice = n[of] > 1
+    at, span = at[twice], span[twice]
+    order = np.argsort(at)
+    at, span = at[order], span[order]
+    of = np.searchsorted(ends, at, side="right")
+    first = np.flatnonzero(np.append(True, (at[1:] != at[:-1] + span[:-1]) | (of[1:] != of[:-1]))[: len(at)])
+    last = np.append(first[1:], len(at))[: len(first)] - 1
+    return of[first], at[first] - (ends - size)[of[first]], at[last] + span[last] - at[first]
+
+
+def met_again(parts: list[tuple], need: int, gram: int, scratch: Scratch) -> list[np.ndarray]:
+    """``repeated_starts`` of all stretches, of which only what may repeat is sorted."""
+    out = [np.full(span, copies > 1) for span, copies, _ in parts]
+    found = [x.tolist() for x in met(parts, need, gram)]
+    pieces = [(n, 1, parts[i][2][at : at + n + need - 1]) for i, at, n in zip(*found)]
+    if pieces:
+        for i, at, n, again in zip(*found, repeated_starts(pieces, need, scratch)):
+            out[i][at : at + n] |= again
+    return out
+
+
 def repeated_starts(parts: list[tuple], need: int, scratch: Scratch) -> list[np.ndarray]:
     """For stretches (span, copies, bytes) of a shard, which string starts occur again.
 
@@ -210,7 +260,7 @@ def repeated_starts(parts: list[tuple], need: int, scratch: Scratch) -> list[np.
     return out
 
 
-def _sorted(need: int, memory: int, text_each: int):
+def _sorted(need: int, gram: int, memory: int, text_each: int):
     """A partition's stretches to (anchor, whole, runs of repeated starts). Stretches with one
     anchor stay together; beyond ``text_each`` bytes they wait in unnamed files by anchor."""
     files_n = 64
@@ -245,7 +295,7 @@ def _sorted(need: int, memory: int, text_each: int):
         def solve():
             rows = list(held.items())
             held.clear()
-            found = repeated_starts([tuple(v) for _, v in rows], need, Scratch(memory))
+            found = met_again([tuple(v) for _, v in rows], need, gram, Scratch(memory))
             give_back()
             out = []
             for ((a, w), _), again in zip(rows, found):
@@ -293,16 +343,16 @@ def _removed(need: int, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows, read = [], _reader()
+            found = b.column("found")
+            offset, cols = found.offsets.to_pylist(), [found.values.field(c) for c in ("start", "span", "runs")]
             for i in range(b.num_rows):
                 text = read(b.column("body")[i].as_py())
-                found = []
-                for p in b.column("found")[i].as_py() or []:
-                    runs = np.array([0, p["span"]]) if p["runs"] is None else np.frombuffer(p["runs"], np.int32)
-                    edge = runs.reshape(-1, 2).astype(np.int64) + p["start"]
-                    found.append(edge + np.array([0, need - 1]))
                 spans = []
-                if found:
-                    edge = np.concatenate(found)
+                if offset[i] < offset[i + 1]:
+                    start, span, runs = (c.slice(offset[i], offset[i + 1] - offset[i]).to_pylist() for c in cols)
+                    runs = [np.array([0, n], np.int32).tobytes() if x is None else x for x, n in zip(runs, span)]
+                    edge = np.frombuffer(b"".join(runs), np.int32).reshape(-1, 2).astype(np.int64) + np.array([0, need - 1])
+                    edge += np.repeat(start, [len(x) // 8 for x in runs])[:, None]
                     edge = edge[np.argsort(edge[:, 0])]
                     far = np.maximum.accumulate(edge[:, 1])
                     new = np.append(True, edge[1:, 0] > far[:-1])
@@ -363,7 +413,7 @@ def remove_repeats(
     parts = parts.join(twice, "anchor")
     by_text = parts.where("differ").groupBy(*key).agg(F.collect_list(F.struct("anchor", "whole", "start", "span")).alias("parts"))
     cut = one.join(by_text, key, "left").select("body", "copies", "parts").mapInArrow(_cut(need, shards), "shard int, lot binary")
-    runs = cut.repartition("shard").mapInArrow(_sorted(need, memory, text_each), "anchor long, whole long, runs binary")
+    runs = cut.repartition("shard").mapInArrow(_sorted(need, gram, memory, text_each), "anchor long, whole long, runs binary")
     found = parts.join(runs, ["anchor", "whole"], "left").where("runs IS NOT NULL OR NOT differ")
     found = found.groupBy(*key).agg(F.collect_list(F.struct("start", "span", "runs")).alias("found"))
     left = one.join(found, key, "left").select(*key, "body", "copies", "found").mapInArrow(

@@ -290,3 +290,25 @@ def test_cutting_texts_takes_little_memory():
             covered[key][start : start + span] += 1
     assert all((c == 1).all() for c in covered)
     assert peak < 150 << 20
+
+
+def test_only_what_may_repeat_is_sorted():
+    """Stretches of one anchor that differ near it stay out of the sort, and the result is that of sorting all."""
+    rng = np.random.default_rng(5)
+    word = lambda n: bytes(rng.integers(97, 123, n).astype(np.uint8))
+    need, gram, line = 200, 48, word(60)
+    shared = word(90) + line + word(90)
+    texts = [word(150) + line + word(150) for _ in range(60)] + [word(30) + shared + word(30) for _ in range(5)]
+    parts = []
+    for x in texts:
+        b = np.frombuffer(x, np.uint8)
+        for at, span in zip(*repeats.anchored(b, np.zeros(len(b), int), need, gram)[2:4]):
+            parts.append((int(span), 1, x[at : at + span + need - 1]))
+    parts += [(parts[0][0], 3, parts[0][2])]
+    want = repeats.repeated_starts(parts, need, Scratch(1 << 20))
+    got = repeats.met_again(parts, need, gram, Scratch(1 << 20))
+    assert all(np.array_equal(a, b) for a, b in zip(got, want)) and sum(int(x.sum()) for x in want) >= 5 * 41
+    of, at, span = repeats.met(parts, need, gram)
+    assert 0 < span.sum() + (need - 1) * len(of) < sum(len(x) for _, _, x in parts) / 3
+    nothing = repeats.met_again([(5, 1, word(204)), (3, 2, word(202))], need, gram, Scratch(1 << 20))
+    assert [x.tolist() for x in nothing] == [[False] * 5, [True] * 3]
