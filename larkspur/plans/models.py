@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.hashing import split_label
 from larkspur.operators import encode, evaluate
-from larkspur.session import prepare_checkpoints
+from larkspur.session import prepare_checkpoints, saved
 
 LABEL = "deactivated"
 SEED = 7
@@ -140,7 +140,9 @@ def long_gbt(rows_per_node: int = 5, iterations: int = FIRST_ROUNDS, depth: int
     )
 
 
-def forest(rows_per_node: int = MIN_ROWS, trees: int = 1000, depth: int = 6, columns: str = "auto") -> RandomForestClassifier:
+def forest(rows_per_node: int = MIN_ROWS, trees: int = 1000, depth: int = 6, columns: str = "auto", keep_nodes: bool = True) -> RandomForestClassifier:
+    """With ``keep_nodes`` each row keeps its node in every tree from one level to the next, else it goes down all trees from their
+    roots at each level. The trees are the same."""
     return RandomForestClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -149,6 +151,7 @@ def forest(rows_per_node: int = MIN_ROWS, trees: int = 1000, depth: int = 6, col
         minInstancesPerNode=rows_per_node,
         subsamplingRate=0.5,
         featureSubsetStrategy=columns,
+        cacheNodeIds=keep_nodes,
         seed=SEED,
     )
 
@@ -219,7 +222,8 @@ def compare_models(test: DataFrame, fitted: dict[str, Fitted]) -> DataFrame:
 
 
 def holdout_report(scored: DataFrame, keys: Sequence[str] = ("model",)) -> DataFrame:
-    """Accuracy and areas of the hard labels, and areas of the probability."""
+    """Accuracy and areas of the hard labels, and areas of the probability; each row is scored once."""
+    scored = saved(scored.select(*keys, LABEL, "prob_deact"), "scored")
     areas = evaluate.trapezoid_areas(evaluate.cutoff_curve(scored, LABEL, "prob_deact", keys), keys)
     return evaluate.hard_label_areas(scored, LABEL, "prob_deact", keys).join(areas, list(keys))
 
@@ -265,7 +269,7 @@ def grid_forest(
     result, best = [], None
     try:
         for depth in depths:
-            model = forest(rows_per_node, trees=trees, depth=depth, columns="0.66").fit(rows)
+            model = forest(rows_per_node, trees=trees, depth=depth, columns="0.66", keep_nodes=False).fit(rows)
             area = float(measure.evaluate(model.transform(held)))
             if best is None or area > best[0]:
                 best = (area, model)

@@ -58,8 +58,8 @@ def _reported(df: DataFrame, *keys: str) -> DataFrame:
 )
 def trained_models_hold(spark: SparkSession, sf: str) -> DataFrame:
     """Boosted trees, forest and one-feature baseline judge the same held-out rows."""
-    made = [modelling.train_gbt, modelling.train_rf, modelling.train_baseline]
-    return reduce(DataFrame.unionByName, [_reported(f(spark, sf), "model") for f in made])
+    made, rows = [modelling.boosted, modelling.random_forest, modelling.one_feature], modelling._frame(spark, sf)
+    return reduce(DataFrame.unionByName, [_reported(f(rows), "model") for f in made])
 
 
 @query(with_parts(["features", "target"], _sizes("segment") + "SELECT segment::DOUBLE AS segment, class, n, 1 AS within FROM sizes"))

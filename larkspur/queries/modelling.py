@@ -54,7 +54,8 @@ def _gbt(train: DataFrame) -> models.Fitted:
 
 
 def _report(scored: DataFrame, keys: list[str]) -> DataFrame:
-    """Class metrics per model with its areas under the curves."""
+    """Class metrics per model with its areas under the curves; each row is scored once."""
+    scored = saved(scored.select(*keys, models.LABEL, "prob_deact"), "scored")
     metrics = evaluate.class_metrics(scored, models.LABEL, "prob_deact", keys)
     areas = evaluate.trapezoid_areas(evaluate.cutoff_curve(scored, models.LABEL, "prob_deact", keys), keys)
     return metrics.join(areas, keys)
@@ -66,14 +67,20 @@ def _named(scored: DataFrame, name: str) -> DataFrame:
 
 @query()
 def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
-    df = _frame(spark, sf)
+    return boosted(_frame(spark, sf))
+
+
+def boosted(df: DataFrame) -> DataFrame:
     scored = _gbt(_part(df, "train")).score(_part(df, "validate"))
     return _report(_named(scored, "gradient_boosted_trees"), ["model"])
 
 
 @query()
 def train_rf(spark: SparkSession, sf: str) -> DataFrame:
-    df = _frame(spark, sf)
+    return random_forest(_frame(spark, sf))
+
+
+def random_forest(df: DataFrame) -> DataFrame:
     train = _part(df, "train")
     fitted = models.fit(train, models.forest())
     return _report(_named(fitted.score(_part(df, "validate")), "random_forest"), ["model"])
@@ -81,7 +88,10 @@ def train_rf(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def train_baseline(spark: SparkSession, sf: str) -> DataFrame:
-    df = _frame(spark, sf)
+    return one_feature(_frame(spark, sf))
+
+
+def one_feature(df: DataFrame) -> DataFrame:
     train = _part(df, "train")
     fitted = models.fit(train, models.gbt(), numeric=["recency_x"], text=[])
     return _report(_named(fitted.score(_part(df, "validate")), "gbt_1_feature"), ["model"])
@@ -138,7 +148,7 @@ def calibration_study(spark: SparkSession, sf: str) -> DataFrame:
     and predicted over actual."""
     df = _frame(spark, sf)
     gbt = _gbt(_part(df, "train"))
-    base, test = gbt.score(_part(df, "calibrate")), gbt.score(_part(df, "validate"))
+    base, test = saved(gbt.score(_part(df, "calibrate")).select(models.LABEL, "prob_deact"), "base"), gbt.score(_part(df, "validate"))
     both = models.calibrate(models.fit_isotonic(base), test, out="isotonic")
     both = models.calibrate(models.fit_platt(base), both, out="platt").withColumnRenamed("prob_deact", "raw")
     probs = ["raw", "platt", "isotonic"]

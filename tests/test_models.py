@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from larkspur.operators import encode
 from larkspur.plans import models
+from larkspur.queries import modelling
 
 Q = contract.queries()
 
@@ -147,3 +148,30 @@ def test_model_rows_have_at_most_two_partitions_per_task(spark):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert models.learner_partitions(spark, most * models.MOST_ROWS + 1) == most + 1
+
+
+def test_forest_keeps_nodes_and_rows_are_scored_once(spark):
+    """Rows keep their nodes between levels, with the same trees; a report runs the scoring of a row once."""
+    rows = spark.range(3000).select(
+        (F.xxhash64("id") % 2 == 0).cast("int").alias(models.LABEL), F.col("id").alias("consumer_id"),
+        *[((F.xxhash64("id", F.lit(k)) % 100) / 10 + (F.xxhash64("id") % 2)).alias(f"f{k}_x") for k in range(4)],
+    )
+    trees = []
+    for keep in (True, False):
+        made = models.forest(rows_per_node=50, trees=12, keep_nodes=keep)
+        assert made.getCacheNodeIds() == keep
+        trees.append([t.toDebugString.split("\n", 1)[1] for t in models.fit(rows, made, text=[]).model.trees])
+    assert models.forest().getCacheNodeIds() and trees[0] == trees[1] and any("If" in t for t in trees[0])
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def slow(x):
+        calls.add(1)
+        return (x % 10) / 10
+
+    scored = rows.select("consumer_id", models.LABEL, slow("consumer_id").alias("prob_deact"), F.lit("m").alias("model"))
+    for report in (models.holdout_report, lambda df: modelling._report(df, ["model"])):
+        before = calls.value
+        assert report(scored).count() in (1, 3)
+        assert calls.value - before == 3000
