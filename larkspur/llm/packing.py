@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.llm import bpe
+from larkspur.llm.common import give_back
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -111,6 +112,8 @@ def _pack(path: str, capacity: int, end: int, most_open: int):
         put(packer.drain())
         if rows:
             yield flush()
+        del encoder, packer
+        give_back()
 
     return run
 
