@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import components, groups, saved, text_key
+from larkspur.llm.common import components, groups, lean, saved, text_key
 
 _WORD = re.compile(r"\w+")
 _U = np.uint64
@@ -34,7 +34,7 @@ class _WordHash(dict):
 class Shingles:
     """Hashes of all runs of ``n`` words of a text, in order; a shorter text is one run."""
 
-    def __init__(self, n: int = 5, keep: int = 500_000):
+    def __init__(self, n: int = 5, keep: int = 100_000):
         self.n, self.keep, self.known = n, keep, _WordHash()
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -141,7 +141,7 @@ def _signed(bands: int, rows: int, words: int):
             at = 0
             while at < b.num_rows:
                 keep, bags, sizes, n = [], [], [], 0
-                while at < b.num_rows and n < 300_000:
+                while at < b.num_rows and n < 100_000:
                     s, c = np.unique(shingles(texts[at].as_py()), return_counts=True)
                     if len(s):
                         keep.append(at)
@@ -306,14 +306,14 @@ def _starred(posted: DataFrame, one: DataFrame, bags: DataFrame, least: float, k
     sketches = one.select("node", "sketch")
     pairs = pairs.join(sketches.toDF("node", "sketch_a"), "node").join(sketches.toDF("centre", "sketch_b"), "centre")
     pairs = pairs.select(F.col("node").alias("a"), F.col("centre").alias("b"), "sketch_a", "sketch_b")
-    close = pairs.mapInArrow(_agreement(), "a long, b long, share double").where(F.col("share") >= _alike(least, k))
+    close = pairs.mapInArrow(lean(_agreement()), "a long, b long, share double").where(F.col("share") >= _alike(least, k))
     close = saved(close.select(F.col("a").alias("node"), F.col("b").alias("centre")), "stars")
     parts = close.groupBy("centre").agg(F.ceil(F.count("*") / each).cast("int").alias("parts"))
     dealt = close.join(parts, "centre").select("centre", F.pmod(F.xxhash64("node"), "parts").cast("int").alias("part"), "node")
     heads = parts.select("centre", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("centre").alias("node"), F.lit(0).alias("first"))
     rows = dealt.withColumn("first", F.lit(1)).unionByName(heads).join(bags, "node")
     rows = rows.repartition("centre", "part").sortWithinPartitions("centre", "part", "first", "node", "nr")
-    return rows.mapInArrow(_similar(least), "a long, b long")
+    return rows.mapInArrow(lean(_similar(least)), "a long, b long")
 
 
 def near_duplicate_classes(
@@ -339,7 +339,7 @@ def near_duplicate_classes(
     """
     rows_in = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     keyed = rows_in.select(*text_key(), "doc_id", "text")
-    signed = keyed.mapInArrow(_signed(bands, rows, words), "h1 long, h2 long, doc_id long, bands array<bigint>, sketch binary, size long")
+    signed = keyed.mapInArrow(lean(_signed(bands, rows, words)), "h1 long, h2 long, doc_id long, bands array<bigint>, sketch binary, size long")
     # a text is named by a number of its own, fixed by the writing, as a doc_id may be that of several texts
     one = saved(
         signed.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id()),
@@ -351,7 +351,7 @@ def near_duplicate_classes(
     # the bags of texts that share a bucket, made once
     wanted = posted.select("node").distinct().join(one.select("node", "h1", "h2", F.col("doc").alias("doc_id")), "node")
     texts = keyed.join(wanted, ["h1", "h2", "doc_id"]).groupBy("h1", "h2", "doc_id", "node").agg(F.first("text").alias("text"))
-    bags = saved(texts.select("node", "text").mapInArrow(_bags(words), "node long, nr int, bag binary"), "bags")
+    bags = saved(texts.select("node", "text").mapInArrow(lean(_bags(words)), "node long, nr int, bag binary"), "bags")
     links = saved(_starred(posted, one, bags, least, bands * rows), "links")
     reach = components(links).select(F.col("id").alias("node"), "component")
     members = posted.join(reach, "node", "left").withColumn("c", F.coalesce("component", "node")).drop("component")
@@ -366,7 +366,7 @@ def near_duplicate_classes(
     dealt = dealt.join(one.select("node", "sketch", "size").join(bags, "node"), "node")
     key = ["band", "bucket", "i", "j"]
     dealt = dealt.repartition(*key).sortWithinPartitions(*key, "node", "nr")
-    more = dealt.mapInArrow(_met(least, bands, rows), "a long, b long")
+    more = dealt.mapInArrow(lean(_met(least, bands, rows)), "a long, b long")
     reach = components(saved(links.unionByName(more), "links"))
     reach = reach.withColumnRenamed("id", "node").join(one.select("node", "doc"), "node")
     classes = reach.join(reach.groupBy("component").agg(F.min("doc").alias("class_id")), "component").select("node", "class_id")

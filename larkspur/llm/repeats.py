@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import give_back, saved, text_key
+from larkspur.llm.common import give_back, lean, saved, text_key
 from larkspur.llm.darts import mix
 from larkspur.llm.induced import Scratch, suffixes
 
@@ -404,20 +404,20 @@ def remove_repeats(
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = ["h1", "h2"]
     # columns are declared not null: inferred null filters would set equal exchanges apart, and each would run by itself
-    one = docs.select(text.alias("text")).select(*text_key(), "text").mapInArrow(_squeeze, "h1 long NOT NULL, h2 long NOT NULL, body binary NOT NULL")
+    one = docs.select(text.alias("text")).select(*text_key(), "text").mapInArrow(lean(_squeeze), "h1 long NOT NULL, h2 long NOT NULL, body binary NOT NULL")
     one = one.groupBy(*key).agg(F.first("body").alias("body"), F.count("*").alias("copies"))
     fields = [f"{c} long NOT NULL" for c in ("anchor", "whole", "h1", "h2", "start", "span")]
     anchors, hot = split_anchors(docs.select(text.alias("text")), need, gram, text_each)
-    parts = one.mapInArrow(_stretches(need, gram, hot), ", ".join(fields))
+    parts = one.mapInArrow(lean(_stretches(need, gram, hot)), ", ".join(fields))
     twice = anchors.select("anchor", F.expr("low != high").alias("differ"))
     parts = parts.join(twice, "anchor")
     by_text = parts.where("differ").groupBy(*key).agg(F.collect_list(F.struct("anchor", "whole", "start", "span")).alias("parts"))
-    cut = one.join(by_text, key, "left").select("body", "copies", "parts").mapInArrow(_cut(need, shards), "shard int, lot binary")
-    runs = cut.repartition("shard").mapInArrow(_sorted(need, gram, memory, text_each), "anchor long, whole long, runs binary")
+    cut = one.join(by_text, key, "left").select("body", "copies", "parts").mapInArrow(lean(_cut(need, shards)), "shard int, lot binary")
+    runs = cut.repartition("shard").mapInArrow(lean(_sorted(need, gram, memory, text_each)), "anchor long, whole long, runs binary")
     found = parts.join(runs, ["anchor", "whole"], "left").where("runs IS NOT NULL OR NOT differ")
     found = found.groupBy(*key).agg(F.collect_list(F.struct("start", "span", "runs")).alias("found"))
     left = one.join(found, key, "left").select(*key, "body", "copies", "found").mapInArrow(
-        _removed(need, texts), "h1 long, h2 long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, __kept string, kept_sha256 string"
+        lean(_removed(need, texts)), "h1 long, h2 long, n_bytes long, n_removed long, spans array<struct<start:long,length:long>>, __kept string, kept_sha256 string"
     )
     told = ["n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256", *["spans"] * spans, *["__kept"] * texts]
     # what is left travels with the distinct text, so the rows themselves move without theirs
@@ -517,7 +517,7 @@ def split_anchors(texts: DataFrame, need: int, gram: int, most_bytes: int) -> tu
     hot, found, lots = np.zeros(0, _U), None, None
     rows = texts.select(F.lit(0).cast("long").alias("h1"), F.lit(0).cast("long").alias("h2"), F.col("text").alias("body"))
     fields = "anchor long NOT NULL, n long NOT NULL, low long NOT NULL, high long NOT NULL"
-    counts = rows.mapInArrow(_anchor_counts(need, gram), fields)
+    counts = rows.mapInArrow(lean(_anchor_counts(need, gram)), fields)
     while True:
         table = counts.groupBy("anchor").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
         table = saved(table.where("n > 1"), "anchors")
@@ -528,9 +528,9 @@ def split_anchors(texts: DataFrame, need: int, gram: int, most_bytes: int) -> tu
         if not len(newest):
             return table, hot
         if lots is None:
-            lots = saved(rows.mapInArrow(_hot_bytes(need, gram, newest), "body binary, sizes array<int>"), "hot-stretches")
+            lots = saved(rows.mapInArrow(lean(_hot_bytes(need, gram, newest)), "body binary, sizes array<int>"), "hot-stretches")
         found, hot = table, np.union1d(hot, newest)  # no stretch has a cut anchor any more, so its row meets nothing
-        counts = lots.mapInArrow(_cut_counts(need, gram, hot, newest), fields)
+        counts = lots.mapInArrow(lean(_cut_counts(need, gram, hot, newest)), fields)
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -7,7 +7,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from larkspur.llm import bpe, darts, packing, queries, repeats, tokencount
+import corpus_pipeline
+from larkspur.llm import bpe, common, darts, packing, queries, repeats, tokencount
 from larkspur.llm.induced import Scratch, suffixes
 
 PATH = bpe.vocabulary_path("byte_bpe_50k.json")
@@ -292,6 +293,66 @@ def test_cutting_texts_takes_little_memory():
     assert peak < 150 << 20
 
 
+def test_signing_texts_takes_little_memory():
+    """Documents are signed a small part at a time, and their rows are those they get alone."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 1 << 40, 800)) for _ in range(400)]
+    keys = pa.array(range(len(texts)), pa.int64())
+    batch = pa.RecordBatch.from_arrays([keys, keys, keys, pa.array(texts)], names=["h1", "h2", "doc_id", "text"])
+    tracemalloc.start()
+    outs = list(darts._signed(24, 5, 5)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    rows = pa.Table.from_batches(outs).to_pylist()
+    assert len(rows) == len(texts) and peak < 60 << 20
+    alone = [r for i in range(0, len(texts), 40) for out in darts._signed(24, 5, 5)([batch.slice(i, 1)]) for r in out.to_pylist()]
+    assert alone == rows[::40]
+
+
+def test_a_worker_gives_memory_back_when_its_task_ends(monkeypatch):
+    seen = []
+
+    class Held:
+        def __del__(self):
+            seen.append("freed")
+
+    def run(batches):
+        held = Held()  # noqa: F841
+        yield from batches
+
+    monkeypatch.setattr(common, "give_back", lambda: seen.append("given"))
+    assert list(common.lean(run)([1, 2])) == [1, 2] and seen == ["freed", "given"]
+
+
+def test_pipeline_stages_hand_over_small_batches(spark, no_docs, sf_dir):
+    """Every stage that hands texts to Python has at most 1000 rows in an Arrow batch; a smaller setting stays."""
+    def counted(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([b.num_rows], pa.int64())})
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, rows = spark.conf.get(key), spark.range(0, 2500, 1, 1)
+    try:
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "source_mix":
+                continue
+            spark.conf.set(key, "10000")
+            stage(spark, no_docs, sf_dir)
+            assert sorted(r[0] for r in rows.mapInArrow(counted, "n long").collect()) == [500, 1000, 1000], name
+        for given, want in (("700", "700"), ("0", "1000")):
+            spark.conf.set(key, given)
+            common.small_batches(spark)
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_only_what_may_repeat_is_sorted():
     """Stretches of one anchor that differ near it stay out of the sort, and the result is that of sorting all."""
     rng = np.random.default_rng(5)
