@@ -118,7 +118,7 @@ def _counted(path: str, keep: int = 200_000):
     """A shard's pre-tokens, each counted once by the library, joined to the blocks that hold them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok, known = bpe.load(path), {}
+        tok, known = bpe.kept(path), {}
         for batch in batches:
             rows = []
             for r in (x for i in range(batch.num_rows) for x in batch.slice(i, 1).to_pylist()):

@@ -1,6 +1,7 @@
 """Token counts, packing, repeated strings and near duplicates against brute force."""
 
 import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -87,6 +88,40 @@ def test_token_counts_odd_rows(odd_docs, no_docs):
     assert tokencount.count_tokens(no_docs, PATH).count() == 0
 
 
+def test_token_counting_tasks_do_not_grow_their_worker():
+    """A Python worker serves many tasks; what one shard needs must not stay behind."""
+
+    def held():
+        common.give_back()
+        with open("/proc/self/smaps_rollup") as f:
+            return int(re.search(r"\nAnonymous:\s+(\d+)", f.read()).group(1)) / 1024
+
+    def task(k):
+        words = [f" {zlib.crc32(b'%d %d' % (k, i)):x}" for i in range(10_000)]
+        data = tokencount._packed(np.ones(10_000, int), np.arange(10_000) // 10, np.full(10_000, 2), words=b"\xff".join(w.encode() for w in words))
+        (out,) = tokencount._counted(PATH)(iter([tokencount._table(tokencount._PARTS, [(0, 7, None, None, data)])]))
+        _, (sums,) = tokencount._unpacked(out.column("data")[0].as_py(), 1)
+        return words, sums
+
+    words, sums = task(0)
+    ids = ids_of(words)
+    assert sums.tolist() == [2 * sum(map(len, ids[i : i + 10])) for i in range(0, len(words), 10)]
+    task(1)
+    before = held()
+    for k in range(2, 26):
+        task(k)
+    assert held() - before < 16
+
+
+def test_kept_tokenizer_is_read_again_from_a_changed_file(tmp_path):
+    file = tmp_path / "vocabulary.json"
+    file.write_bytes(open(PATH, "rb").read())
+    first = bpe.kept(str(file))
+    assert bpe.kept(str(file)) is first
+    file.write_bytes(open(PATH, "rb").read() + b"\n")
+    assert bpe.kept(str(file)) is not first
+
+
 def test_fast_encoding_is_the_librarys(docs):
     e = bpe.Encoder(PATH)
     assert [e.encode(t).tolist() for t in docs.text] == ids_of(docs.text)
