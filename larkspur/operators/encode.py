@@ -192,12 +192,15 @@ def _slug_text(text: str) -> str:
     return re.sub(r"\W+", "_", text.strip())
 
 
+def assembler(model: PipelineModel, numeric: Sequence[str], out: str = "features") -> VectorAssembler:
+    """The stage after the encoders: numeric features, then the one-hot blocks, as one vector; nulls are kept."""
+    return VectorAssembler(inputCols=[*numeric, *model.stages[1].getOutputCols()], outputCol=out, handleInvalid="keep")
+
+
 def assemble(df: DataFrame, model: PipelineModel, numeric: Sequence[str], out: str = "features") -> DataFrame:
     """Numeric features, then the one-hot blocks, as one vector; nulls are kept."""
-    encoded = model.transform(df)
-    vec = list(model.stages[1].getOutputCols())
-    assembled = VectorAssembler(inputCols=[*numeric, *vec], outputCol=out, handleInvalid="keep").transform(encoded)
-    return assembled.drop(*vec, *model.stages[0].getOutputCols())
+    assembled = assembler(model, numeric, out).transform(model.transform(df))
+    return assembled.drop(*model.stages[1].getOutputCols(), *model.stages[0].getOutputCols())
 
 
 def string_index(df: DataFrame, column: str) -> DataFrame:

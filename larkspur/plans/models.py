@@ -74,6 +74,10 @@ class Fitted:
             "rawPrediction", "probability", "prediction", "features"
         )
 
+    def pipeline(self) -> PipelineModel:
+        """Encoders, assembler and model in one pipeline; saved, it scores raw rows wherever it is loaded."""
+        return PipelineModel([*self.encoders.stages, encode.assembler(self.encoders, self.numeric), self.model])
+
     def importances(self, spark: SparkSession) -> DataFrame:
         """(feature, importance), one row per vector slot of the model."""
         values = [float(v) for v in self.model.featureImportances.toArray()]
@@ -102,12 +106,25 @@ def _marks(train: DataFrame) -> list[str]:
 
 class _NumericOnly(Fitted):
     def score(self, df: DataFrame, out: str = "prob_deact") -> DataFrame:
-        v = VectorAssembler(inputCols=self.numeric, outputCol="features", handleInvalid="keep")
-        scored = self.model.transform(v.transform(df))
+        scored = self.pipeline().transform(df)
         return scored.withColumn(out, encode.probability_of_one()).drop(
             "rawPrediction", "probability", "prediction", "features"
         )
 
+    def pipeline(self) -> PipelineModel:
+        return PipelineModel([VectorAssembler(inputCols=self.numeric, outputCol="features", handleInvalid="keep"), self.model])
+
+
+def load(path: str) -> Fitted:
+    """Encoders and model as ``Fitted.pipeline`` saved them; nothing comes from the session that fitted them."""
+    *encoders, assembler, model = PipelineModel.load(path).stages
+    inputs = assembler.getInputCols()
+    if not encoders:
+        return _NumericOnly(None, inputs, model, inputs)
+    made = PipelineModel(encoders)
+    numeric = inputs[: len(inputs) - len(made.stages[1].getOutputCols())]
+    return Fitted(made, numeric, model, encode.feature_names(made, numeric))
+
 
 def _fit_numeric(train: DataFrame, estimator, numeric: list[str]) -> Fitted:
     v = VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="keep")

@@ -9,7 +9,7 @@ import datetime as dt
 import uuid
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -168,15 +168,18 @@ def score_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 @query()
 def model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """A model written to the shared folder and loaded again scores the same."""
+    """Encoders and model written to the shared folder as one pipeline and loaded again, where the raw rows
+    get the same scores in a new session."""
     df = _frame(spark, sf)
     fitted = _gbt(_part(df, "train"))
-    path = work_path(spark, "model")
-    fitted.model.write().overwrite().save(path)
-    again = models.Fitted(fitted.encoders, fitted.numeric, GBTClassificationModel.load(path), fitted.names)
+    path, rows, scores = (work_path(spark, name) for name in ("model", "validate", "loaded"))
+    fitted.pipeline().write().overwrite().save(path)
     test = _part(df, "validate")
+    test.write.parquet(rows)
+    raw = spark.newSession().read.schema(test.schema).parquet(rows)
+    models.load(path).score(raw).select("consumer_id", F.col("prob_deact").alias("loaded")).write.parquet(scores)
     first = fitted.score(test).select("consumer_id", F.col("prob_deact").alias("fitted"))
-    return first.join(again.score(test).select("consumer_id", F.col("prob_deact").alias("loaded")), "consumer_id")
+    return first.join(spark.read.parquet(scores), "consumer_id")
 
 
 @query()

@@ -129,6 +129,46 @@ def test_model_roundtrip(spark, sf_dir):
     assert out.count() > 0 and out.where(F.col("fitted") != F.col("loaded")).count() == 0
 
 
+def test_roundtrip_saves_the_encoders_with_the_model(spark, monkeypatch):
+    """What was written scores raw rows by itself: labels are ranked, and numbers ordered, as in the session that fitted."""
+    from pyspark.ml import PipelineModel
+
+    label = F.when(F.col("id") % 4 == 0, "b").when(F.col("id") % 4 == 1, "a b").otherwise("c")
+    rows = spark.range(6000).select(
+        F.col("id").alias("consumer_id"), (F.col("id") % 365).cast("double").alias("recency_x"),
+        F.when(F.col("id") % 97 == 1, F.lit("only held out")).otherwise(label).alias("kind_cat_x"),
+        (F.col("id") % 4 == 0).cast("int").alias(models.LABEL),
+        F.when(F.col("id") % 97 == 1, "validate").when(F.col("id") % 2 == 0, "train").when(F.col("id") % 3 == 0, "train").otherwise("validate").alias("part"),
+    ).withColumn(models.LABEL, F.when(F.col("recency_x") > 300, 1).otherwise(F.col(models.LABEL)))
+    paths = {}
+    keep = lambda s, name, make=modelling.work_path: paths.setdefault(name, make(s, name))
+    monkeypatch.setattr(modelling, "work_path", keep)
+    monkeypatch.setattr(modelling, "_frame", lambda *_: rows)
+    out = Q["model_roundtrip"](spark, "")
+    assert out.columns == ["consumer_id", "fitted", "loaded"]
+    got = {r["consumer_id"]: (r["fitted"], r["loaded"]) for r in out.collect()}
+    held = rows.where("part = 'validate'")
+    assert got.keys() == {r["consumer_id"] for r in held.collect()} and all(a == b for a, b in got.values())
+    assert len({a for a, _ in got.values()}) > 1
+
+    made = PipelineModel.load(paths["model"])
+    alone = made.transform(held.select("consumer_id", "recency_x", "kind_cat_x")).select("consumer_id", encode.probability_of_one().alias("p"))
+    assert {r["consumer_id"]: r["p"] for r in alone.collect()} == {k: a for k, (a, _) in got.items()}
+    loaded = models.load(paths["model"])
+    assert loaded.numeric == ["recency_x"] and "kind_cat_x_a_b" in loaded.names
+    assert sum(r["importance"] for r in loaded.importances(spark).collect()) == pytest.approx(1.0)
+
+
+def test_a_model_of_numbers_only_is_saved_whole(spark, rows):
+    path = modelling.work_path(spark, "numbers")
+    fitted = models.fit(rows, models.gbt(5, iterations=2, depth=2), text=[])
+    fitted.pipeline().write().save(path)
+    loaded = models.load(path)
+    assert loaded.numeric == fitted.numeric and loaded.names == fitted.names
+    score = lambda f: {r["consumer_id"]: r["prob_deact"] for r in f.score(rows).select("consumer_id", "prob_deact").collect()}
+    assert score(loaded) == score(fitted)
+
+
 def test_model_rows_have_at_most_two_partitions_per_task(spark):
     """However many partitions the features have: each costs a table of sums per node and pass."""
     from larkspur.queries import modelling
