@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.regression import IsotonicRegression, LinearRegression
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.hashing import split_label
 from larkspur.operators import encode, evaluate
-from larkspur.session import prepare_checkpoints, saved
+from larkspur.session import prepare_checkpoints, saved, work_path
 
 LABEL = "deactivated"
 SEED = 7
@@ -277,7 +278,8 @@ def important(importances: DataFrame, least: float = 0.001) -> DataFrame:
 def grid_forest(
     train: DataFrame, validate: DataFrame, depths: Sequence[int] = (6, 10, 20, 30), trees: int = 300, rows_per_node: int = GRID_MIN_ROWS
 ) -> tuple[object, DataFrame]:
-    """Forest depth chosen by area under ROC on the validation rows; all other rows are fitted on."""
+    """Forest depth chosen by area under ROC on the validation rows; all other rows are fitted on. The forest
+    is grown once, to the greatest depth, and the others are its trees up to their depth."""
     encoders = encode.fit_one_hot(train)
     numeric = encode.numeric_columns(train)
     ready = lambda df: encode.assemble(df, encoders, numeric).select(F.col(LABEL).cast("double").alias(LABEL), "features")
@@ -285,8 +287,8 @@ def grid_forest(
     measure = BinaryClassificationEvaluator(labelCol=LABEL)
     result, best = [], None
     try:
-        for depth in depths:
-            model = forest(rows_per_node, trees=trees, depth=depth, columns="0.66", keep_nodes=False).fit(rows)
+        grown = forest(rows_per_node, trees=trees, depth=max(depths), columns="0.66", keep_nodes=False).fit(rows)
+        for depth, model in zip(depths, limited_forests(grown, depths)):
             area = float(measure.evaluate(model.transform(held)))
             if best is None or area > best[0]:
                 best = (area, model)
@@ -297,6 +299,75 @@ def grid_forest(
     return best[1], train.sparkSession.createDataFrame(result, "max_depth int, auc double")
 
 
+def limited_forests(grown: RandomForestClassificationModel, depths: Sequence[int]) -> list[RandomForestClassificationModel]:
+    """The forests of lesser depths in a grown one. Whether and how a node is split never depends on what
+    is below it, so a tree of a lesser depth is the grown one up to there.
+
+    The learner draws the columns of nodes in the order of its passes. While a level's open nodes fit into the memory of one pass
+    (``maxMemoryInMB``), these are the very trees that a fit of each depth gives; beyond that such a fit draws other columns."""
+    spark = SparkSession.active()
+    path = work_path(spark, "forest")
+    grown.write().save(path)
+    data = spark.read.parquet(f"{path}/data")
+    trees: dict[int, dict[int, dict]] = {}
+    for r in data.collect():  # the model's nodes, which the driver holds in any case
+        trees.setdefault(r["treeID"], {})[r["nodeData"]["id"]] = r["nodeData"].asDict(recursive=True)
+    told, per_tree = spark.read.text(f"{path}/metadata").first()["value"], spark.read.parquet(f"{path}/treesMetadata")
+    out = []
+    for depth in depths:
+        at = work_path(spark, f"forest-{depth}")
+        nodes = [(t, n) for t, tree in trees.items() for n in _limited_tree(tree, depth)]
+        spark.createDataFrame(nodes, data.schema).coalesce(1).write.parquet(f"{at}/data")
+        spark.createDataFrame([(_with_depth(told, depth),)], "value string").coalesce(1).write.text(f"{at}/metadata")
+        texts = [tuple(_with_depth(v, depth) if isinstance(v, str) else v for v in r) for r in per_tree.collect()]  # a row per tree
+        spark.createDataFrame(texts, per_tree.schema).coalesce(1).write.parquet(f"{at}/treesMetadata")
+        out.append(RandomForestClassificationModel.load(at))
+    return out
+
+
+def _with_depth(metadata: str, depth: int) -> str:
+    told = json.loads(metadata)
+    told["paramMap"]["maxDepth"] = int(depth)
+    return json.dumps(told)
+
+
+def _limited_tree(nodes: dict[int, dict], depth: int) -> list[dict]:
+    """Nodes of a saved tree up to a depth, numbered in preorder. Sister leaves of equal
+    prediction become one, as the learner merges them."""
+    out: list[dict] = []
+
+    def leaf(n: dict) -> dict:
+        return n | {"gain": -1.0, "leftChild": -1, "rightChild": -1, "split": {"featureIndex": -1, "leftCategoriesOrThreshold": [], "numCategories": -1}}
+
+    def walk(n: dict, level: int) -> None:
+        me = len(out)
+        out.append(n)
+        if level == depth:  # never looked at for a split, so with its impurity
+            n = n | {"impurity": _gini(n["impurityStats"])}
+        if n["leftChild"] < 0 or level == depth:
+            out[me] = leaf(n) | {"id": me}
+            return
+        walk(nodes[n["leftChild"]], level + 1)
+        right = len(out)
+        walk(nodes[n["rightChild"]], level + 1)
+        a, b = out[me + 1], out[right]
+        if a["leftChild"] < 0 and b["leftChild"] < 0 and a["prediction"] == b["prediction"]:
+            del out[me + 1 :]
+            out[me] = leaf(n) | {"id": me}
+        else:
+            out[me] = n | {"id": me, "leftChild": me + 1, "rightChild": right}
+
+    walk(nodes[0], 0)
+    return out
+
+
+def _gini(counts: Sequence[float]) -> float:
+    impurity, total = 1.0, sum(counts)
+    for c in counts:
+        impurity -= (c / total) * (c / total)
+    return impurity
+
+
 def lasso(train: DataFrame, features: Sequence[str], target: str, alpha: float = 0.005) -> tuple[object, DataFrame]:
     """L1 regression; returns the model and its coefficients, largest first."""
     rows = VectorAssembler(inputCols=list(features), outputCol="features").transform(train)

@@ -169,6 +169,41 @@ def test_a_model_of_numbers_only_is_saved_whole(spark, rows):
     assert score(loaded) == score(fitted)
 
 
+def test_a_grid_grows_one_forest_and_has_the_trees_of_each_depth(spark, monkeypatch):
+    """Each depth's forest is, node by node, the one that a fit of that depth gives."""
+    noise = lambda k, n: F.pmod(F.xxhash64("id", F.lit(k)), F.lit(n)).cast("double")
+    x = [noise(k, 40) for k in range(5)]
+    rows = spark.range(8000).select(
+        F.col("id").alias("consumer_id"), *[c.alias(f"f{k}_x") for k, c in enumerate(x)],
+        F.when(noise(8, 3) == 0, "a").otherwise("b").alias("kind_cat_x"),
+        (x[0] * x[1] + x[2] * 9 + noise(9, 500) > 900).cast("int").alias(models.LABEL),
+    )
+    train, held = (modelling._laid_out(rows.where(c)) for c in ("consumer_id % 4 <> 0", "consumer_id % 4 = 0"))
+    depths, made, fits, kept = (3, 1, 5, 9), models.forest, [], []
+    cut = models.limited_forests
+    monkeypatch.setattr(models, "forest", lambda *a, **k: fits.append(k["depth"]) or made(*a, **k))
+    monkeypatch.setattr(models, "limited_forests", lambda *a: kept.extend(cut(*a)) or kept)
+    best, result = models.grid_forest(train, held, depths, trees=8, rows_per_node=20)
+    areas = [(r["max_depth"], r["auc"]) for r in result.collect()]
+    assert fits == [9] and [d for d, _ in areas] == list(depths) and len(set(areas)) == 4
+
+    def nodes(model, name):
+        model.write().save(path := modelling.work_path(spark, name))
+        return sorted(map(repr, spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()))
+
+    encoders, numeric = encode.fit_one_hot(train), encode.numeric_columns(train)
+    ready = lambda df: encode.assemble(df, encoders, numeric).select(F.col(models.LABEL).cast("double").alias(models.LABEL), "features")
+    measure, sizes = models.BinaryClassificationEvaluator(labelCol=models.LABEL), []
+    for (depth, area), model in zip(areas, kept):
+        alone = made(20, trees=8, depth=depth, columns="0.66", keep_nodes=False).fit(ready(train))
+        assert nodes(model, "cut") == nodes(alone, "alone")
+        assert area == float(measure.evaluate(alone.transform(ready(held))))
+        assert model.getMaxDepth() == depth and model.featureImportances == alone.featureImportances
+        sizes.append(model.totalNumNodes)
+    assert sizes[1] < sizes[0] < sizes[2] < sizes[3]
+    assert best.getMaxDepth() == max(areas, key=lambda a: a[1])[0]
+
+
 def test_model_rows_have_at_most_two_partitions_per_task(spark):
     """However many partitions the features have: each costs a table of sums per node and pass."""
     from larkspur.queries import modelling
