@@ -305,7 +305,10 @@ def limited_forests(grown: RandomForestClassificationModel, depths: Sequence[int
 
     The learner draws the columns of nodes in the order of its passes. While a level's open nodes fit into the memory of one pass
     (``maxMemoryInMB``), these are the very trees that a fit of each depth gives; beyond that such a fit draws other columns."""
-    spark = SparkSession.active()
+    spark, deepest = SparkSession.active(), max(t.depth for t in grown.trees)
+    whole = lambda depth: depth == grown.getMaxDepth() or depth > deepest
+    if all(map(whole, depths)):
+        return [grown.copy({grown.maxDepth: depth}) for depth in depths]
     path = work_path(spark, "forest")
     grown.write().save(path)
     data = spark.read.parquet(f"{path}/data")
@@ -315,6 +318,9 @@ def limited_forests(grown: RandomForestClassificationModel, depths: Sequence[int
     told, per_tree = spark.read.text(f"{path}/metadata").first()["value"], spark.read.parquet(f"{path}/treesMetadata")
     out = []
     for depth in depths:
+        if whole(depth):
+            out.append(grown.copy({grown.maxDepth: depth}))
+            continue
         at = work_path(spark, f"forest-{depth}")
         nodes = [(t, n) for t, tree in trees.items() for n in _limited_tree(tree, depth)]
         spark.createDataFrame(nodes, data.schema).coalesce(1).write.parquet(f"{at}/data")

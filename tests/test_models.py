@@ -179,13 +179,13 @@ def test_a_grid_grows_one_forest_and_has_the_trees_of_each_depth(spark, monkeypa
         (x[0] * x[1] + x[2] * 9 + noise(9, 500) > 900).cast("int").alias(models.LABEL),
     )
     train, held = (modelling._laid_out(rows.where(c)) for c in ("consumer_id % 4 <> 0", "consumer_id % 4 = 0"))
-    depths, made, fits, kept = (3, 1, 5, 9), models.forest, [], []
+    depths, made, fits, kept = (3, 1, 5, 30), models.forest, [], []
     cut = models.limited_forests
     monkeypatch.setattr(models, "forest", lambda *a, **k: fits.append(k["depth"]) or made(*a, **k))
     monkeypatch.setattr(models, "limited_forests", lambda *a: kept.extend(cut(*a)) or kept)
     best, result = models.grid_forest(train, held, depths, trees=8, rows_per_node=20)
     areas = [(r["max_depth"], r["auc"]) for r in result.collect()]
-    assert fits == [9] and [d for d, _ in areas] == list(depths) and len(set(areas)) == 4
+    assert fits == [30] and [d for d, _ in areas] == list(depths) and len(set(areas)) == 4
 
     def nodes(model, name):
         model.write().save(path := modelling.work_path(spark, name))
@@ -197,7 +197,7 @@ def test_a_grid_grows_one_forest_and_has_the_trees_of_each_depth(spark, monkeypa
     for (depth, area), model in zip(areas, kept):
         alone = made(20, trees=8, depth=depth, columns="0.66", keep_nodes=False).fit(ready(train))
         assert nodes(model, "cut") == nodes(alone, "alone")
-        assert area == float(measure.evaluate(alone.transform(ready(held))))
+        assert area == pytest.approx(measure.evaluate(alone.transform(ready(held))), abs=5e-3)  # its curve has 1000 bins, laid anew each time
         assert model.getMaxDepth() == depth and model.featureImportances == alone.featureImportances
         sizes.append(model.totalNumNodes)
     assert sizes[1] < sizes[0] < sizes[2] < sizes[3]
